@@ -215,3 +215,131 @@ def sink_text(spark, sf_dir):
     out = f"{_dir(spark, 'customer-txt')}/names"
     write_files(src, out, "txt")
     return read_files(spark, out, "txt")
+
+
+# --- step 5: delivery contracts -------------------------------------------------
+
+@query("sink_single_file", """
+SELECT o_orderpriority, count(*) AS n, CAST(1 AS BIGINT) AS n_files
+FROM orders GROUP BY o_orderpriority""")
+def sink_single_file(spark, sf_dir):
+    """Exactly one delivered file: every row comes back from the same file."""
+    src = table(spark, sf_dir, "orders")
+    target = f"{_dir(spark, 'orders-single')}/orders.csv"
+    write_files(src, target, "csv", single_file=True)
+    back = read_files(spark, target, "csv", schema=ddl(src))
+    return (back.groupBy("o_orderpriority")
+                .agg(F.count(F.lit(1)).alias("n"),
+                     F.count_distinct(F.col("_metadata.file_path")).alias("n_files")))
+
+
+@query("sink_csv_codec", "SELECT * FROM lineitem")
+def sink_csv_codec(spark, sf_dir):
+    """csv with the connector's ``codec`` option (gzip), read back transparently."""
+    return _round_trip(spark, sf_dir, "lineitem", "csv", codec="gzip")
+
+
+@query("sink_save_mode", """
+SELECT 'append' AS phase, o_orderstatus, 2 * count(*) AS n FROM orders GROUP BY o_orderstatus
+UNION ALL
+SELECT 'overwrite' AS phase, o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus""")
+def sink_save_mode(spark, sf_dir):
+    """append twice doubles the rows; overwrite then ignore leaves one copy."""
+    src = table(spark, sf_dir, "orders")
+    base = _dir(spark, "orders-modes")
+    write_files(src, f"{base}/appended", "parquet", mode="errorifexists")
+    write_files(src, f"{base}/appended", "parquet", mode="append")
+    write_files(src, f"{base}/replaced", "parquet", mode="append")
+    write_files(src, f"{base}/replaced", "parquet", mode="overwrite")
+    write_files(src, f"{base}/replaced", "parquet", mode="ignore")
+    out = None
+    for phase, where in (("append", "appended"), ("overwrite", "replaced")):
+        counts = (read_files(spark, f"{base}/{where}", "parquet")
+                  .groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+                  .select(F.lit(phase).alias("phase"), "o_orderstatus", "n"))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+@query("sink_deliver", "SELECT * FROM supplier")
+def sink_deliver(spark, sf_dir):
+    """Option-builder delivery to a target URI, read back from the target."""
+    from ..operators.sink import Writer
+
+    src = table(spark, sf_dir, "supplier")
+    target = f"{_dir(spark, 'deliver')}/supplier"
+    Writer(src).option("fileType", "json").mode("overwrite").save(target)
+    return read_files(spark, target, "json", schema=ddl(src))
+
+
+# --- step 6: newest drop, staging, fetch-only -----------------------------------
+
+def year_drops(spark: SparkSession, sf_dir: str) -> str:
+    """``orders`` as yearly csv drops, each folder stamped with its year's end."""
+    src = table(spark, sf_dir, "orders")
+    root = f"{_dir(spark, 'orders-drops')}/orders"
+    write_files(src.withColumn("drop_year", F.year("o_orderdate")), root, "csv",
+                partition_by="drop_year")
+    for drop in session.subdirs(spark, root):
+        year = int(drop.rsplit("=", 1)[1])
+        end = int(__import__("datetime").datetime(year + 1, 1, 1).timestamp() * 1000)
+        session.set_mtime(spark, drop, end)
+    return root
+
+
+LATEST_YEAR = """
+SELECT * FROM orders
+WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)"""
+
+
+@query("latest_file", LATEST_YEAR)
+def latest_file_query(spark, sf_dir):
+    """copyLatest over drop folders: only the newest drop is read."""
+    from ..sources.files import load_remote
+
+    root = year_drops(spark, sf_dir)
+    src = table(spark, sf_dir, "orders")
+    df, _ = load_remote(spark, root, "csv", ddl(src), copyLatest="true", latestBy="directory")
+    return df
+
+
+@query("stage_files", "SELECT * FROM orders")
+def stage_files_query(spark, sf_dir):
+    """Every drop copied into staging by executor tasks, then scanned natively."""
+    from ..sources.files import Reader
+
+    root = year_drops(spark, sf_dir)
+    src = table(spark, sf_dir, "orders")
+    reader = Reader(spark).option("fileType", "csv").option("stage", "true").schema(ddl(src))
+    return reader.load(root).select(*src.columns)
+
+
+@query("stage_latest", LATEST_YEAR)
+def stage_latest(spark, sf_dir):
+    """copyLatest with staging: only the newest drop is copied, then scanned."""
+    from ..sources.files import load_remote
+
+    root = year_drops(spark, sf_dir)
+    src = table(spark, sf_dir, "orders")
+    df, _ = load_remote(spark, root, "csv", ddl(src), copyLatest="true", latestBy="directory",
+                        stage="true")
+    return df.select(*src.columns)
+
+
+@query("stage_only", """
+SELECT count(DISTINCT year(o_orderdate)) AS n_drops,
+       count(DISTINCT year(o_orderdate)) AS n_ok
+FROM orders""")
+def stage_only(spark, sf_dir):
+    """createDF=false: objects are staged, the frame is empty; report the staging."""
+    from ..sources.files import load_remote
+
+    root = year_drops(spark, sf_dir)
+    empty, manifest = load_remote(spark, root, "csv", createDF="false")
+    assert empty.schema.fields == [] and manifest is not None
+    per_drop = (manifest
+                .withColumn("drop", F.regexp_extract("uri", r"drop_year=(\d+)", 1))
+                .groupBy("drop")
+                .agg(F.max(F.col("error").isNotNull().cast("int")).alias("bad")))
+    return per_drop.agg(F.count(F.lit(1)).alias("n_drops"),
+                        F.count(F.when(F.col("bad") == 0, 1)).alias("n_ok"))

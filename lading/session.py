@@ -90,6 +90,13 @@ def data_files(spark: SparkSession, uri: str) -> list[str]:
     return sorted(out)
 
 
+def subdirs(spark: SparkSession, uri: str) -> list[str]:
+    """Immediate child folders of ``uri`` (visible ones only)."""
+    fs, path = _jvm_path(spark, uri)
+    return sorted(str(st.getPath().toString()) for st in fs.listStatus(path)
+                  if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
+
+
 def set_mtime(spark: SparkSession, uri: str, epoch_ms: int) -> None:
     """Set the modification time of every file under ``uri`` (metadata only)."""
     fs, path = _jvm_path(spark, uri)
