@@ -343,3 +343,132 @@ def stage_only(spark, sf_dir):
                 .agg(F.max(F.col("error").isNotNull().cast("int")).alias("bad")))
     return per_drop.agg(F.count(F.lit(1)).alias("n_drops"),
                         F.count(F.when(F.col("bad") == 0, 1)).alias("n_ok"))
+
+
+# --- steps 7-8: fetch a table of requests ---------------------------------------
+
+def staged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's html saved as its own file; manifest ``(page_id, staged_path, ...)``."""
+    from ..operators import objects
+
+    pages = table(spark, sf_dir, "pages")
+    where = _dir(spark, "pages-files")
+    manifest = objects.write_objects(pages, "page_id", "html", f"{where}/pages", ".html")
+    return objects.materialise(manifest, f"{where}/_manifest")
+
+
+def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.fetch import build_requests, url_of
+
+    staged = staged_pages(spark, sf_dir)
+    return build_requests(staged, "page_id", url_of(F.col("staged_path")))
+
+
+@query("fetch_requests", "SELECT page_id, html FROM pages")
+def fetch_requests_query(spark, sf_dir):
+    """file:// request per page, fetched on the executors, bodies as text."""
+    from ..operators.fetch import fetch_to_staging
+
+    responses = fetch_to_staging(page_requests(spark, sf_dir))
+    return responses.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"))
+
+
+@query("fetch_body_mode", """
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes,
+       CAST(NULL AS VARCHAR) AS body_text
+FROM pages""")
+def fetch_body_mode(spark, sf_dir):
+    """body_mode='bytes' fills body_bytes and leaves body_text null."""
+    from ..operators.fetch import fetch_to_staging
+
+    responses = fetch_to_staging(page_requests(spark, sf_dir), body_mode="bytes")
+    return responses.select(F.col("request_id").alias("page_id"),
+                            F.octet_length("body_bytes").cast("bigint").alias("n_bytes"),
+                            "body_text")
+
+
+@query("fetch_headers", """
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS content_length FROM pages""")
+def fetch_headers(spark, sf_dir):
+    """Request headers travel with each request; response headers come back as a map."""
+    from ..operators.fetch import build_requests, fetch_to_staging, url_of
+
+    staged = staged_pages(spark, sf_dir)
+    requests = build_requests(
+        staged, "page_id", url_of(F.col("staged_path")),
+        headers=F.create_map(F.lit("X-Page-Id"), F.col("page_id").cast("string")))
+    responses = fetch_to_staging(requests)
+    return responses.select(F.col("request_id").alias("page_id"),
+                            F.col("headers")["Content-length"].cast("bigint").alias("content_length"))
+
+
+MISSING_SQL = """
+SELECT page_id, 'present' AS kind, false AS has_error, 1 AS attempts FROM pages
+UNION ALL
+SELECT page_id, 'missing' AS kind, true AS has_error, {attempts} AS attempts FROM pages"""
+
+
+def _present_and_missing(spark, sf_dir, retry_count):
+    from ..operators.fetch import build_requests, fetch_to_staging, url_of
+
+    staged = staged_pages(spark, sf_dir)
+    url = url_of(F.col("staged_path"))
+    kinds = (build_requests(staged, F.struct(F.col("page_id"), F.lit("present").alias("kind")), url)
+             .unionByName(build_requests(
+                 staged, F.struct(F.col("page_id"), F.lit("missing").alias("kind")),
+                 F.concat(url, F.lit(".missing")))))
+    kinds = kinds.withColumn("request_id", F.to_json("request_id"))
+    responses = fetch_to_staging(kinds, retry_count=retry_count, retry_frequency_s=0.0)
+    key = F.from_json("request_id", "page_id bigint, kind string")
+    return responses.select(key["page_id"].alias("page_id"), key["kind"].alias("kind"),
+                            F.col("error").isNotNull().alias("has_error"), "attempts")
+
+
+@query("fetch_errors", MISSING_SQL.format(attempts=1))
+def fetch_errors(spark, sf_dir):
+    """Unreachable objects answer with an error row, never a lost row."""
+    return _present_and_missing(spark, sf_dir, 0)
+
+
+@query("fetch_retry", MISSING_SQL.format(attempts=3))
+def fetch_retry(spark, sf_dir):
+    """retry_count=2: failures are tried three times, successes once."""
+    return _present_and_missing(spark, sf_dir, 2)
+
+
+@query("fetch_post", """
+SELECT conv_id, turn, CASE WHEN length(text) > 0 THEN 'POST' ELSE 'GET' END AS method,
+       text
+FROM conversations""")
+def fetch_post(spark, sf_dir):
+    """A non-empty body makes the request a POST; the body is sent with it."""
+    from ..operators import objects
+    from ..operators.fetch import build_requests, fetch_to_staging, url_of
+
+    conv = table(spark, sf_dir, "conversations").withColumn(
+        "key", F.concat_ws("-", "conv_id", "turn"))
+    where = _dir(spark, "conversation-files")
+    staged = objects.materialise(
+        objects.write_objects(conv, "key", "text", f"{where}/turns", ".txt"), f"{where}/_manifest")
+    requests = build_requests(staged.join(conv, "key"), "key",
+                              url_of(F.col("staged_path")), body=F.col("text"))
+    responses = fetch_to_staging(requests.select("*"))
+    keyed = requests.select(F.col("request_id").alias("key"), "method")
+    out = responses.join(keyed, responses["request_id"] == keyed["key"])
+    parts = F.split("key", "-")
+    return out.select(parts[0].cast("bigint").alias("conv_id"), parts[1].cast("bigint").alias("turn"),
+                      "method", F.col("body_text").alias("text"))
+
+
+@query("responses_to_files", "SELECT page_id, html FROM pages")
+def responses_to_files_query(spark, sf_dir):
+    """Fetched bodies saved one file per request, then scanned back whole."""
+    from ..operators.fetch import fetch_to_staging, responses_to_files
+
+    responses = fetch_to_staging(page_requests(spark, sf_dir))
+    where = _dir(spark, "responses")
+    responses_to_files(responses, where, suffix=".html")
+    back = read_files(spark, where, "txt", wholetext="true")
+    return back.select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.html$", 1).cast("bigint").alias("page_id"),
+        F.col("value").alias("html"))
