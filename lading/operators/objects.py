@@ -85,7 +85,8 @@ def copy_stream(src_uri: str, dst_uri: str) -> int:
 
 
 def write_objects(df: DataFrame, key_col: str, content_col: str, dest_dir: str,
-                  suffix: str = "", parallelism: int | None = None) -> DataFrame:
+                  suffix: str = "", parallelism: int | None = None,
+                  shuffle: bool = True) -> DataFrame:
     """Write each row's ``content_col`` (binary or string) to ``dest_dir/<key><suffix>``.
 
     Returns a lazy manifest ``(key, staged_path, length, error)``; the caller
@@ -121,9 +122,10 @@ def write_objects(df: DataFrame, key_col: str, content_col: str, dest_dir: str,
             yield pd.DataFrame({key_col: keys, "staged_path": paths,
                                 "length": pd.array(lens, dtype="Int64"), "error": errs})
 
-    return (df.select(key_col, content_col)
-              .repartition(n, key_col)
-              .mapInPandas(run, out_schema))
+    rows = df.select(key_col, content_col)
+    if shuffle:
+        rows = rows.repartition(n, key_col)
+    return rows.mapInPandas(run, out_schema)
 
 
 def materialise(df: DataFrame, where: str) -> DataFrame:

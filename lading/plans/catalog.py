@@ -472,3 +472,130 @@ def responses_to_files_query(spark, sf_dir):
     return back.select(
         F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.html$", 1).cast("bigint").alias("page_id"),
         F.col("value").alias("html"))
+
+
+# --- step 9: response bodies to typed columns -----------------------------------
+
+@query("parse_json_body", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def parse_json_body(spark, sf_dir):
+    """JSON bodies parsed JVM-side against a declared schema."""
+    from ..functions.parse import parse_body
+
+    events = table(spark, sf_dir, "events")
+    parsed = parse_body(events, "props", "json", schema="k bigint")
+    return parsed.select("event_id", F.col("parsed.k").alias("k"))
+
+
+@query("parse_json_infer", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def parse_json_infer(spark, sf_dir):
+    """No schema given: it is inferred over every body by a distributed scan."""
+    from ..functions.parse import parse_body
+
+    events = table(spark, sf_dir, "events")
+    parsed = parse_body(events, "props", "json")
+    return parsed.select("event_id", F.col("parsed.k").alias("k"))
+
+
+@query("parse_token", """
+SELECT c_custkey, c_name AS access_token, c_mktsegment AS token_type,
+       CAST(c_nationkey AS VARCHAR) AS expires_in, CAST(c_custkey AS VARCHAR) AS refresh_token
+FROM customer""")
+def parse_token_query(spark, sf_dir):
+    """Token JSON (numeric expires_in) parsed into the four-string token record."""
+    from ..functions.parse import parse_token
+
+    cust = table(spark, sf_dir, "customer")
+    body = F.to_json(F.struct(F.col("c_name").alias("access_token"),
+                              F.col("c_mktsegment").alias("token_type"),
+                              F.col("c_nationkey").alias("expires_in"),
+                              F.col("c_custkey").cast("string").alias("refresh_token")))
+    return cust.select("c_custkey", parse_token(body).alias("t")).select("c_custkey", "t.*")
+
+
+# --- step 10: REST endpoints as a data source -----------------------------------
+
+@query("rest_source", "SELECT * FROM events")
+def rest_source(spark, sf_dir):
+    """Endpoints serving JSON lines, loaded through the data source and parsed."""
+    from ..operators.fetch import url_of
+    from ..operators.objects import listing
+    from ..sources.rest import read_rest
+
+    events = table(spark, sf_dir, "events")
+    served = f"{_dir(spark, 'events-endpoint')}/events"
+    write_files(events, served, "json")
+    urls = [r["url"] for r in listing(spark, served).select(url_of(F.col("path")).alias("url")).collect()]
+    return read_rest(spark, urls, "json", events.schema)
+
+
+@query("rest_source_csv", "SELECT * FROM orders")
+def rest_source_csv(spark, sf_dir):
+    """csv bodies with a header line and custom delimiter, parsed per line."""
+    from ..operators.fetch import url_of
+    from ..operators.objects import listing
+    from ..sources.rest import read_rest
+
+    orders = table(spark, sf_dir, "orders")
+    served = f"{_dir(spark, 'orders-endpoint')}/orders"
+    write_files(orders, served, "csv", delimiter=";")
+    urls = [r["url"] for r in listing(spark, served).select(url_of(F.col("path")).alias("url")).collect()]
+    return read_rest(spark, urls, "csv", orders.schema, delimiter=";")
+
+
+# --- step 11: encrypted drops and deliveries -------------------------------------
+
+def _key_file(spark) -> str:
+    where = f"{_dir(spark, 'key')}/key"
+    spark.createDataFrame([("default=lading-test-key-0123456789abcdef",)], "value string") \
+         .coalesce(1).write.text(where)
+    return where
+
+
+@query("decrypt_scan", "SELECT * FROM documents")
+def decrypt_scan(spark, sf_dir):
+    """An encrypted json drop: decrypted file by file on executors, then scanned."""
+    from ..operators.crypto import encrypt_files, read_encrypted
+
+    docs = table(spark, sf_dir, "documents")
+    key = _key_file(spark)
+    plain = f"{_dir(spark, 'documents-plain')}/documents"
+    write_files(docs, plain, "json")
+    encrypted = f"{_dir(spark, 'documents-enc')}/documents"
+    encrypt_files(spark, plain, encrypted, key, algorithm="AES/GCM/NoPadding")
+    return read_encrypted(spark, encrypted, "json", key, schema=ddl(docs),
+                          algorithm="AES/GCM/NoPadding")
+
+
+@query("sink_encrypt", "SELECT * FROM orders")
+def sink_encrypt(spark, sf_dir):
+    """Encrypted csv delivery (JCE default AES), read back through decryption."""
+    from ..operators.crypto import read_encrypted, write_encrypted
+
+    orders = table(spark, sf_dir, "orders")
+    key = _key_file(spark)
+    target = f"{_dir(spark, 'orders-enc')}/orders"
+    write_encrypted(orders, target, "csv", key, algorithm="AES")
+    return read_encrypted(spark, target, "csv", key, schema=ddl(orders), algorithm="AES")
+
+
+# --- drops that keep arriving (Structured Streaming) ----------------------------
+
+@query("stream_drops", """
+SELECT year(o_orderdate) AS drop_year, count(*) AS n, sum(o_totalprice) AS total
+FROM orders GROUP BY year(o_orderdate)""")
+def stream_drops(spark, sf_dir):
+    """Yearly csv drops read incrementally and delivered as parquet, exactly once."""
+    from ..streaming.drops import deliver_stream, stream_files
+
+    root = year_drops(spark, sf_dir)
+    orders = table(spark, sf_dir, "orders")
+    schema = ddl(orders) + ", drop_year int"
+    stream = stream_files(spark, root, "csv", schema, maxFilesPerTrigger="4")
+    out = f"{_dir(spark, 'orders-stream')}/orders"
+    q = deliver_stream(stream, out, "parquet", partition_by="drop_year")
+    q.awaitTermination()
+    return (read_files(spark, out, "parquet")
+            .groupBy("drop_year")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")))
