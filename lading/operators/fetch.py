@@ -98,6 +98,15 @@ def _retryable(exc: Exception) -> bool:
     return True
 
 
+def build_opener(proxy_host=None, proxy_port=None):
+    """urllib opener, routed through ``proxy_host:proxy_port`` when given."""
+    handlers = []
+    if proxy_host:
+        where = f"{proxy_host}:{proxy_port}" if proxy_port else proxy_host
+        handlers.append(urllib.request.ProxyHandler({"http": where, "https": where}))
+    return urllib.request.build_opener(*handlers)
+
+
 def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_TIMEOUT_MS,
                  read_timeout_ms=READ_TIMEOUT_MS, proxy_host=None, proxy_port=None,
                  auth=None, retry_count=0, retry_frequency_s=1.0, opener=None):
@@ -107,19 +116,12 @@ def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_
     # urllib applies one socket timeout to connect and to every read.
     timeout = max(connect_timeout_ms, read_timeout_ms) / 1000.0
 
-    def build_opener():
-        if opener is not None:
-            return opener
-        handlers = []
-        if proxy_host:
-            where = f"{proxy_host}:{proxy_port}" if proxy_port else proxy_host
-            handlers.append(urllib.request.ProxyHandler({"http": where, "https": where}))
-        return urllib.request.build_opener(*handlers)
-
-    def fetch_one(url, method, headers, body, _state={}):
-        if "opener" not in _state:
-            _state["opener"] = build_opener()
-        op = _state["opener"]
+    state = {}
+
+    def fetch_one(url, method, headers, body):
+        if "opener" not in state:
+            state["opener"] = opener if opener is not None else build_opener(proxy_host, proxy_port)
+        op = state["opener"]
         if not url:
             return (None, None, None, None, "empty url: no request made", 0)
         hdrs = dict(headers or {})

@@ -1,0 +1,117 @@
+import json
+import urllib.error
+import urllib.request
+
+import pytest
+from pyspark.sql import functions as F
+
+from lading.operators.fetch import (build_opener, build_requests, fetch_requests,
+                                    fetch_to_staging, make_fetcher, responses_to_files, url_of)
+from lading.operators.objects import write_bytes
+
+
+def echo_opener(fail_first=0, status=200):
+    """Opener double: echoes what it was asked as the JSON body (no network)."""
+    class Resp:
+        def __init__(self, payload):
+            self._payload = payload
+            self.status = status
+            self.headers = urllib.request.Request("http://x").headers or None
+
+        def read(self):
+            return self._payload
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            return False
+
+    class Opener:
+        calls = {}
+
+        def open(self, req, timeout=None):
+            n = Opener.calls.get(req.full_url, 0) + 1
+            Opener.calls[req.full_url] = n
+            if n <= fail_first:
+                raise urllib.error.URLError("transient")
+            if status >= 400:
+                raise urllib.error.HTTPError(req.full_url, status, "boom", {}, None)
+            echo = {"url": req.full_url, "method": req.get_method(), "timeout": timeout,
+                    "headers": {k.lower(): v for k, v in req.header_items()},
+                    "data": req.data.decode() if req.data else None}
+            return Resp(json.dumps(echo).encode())
+
+    return Opener()
+
+
+def test_request_shape_headers_auth_timeouts():
+    fetch = make_fetcher(opener=echo_opener(), auth={"type": "basic", "username": "u", "password": "p"},
+                         connect_timeout_ms=1000, read_timeout_ms=5000)
+    status, headers, text, raw, err, attempts = fetch("http://h/a", "POST", {"X-A": "1"}, "payload")
+    echo = json.loads(text)
+    assert status == 200 and err is None and attempts == 1 and raw is None
+    assert echo["method"] == "POST" and echo["data"] == "payload" and echo["timeout"] == 5.0
+    assert echo["headers"]["x-a"] == "1" and echo["headers"]["authorization"] == "Basic dTpw"
+
+
+def test_bearer_and_client_auth():
+    fetch = make_fetcher(opener=echo_opener(), auth={"type": "bearer", "token": "t0k"})
+    assert json.loads(fetch("http://h", "GET", None, None)[2])["headers"]["authorization"] == "Bearer t0k"
+    fetch = make_fetcher(opener=echo_opener(), auth={"type": "client", "client_id": "i", "client_key": "k"})
+    assert json.loads(fetch("http://h", "GET", None, None)[2])["headers"]["authorization"] == "Basic aTpr"
+
+
+def test_body_modes():
+    assert make_fetcher("bytes", opener=echo_opener())("http://h", "GET", None, None)[3] is not None
+    status, _, text, raw, err, _ = make_fetcher("other", opener=echo_opener())("http://h", "GET", None, None)
+    assert text is None and raw is None and err is None
+
+
+def test_retry_then_success_and_http_errors():
+    fetch = make_fetcher(opener=echo_opener(fail_first=2), retry_count=3, retry_frequency_s=0)
+    assert fetch("http://h/r", "GET", None, None)[5] == 3
+    fetch = make_fetcher(opener=echo_opener(status=404), retry_count=3, retry_frequency_s=0)
+    status, _, _, _, err, attempts = fetch("http://h/nf", "GET", None, None)
+    assert status == 404 and "HTTPError" in err and attempts == 1        # 4xx is not retried
+    fetch = make_fetcher(opener=echo_opener(status=503), retry_count=2, retry_frequency_s=0)
+    assert fetch("http://h/busy", "GET", None, None)[5] == 3
+    with pytest.raises(RuntimeError):
+        make_fetcher(opener=echo_opener(status=500), on_error="fail")("http://h", "GET", None, None)
+
+
+def test_empty_url_is_an_error_row():
+    assert make_fetcher(opener=echo_opener())("", "GET", None, None)[4].startswith("empty url")
+
+
+def test_proxy_opener():
+    op = build_opener("proxy.local", 3128)
+    proxies = [h for h in op.handlers if isinstance(h, urllib.request.ProxyHandler)]
+    assert proxies and proxies[0].proxies["https"] == "proxy.local:3128"
+
+
+def test_distributed_fetch_with_fake_opener(spark):
+    df = spark.range(40).select(F.col("id").alias("request_id"),
+                                F.concat(F.lit("http://api/items/"), F.col("id")).alias("url"),
+                                F.when(F.col("id") % 2 == 0, F.lit("b")).otherwise(F.lit("")).alias("body"))
+    req = build_requests(df, "request_id", "url", body="body",
+                         headers=F.create_map(F.lit("X-Id"), F.col("request_id").cast("string")))
+    out = fetch_requests(req, opener=echo_opener(), parallelism=4)
+    rows = {r.request_id: json.loads(r.body_text) for r in out.collect()}
+    assert len(rows) == 40
+    assert rows[2]["method"] == "POST" and rows[3]["method"] == "GET"
+    assert rows[7]["headers"]["x-id"] == "7" and rows[7]["url"] == "http://api/items/7"
+
+
+def test_file_urls_saved_responses(spark, workdir):
+    for i in range(3):
+        write_bytes(f"{workdir}/src/{i}.txt", f"body {i}".encode())
+    df = spark.range(4).select(F.col("id").alias("request_id"),
+                               url_of(F.concat(F.lit(f"{workdir}/src/"), F.col("id"), F.lit(".txt"))).alias("url"))
+    responses = fetch_to_staging(build_requests(df, "request_id", "url"))
+    got = {r.request_id: (r.body_text, r.error) for r in responses.collect()}
+    assert got[1] == ("body 1", None) and got[3][0] is None and "URLError" in got[3][1]
+    manifest = responses_to_files(responses, f"{workdir}/saved", suffix=".txt")
+    assert manifest.count() == 3
+    back = spark.read.text(f"{workdir}/saved", wholetext=True).collect()
+    assert sorted(r.value for r in back) == ["body 0", "body 1", "body 2"]
