@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import session
-from ..sources import formats
 
 # The token record's fields, all strings.
 TOKEN_SCHEMA = T.StructType([
@@ -34,11 +33,9 @@ def infer_json_schema(df: DataFrame, body_col: str = "body_text", **options) ->
 
 
 def json_body(body: Column | str, schema, **options) -> Column:
-    """``from_json`` with the connector's lossless timestamp pattern."""
+    """``from_json`` (JVM-side); ``options`` are Spark's JSON options."""
     col = F.col(body) if isinstance(body, str) else body
-    opts = {"timestampNTZFormat": formats.TS_NTZ_FORMAT}
-    opts.update({k: str(v) for k, v in options.items()})
-    return F.from_json(col, schema, opts)
+    return F.from_json(col, schema, {k: str(v) for k, v in options.items()})
 
 
 def parse_body(df: DataFrame, body_col: str = "body_text", object_type: str = "json",

@@ -76,6 +76,9 @@ def _write_single(df, path, ft, mode, opts, max_bytes) -> DataFrame:
         session.delete(spark, path)
     parent, name = path.rstrip("/").rsplit("/", 1)
     tmp = f"{parent}/.{name}-{uuid.uuid4().hex}"
+    # one file means no per-file row cap
+    opts = {k: v for k, v in opts.items() if k.lower() != "maxrecordsperfile"}
+    opts["maxRecordsPerFile"] = "0"
     # repartition(1), not coalesce(1): the upstream plan keeps its parallelism
     # and only the final rows meet in one writer task.
     formats.save_with(df.repartition(1).write.mode("overwrite").options(**opts), ft, tmp)

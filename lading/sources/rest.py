@@ -125,7 +125,7 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
         if ft == "txt":
             return lines.filter(F.col("line") != "").select(F.col("line").alias("value"))
         if ft == "json":
-            parsed = F.from_json("line", schema, {"timestampNTZFormat": formats.TS_NTZ_FORMAT})
+            parsed = F.from_json("line", schema)
             return lines.filter(F.trim("line") != "").select(parsed.alias("r")).select("r.*")
         header = formats.flag(norm, "header", formats.CONNECTOR_DEFAULTS["header"])
         sep = formats.get(norm, "delimiter", formats.CONNECTOR_DEFAULTS["delimiter"])
@@ -133,7 +133,7 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
             lines = lines.filter(F.col("pos") > 0)
         ddl = schema if isinstance(schema, str) else ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        parsed = F.from_csv("line", ddl, {"sep": sep, "timestampNTZFormat": formats.TS_NTZ_FORMAT})
+        parsed = F.from_csv("line", ddl, {"sep": sep})
         return lines.filter(F.col("line") != "").select(parsed.alias("r")).select("r.*")
     # other file types: one staged file per response, then the native scan
     from ..operators.fetch import responses_to_files

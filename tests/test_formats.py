@@ -26,7 +26,7 @@ def test_reader_defaults_follow_the_connector():
 def test_connector_keys_never_reach_spark():
     opts = formats.read_options("json", {"fileType": "json", "cryptoKey": "k", "password": "p",
                                          "copyLatest": "true", "multiLine": "true"})
-    assert set(opts) == {"timestampNTZFormat", "multiLine"}
+    assert set(opts) == {"multiLine"}
 
 
 def test_staging_aliases():

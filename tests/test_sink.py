@@ -83,3 +83,14 @@ def test_text_sink_rejects_non_string(spark, workdir):
         write_files(spark.range(3), f"{workdir}/t", "txt")
     write_files(spark.range(3).select(F.col("id").cast("string")), f"{workdir}/t2", "txt")
     assert sorted(r.value for r in read_files(spark, f"{workdir}/t2", "txt").collect()) == ["0", "1", "2"]
+
+
+def test_xml_files_bounded_but_single_file_whole(spark, workdir):
+    from lading.sources import formats
+
+    src = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").coalesce(1)
+    write_files(src, f"{workdir}/x", "xml", rowTag="r", maxRecordsPerFile="1000")
+    assert len(session.data_files(spark, f"{workdir}/x")) == 6
+    assert formats.write_options("xml", {})["maxRecordsPerFile"] == str(formats.XML_ROWS_PER_FILE)
+    write_files(src, f"{workdir}/one.xml", "xml", single_file=True, rowTag="r", maxRecordsPerFile="1000")
+    assert same_rows(src, read_files(spark, f"{workdir}/one.xml", "xml", schema=ddl(src), rowTag="r"))
