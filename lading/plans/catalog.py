@@ -107,7 +107,7 @@ WRITE_TYPES = ("csv", "json", "xml", "avro", "parquet")
 
 
 @query("write_dispatch", "\nUNION ALL\n".join(
-    f"SELECT '{ft}' AS file_type, count(*) AS n, sum(p_size) AS sum_size, "
+    f"SELECT '{ft}' AS file_type, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS sum_size, "
     f"sum(p_retailprice) AS sum_price, count(DISTINCT p_brand) AS n_brands FROM part"
     for ft in WRITE_TYPES))
 def write_dispatch(spark, sf_dir):
@@ -583,7 +583,8 @@ def sink_encrypt(spark, sf_dir):
 # --- drops that keep arriving (Structured Streaming) ----------------------------
 
 @query("stream_drops", """
-SELECT year(o_orderdate) AS drop_year, count(*) AS n, sum(o_totalprice) AS total
+SELECT CAST(year(o_orderdate) AS INTEGER) AS drop_year, count(*) AS n,
+       sum(o_totalprice) AS total
 FROM orders GROUP BY year(o_orderdate)""")
 def stream_drops(spark, sf_dir):
     """Yearly csv drops read incrementally and delivered as parquet, exactly once."""
@@ -599,3 +600,40 @@ def stream_drops(spark, sf_dir):
     return (read_files(spark, out, "parquet")
             .groupBy("drop_year")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")))
+
+
+# --- request configuration: credentials, proxy, timeouts -------------------------
+
+def _assert_secret_absent(df: DataFrame, secret: str) -> None:
+    plan = df._jdf.queryExecution().toString()
+    if secret in plan or any(secret in str(f) for f in df.schema.fields):
+        raise AssertionError("a credential leaked into the plan or the schema")
+
+
+@query("fetch_auth", "SELECT page_id, html FROM pages")
+def fetch_auth(spark, sf_dir):
+    """Basic-auth requests: the header is built inside the task, never in plan or columns.
+
+    (file:// URLs ignore the Authorization header; header content is unit-tested
+    against an opener double.)
+    """
+    from ..operators.fetch import fetch_requests, fetch_to_staging
+
+    secret = "s3cr3t-" + session.new_staging_dir(spark, "x")[-8:]
+    auth = {"type": "basic", "username": "reader", "password": secret}
+    requests = page_requests(spark, sf_dir)
+    _assert_secret_absent(fetch_requests(requests, auth=auth), secret)
+    responses = fetch_to_staging(requests, auth=auth)
+    _assert_secret_absent(responses, secret)
+    return responses.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"))
+
+
+@query("fetch_config", "SELECT page_id, html FROM pages")
+def fetch_config(spark, sf_dir):
+    """Proxy and timeouts set explicitly (file:// is never proxied); bodies arrive whole."""
+    from ..operators.fetch import fetch_to_staging
+
+    responses = fetch_to_staging(page_requests(spark, sf_dir), proxy_host="proxy.invalid",
+                                 proxy_port=3128, connect_timeout_ms=2000,
+                                 read_timeout_ms=10000, threads=4, parallelism=4)
+    return responses.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"))

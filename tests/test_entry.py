@@ -49,5 +49,6 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(entry.oracle_sql()[name])
     want = check.canon([d[0] for d in res.description], res.fetchall())
     assert got[0] == want[0]
+    assert check.type_mismatches(df.schema, res.description) == {}
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
