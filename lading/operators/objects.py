@@ -29,6 +29,14 @@ MANIFEST_SCHEMA = T.StructType([
 ])
 
 
+# Schemes pyarrow.fs can open directly from a task.
+ARROW_SCHEMES = ("", "file", "hdfs", "viewfs", "s3", "s3a", "s3n", "gs", "gcs", "abfs", "abfss")
+
+
+def streamable(uris) -> bool:
+    return all(urlparse(u).scheme.lower() in ARROW_SCHEMES for u in uris)
+
+
 def arrow_location(uri: str):
     """(pyarrow FileSystem, path) for a Hadoop-style URI."""
     import pyarrow.fs as pafs
@@ -185,5 +193,27 @@ def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
                  .mapInPandas(run, MANIFEST_SCHEMA))
 
 
+def copy_files_via_spark(spark, files: DataFrame, roots: list[str], dest_dir: str) -> DataFrame:
+    """Copy listed files whose scheme only Hadoop reads: ``binaryFile`` content.
+
+    Each object is held in memory once (binaryFile's per-file limit applies),
+    so this path is for sources pyarrow cannot open.
+    """
+    qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots}, key=len, reverse=True)
+    content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load([r for r in qroots]).select("path", "modificationTime", "content")
+               .join(files.select("path"), "path", "left_semi"))
+    rel = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
+    for root in qroots:
+        rel = F.when(F.col("path").startswith(root + "/"),
+                     F.expr(f"substr(path, {len(root) + 2})")).otherwise(rel)
+    named = content.withColumn("name", rel)
+    written = write_objects(named, "name", "content", dest_dir, shuffle=False)
+    meta = named.select("name", F.col("path").alias("uri"),
+                        F.col("modificationTime").alias("modification_time"))
+    return (written.join(meta, "name")
+                   .select("uri", "staged_path", "length", "modification_time", "error"))
+
+
 def failed(manifest: DataFrame) -> DataFrame:
     return manifest.filter(F.col("error").isNotNull())

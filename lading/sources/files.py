@@ -44,7 +44,7 @@ def newest(listing: DataFrame, by: str = "file") -> DataFrame:
             F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
     if by == "directory":
         drops = (listing
-                 .withColumn("drop", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
+                 .withColumn("drop", _parent(F.col("path")))
                  .groupBy("drop")
                  .agg(F.max("modificationTime").alias("modificationTime")))
         return drops.agg(
@@ -78,16 +78,24 @@ def stage_files(spark: SparkSession, uris, staging_dir: str | None = None,
     files = objects.listing(spark, roots)
     if latest:
         pick = newest(files, latest_by).withColumnRenamed("path", "pick")
-        if latest_by == "file":
-            cond = files["path"] == pick["pick"]
-        else:
-            cond = files["path"].startswith(F.concat(pick["pick"], F.lit("/")))
-        # one-row side of a global aggregate: its size is bounded by construction
-        files = files.join(F.broadcast(pick), cond, "left_semi")
-    manifest = objects.copy_files(files, roots, f"{target}/data", parallelism)
+        unit = F.col("path") if latest_by == "file" else _parent(F.col("path"))
+        # equi-join against the one-row result of a global aggregate: a
+        # broadcast whose size is bounded by construction
+        files = (files.withColumn("unit", unit)
+                      .join(F.broadcast(pick), F.col("unit") == F.col("pick"), "left_semi")
+                      .drop("unit"))
+    if objects.streamable(roots) and objects.streamable([target]):
+        manifest = objects.copy_files(files, roots, f"{target}/data", parallelism)
+    else:
+        # schemes only Hadoop can read (e.g. sftp): content via binaryFile
+        manifest = objects.copy_files_via_spark(spark, files, roots, f"{target}/data")
     return objects.materialise(manifest, f"{target}/_manifest")
 
 
+def _parent(path):
+    return F.regexp_extract(path, r"^(.*)/[^/]+$", 1)
+
+
 def load_remote(spark: SparkSession, path, file_type: str, schema=None, **options):
     """The connector's read lifecycle as one call.
 
@@ -119,8 +127,6 @@ def load_remote(spark: SparkSession, path, file_type: str, schema=None, **option
     elif latest:
         source = latest_file(spark, path, latest_by)
     if not create_df:
-        if isinstance(schema, str):
-            schema = T._parse_datatype_string(schema)
         return spark.createDataFrame([], schema or T.StructType([])), manifest
     return read_files(spark, source, ft, schema, **opts), manifest
 

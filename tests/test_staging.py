@@ -55,3 +55,15 @@ def test_create_df_false_returns_empty_frame(spark, workdir):
 
 def test_staging_root_prefers_session_setting(spark):
     assert session.staging_root(spark) == spark.conf.get("lading.staging.dir").rstrip("/")
+
+
+def test_hadoop_only_copy_path(spark, workdir):
+    from lading.operators.objects import copy_files_via_spark, listing, streamable
+
+    assert streamable(["file:/x", "/y", "s3a://b/k"]) and not streamable(["sftp://h/p"])
+    write_bytes(f"{workdir}/src/a/1.txt", b"one")
+    write_bytes(f"{workdir}/src/b/2.txt", b"two")
+    files = listing(spark, f"{workdir}/src").filter(F.col("path").endswith("1.txt"))
+    m = copy_files_via_spark(spark, files, [f"{workdir}/src"], f"{workdir}/dst").collect()
+    assert len(m) == 1 and m[0].staged_path.endswith("/dst/a/1.txt") and m[0].length == 3
+    assert spark.read.text(f"{workdir}/dst/a/1.txt").first().value == "one"
