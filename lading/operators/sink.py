@@ -118,8 +118,10 @@ class Writer:
         return self
 
     def save(self, path=None) -> DataFrame:
+        from ..sources.remote import resolve
+
         opts = formats.normalise(self._options)
-        path = path or formats.get(opts, "path")
+        path = resolve(self._df.sparkSession, path or formats.get(opts, "path"), opts)
         ft = formats.get(opts, "fileType")
         single = formats.flag(opts, "singleFile")
         rest = {k: v for k, v in opts.items()

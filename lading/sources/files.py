@@ -156,8 +156,11 @@ class Reader:
         return self
 
     def load(self, path=None) -> DataFrame:
+        from .remote import resolve
+
         path = path or formats.get(self._options, "path")
         opts = {k: v for k, v in self._options.items() if k.lower() != "path"}
+        path = resolve(self._spark, path, opts)
         ft = formats.get(opts, "fileType")
         df, self.manifest = load_remote(self._spark, path, ft, self._schema, **opts)
         return df

@@ -46,7 +46,7 @@ CONNECTOR_KEYS = {
     "filetype", "createdf", "copylatest", "templocation", "hdfstemplocation",
     "staginglocation", "cryptokey", "cryptoalgorithm", "cryptokeyfile",
     "cryptokeyid", "host", "port", "username", "password", "pem",
-    "pempassphrase", "stage", "latestby",
+    "pempassphrase", "stage", "latestby", "protocol", "singlefile",
 }
 
 _SPARK_FORMAT = {

@@ -48,3 +48,27 @@ def test_errors(spark, workdir):
         write_files(spark.range(1), workdir, "orc")
     with pytest.raises(ValueError, match="save mode"):
         write_files(spark.range(1), workdir, "json", mode="upsert")
+
+
+def test_remote_uri_and_login_settings():
+    from lading.sources.remote import hadoop_settings, remote_uri
+
+    opts = {"host": "files.example", "username": "u", "password": "pw", "pem": "/k.pem"}
+    assert remote_uri("/drops/x.csv", opts) == "sftp://u@files.example:22/drops/x.csv"
+    assert remote_uri("/a", {"host": "h", "port": "2222", "protocol": "ftp"}) == "ftp://h:2222/a"
+    assert remote_uri("hdfs:///a", opts) == "hdfs:///a"
+    assert remote_uri("/a", {}) == "/a"
+    conf = hadoop_settings(opts)
+    assert conf["fs.sftp.password.files.example.u"] == "pw" and conf["fs.sftp.keyfile"] == "/k.pem"
+    assert "pw" not in remote_uri("/drops/x.csv", opts)
+
+
+def test_enforce_schema_false_rejects_misordered_header(spark, workdir):
+    import pytest
+    from lading.operators.objects import write_bytes
+
+    write_bytes(f"{workdir}/s.csv", b"b,a\n1,2\n")
+    ok = read_files(spark, f"{workdir}/s.csv", "csv", schema="a int, b int")
+    assert ok.first().a == 1                    # positional: silently shifted
+    with pytest.raises(Exception):
+        read_files(spark, f"{workdir}/s.csv", "csv", schema="a int, b int", enforceSchema="false").collect()
