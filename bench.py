@@ -166,6 +166,7 @@ def main():
         "cpus": CPUS,
         "runs": RUNS,
     }
+    lsession.delete(spark, base)   # the bench's own scratch folder only
     spark.stop()
     print(json.dumps(out))
 
