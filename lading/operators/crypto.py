@@ -2,8 +2,10 @@
 
 Whole files are encrypted or decrypted with Spark's ``aes_encrypt`` /
 ``aes_decrypt`` on the executors.  The key is never a literal in the plan: it
-is read from a key file into a small ``(key_id, key)`` table and joined in by
-``key_id`` (a broadcast of one row per key, so its size is bounded).
+is read from a key file into a small ``(key_id, key)`` table, and the chosen
+key enters the expression as a scalar subquery -- evaluated once, exactly one
+value (a duplicated key id is an error), and shown in plans only as
+``Subquery``, never by value.
 """
 
 from __future__ import annotations
@@ -51,17 +53,15 @@ def _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, encrypt: b
     mode, padding = mode_of(algorithm)
     src = session.qualify(spark, src_uri).rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src)
-             .select("path", "content")
-             .withColumn("key_id", F.lit(key_id)))
-    keys = F.broadcast(key_table(spark, key_file))
-    joined = files.join(keys, "key_id")
+             .select("path", "content"))
+    key = key_table(spark, key_file).filter(F.col("key_id") == key_id).select("key").scalar()
     fn = F.aes_encrypt if encrypt else F.aes_decrypt
     rel = F.expr("substr(path, {})".format(len(src) + 2))
     if suffix_from:
         rel = F.regexp_replace(rel, re.escape(suffix_from) + "$", "")
-    out = joined.select(
+    out = files.select(
         F.concat(rel, F.lit(suffix_to)).alias("name"),
-        fn(F.col("content"), F.col("key"), F.lit(mode), F.lit(padding)).alias("payload"))
+        fn(F.col("content"), key, F.lit(mode), F.lit(padding)).alias("payload"))
     # binaryFile already spreads files over tasks: no shuffle of the payloads
     manifest = objects.write_objects(out, "name", "payload", dest_dir, shuffle=False)
     return objects.materialise(manifest, f"{dest_dir.rstrip('/')}/_manifest")

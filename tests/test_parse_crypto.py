@@ -60,3 +60,20 @@ def test_decrypt_only(spark, workdir):
     m = decrypt_files(spark, f"{workdir}/e", f"{workdir}/d", f"{workdir}/key")
     assert m.first().staged_path.endswith("/one.txt")
     assert spark.read.text(f"{workdir}/d").first().value == "hello"
+
+
+def test_key_stays_out_of_the_plan_and_duplicates_fail(spark, workdir):
+    import pytest
+    from pyspark.sql import functions as F
+
+    write_bytes(f"{workdir}/key", KEY.encode())
+    files = spark.read.format("binaryFile").load(f"{workdir}/key")
+    key = key_table(spark, f"{workdir}/key").filter(F.col("key_id") == "default").select("key").scalar()
+    enc = files.select(F.aes_encrypt("content", key).alias("e"))
+    enc.collect()
+    assert KEY not in enc._jdf.queryExecution().toString()
+    assert "BroadcastNestedLoopJoin" not in enc._jdf.queryExecution().toString()
+    write_bytes(f"{workdir}/dup", f"a={KEY}\na={KEY}\n".encode())
+    write_bytes(f"{workdir}/p/x.txt", b"x")
+    with pytest.raises(Exception):
+        encrypt_files(spark, f"{workdir}/p", f"{workdir}/e", f"{workdir}/dup", key_id="a")
