@@ -63,7 +63,7 @@ def _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, encrypt: b
         F.concat(rel, F.lit(suffix_to)).alias("name"),
         fn(F.col("content"), key, F.lit(mode), F.lit(padding)).alias("payload"))
     # binaryFile already spreads files over tasks: no shuffle of the payloads
-    manifest = objects.write_objects(out, "name", "payload", dest_dir, shuffle=False)
+    manifest = objects.write_objects(out, "name", "payload", dest_dir)
     return objects.materialise(manifest, f"{dest_dir.rstrip('/')}/_manifest")
 
 

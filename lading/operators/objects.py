@@ -93,10 +93,11 @@ def copy_stream(src_uri: str, dst_uri: str) -> int:
 
 
 def write_objects(df: DataFrame, key_col: str, content_col: str, dest_dir: str,
-                  suffix: str = "", parallelism: int | None = None,
-                  shuffle: bool = True) -> DataFrame:
+                  suffix: str = "", parallelism: int | None = None) -> DataFrame:
     """Write each row's ``content_col`` (binary or string) to ``dest_dir/<key><suffix>``.
 
+    Objects are written where their rows already are (no shuffle of payloads);
+    ``parallelism`` re-spreads them by a hash of their unique key first.
     Returns a lazy manifest ``(key, staged_path, length, error)``; the caller
     materialises it (``materialise``) so the files exist exactly once.
     """
@@ -109,7 +110,6 @@ def write_objects(df: DataFrame, key_col: str, content_col: str, dest_dir: str,
         T.StructField("length", T.LongType()),
         T.StructField("error", T.StringType()),
     ])
-    n = parallelism or spark.sparkContext.defaultParallelism
 
     def run(batches):
         for pdf in batches:
@@ -131,8 +131,8 @@ def write_objects(df: DataFrame, key_col: str, content_col: str, dest_dir: str,
                                 "length": pd.array(lens, dtype="Int64"), "error": errs})
 
     rows = df.select(key_col, content_col)
-    if shuffle:
-        rows = rows.repartition(n, key_col)
+    if parallelism:
+        rows = rows.repartition(parallelism, key_col)
     return rows.mapInPandas(run, out_schema)
 
 
@@ -208,7 +208,7 @@ def copy_files_via_spark(spark, files: DataFrame, roots: list[str], dest_dir: st
         rel = F.when(F.col("path").startswith(root + "/"),
                      F.expr(f"substr(path, {len(root) + 2})")).otherwise(rel)
     named = content.withColumn("name", rel)
-    written = write_objects(named, "name", "content", dest_dir, shuffle=False)
+    written = write_objects(named, "name", "content", dest_dir)
     meta = named.select("name", F.col("path").alias("uri"),
                         F.col("modificationTime").alias("modification_time"))
     return (written.join(meta, "name")
