@@ -93,10 +93,48 @@ def _write_single(df, path, ft, mode, opts, max_bytes) -> DataFrame:
     return objects.listing(spark, path)
 
 
+def deliver(df: DataFrame, target: str, file_type: str, mode: str = "errorifexists",
+            single_file: bool = False, staging_dir: str | None = None, **options) -> DataFrame:
+    """Write into staging first, then copy the finished files to ``target``.
+
+    For targets without a cheap atomic rename (object stores, SFTP): Spark's
+    commit protocol runs on the staging filesystem, and the target only ever
+    receives complete files, copied by executor tasks.  Returns the
+    materialised copy manifest ``(uri, staged_path, length, modification_time,
+    error)`` where ``staged_path`` is the delivered file.
+    """
+    spark = df.sparkSession
+    mode = (mode or "errorifexists").lower()
+    if session.exists(spark, target):
+        if mode in ("error", "errorifexists"):
+            raise FileExistsError(f"path {target} already exists")
+        if mode == "ignore":
+            return objects.listing(spark, target)
+        if mode == "overwrite":
+            session.delete(spark, target)
+    work = staging_dir or session.new_staging_dir(spark, "deliver")
+    name = target.rstrip("/").rsplit("/", 1)[1]
+    staged = f"{work}/out/{name}"
+    write_files(df, staged, file_type, mode="overwrite", single_file=single_file, **options)
+    files = objects.listing(spark, staged)
+    if single_file:
+        dest = target.rstrip("/").rsplit("/", 1)[0]
+        roots = [f"{work}/out"]
+    else:
+        dest, roots = target, [staged]
+    manifest = objects.materialise(objects.copy_files(files, roots, dest), f"{work}/_manifest")
+    bad = objects.failed(manifest).count()
+    if bad:
+        raise RuntimeError(f"{bad} files failed to deliver to {target}; staged copy kept at {staged}")
+    return manifest
+
+
 class Writer:
     """Option-builder mirroring ``df.write.format(..).option(..).mode(..).save(path)``.
 
-    ``singleFile=true`` delivers one file, as the connector does.
+    ``singleFile=true`` delivers one file, as the connector does;
+    ``stage=true`` or a ``tempLocation``/``hdfsTempLocation``/``stagingLocation``
+    writes there first and then copies the files to the target (``deliver``).
     """
 
     def __init__(self, df: DataFrame):
@@ -126,7 +164,13 @@ class Writer:
         single = formats.flag(opts, "singleFile")
         rest = {k: v for k, v in opts.items()
                 if k.lower() not in ("path", "filetype", "singlefile")}
-        self.manifest = write_files(self._df, path, ft, self._mode, single_file=single, **rest)
+        staging = formats.get(opts, "stagingLocation")
+        if formats.flag(opts, "stage") or staging is not None:
+            work = session.new_staging_dir(self._df.sparkSession, "deliver", root=staging)
+            self.manifest = deliver(self._df, path, ft, self._mode, single_file=single,
+                                    staging_dir=work, **rest)
+        else:
+            self.manifest = write_files(self._df, path, ft, self._mode, single_file=single, **rest)
         return self.manifest
 
 

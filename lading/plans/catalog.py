@@ -261,6 +261,19 @@ def sink_save_mode(spark, sf_dir):
     return out
 
 
+@query("sink_deliver_staged", "SELECT * FROM supplier")
+def sink_deliver_staged(spark, sf_dir):
+    """Write to a temp location first, then upload one finished file to the target."""
+    from ..operators.sink import Writer
+
+    src = table(spark, sf_dir, "supplier")
+    target = f"{_dir(spark, 'deliver-staged')}/supplier.csv"
+    temp = _dir(spark, "deliver-temp")
+    (Writer(src).option("fileType", "csv").option("singleFile", "true")
+     .option("tempLocation", temp).save(target))
+    return read_files(spark, target, "csv", schema=ddl(src))
+
+
 @query("sink_deliver", "SELECT * FROM supplier")
 def sink_deliver(spark, sf_dir):
     """Option-builder delivery to a target URI, read back from the target."""

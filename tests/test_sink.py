@@ -94,3 +94,18 @@ def test_xml_files_bounded_but_single_file_whole(spark, workdir):
     assert formats.write_options("xml", {})["maxRecordsPerFile"] == str(formats.XML_ROWS_PER_FILE)
     write_files(src, f"{workdir}/one.xml", "xml", single_file=True, rowTag="r", maxRecordsPerFile="1000")
     assert same_rows(src, read_files(spark, f"{workdir}/one.xml", "xml", schema=ddl(src), rowTag="r"))
+
+
+def test_staged_delivery(spark, workdir):
+    from lading.operators.sink import deliver
+
+    src = spark.read.parquet(f"{SF_SMALL}/orders.parquet").repartition(3)
+    m = deliver(src, f"{workdir}/target/orders", "json")
+    assert m.count() == 3 and m.filter("error IS NOT NULL").count() == 0
+    assert same_rows(src, read_files(spark, f"{workdir}/target/orders", "json", schema=ddl(src)))
+    with pytest.raises(FileExistsError):
+        deliver(src, f"{workdir}/target/orders", "json")
+    m = (Writer(src).option("fileType", "parquet").option("singleFile", "true")
+         .option("tempLocation", f"{workdir}/tmp").mode("overwrite").save(f"{workdir}/target/o.parquet"))
+    assert [r.staged_path.rsplit("/", 1)[1] for r in m.collect()] == ["o.parquet"]
+    assert same_rows(src, read_files(spark, f"{workdir}/target/o.parquet", "parquet"))
