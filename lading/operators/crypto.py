@@ -48,13 +48,29 @@ def key_table(spark: SparkSession, key_file: str) -> DataFrame:
     )
 
 
+def key_column(spark: SparkSession, key_file: str | None = None, key_id: str = "default",
+               key: str | None = None):
+    """The AES key as a scalar-subquery column (never a literal in the plan).
+
+    From ``key_file`` (selected by ``key_id``) or, as the connector's
+    ``cryptoKey`` option does, from the key text itself.
+    """
+    if key is not None:
+        frame = spark.createDataFrame([(key,)], "key string").select(F.col("key").cast("binary"))
+    elif key_file is not None:
+        frame = key_table(spark, key_file).filter(F.col("key_id") == key_id).select("key")
+    else:
+        raise ValueError("an AES key is needed: cryptoKeyFile or cryptoKey")
+    return frame.scalar()
+
+
 def _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, encrypt: bool,
-               suffix_from: str = "", suffix_to: str = "") -> DataFrame:
+               suffix_from: str = "", suffix_to: str = "", key: str | None = None) -> DataFrame:
     mode, padding = mode_of(algorithm)
     src = session.qualify(spark, src_uri).rstrip("/")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src)
              .select("path", "content"))
-    key = key_table(spark, key_file).filter(F.col("key_id") == key_id).select("key").scalar()
+    key = key_column(spark, key_file, key_id, key)
     fn = F.aes_encrypt if encrypt else F.aes_decrypt
     rel = F.expr("substr(path, {})".format(len(src) + 2))
     if suffix_from:
@@ -67,18 +83,21 @@ def _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, encrypt: b
     return objects.materialise(manifest, f"{dest_dir.rstrip('/')}/_manifest")
 
 
-def encrypt_files(spark, src_uri, dest_dir, key_file, key_id="default", algorithm=None) -> DataFrame:
+def encrypt_files(spark, src_uri, dest_dir, key_file=None, key_id="default", algorithm=None,
+                  key=None) -> DataFrame:
     """Encrypt every file under ``src_uri`` into ``dest_dir/<name>.enc``; returns the manifest."""
-    return _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, True, "", ".enc")
+    return _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, True, "", ".enc", key)
 
 
-def decrypt_files(spark, src_uri, dest_dir, key_file, key_id="default", algorithm=None) -> DataFrame:
+def decrypt_files(spark, src_uri, dest_dir, key_file=None, key_id="default", algorithm=None,
+                  key=None) -> DataFrame:
     """Decrypt every file under ``src_uri`` into ``dest_dir`` (drops ``.enc``); returns the manifest."""
-    return _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, False, ".enc", "")
+    return _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, False, ".enc", "", key)
 
 
-def write_encrypted(df: DataFrame, path: str, file_type: str, key_file: str, key_id: str = "default",
-                    algorithm: str | None = None, **options) -> DataFrame:
+def write_encrypted(df: DataFrame, path: str, file_type: str, key_file: str | None = None,
+                    key_id: str = "default", algorithm: str | None = None,
+                    key: str | None = None, **options) -> DataFrame:
     """Deliver ``df`` encrypted: written in parallel to staging, encrypted file by file into ``path``.
 
     The plaintext staging folder is removed once the encrypted copy is complete.
@@ -86,7 +105,7 @@ def write_encrypted(df: DataFrame, path: str, file_type: str, key_file: str, key
     spark = df.sparkSession
     plain = f"{session.new_staging_dir(spark, 'plain')}/data"
     write_files(df, plain, file_type, mode="overwrite", **options)
-    manifest = encrypt_files(spark, plain, path, key_file, key_id, algorithm)
+    manifest = encrypt_files(spark, plain, path, key_file, key_id, algorithm, key)
     bad = objects.failed(manifest).count()
     if bad:
         raise RuntimeError(f"{bad} files failed to encrypt; plaintext kept at {plain}")
@@ -94,12 +113,12 @@ def write_encrypted(df: DataFrame, path: str, file_type: str, key_file: str, key
     return manifest
 
 
-def read_encrypted(spark: SparkSession, path: str, file_type: str, key_file: str,
+def read_encrypted(spark: SparkSession, path: str, file_type: str, key_file: str | None = None,
                    schema=None, key_id: str = "default", algorithm: str | None = None,
-                   **options) -> DataFrame:
+                   key: str | None = None, **options) -> DataFrame:
     """Decrypt an encrypted drop into staging and scan it with the native reader."""
     plain = f"{session.new_staging_dir(spark, 'decrypted')}/data"
-    manifest = decrypt_files(spark, path, plain, key_file, key_id, algorithm)
+    manifest = decrypt_files(spark, path, plain, key_file, key_id, algorithm, key)
     bad = objects.failed(manifest).count()
     if bad:
         raise RuntimeError(f"{bad} files failed to decrypt under {path}")

@@ -165,7 +165,16 @@ class Writer:
         rest = {k: v for k, v in opts.items()
                 if k.lower() not in ("path", "filetype", "singlefile")}
         staging = formats.get(opts, "stagingLocation")
-        if formats.flag(opts, "stage") or staging is not None:
+        key, key_file = formats.get(opts, "cryptoKey"), formats.get(opts, "cryptoKeyFile")
+        if key is not None or key_file is not None:
+            from .crypto import write_encrypted
+
+            if self._mode in ("error", "errorifexists") and session.exists(self._df.sparkSession, path):
+                raise FileExistsError(f"path {path} already exists")
+            self.manifest = write_encrypted(
+                self._df, path, ft, key_file, key_id=formats.get(opts, "cryptoKeyId", "default"),
+                algorithm=formats.get(opts, "cryptoAlgorithm"), key=key, **rest)
+        elif formats.flag(opts, "stage") or staging is not None:
             work = session.new_staging_dir(self._df.sparkSession, "deliver", root=staging)
             self.manifest = deliver(self._df, path, ft, self._mode, single_file=single,
                                     staging_dir=work, **rest)

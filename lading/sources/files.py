@@ -106,6 +106,8 @@ def load_remote(spark: SparkSession, path, file_type: str, schema=None, **option
       before reading; otherwise ``path`` is scanned directly.
     * ``createDF=false``: returns an empty DataFrame with the declared schema
       (empty schema if none) -- the fetch-only contract.
+    * ``cryptoKey`` / ``cryptoKeyFile`` (+ ``cryptoKeyId``, ``cryptoAlgorithm``):
+      the objects are encrypted; they are decrypted into staging, then scanned.
 
     Returns ``(DataFrame, manifest or None)``.
     """
@@ -128,6 +130,14 @@ def load_remote(spark: SparkSession, path, file_type: str, schema=None, **option
         source = latest_file(spark, path, latest_by)
     if not create_df:
         return spark.createDataFrame([], schema or T.StructType([])), manifest
+    key, key_file = formats.get(opts, "cryptoKey"), formats.get(opts, "cryptoKeyFile")
+    if key is not None or key_file is not None:
+        from ..operators.crypto import read_encrypted
+
+        return read_encrypted(spark, source, ft, key_file, schema,
+                              key_id=formats.get(opts, "cryptoKeyId", "default"),
+                              algorithm=formats.get(opts, "cryptoAlgorithm"), key=key,
+                              **opts), manifest
     return read_files(spark, source, ft, schema, **opts), manifest
 
 

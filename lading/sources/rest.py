@@ -93,6 +93,10 @@ class RestDataSource(DataSource):
         return RESPONSE_SCHEMA
 
     def reader(self, schema):
+        if schema is not None and schema != RESPONSE_SCHEMA:
+            raise ValueError(
+                f"{SOURCE_NAME} returns response rows {RESPONSE_SCHEMA.simpleString()}; "
+                "to parse bodies into a schema use lading.sources.rest.read_rest")
         return RestReader({k.lower(): v for k, v in self.options.items()})
 
 
@@ -120,7 +124,7 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
     ft = formats.file_type(file_type)
     ok = responses.filter(F.col("error").isNull())
     norm = formats.normalise(options)
-    if ft in ("json", "csv", "txt"):
+    if ft == "txt" or (ft in ("json", "csv") and schema is not None):
         lines = ok.select(F.posexplode(F.split("body_text", r"\r?\n")).alias("pos", "line"))
         if ft == "txt":
             return lines.filter(F.col("line") != "").select(F.col("line").alias("value"))
@@ -135,7 +139,8 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
             f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parsed = F.from_csv("line", ddl, {"sep": sep})
         return lines.filter(F.col("line") != "").select(parsed.alias("r")).select("r.*")
-    # other file types: one staged file per response, then the native scan
+    # other file types, or no schema to parse with: one staged file per
+    # response, then the native scan (which infers json/xml, reads csv headers)
     from ..operators.fetch import responses_to_files
     from .. import session
     from .files import read_files
@@ -144,5 +149,6 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
     keyed = ok.withColumn("request_id", F.sha1("url"))
     responses_to_files(keyed, where, body="body_bytes" if ft in ("parquet", "avro") else "body_text",
                        suffix="." + ft)
-    return read_files(spark, where, ft, schema, **{k: v for k, v in options.items()
-                                                   if k.lower() in ("rowtag",)})
+    reader_keys = ("rowtag", "header", "delimiter", "sep", "inferschema", "multiline")
+    return read_files(spark, where, ft, schema,
+                      **{k: v for k, v in options.items() if k.lower() in reader_keys})

@@ -77,3 +77,17 @@ def test_key_stays_out_of_the_plan_and_duplicates_fail(spark, workdir):
     write_bytes(f"{workdir}/p/x.txt", b"x")
     with pytest.raises(Exception):
         encrypt_files(spark, f"{workdir}/p", f"{workdir}/e", f"{workdir}/dup", key_id="a")
+
+
+def test_crypto_options_on_reader_and_writer(spark, workdir):
+    from lading.operators.sink import Writer
+    from lading.sources.files import Reader
+
+    src = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    (Writer(src).option("fileType", "csv").option("cryptoKey", KEY)
+     .option("cryptoAlgorithm", "AES/CBC/PKCS5Padding").save(f"{workdir}/enc"))
+    raw = spark.read.format("binaryFile").load(f"{workdir}/enc").collect()
+    assert raw and all(b"ALGERIA" not in bytes(r.content) for r in raw)
+    back = (Reader(spark).option("fileType", "csv").option("cryptoKey", KEY)
+            .option("cryptoAlgorithm", "AES/CBC/PKCS5Padding").schema(ddl(src)).load(f"{workdir}/enc"))
+    assert same_rows(src, back)

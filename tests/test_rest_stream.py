@@ -47,3 +47,12 @@ def test_stream_drops_exactly_once(spark, workdir):
     deliver_stream(stream_files(spark, f"{workdir}/in/*", "json", schema), out, "parquet",
                    checkpoint=ckpt).awaitTermination()
     assert same_rows(read_files(spark, out, "parquet"), src)
+
+
+def test_read_rest_infers_without_schema(spark, workdir):
+    write_bytes(f"{workdir}/j.json", b'{"a": 1, "b": "x"}\n{"a": 2, "b": "y"}\n')
+    df = read_rest(spark, [f"file://{workdir}/j.json"], "json")
+    assert dict((f.name, f.dataType.simpleString()) for f in df.schema.fields) == {"a": "bigint", "b": "string"}
+    write_bytes(f"{workdir}/c.csv", b"a,b\n1,x\n")
+    df = read_rest(spark, [f"file://{workdir}/c.csv"], "csv", inferSchema="true")
+    assert [(r.a, r.b) for r in df.collect()] == [(1, "x")]
