@@ -34,7 +34,15 @@ ARROW_SCHEMES = ("", "file", "hdfs", "viewfs", "s3", "s3a", "s3n", "gs", "gcs",
 
 
 def streamable(uris) -> bool:
-    return all(urlparse(u).scheme.lower() in ARROW_SCHEMES for u in uris)
+    """Whether tasks can stream these locations with pyarrow (checked on the driver)."""
+    for uri in uris:
+        if urlparse(uri).scheme.lower() not in ARROW_SCHEMES:
+            return False
+        try:
+            arrow_location(uri)
+        except Exception:  # e.g. HDFS without libhdfs: use the Hadoop path
+            return False
+    return True
 
 
 def arrow_location(uri: str):

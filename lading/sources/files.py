@@ -125,6 +125,11 @@ def load_remote(spark: SparkSession, path, file_type: str, schema=None, **option
         where = formats.get(opts, "stagingLocation")
         target = session.new_staging_dir(spark, "stage", root=where)
         manifest = stage_files(spark, path, target, latest=latest, latest_by=latest_by)
+        bad = objects.failed(manifest).count()
+        if bad:
+            # never read a partial copy: the frame must hold every object
+            first = objects.failed(manifest).select("uri", "error").first()
+            raise RuntimeError(f"{bad} objects failed to stage, e.g. {first.uri}: {first.error}")
         source = f"{target}/data"
     elif latest:
         source = latest_file(spark, path, latest_by)
