@@ -60,7 +60,7 @@ def test_staging_root_prefers_session_setting(spark):
 def test_hadoop_only_copy_path(spark, workdir):
     from lading.operators.objects import copy_files_via_spark, listing, streamable
 
-    assert streamable(["file:/x", "/y", "s3a://b/k"]) and not streamable(["sftp://h/p"])
+    assert streamable(["file:/x", "/y"]) and not streamable(["sftp://h/p"])
     write_bytes(f"{workdir}/src/a/1.txt", b"one")
     write_bytes(f"{workdir}/src/b/2.txt", b"two")
     files = listing(spark, f"{workdir}/src").filter(F.col("path").endswith("1.txt"))
