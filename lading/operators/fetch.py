@@ -217,7 +217,6 @@ def responses_to_files(responses: DataFrame, dest_dir: str, body: str = "body_te
     Returns the materialised manifest ``(request_id, staged_path, length, error)``;
     failed saves keep their row with ``error`` set.
     """
-    spark = responses.sparkSession
     ok = responses.filter(F.col("error").isNull())
     manifest = objects.write_objects(ok, "request_id", body, dest_dir, suffix, parallelism)
     return objects.materialise(manifest, f"{dest_dir.rstrip('/')}/_manifest")
