@@ -28,6 +28,29 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# Logical nodes that cost no more in one task than in many (a scan and its
+# row-local expressions); anything else upstream stays parallel.
+_ROW_LOCAL = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation", "Range",
+              "SubqueryAlias", "Sample"}
+
+
+def _plan_nodes(df: DataFrame) -> list[str]:
+    tree = str(df._jdf.queryExecution().optimizedPlan().treeString())
+    nodes = [line.lstrip(" :+-").split(" ", 1)[0].split("[", 1)[0] for line in tree.splitlines()]
+    return [n for n in nodes if n]
+
+
+def _upstream_is_row_local(df: DataFrame) -> bool:
+    """True when the optimised plan is only scans, projections and filters."""
+    return all(n in _ROW_LOCAL for n in _plan_nodes(df))
+
+
+def _ends_sorted(df: DataFrame) -> bool:
+    """True when the output order is the result of a final sort."""
+    top = [n for n in _plan_nodes(df) if n not in ("Project", "Filter")]
+    return bool(top) and top[0] == "Sort"
+
+
 def write_files(df: DataFrame, path: str, file_type: str, mode: str = "errorifexists",
                 single_file: bool = False, partition_by=None,
                 max_single_file_bytes: int | None = MAX_SINGLE_FILE_BYTES,
@@ -79,9 +102,13 @@ def _write_single(df, path, ft, mode, opts, max_bytes) -> DataFrame:
     # one file means no per-file row cap
     opts = {k: v for k, v in opts.items() if k.lower() != "maxrecordsperfile"}
     opts["maxRecordsPerFile"] = "0"
-    # repartition(1), not coalesce(1): the upstream plan keeps its parallelism
-    # and only the final rows meet in one writer task.
-    formats.save_with(df.repartition(1).write.mode("overwrite").options(**opts), ft, tmp)
+    # A heavy upstream (joins, aggregates, sorts, Python) keeps its
+    # parallelism with repartition(1): only the final rows meet in the one
+    # writer task.  A bare scan gains nothing from a shuffle, so coalesce(1)
+    # lets the writer task read it directly.
+    # A final sort is kept by coalescing its ordered partitions, not shuffling.
+    one = df.coalesce(1) if _upstream_is_row_local(df) or _ends_sorted(df) else df.repartition(1)
+    formats.save_with(one.write.mode("overwrite").options(**opts), ft, tmp)
     parts = session.data_files(spark, tmp)
     if ft == "parquet":
         parts = [p for p in parts if p.endswith(".parquet")]

@@ -109,3 +109,22 @@ def test_staged_delivery(spark, workdir):
          .option("tempLocation", f"{workdir}/tmp").mode("overwrite").save(f"{workdir}/target/o.parquet"))
     assert [r.staged_path.rsplit("/", 1)[1] for r in m.collect()] == ["o.parquet"]
     assert same_rows(src, read_files(spark, f"{workdir}/target/o.parquet", "parquet"))
+
+
+def test_single_file_keeps_heavy_upstream_parallel(spark):
+    from lading.operators.sink import _upstream_is_row_local
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert _upstream_is_row_local(li.filter("l_quantity > 3").select("l_orderkey"))
+    assert not _upstream_is_row_local(li.groupBy("l_orderkey").count())
+    assert not _upstream_is_row_local(li.join(li.select("l_orderkey").distinct(), "l_orderkey"))
+    assert not _upstream_is_row_local(li.orderBy("l_orderkey"))
+
+
+def test_single_file_keeps_sort_order(spark, workdir):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").repartition(4)
+    ordered = li.orderBy(F.col("l_extendedprice").desc()).select("l_orderkey", "l_extendedprice")
+    write_files(ordered, f"{workdir}/sorted.csv", "csv", single_file=True)
+    back = [r.l_extendedprice for r in read_files(
+        spark, f"{workdir}/sorted.csv", "csv", schema="l_orderkey bigint, l_extendedprice double").collect()]
+    assert back == sorted(back, reverse=True) and len(back) == li.count()
