@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from ..operators import fetch as fetch_ops
 from . import formats
@@ -51,9 +51,25 @@ class _Batch(InputPartition):
 class RestReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
+        self.wanted: set[str] | None = None
+
+    def pushFilters(self, filters):
+        """``url = x`` / ``url IN (...)`` prune endpoints before any request is sent.
+
+        Active when ``spark.sql.python.filterPushdown.enabled`` is true; the
+        pushed filters are exact, so Spark does not re-check them.
+        """
+        for f in filters:
+            if isinstance(f, (EqualTo, In)) and tuple(f.attribute) == ("url",):
+                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.wanted = values if self.wanted is None else self.wanted & values
+            else:
+                yield f
 
     def partitions(self):
         urls = _endpoints(self.options)
+        if self.wanted is not None:
+            urls = [u for u in urls if u in self.wanted]
         n = int(self.options.get("numpartitions", 0) or 0) or min(len(urls), 64) or 1
         size = max(1, -(-len(urls) // n))
         return [_Batch(urls[i:i + size]) for i in range(0, len(urls), size)] or [_Batch([])]
@@ -100,7 +116,16 @@ class RestDataSource(DataSource):
         return RestReader({k.lower(): v for k, v in self.options.items()})
 
 
+PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
+
+
 def register(spark: SparkSession) -> None:
+    """Register the source; enables Python-source filter pushdown for the session.
+
+    (A reader that implements ``pushFilters`` is refused while that setting is
+    off; sources without ``pushFilters`` are unaffected by it.)
+    """
+    spark.conf.set(PUSHDOWN_CONF, "true")
     spark.dataSource.register(RestDataSource)
 
 

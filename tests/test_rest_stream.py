@@ -56,3 +56,20 @@ def test_read_rest_infers_without_schema(spark, workdir):
     write_bytes(f"{workdir}/c.csv", b"a,b\n1,x\n")
     df = read_rest(spark, [f"file://{workdir}/c.csv"], "csv", inferSchema="true")
     assert [(r.a, r.b) for r in df.collect()] == [(1, "x")]
+
+
+def test_url_filters_prune_requests(spark, workdir):
+    from pyspark.sql.datasource import EqualTo, In
+    from lading.sources.rest import RestReader
+
+    reader = RestReader({"path": "file:///a,file:///b,file:///c"})
+    left = list(reader.pushFilters([In(("url",), ("file:///a", "file:///c")),
+                                    EqualTo(("status",), 200)]))
+    assert left == [EqualTo(("status",), 200)]
+    assert [p.urls for p in reader.partitions()] == [["file:///a"], ["file:///c"]]
+    write_bytes(f"{workdir}/a.txt", b"A")
+    write_bytes(f"{workdir}/b.txt", b"B")
+    register(spark)
+    urls = f"file://{workdir}/a.txt,file://{workdir}/b.txt,file://{workdir}/missing"
+    df = spark.read.format(SOURCE_NAME).load(urls).filter(F.col("url") == f"file://{workdir}/b.txt")
+    assert [r.body_text for r in df.collect()] == ["B"]
