@@ -9,13 +9,21 @@ the same result straight from the parquet tables.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import session
-from ..operators.sink import write_files
-from ..sources.files import read_files
+from ..functions.parse import parse_body, parse_token
+from ..operators import objects
+from ..operators.crypto import encrypt_files, read_encrypted, write_encrypted
+from ..operators.fetch import (build_requests, fetch_requests, fetch_to_staging,
+                               responses_to_files, url_of)
+from ..operators.sink import Writer, write_files
+from ..sources.files import Reader, load_remote, read_files
+from ..sources.rest import read_rest
+from ..streaming.drops import deliver_stream, stream_files
 from .tables import ddl, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,8 +272,6 @@ def sink_save_mode(spark, sf_dir):
 @query("sink_deliver_staged", "SELECT * FROM supplier")
 def sink_deliver_staged(spark, sf_dir):
     """Write to a temp location first, then upload one finished file to the target."""
-    from ..operators.sink import Writer
-
     src = table(spark, sf_dir, "supplier")
     target = f"{_dir(spark, 'deliver-staged')}/supplier.csv"
     temp = _dir(spark, "deliver-temp")
@@ -277,8 +283,6 @@ def sink_deliver_staged(spark, sf_dir):
 @query("sink_deliver", "SELECT * FROM supplier")
 def sink_deliver(spark, sf_dir):
     """Option-builder delivery to a target URI, read back from the target."""
-    from ..operators.sink import Writer
-
     src = table(spark, sf_dir, "supplier")
     target = f"{_dir(spark, 'deliver')}/supplier"
     Writer(src).option("fileType", "json").mode("overwrite").save(target)
@@ -295,7 +299,7 @@ def year_drops(spark: SparkSession, sf_dir: str) -> str:
                 partition_by="drop_year")
     for drop in session.subdirs(spark, root):
         year = int(drop.rsplit("=", 1)[1])
-        end = int(__import__("datetime").datetime(year + 1, 1, 1).timestamp() * 1000)
+        end = int(datetime.datetime(year + 1, 1, 1).timestamp() * 1000)
         session.set_mtime(spark, drop, end)
     return root
 
@@ -308,8 +312,6 @@ WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)"""
 @query("latest_file", LATEST_YEAR)
 def latest_file_query(spark, sf_dir):
     """copyLatest over drop folders: only the newest drop is read."""
-    from ..sources.files import load_remote
-
     root = year_drops(spark, sf_dir)
     src = table(spark, sf_dir, "orders")
     df, _ = load_remote(spark, root, "csv", ddl(src), copyLatest="true", latestBy="directory")
@@ -319,8 +321,6 @@ def latest_file_query(spark, sf_dir):
 @query("stage_files", "SELECT * FROM orders")
 def stage_files_query(spark, sf_dir):
     """Every drop copied into staging by executor tasks, then scanned natively."""
-    from ..sources.files import Reader
-
     root = year_drops(spark, sf_dir)
     src = table(spark, sf_dir, "orders")
     reader = Reader(spark).option("fileType", "csv").option("stage", "true").schema(ddl(src))
@@ -330,8 +330,6 @@ def stage_files_query(spark, sf_dir):
 @query("stage_latest", LATEST_YEAR)
 def stage_latest(spark, sf_dir):
     """copyLatest with staging: only the newest drop is copied, then scanned."""
-    from ..sources.files import load_remote
-
     root = year_drops(spark, sf_dir)
     src = table(spark, sf_dir, "orders")
     df, _ = load_remote(spark, root, "csv", ddl(src), copyLatest="true", latestBy="directory",
@@ -345,11 +343,10 @@ SELECT count(DISTINCT year(o_orderdate)) AS n_drops,
 FROM orders""")
 def stage_only(spark, sf_dir):
     """createDF=false: objects are staged, the frame is empty; report the staging."""
-    from ..sources.files import load_remote
-
     root = year_drops(spark, sf_dir)
     empty, manifest = load_remote(spark, root, "csv", createDF="false")
-    assert empty.schema.fields == [] and manifest is not None
+    if empty.schema.fields or manifest is None:
+        raise RuntimeError("createDF=false must return an empty frame and a manifest")
     per_drop = (manifest
                 .withColumn("drop", F.regexp_extract("uri", r"drop_year=(\d+)", 1))
                 .groupBy("drop")
@@ -362,8 +359,6 @@ def stage_only(spark, sf_dir):
 
 def staged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page's html saved as its own file; manifest ``(page_id, staged_path, ...)``."""
-    from ..operators import objects
-
     pages = table(spark, sf_dir, "pages")
     where = _dir(spark, "pages-files")
     manifest = objects.write_objects(pages, "page_id", "html", f"{where}/pages", ".html")
@@ -371,8 +366,6 @@ def staged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.fetch import build_requests, url_of
-
     staged = staged_pages(spark, sf_dir)
     return build_requests(staged, "page_id", url_of(F.col("staged_path")))
 
@@ -380,8 +373,6 @@ def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("fetch_requests", "SELECT page_id, html FROM pages")
 def fetch_requests_query(spark, sf_dir):
     """file:// request per page, fetched on the executors, bodies as text."""
-    from ..operators.fetch import fetch_to_staging
-
     responses = fetch_to_staging(page_requests(spark, sf_dir))
     return responses.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"))
 
@@ -392,8 +383,6 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes,
 FROM pages""")
 def fetch_body_mode(spark, sf_dir):
     """body_mode='bytes' fills body_bytes and leaves body_text null."""
-    from ..operators.fetch import fetch_to_staging
-
     responses = fetch_to_staging(page_requests(spark, sf_dir), body_mode="bytes")
     return responses.select(F.col("request_id").alias("page_id"),
                             F.octet_length("body_bytes").cast("bigint").alias("n_bytes"),
@@ -404,8 +393,6 @@ def fetch_body_mode(spark, sf_dir):
 SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS content_length FROM pages""")
 def fetch_headers(spark, sf_dir):
     """Request headers travel with each request; response headers come back as a map."""
-    from ..operators.fetch import build_requests, fetch_to_staging, url_of
-
     staged = staged_pages(spark, sf_dir)
     requests = build_requests(
         staged, "page_id", url_of(F.col("staged_path")),
@@ -422,8 +409,6 @@ SELECT page_id, 'missing' AS kind, true AS has_error, {attempts} AS attempts FRO
 
 
 def _present_and_missing(spark, sf_dir, retry_count):
-    from ..operators.fetch import build_requests, fetch_to_staging, url_of
-
     staged = staged_pages(spark, sf_dir)
     url = url_of(F.col("staged_path"))
     kinds = (build_requests(staged, F.struct(F.col("page_id"), F.lit("present").alias("kind")), url)
@@ -455,9 +440,6 @@ SELECT conv_id, turn, CASE WHEN length(text) > 0 THEN 'POST' ELSE 'GET' END AS m
 FROM conversations""")
 def fetch_post(spark, sf_dir):
     """A non-empty body makes the request a POST; the body is sent with it."""
-    from ..operators import objects
-    from ..operators.fetch import build_requests, fetch_to_staging, url_of
-
     conv = table(spark, sf_dir, "conversations").withColumn(
         "key", F.concat_ws("-", "conv_id", "turn"))
     where = _dir(spark, "conversation-files")
@@ -476,8 +458,6 @@ def fetch_post(spark, sf_dir):
 @query("responses_to_files", "SELECT page_id, html FROM pages")
 def responses_to_files_query(spark, sf_dir):
     """Fetched bodies saved one file per request, then scanned back whole."""
-    from ..operators.fetch import fetch_to_staging, responses_to_files
-
     responses = fetch_to_staging(page_requests(spark, sf_dir))
     where = _dir(spark, "responses")
     responses_to_files(responses, where, suffix=".html")
@@ -493,8 +473,6 @@ def responses_to_files_query(spark, sf_dir):
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def parse_json_body(spark, sf_dir):
     """JSON bodies parsed JVM-side against a declared schema."""
-    from ..functions.parse import parse_body
-
     events = table(spark, sf_dir, "events")
     parsed = parse_body(events, "props", "json", schema="k bigint")
     return parsed.select("event_id", F.col("parsed.k").alias("k"))
@@ -504,8 +482,6 @@ def parse_json_body(spark, sf_dir):
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def parse_json_infer(spark, sf_dir):
     """No schema given: it is inferred over every body by a distributed scan."""
-    from ..functions.parse import parse_body
-
     events = table(spark, sf_dir, "events")
     parsed = parse_body(events, "props", "json")
     return parsed.select("event_id", F.col("parsed.k").alias("k"))
@@ -517,8 +493,6 @@ SELECT c_custkey, c_name AS access_token, c_mktsegment AS token_type,
 FROM customer""")
 def parse_token_query(spark, sf_dir):
     """Token JSON (numeric expires_in) parsed into the four-string token record."""
-    from ..functions.parse import parse_token
-
     cust = table(spark, sf_dir, "customer")
     body = F.to_json(F.struct(F.col("c_name").alias("access_token"),
                               F.col("c_mktsegment").alias("token_type"),
@@ -529,31 +503,29 @@ def parse_token_query(spark, sf_dir):
 
 # --- step 10: REST endpoints as a data source -----------------------------------
 
+def _part_urls(spark, served: str) -> list[str]:
+    """file:// URLs of the part files under ``served`` (a listing: one row per file)."""
+    files = objects.listing(spark, served).select(url_of(F.col("path")).alias("url"))
+    return [r["url"] for r in files.collect()]
+
+
 @query("rest_source", "SELECT * FROM events")
 def rest_source(spark, sf_dir):
     """Endpoints serving JSON lines, loaded through the data source and parsed."""
-    from ..operators.fetch import url_of
-    from ..operators.objects import listing
-    from ..sources.rest import read_rest
-
     events = table(spark, sf_dir, "events")
     served = f"{_dir(spark, 'events-endpoint')}/events"
     write_files(events, served, "json")
-    urls = [r["url"] for r in listing(spark, served).select(url_of(F.col("path")).alias("url")).collect()]
+    urls = _part_urls(spark, served)
     return read_rest(spark, urls, "json", events.schema)
 
 
 @query("rest_source_csv", "SELECT * FROM orders")
 def rest_source_csv(spark, sf_dir):
     """csv bodies with a header line and custom delimiter, parsed per line."""
-    from ..operators.fetch import url_of
-    from ..operators.objects import listing
-    from ..sources.rest import read_rest
-
     orders = table(spark, sf_dir, "orders")
     served = f"{_dir(spark, 'orders-endpoint')}/orders"
     write_files(orders, served, "csv", delimiter=";")
-    urls = [r["url"] for r in listing(spark, served).select(url_of(F.col("path")).alias("url")).collect()]
+    urls = _part_urls(spark, served)
     return read_rest(spark, urls, "csv", orders.schema, delimiter=";")
 
 
@@ -569,8 +541,6 @@ def _key_file(spark) -> str:
 @query("decrypt_scan", "SELECT * FROM documents")
 def decrypt_scan(spark, sf_dir):
     """An encrypted json drop: decrypted file by file on executors, then scanned."""
-    from ..operators.crypto import encrypt_files, read_encrypted
-
     docs = table(spark, sf_dir, "documents")
     key = _key_file(spark)
     plain = f"{_dir(spark, 'documents-plain')}/documents"
@@ -584,8 +554,6 @@ def decrypt_scan(spark, sf_dir):
 @query("sink_encrypt", "SELECT * FROM orders")
 def sink_encrypt(spark, sf_dir):
     """Encrypted csv delivery (JCE default AES), read back through decryption."""
-    from ..operators.crypto import read_encrypted, write_encrypted
-
     orders = table(spark, sf_dir, "orders")
     key = _key_file(spark)
     target = f"{_dir(spark, 'orders-enc')}/orders"
@@ -601,8 +569,6 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS drop_year, count(*) AS n,
 FROM orders GROUP BY year(o_orderdate)""")
 def stream_drops(spark, sf_dir):
     """Yearly csv drops read incrementally and delivered as parquet, exactly once."""
-    from ..streaming.drops import deliver_stream, stream_files
-
     root = year_drops(spark, sf_dir)
     orders = table(spark, sf_dir, "orders")
     schema = ddl(orders) + ", drop_year int"
@@ -630,8 +596,6 @@ def fetch_auth(spark, sf_dir):
     (file:// URLs ignore the Authorization header; header content is unit-tested
     against an opener double.)
     """
-    from ..operators.fetch import fetch_requests, fetch_to_staging
-
     secret = "s3cr3t-" + session.new_staging_dir(spark, "x")[-8:]
     auth = {"type": "basic", "username": "reader", "password": secret}
     requests = page_requests(spark, sf_dir)
@@ -644,8 +608,6 @@ def fetch_auth(spark, sf_dir):
 @query("fetch_config", "SELECT page_id, html FROM pages")
 def fetch_config(spark, sf_dir):
     """Proxy and timeouts set explicitly (file:// is never proxied); bodies arrive whole."""
-    from ..operators.fetch import fetch_to_staging
-
     responses = fetch_to_staging(page_requests(spark, sf_dir), proxy_host="proxy.invalid",
                                  proxy_port=3128, connect_timeout_ms=2000,
                                  read_timeout_ms=10000, threads=4, parallelism=4)
