@@ -139,7 +139,8 @@ def main():
     key = f"{base}/key"
     spark.createDataFrame([("default=0123456789abcdef0123456789abcdef",)], "value string") \
          .coalesce(1).write.text(key)
-    docs = table(spark, SF_DIR, "documents")
+    table(spark, SF_DIR, "documents").repartition(CPUS * 2).write.parquet(f"{base}/documents_src")
+    docs = spark.read.parquet(f"{base}/documents_src")
     docs_ddl = ddl(docs)
 
     def crypto_round_trip():

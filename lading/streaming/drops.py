@@ -23,13 +23,9 @@ def stream_files(spark: SparkSession, uri: str, file_type: str, schema, **option
     if formats.flag(opts, "copyLatest"):
         reader_opts["latestFirst"] = "true"
     reader = spark.readStream.options(**reader_opts).schema(schema)
-    try:
-        return reader.format(formats.spark_format(ft)).load(uri)
-    except Exception as exc:  # avro short name not deployed
-        if ft != "avro":
-            raise
-        del exc
-        return reader.format(formats.AVRO_CLASS).load(uri)
+    # the avro file format class resolves whether or not the short name is registered
+    fmt = formats.AVRO_CLASS if ft == "avro" else formats.spark_format(ft)
+    return reader.format(fmt).load(uri)
 
 
 def deliver_stream(stream: DataFrame, path: str, file_type: str, checkpoint: str | None = None,

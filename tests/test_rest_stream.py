@@ -73,3 +73,12 @@ def test_url_filters_prune_requests(spark, workdir):
     urls = f"file://{workdir}/a.txt,file://{workdir}/b.txt,file://{workdir}/missing"
     df = spark.read.format(SOURCE_NAME).load(urls).filter(F.col("url") == f"file://{workdir}/b.txt")
     assert [r.body_text for r in df.collect()] == ["B"]
+
+
+def test_stream_avro_and_csv(spark, workdir):
+    src = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    write_files(src, f"{workdir}/in/a", "avro")
+    q = deliver_stream(stream_files(spark, f"{workdir}/in/*", "avro", src.schema),
+                       f"{workdir}/out", "csv", checkpoint=f"{workdir}/ck")
+    q.awaitTermination()
+    assert same_rows(src, read_files(spark, f"{workdir}/out", "csv", schema=ddl(src)))
