@@ -32,36 +32,57 @@ def read_files(spark: SparkSession, path, file_type: str, schema=None, **options
     return formats.load_with(reader, ft, path if isinstance(path, str) else list(path))
 
 
+def with_root(spark: SparkSession, listing: DataFrame, roots) -> DataFrame:
+    """Tag each listed file with the root (dataset) it was found under."""
+    qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots}, key=len, reverse=True)
+    root = F.lit(None).cast("string")
+    for r in reversed(qroots):          # longest root wins: applied last
+        root = F.when(F.col("path").startswith(r + "/") | (F.col("path") == r), F.lit(r)).otherwise(root)
+    return listing.withColumn("root", root)
+
+
 def newest(listing: DataFrame, by: str = "file") -> DataFrame:
-    """One-row frame naming the newest object of a listing.
+    """The newest object of each dataset in a listing, as ``(root, path)`` rows.
 
     ``by="file"``: the newest file (ties broken by the larger path).
     ``by="directory"``: the directory holding the newest file, i.e. the most
     recent drop of a dataset written as several part files.
+    Without a ``root`` column the whole listing is one dataset.  Per-dataset
+    maxima are partial aggregates combined map-side, so a dataset holding
+    most of the files is no hot spot.
     """
+    if "root" not in listing.columns:
+        listing = listing.withColumn("root", F.lit(None).cast("string"))
     if by == "file":
-        return listing.agg(
+        return listing.groupBy("root").agg(
             F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
     if by == "directory":
         drops = (listing
                  .withColumn("drop", _parent(F.col("path")))
-                 .groupBy("drop")
+                 .groupBy("root", "drop")
                  .agg(F.max("modificationTime").alias("modificationTime")))
-        return drops.agg(
+        return drops.groupBy("root").agg(
             F.max_by("drop", F.struct("modificationTime", "drop")).alias("path"))
     raise ValueError(f"latest by must be 'file' or 'directory', not {by!r}")
 
 
-def latest_file(spark: SparkSession, uri, by: str = "file") -> str:
+def latest_file(spark: SparkSession, uri, by: str = "file"):
     """URI of the newest file (or drop directory) under ``uri``.
 
-    The listing and the max run as a Spark aggregate; only the single chosen
-    path comes back to the driver.
+    For a list of roots, one newest URI per root (in the order given).  The
+    listing and the maxima run as Spark aggregates; only the chosen paths --
+    one per root -- come back to the driver.
     """
-    row = newest(objects.listing(spark, uri), by).first()
-    if row is None or row["path"] is None:
-        raise FileNotFoundError(f"no files under {uri}")
-    return row["path"]
+    roots = [uri] if isinstance(uri, str) else list(uri)
+    picks = {r["root"]: r["path"] for r in
+             newest(with_root(spark, objects.listing(spark, roots), roots), by).collect()}
+    out = []
+    for r in roots:
+        path = picks.get(session.qualify(spark, r).rstrip("/"))
+        if path is None:
+            raise FileNotFoundError(f"no files under {r}")
+        out.append(path)
+    return out[0] if isinstance(uri, str) else out
 
 
 def stage_files(spark: SparkSession, uris, staging_dir: str | None = None,
@@ -77,10 +98,11 @@ def stage_files(spark: SparkSession, uris, staging_dir: str | None = None,
     target = staging_dir or session.new_staging_dir(spark, "stage")
     files = objects.listing(spark, roots)
     if latest:
-        pick = newest(files, latest_by).withColumnRenamed("path", "pick")
+        pick = (newest(with_root(spark, files, roots), latest_by)
+                .select(F.col("path").alias("pick")))
         unit = F.col("path") if latest_by == "file" else _parent(F.col("path"))
-        # equi-join against the one-row result of a global aggregate: a
-        # broadcast whose size is bounded by construction
+        # equi-join against one row per root given by the caller: a broadcast
+        # whose size is bounded by the argument list, not by the data
         files = (files.withColumn("unit", unit)
                       .join(F.broadcast(pick), F.col("unit") == F.col("pick"), "left_semi")
                       .drop("unit"))

@@ -67,3 +67,15 @@ def test_hadoop_only_copy_path(spark, workdir):
     m = copy_files_via_spark(spark, files, [f"{workdir}/src"], f"{workdir}/dst").collect()
     assert len(m) == 1 and m[0].staged_path.endswith("/dst/a/1.txt") and m[0].length == 3
     assert spark.read.text(f"{workdir}/dst/a/1.txt").first().value == "one"
+
+
+def test_newest_per_dataset(spark, workdir):
+    for ds, names in (("a", ("x1", "x2")), ("b", ("y1", "y2", "y3"))):
+        for i, n in enumerate(names):
+            write_bytes(f"{workdir}/{ds}/{n}.txt", n.encode())
+            session.set_mtime(spark, f"{workdir}/{ds}/{n}.txt", ms(2020 + i))
+    # the newest file of b is newer than all of a, yet each dataset keeps its own pick
+    got = latest_file(spark, [f"{workdir}/a", f"{workdir}/b"])
+    assert [g.rsplit("/", 1)[1] for g in got] == ["x2.txt", "y3.txt"]
+    manifest = stage_files(spark, [f"{workdir}/a", f"{workdir}/b"], f"{workdir}/st", latest=True)
+    assert sorted(r.staged_path.rsplit("/", 1)[1] for r in manifest.collect()) == ["x2.txt", "y3.txt"]
