@@ -59,8 +59,9 @@ def url_of(path: Column) -> Column:
     return F.when(path.rlike(r"^(file:|/)"), F.concat(F.lit("file://"), bare)).otherwise(path)
 
 
-def build_requests(df: DataFrame, request_id, url, headers=None, body=None) -> DataFrame:
-    """Shape any frame into the request table.
+def build_requests(df: DataFrame, request_id, url, headers=None, body=None,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """Shape any frame into the request table (plus the ``keep`` columns).
 
     ``method`` is POST exactly when the body is non-empty, GET otherwise; an
     empty or null URL is kept and answered with an error row by the fetch.
@@ -74,6 +75,7 @@ def build_requests(df: DataFrame, request_id, url, headers=None, body=None) -> D
         F.when(F.length(body_c) > 0, F.lit("POST")).otherwise(F.lit("GET")).alias("method"),
         hdr_c.alias("headers"),
         body_c.alias("body"),
+        *keep,
     )
 
 
@@ -166,14 +168,19 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                    proxy_port: int | None = None, auth: dict | None = None,
                    retry_count: int = 0, retry_frequency_s: float = 1.0,
                    parallelism: int | None = None, threads: int = 1,
-                   chunk_rows: int = 64, opener=None) -> DataFrame:
-    """Fetch every request on the executors; one response row per request (lazy)."""
+                   chunk_rows: int = 64, opener=None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Fetch every request on the executors; one response row per request (lazy).
+
+    ``keep`` names request columns carried into the response rows as they are
+    (no join back to the requests needed).
+    """
     if on_error not in ("row", "fail"):
         raise ValueError("on_error must be 'row' or 'fail'")
     spark = requests.sparkSession
     fetch_one = make_fetcher(body_mode, on_error, connect_timeout_ms, read_timeout_ms,
                              proxy_host, proxy_port, auth, retry_count, retry_frequency_s, opener)
-    schema = response_schema(requests.schema["request_id"].dataType)
+    base = response_schema(requests.schema["request_id"].dataType)
+    schema = T.StructType(base.fields[:1] + [requests.schema[c] for c in keep] + base.fields[1:])
     n = parallelism or spark.sparkContext.defaultParallelism
     cols = ["request_id", "status", "headers", "body_text", "body_bytes", "error", "attempts"]
 
@@ -187,8 +194,9 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                     args = list(zip(part["url"], part["method"], part["headers"], part["body"]))
                     call = lambda a: fetch_one(*a)
                     results = list(pool.map(call, args)) if pool else [call(a) for a in args]
-                    out = pd.DataFrame(results, columns=cols[1:])
-                    out.insert(0, "request_id", part["request_id"].to_numpy())
+                    out = pd.DataFrame(results, columns=cols[1:], index=part.index)
+                    for i, c in enumerate(("request_id", *keep)):
+                        out.insert(i, c, part[c])
                     out["status"] = out["status"].astype("Int32")
                     out["attempts"] = out["attempts"].astype("Int32")
                     yield out
@@ -198,7 +206,8 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
 
     # round-robin: even request counts per task whatever the ids look like
     # (deterministic on retry: Spark sorts rows locally before a round-robin split)
-    return (requests.select("request_id", "url", "method", "headers", "body")
+    wanted = ["request_id", "url", "method", "headers", "body"]
+    return (requests.select(*wanted, *[c for c in keep if c not in wanted])
                     .repartition(n)
                     .mapInPandas(run, schema))
 

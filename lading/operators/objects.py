@@ -101,44 +101,47 @@ def copy_stream(src_uri: str, dst_uri: str) -> int:
 
 
 def write_objects(df: DataFrame, key_col: str, content_col: str, dest_dir: str,
-                  suffix: str = "", parallelism: int | None = None) -> DataFrame:
+                  suffix: str = "", parallelism: int | None = None,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Write each row's ``content_col`` (binary or string) to ``dest_dir/<key><suffix>``.
 
     Objects are written where their rows already are (no shuffle of payloads);
     ``parallelism`` re-spreads them by a hash of their unique key first.
-    Returns a lazy manifest ``(key, staged_path, length, error)``; the caller
-    materialises it (``materialise``) so the files exist exactly once.
+    Returns a lazy manifest ``(key, *keep, staged_path, length, error)``; the
+    caller materialises it (``materialise``) so the files exist exactly once.
     """
     spark = df.sparkSession
     dest = session.qualify(spark, dest_dir)
-    key_type = df.schema[key_col].dataType
-    out_schema = T.StructType([
-        T.StructField(key_col, key_type),
-        T.StructField("staged_path", T.StringType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("error", T.StringType()),
-    ])
+    out_schema = T.StructType(
+        [df.schema[key_col]] + [df.schema[c] for c in keep] + [
+            T.StructField("staged_path", T.StringType()),
+            T.StructField("length", T.LongType()),
+            T.StructField("error", T.StringType()),
+        ])
 
     def run(batches):
         for pdf in batches:
-            keys, paths, lens, errs = [], [], [], []
+            paths, lens, errs = [], [], []
             for key, content in zip(pdf[key_col], pdf[content_col]):
-                target = f"{dest}/{key}{suffix}"
-                keys.append(key)
                 if content is None:
                     paths.append(None), lens.append(None), errs.append("null content")
                     continue
                 data = content.encode("utf-8") if isinstance(content, str) else bytes(content)
+                target = f"{dest}/{key}{suffix}"
                 try:
                     lens.append(write_bytes(target, data))
                     paths.append(target)
                     errs.append(None)
                 except Exception as exc:  # error as data, never a lost row
                     paths.append(None), lens.append(None), errs.append(repr(exc))
-            yield pd.DataFrame({key_col: keys, "staged_path": paths,
-                                "length": pd.array(lens, dtype="Int64"), "error": errs})
+            out = pdf[[key_col, *keep]].copy()
+            out["staged_path"] = paths
+            out["length"] = pd.array(lens, dtype="Int64")
+            out["error"] = errs
+            yield out
 
-    rows = df.select(key_col, content_col)
+    cols = [key_col, *keep] + ([] if content_col in keep else [content_col])
+    rows = df.select(*cols)
     if parallelism:
         rows = rows.repartition(parallelism, key_col)
     return rows.mapInPandas(run, out_schema)
@@ -201,26 +204,26 @@ def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
                  .mapInPandas(run, MANIFEST_SCHEMA))
 
 
-def copy_files_via_spark(spark, files: DataFrame, roots: list[str], dest_dir: str) -> DataFrame:
+def copy_files_via_spark(spark, files: DataFrame, roots: list[str], dest_dir: str,
+                         sources: list[str] | None = None) -> DataFrame:
     """Copy listed files whose scheme only Hadoop reads: ``binaryFile`` content.
 
     Each object is held in memory once (binaryFile's per-file limit applies),
-    so this path is for sources pyarrow cannot open.
+    so this path is for sources pyarrow cannot open.  ``sources`` narrows what
+    is scanned for content (e.g. only the newest drops); default: the roots.
     """
     qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots}, key=len, reverse=True)
     content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load([r for r in qroots]).select("path", "modificationTime", "content")
+               .load(list(sources or qroots)).select("path", "modificationTime", "content")
                .join(files.select("path"), "path", "left_semi"))
     rel = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
     for root in qroots:
         rel = F.when(F.col("path").startswith(root + "/"),
                      F.expr(f"substr(path, {len(root) + 2})")).otherwise(rel)
-    named = content.withColumn("name", rel)
-    written = write_objects(named, "name", "content", dest_dir)
-    meta = named.select("name", F.col("path").alias("uri"),
-                        F.col("modificationTime").alias("modification_time"))
-    return (written.join(meta, "name")
-                   .select("uri", "staged_path", "length", "modification_time", "error"))
+    written = write_objects(content.withColumn("name", rel), "name", "content", dest_dir,
+                            keep=("path", "modificationTime"))
+    return written.select(F.col("path").alias("uri"), "staged_path", "length",
+                          F.col("modificationTime").alias("modification_time"), "error")
 
 
 def failed(manifest: DataFrame) -> DataFrame:

@@ -444,15 +444,13 @@ def fetch_post(spark, sf_dir):
         "key", F.concat_ws("-", "conv_id", "turn"))
     where = _dir(spark, "conversation-files")
     staged = objects.materialise(
-        objects.write_objects(conv, "key", "text", f"{where}/turns", ".txt"), f"{where}/_manifest")
-    requests = build_requests(staged.join(conv, "key"), "key",
-                              url_of(F.col("staged_path")), body=F.col("text"))
-    responses = fetch_to_staging(requests.select("*"))
-    keyed = requests.select(F.col("request_id").alias("key"), "method")
-    out = responses.join(keyed, responses["request_id"] == keyed["key"])
-    parts = F.split("key", "-")
-    return out.select(parts[0].cast("bigint").alias("conv_id"), parts[1].cast("bigint").alias("turn"),
-                      "method", F.col("body_text").alias("text"))
+        objects.write_objects(conv, "key", "text", f"{where}/turns", ".txt",
+                              keep=("conv_id", "turn", "text")),
+        f"{where}/_manifest")
+    requests = build_requests(staged, "key", url_of(F.col("staged_path")), body=F.col("text"),
+                              keep=("conv_id", "turn"))
+    responses = fetch_to_staging(requests, keep=("conv_id", "turn", "method"))
+    return responses.select("conv_id", "turn", "method", F.col("body_text").alias("text"))
 
 
 @query("responses_to_files", "SELECT page_id, html FROM pages")
