@@ -146,6 +146,24 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
         responses = materialise(responses, f"{session.new_staging_dir(spark, 'rest')}/responses")
     if file_type is None:
         return responses
+    return responses_to_rows(responses.withColumnRenamed("url", "request_id"), file_type,
+                             schema, **options)
+
+
+def responses_to_rows(responses: DataFrame, file_type: str, schema=None, **options) -> DataFrame:
+    """Rows of ``schema`` from the bodies of a response table (failed responses skipped).
+
+    json/csv with a schema and txt are split into lines and parsed JVM-side;
+    other types, or json/csv without a schema, are saved one file per
+    response and scanned by the native reader (which infers json/xml and
+    reads csv headers).  Works on ``fetch_requests`` output and on this
+    source's rows alike.
+    """
+    from ..operators.fetch import responses_to_files
+    from .. import session
+    from .files import read_files
+
+    spark = responses.sparkSession
     ft = formats.file_type(file_type)
     ok = responses.filter(F.col("error").isNull())
     norm = formats.normalise(options)
@@ -164,14 +182,8 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
             f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parsed = F.from_csv("line", ddl, {"sep": sep})
         return lines.filter(F.col("line") != "").select(parsed.alias("r")).select("r.*")
-    # other file types, or no schema to parse with: one staged file per
-    # response, then the native scan (which infers json/xml, reads csv headers)
-    from ..operators.fetch import responses_to_files
-    from .. import session
-    from .files import read_files
-
     where = session.new_staging_dir(spark, "rest-bodies")
-    keyed = ok.withColumn("request_id", F.sha1("url"))
+    keyed = ok.withColumn("request_id", F.sha1(F.col("request_id").cast("string")))
     responses_to_files(keyed, where, body="body_bytes" if ft in ("parquet", "avro") else "body_text",
                        suffix="." + ft)
     reader_keys = ("rowtag", "header", "delimiter", "sep", "inferschema", "multiline")

@@ -115,3 +115,15 @@ def test_file_urls_saved_responses(spark, workdir):
     assert manifest.count() == 3
     back = spark.read.text(f"{workdir}/saved", wholetext=True).collect()
     assert sorted(r.value for r in back) == ["body 0", "body 1", "body 2"]
+
+
+def test_response_table_to_rows(spark, workdir):
+    from lading.sources.rest import responses_to_rows
+
+    write_bytes(f"{workdir}/r/1.json", b'{"a": 1}\n{"a": 2}\n')
+    write_bytes(f"{workdir}/r/2.json", b'{"a": 3}\n')
+    df = spark.range(1, 4).select(F.col("id").alias("request_id"),
+                                  url_of(F.concat(F.lit(f"{workdir}/r/"), F.col("id"), F.lit(".json"))).alias("url"))
+    responses = fetch_to_staging(build_requests(df, "request_id", "url"))
+    assert sorted(r.a for r in responses_to_rows(responses, "json", "a int").collect()) == [1, 2, 3]
+    assert sorted(r.a for r in responses_to_rows(responses, "json").collect()) == [1, 2, 3]
