@@ -72,7 +72,9 @@ def _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, encrypt: b
              .select("path", "content"))
     key = key_column(spark, key_file, key_id, key)
     fn = F.aes_encrypt if encrypt else F.aes_decrypt
-    rel = F.expr("substr(path, {})".format(len(src) + 2))
+    # path relative to the source folder; a single-file source keeps its name
+    rel = F.when(F.col("path") == src, F.regexp_extract("path", r"([^/]+)$", 1)) \
+           .otherwise(F.expr("substr(path, {})".format(len(src) + 2)))
     if suffix_from:
         rel = F.regexp_replace(rel, re.escape(suffix_from) + "$", "")
     out = files.select(
@@ -80,7 +82,7 @@ def _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, encrypt: b
         fn(F.col("content"), key, F.lit(mode), F.lit(padding)).alias("payload"))
     # binaryFile already spreads files over tasks: no shuffle of the payloads
     manifest = objects.write_objects(out, "name", "payload", dest_dir)
-    return objects.materialise(manifest, f"{dest_dir.rstrip('/')}/_manifest")
+    return objects.materialise(manifest, f"{session.new_staging_dir(spark, 'crypto')}/_manifest")
 
 
 def encrypt_files(spark, src_uri, dest_dir, key_file=None, key_id="default", algorithm=None,
@@ -97,15 +99,22 @@ def decrypt_files(spark, src_uri, dest_dir, key_file=None, key_id="default", alg
 
 def write_encrypted(df: DataFrame, path: str, file_type: str, key_file: str | None = None,
                     key_id: str = "default", algorithm: str | None = None,
-                    key: str | None = None, **options) -> DataFrame:
+                    key: str | None = None, single_file: bool = False, **options) -> DataFrame:
     """Deliver ``df`` encrypted: written in parallel to staging, encrypted file by file into ``path``.
 
-    The plaintext staging folder is removed once the encrypted copy is complete.
+    With ``single_file`` the one encrypted file is ``path`` itself; otherwise
+    ``path`` is a folder of ``<part>.enc`` files.  The plaintext staging
+    folder is removed once the encrypted copy is complete.
     """
     spark = df.sparkSession
     plain = f"{session.new_staging_dir(spark, 'plain')}/data"
-    write_files(df, plain, file_type, mode="overwrite", **options)
-    manifest = encrypt_files(spark, plain, path, key_file, key_id, algorithm, key)
+    if single_file:
+        parent, name = path.rstrip("/").rsplit("/", 1)
+        write_files(df, f"{plain}/{name}", file_type, single_file=True, **options)
+        manifest = _transform(spark, plain, parent, key_file, key_id, algorithm, True, key=key)
+    else:
+        write_files(df, plain, file_type, mode="overwrite", **options)
+        manifest = encrypt_files(spark, plain, path, key_file, key_id, algorithm, key)
     bad = objects.failed(manifest).count()
     if bad:
         raise RuntimeError(f"{bad} files failed to encrypt; plaintext kept at {plain}")

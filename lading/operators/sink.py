@@ -200,7 +200,8 @@ class Writer:
                 raise FileExistsError(f"path {path} already exists")
             self.manifest = write_encrypted(
                 self._df, path, ft, key_file, key_id=formats.get(opts, "cryptoKeyId", "default"),
-                algorithm=formats.get(opts, "cryptoAlgorithm"), key=key, **rest)
+                algorithm=formats.get(opts, "cryptoAlgorithm"), key=key, single_file=single,
+                **rest)
         elif formats.flag(opts, "stage") or staging is not None:
             work = session.new_staging_dir(self._df.sparkSession, "deliver", root=staging)
             self.manifest = deliver(self._df, path, ft, self._mode, single_file=single,

@@ -91,3 +91,18 @@ def test_crypto_options_on_reader_and_writer(spark, workdir):
     back = (Reader(spark).option("fileType", "csv").option("cryptoKey", KEY)
             .option("cryptoAlgorithm", "AES/CBC/PKCS5Padding").schema(ddl(src)).load(f"{workdir}/enc"))
     assert same_rows(src, back)
+
+
+def test_single_file_encrypted_delivery(spark, workdir):
+    from lading.operators.sink import Writer
+    from lading.sources.files import Reader
+
+    src = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    target = f"{workdir}/out/orders.csv"
+    (Writer(src).option("fileType", "csv").option("singleFile", "true")
+     .option("cryptoKey", KEY).save(target))
+    listed = spark.read.format("binaryFile").load(f"{workdir}/out").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in listed] == ["orders.csv"]
+    back = (Reader(spark).option("fileType", "csv").option("cryptoKey", KEY)
+            .schema(ddl(src)).load(target))
+    assert same_rows(src, back)
