@@ -72,3 +72,15 @@ def test_enforce_schema_false_rejects_misordered_header(spark, workdir):
     assert ok.first().a == 1                    # positional: silently shifted
     with pytest.raises(Exception):
         read_files(spark, f"{workdir}/s.csv", "csv", schema="a int, b int", enforceSchema="false").collect()
+
+
+def test_reader_with_host_targets_the_remote_not_a_local_path(spark, workdir):
+    import pytest
+    from lading.operators.objects import write_bytes
+    from lading.sources.files import Reader
+
+    write_bytes(f"{workdir}/x.csv", b"a\n1\n")     # same path exists locally ...
+    with pytest.raises(Exception) as err:           # ... but the remote one is meant
+        (Reader(spark).option("host", "files.invalid").option("username", "u")
+         .option("fileType", "csv").load(f"{workdir}/x.csv").collect())
+    assert "sftp" in str(err.value).lower() or "files.invalid" in str(err.value)
