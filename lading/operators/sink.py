@@ -63,7 +63,7 @@ def write_files(df: DataFrame, path: str, file_type: str, mode: str = "errorifex
     ``rowTag``/``rootTag`` for xml; any other Spark writer option passes through.
     """
     if not path:
-        raise ValueError("'path' must be specified")
+        raise ValueError(formats.MSG_NO_PATH)
     ft = formats.file_type(file_type)
     mode = (mode or "errorifexists").lower()
     if mode not in SAVE_MODES:

@@ -28,7 +28,7 @@ def read_files(spark: SparkSession, path, file_type: str, schema=None, **options
     if schema is not None:
         reader = reader.schema(schema)
     if path is None or (not isinstance(path, str) and len(list(path)) == 0):
-        raise ValueError("'path' must be specified")
+        raise ValueError(formats.MSG_NO_PATH)
     return formats.load_with(reader, ft, path if isinstance(path, str) else list(path))
 
 
@@ -140,7 +140,7 @@ def load_remote(spark: SparkSession, path, file_type: str, schema=None, **option
     opts = formats.normalise(options)
     ft = formats.file_type(formats.get(opts, "fileType", file_type))
     if path is None:
-        raise ValueError("'path' must be specified")
+        raise ValueError(formats.MSG_NO_PATH)
     create_df = formats.flag(opts, "createDF", formats.CONNECTOR_DEFAULTS["createDF"])
     latest = formats.flag(opts, "copyLatest", formats.CONNECTOR_DEFAULTS["copyLatest"])
     latest_by = formats.get(opts, "latestBy", "file")

@@ -34,6 +34,11 @@ CONNECTOR_DEFAULTS = {
     "cryptoAlgorithm": "AES",
 }
 
+# The connector's error messages for missing or unknown options.
+MSG_NO_PATH = "'path' must be specified"
+MSG_NO_FILE_TYPE = "File type has to be provided using 'fileType' option"
+MSG_BAD_FILE_TYPE = "fileType {value} not supported. Supported file types are {supported}"
+
 # Lossless text round trips: Spark's default timestamp patterns keep only
 # milliseconds; these keep the microseconds parquet and the tables carry.
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -67,12 +72,10 @@ AVRO_CLASS = "org.apache.spark.sql.avro.AvroFileFormat"
 def file_type(value: str | None) -> str:
     """Validate and normalise a ``fileType`` option value."""
     if value is None or str(value).strip() == "":
-        raise ValueError("File type has to be provided using 'fileType' option")
+        raise ValueError(MSG_NO_FILE_TYPE)
     ft = MIME_ALIASES.get(str(value).strip().lower(), str(value).strip().lower())
     if ft not in FILE_TYPES:
-        raise ValueError(
-            f"fileType {value} not supported. Supported file types are {list(FILE_TYPES)}"
-        )
+        raise ValueError(MSG_BAD_FILE_TYPE.format(value=value, supported=list(FILE_TYPES)))
     return ft
 
 

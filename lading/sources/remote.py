@@ -23,7 +23,7 @@ SFTP_IMPL = "org.apache.hadoop.fs.sftp.SFTPFileSystem"
 def remote_uri(path: str, options: dict) -> str:
     """URI for ``path``: unchanged if it has a scheme or no ``host`` option is set."""
     if not path:
-        raise ValueError("'path' must be specified")
+        raise ValueError(formats.MSG_NO_PATH)
     host = formats.get(options, "host")
     if host is None or urlparse(path).scheme:
         return path
