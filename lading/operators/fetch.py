@@ -14,6 +14,8 @@ than being recomputed by every action.
 from __future__ import annotations
 
 import base64
+import functools
+import http.client
 import time
 import urllib.error
 import urllib.request
@@ -100,9 +102,47 @@ def _retryable(exc: Exception) -> bool:
     return True
 
 
-def build_opener(proxy_host=None, proxy_port=None):
-    """urllib opener, routed through ``proxy_host:proxy_port`` when given."""
-    handlers = []
+class _ReadTimeout:
+    """Connection mix-in: connect under ``timeout``, then read under ``read_timeout``."""
+
+    def __init__(self, *args, read_timeout=None, **kwargs):
+        super().__init__(*args, **kwargs)
+        self.read_timeout = read_timeout
+
+    def connect(self):
+        super().connect()
+        if self.read_timeout is not None:
+            self.sock.settimeout(self.read_timeout)
+
+
+class _HTTPConnection(_ReadTimeout, http.client.HTTPConnection):
+    pass
+
+
+class _HTTPSConnection(_ReadTimeout, http.client.HTTPSConnection):
+    pass
+
+
+def _timed_handlers(read_timeout_s: float):
+    class HTTP(urllib.request.HTTPHandler):
+        def http_open(self, req):
+            return self.do_open(functools.partial(_HTTPConnection, read_timeout=read_timeout_s), req)
+
+    class HTTPS(urllib.request.HTTPSHandler):
+        def https_open(self, req):
+            return self.do_open(functools.partial(_HTTPSConnection, read_timeout=read_timeout_s), req,
+                                context=self._context)
+
+    return [HTTP(), HTTPS()]
+
+
+def build_opener(proxy_host=None, proxy_port=None, read_timeout_ms=READ_TIMEOUT_MS):
+    """urllib opener, routed through ``proxy_host:proxy_port`` when given.
+
+    The per-request ``timeout`` bounds the connect; ``read_timeout_ms`` then
+    bounds every socket read (the connector's separate connect/read timeouts).
+    """
+    handlers = _timed_handlers(read_timeout_ms / 1000.0)
     if proxy_host:
         where = f"{proxy_host}:{proxy_port}" if proxy_port else proxy_host
         handlers.append(urllib.request.ProxyHandler({"http": where, "https": where}))
@@ -115,14 +155,15 @@ def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_
     """Return ``fetch_one(url, method, headers, body) -> tuple`` (runs in a task)."""
     mode = (body_mode or "").lower()
     auth_value = _auth_header(auth)
-    # urllib applies one socket timeout to connect and to every read.
-    timeout = max(connect_timeout_ms, read_timeout_ms) / 1000.0
+    # connect timeout per request; the opener applies the read timeout after connecting
+    timeout = connect_timeout_ms / 1000.0
 
     state = {}
 
     def fetch_one(url, method, headers, body):
         if "opener" not in state:
-            state["opener"] = opener if opener is not None else build_opener(proxy_host, proxy_port)
+            state["opener"] = (opener if opener is not None
+                               else build_opener(proxy_host, proxy_port, read_timeout_ms))
         op = state["opener"]
         if not url:
             return (None, None, None, None, "empty url: no request made", 0)

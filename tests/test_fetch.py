@@ -51,7 +51,7 @@ def test_request_shape_headers_auth_timeouts():
     status, headers, text, raw, err, attempts = fetch("http://h/a", "POST", {"X-A": "1"}, "payload")
     echo = json.loads(text)
     assert status == 200 and err is None and attempts == 1 and raw is None
-    assert echo["method"] == "POST" and echo["data"] == "payload" and echo["timeout"] == 5.0
+    assert echo["method"] == "POST" and echo["data"] == "payload" and echo["timeout"] == 1.0
     assert echo["headers"]["x-a"] == "1" and echo["headers"]["authorization"] == "Basic dTpw"
 
 
@@ -127,3 +127,14 @@ def test_response_table_to_rows(spark, workdir):
     responses = fetch_to_staging(build_requests(df, "request_id", "url"))
     assert sorted(r.a for r in responses_to_rows(responses, "json", "a int").collect()) == [1, 2, 3]
     assert sorted(r.a for r in responses_to_rows(responses, "json").collect()) == [1, 2, 3]
+
+
+def test_connect_and_read_timeouts_are_separate():
+    from lading.operators.fetch import _HTTPConnection, _HTTPSConnection
+
+    op = build_opener(read_timeout_ms=5000)
+    names = {type(h).__name__ for h in op.handlers}
+    assert {"HTTP", "HTTPS"} <= names
+    conn = _HTTPConnection("example.invalid", timeout=1.0, read_timeout=5.0)
+    assert conn.timeout == 1.0 and conn.read_timeout == 5.0
+    assert _HTTPSConnection("example.invalid", timeout=1.0, read_timeout=5.0).read_timeout == 5.0
