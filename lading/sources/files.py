@@ -110,10 +110,8 @@ def stage_files(spark: SparkSession, uris, staging_dir: str | None = None,
         manifest = objects.copy_files(files, roots, f"{target}/data", parallelism)
     else:
         # schemes only Hadoop can read (e.g. sftp): content via binaryFile
-        sources = None
-        if latest:   # scan content of the newest picks only
-            picks = latest_file(spark, roots, latest_by)
-            sources = [p for p in picks]
+        # with copyLatest, scan content of the newest picks only
+        sources = latest_file(spark, roots, latest_by) if latest else None
         manifest = objects.copy_files_via_spark(spark, files, roots, f"{target}/data", sources)
     return objects.materialise(manifest, f"{target}/_manifest")
 
