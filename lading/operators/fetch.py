@@ -248,6 +248,15 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     # round-robin: even request counts per task whatever the ids look like
     # (deterministic on retry: Spark sorts rows locally before a round-robin split)
     wanted = ["request_id", "url", "method", "headers", "body"]
+    # a bare (request_id, url) table is a table of GETs
+    defaults = {"body": F.lit(None).cast("string"),
+                "headers": F.lit(None).cast("map<string,string>")}
+    for c, v in defaults.items():
+        if c not in requests.columns:
+            requests = requests.withColumn(c, v)
+    if "method" not in requests.columns:
+        requests = requests.withColumn(
+            "method", F.when(F.length("body") > 0, F.lit("POST")).otherwise(F.lit("GET")))
     return (requests.select(*wanted, *[c for c in keep if c not in wanted])
                     .repartition(n)
                     .mapInPandas(run, schema))

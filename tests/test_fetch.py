@@ -138,3 +138,10 @@ def test_connect_and_read_timeouts_are_separate():
     conn = _HTTPConnection("example.invalid", timeout=1.0, read_timeout=5.0)
     assert conn.timeout == 1.0 and conn.read_timeout == 5.0
     assert _HTTPSConnection("example.invalid", timeout=1.0, read_timeout=5.0).read_timeout == 5.0
+
+
+def test_bare_request_table(spark):
+    df = spark.range(3).select(F.col("id").alias("request_id"),
+                               F.concat(F.lit("http://api/"), F.col("id")).alias("url"))
+    rows = fetch_requests(df, opener=echo_opener()).collect()
+    assert sorted(json.loads(r.body_text)["method"] for r in rows) == ["GET"] * 3
