@@ -30,14 +30,16 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
-def session(event_dir: str):
+def session(event_dir: str | None):
     from pyspark.sql import SparkSession
 
-    spark = (SparkSession.builder.master(f"local[{CPUS}]")
+    builder = SparkSession.builder
+    if event_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", f"file://{event_dir}")
+                   .config("spark.eventLog.compress", "false"))
+    spark = (builder.master(f"local[{CPUS}]")
              .appName("lading-bench")
-             .config("spark.eventLog.enabled", "true")
-             .config("spark.eventLog.dir", f"file://{event_dir}")
-             .config("spark.eventLog.compress", "false")
              .config("spark.driver.memory", "16g")
              .config("spark.sql.shuffle.partitions", str(CPUS * 2))
              .config("spark.sql.adaptive.enabled", "true")
@@ -61,7 +63,7 @@ def timed(fn, runs=RUNS, name=None):
         sc.setJobGroup(name, name)
         RUN_COUNT[name] = runs + 1
     try:
-        fn()  # warm-up
+        fn()  # warm-up (the only execution when runs == 0)
         samples = []
         for _ in range(runs):
             t0 = time.perf_counter()
@@ -70,7 +72,7 @@ def timed(fn, runs=RUNS, name=None):
     finally:
         if name:
             sc.setJobGroup("setup", "setup")
-    return round(statistics.median(samples), 4)
+    return round(statistics.median(samples), 4) if samples else None
 
 
 def io_by_group(event_dir: str) -> dict:
@@ -106,7 +108,8 @@ def noop(df):
     df.write.format("noop").mode("overwrite").save()
 
 
-def main():
+def measure(event_dir: str | None, runs: int) -> dict:
+    """One pass over every operation: ``runs`` timed runs each (0: execute once)."""
     from pyspark.sql import functions as F
 
     from lading import session as lsession
@@ -120,9 +123,6 @@ def main():
     from lading.sources import formats
     from lading.sources.files import load_remote, read_files, stage_files
 
-    import tempfile
-
-    event_dir = tempfile.mkdtemp(prefix="lading-bench-events-")   # this run's scratch folder
     spark = session(event_dir)
     sf = re.search(r"sf([\d.]+)", SF_DIR)
     base = lsession.new_staging_dir(spark, "bench")
@@ -133,7 +133,7 @@ def main():
     li_ddl = ddl(li)
     q, ref = {}, {}
 
-    def run(bucket, name, fn, runs=RUNS):
+    def run(bucket, name, fn, runs=runs):
         bucket[name] = timed(fn, runs=runs, name=name)
 
     # --- scans: lineitem once per file type (setup), then full scans
@@ -161,7 +161,7 @@ def main():
                     .select("l_orderkey", "l_extendedprice"))
 
     run(q, "scan_pruned_filtered", pruned_native)
-    run(ref, "scan_pruned_filtered_rdd", pruned_rdd, runs=1)
+    run(ref, "scan_pruned_filtered_rdd", pruned_rdd, runs=min(runs, 1))
 
     # --- writes: parallel parts vs one file
     counter = iter(range(10 ** 6))
@@ -170,7 +170,8 @@ def main():
     run(q, "write_csv_single_file",
         lambda: write_files(li, f"{base}/w{next(counter)}.csv", "csv", single_file=True))
     run(ref, "write_csv_coalesce1",
-        lambda: li.coalesce(1).write.options(**csv_opts).csv(f"{base}/w{next(counter)}"), runs=1)
+        lambda: li.coalesce(1).write.options(**csv_opts).csv(f"{base}/w{next(counter)}"),
+        runs=min(runs, 1))
 
     # --- staging: yearly drops copied by executor tasks; newest drop only
     drops = catalog.year_drops(spark, SF_DIR)
@@ -183,7 +184,8 @@ def main():
     staged = catalog.staged_pages(spark, SF_DIR)
     requests = build_requests(staged, "page_id", url_of(F.col("staged_path")))
     run(q, "fetch_pages", lambda: noop(fetch_requests(requests, parallelism=4)))
-    run(ref, "fetch_pages_one_stream", lambda: noop(fetch_requests(requests, parallelism=1)), runs=1)
+    run(ref, "fetch_pages_one_stream", lambda: noop(fetch_requests(requests, parallelism=1)),
+        runs=min(runs, 1))
 
     # --- body parsing: events.props with from_json
     events = table(spark, SF_DIR, "events")
@@ -204,6 +206,10 @@ def main():
 
     run(q, "encrypt_decrypt_documents", crypto_round_trip)
 
+    if runs == 0:
+        lsession.delete(spark, base)
+        spark.stop()
+        return {}
     rows = li.count()
     doc_mb = docs.select(F.sum(F.octet_length("text"))).first()[0] / 1e6
     rates = {
@@ -225,11 +231,24 @@ def main():
         "rates": rates,
         "sf": float(sf.group(1)) if sf else None,
         "cpus": CPUS,
-        "runs": RUNS,
+        "runs": runs,
     }
     lsession.delete(spark, base)   # the bench's own scratch folder only
     spark.stop()
-    out["io_per_run"] = io_by_group(event_dir)
+    return out
+
+
+def main():
+    import tempfile
+
+    out = measure(None, RUNS)               # timings: no event log overhead
+    if os.environ.get("BENCH_IO", "1") != "0":
+        # a second, untimed pass with Spark's event log in this run's own
+        # scratch folder: shuffle and output bytes of one execution each
+        event_dir = tempfile.mkdtemp(prefix="lading-bench-events-")
+        RUN_COUNT.clear()
+        measure(event_dir, 0)
+        out["io_per_run"] = io_by_group(event_dir)
     print(json.dumps(out))
 
 
