@@ -116,7 +116,6 @@ def measure(event_dir: str | None, runs: int) -> dict:
     from lading.functions.parse import parse_body
     from lading.operators.crypto import read_encrypted, write_encrypted
     from lading.operators.fetch import build_requests, fetch_requests, url_of
-    from lading.operators import objects
     from lading.operators.sink import write_files
     from lading.plans import catalog
     from lading.plans.tables import ddl, table
