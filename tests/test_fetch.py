@@ -145,3 +145,29 @@ def test_bare_request_table(spark):
                                F.concat(F.lit("http://api/"), F.col("id")).alias("url"))
     rows = fetch_requests(df, opener=echo_opener()).collect()
     assert sorted(json.loads(r.body_text)["method"] for r in rows) == ["GET"] * 3
+
+
+def test_fetch_to_staging_sends_each_request_once(spark, workdir):
+    """Later actions read the saved responses; nothing is re-sent."""
+    import os
+
+    os.makedirs(workdir, exist_ok=True)
+    log = f"{workdir}/calls.log"
+
+    inner = echo_opener()      # captured by value: workers need not import this module
+
+    class CountingOpener:
+        def open(self, req, timeout=None):
+            with open(log, "a") as fh:
+                fh.write(req.full_url + "\n")
+            return inner.open(req, timeout)
+
+    df = spark.range(20).select(F.col("id").alias("request_id"),
+                                F.concat(F.lit("http://api/"), F.col("id")).alias("url"))
+    responses = fetch_to_staging(build_requests(df, "request_id", "url"), opener=CountingOpener())
+    for _ in range(3):
+        assert responses.count() == 20
+        responses.filter("status = 200").collect()
+    assert "MapInPandas" not in responses._jdf.queryExecution().executedPlan().toString()
+    with open(log) as fh:
+        assert len(fh.read().split()) == 20
