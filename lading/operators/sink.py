@@ -189,8 +189,10 @@ class Writer:
         path = resolve(self._df.sparkSession, path or formats.get(opts, "path"), opts)
         ft = formats.get(opts, "fileType")
         single = formats.flag(opts, "singleFile")
+        parts = formats.get(opts, "partitionBy")
+        partition_by = [c.strip() for c in parts.split(",") if c.strip()] if parts else None
         rest = {k: v for k, v in opts.items()
-                if k.lower() not in ("path", "filetype", "singlefile")}
+                if k.lower() not in ("path", "filetype", "singlefile", "partitionby")}
         staging = formats.get(opts, "stagingLocation")
         key, key_file = formats.get(opts, "cryptoKey"), formats.get(opts, "cryptoKeyFile")
         if key is not None or key_file is not None:
@@ -207,7 +209,8 @@ class Writer:
             self.manifest = deliver(self._df, path, ft, self._mode, single_file=single,
                                     staging_dir=work, **rest)
         else:
-            self.manifest = write_files(self._df, path, ft, self._mode, single_file=single, **rest)
+            self.manifest = write_files(self._df, path, ft, self._mode, single_file=single,
+                                        partition_by=partition_by, **rest)
         return self.manifest
 
 

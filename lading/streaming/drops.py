@@ -33,9 +33,9 @@ def deliver_stream(stream: DataFrame, path: str, file_type: str, checkpoint: str
     """Write a stream as files of ``file_type`` under ``path``; exactly-once via the checkpoint."""
     spark = stream.sparkSession
     ft = formats.file_type(file_type)
-    if ft == "xml":
-        raise ValueError("xml has no streaming sink; deliver each batch with write_files")
     where = checkpoint or session.new_staging_dir(spark, "stream-checkpoint")
+    if ft == "xml":
+        return _deliver_batches(stream, path, ft, where, available_now, partition_by, options)
     writer = (stream.writeStream.options(**formats.write_options(ft, formats.normalise(options)))
               .option("checkpointLocation", where).option("path", path))
     if partition_by:
@@ -44,3 +44,21 @@ def deliver_stream(stream: DataFrame, path: str, file_type: str, checkpoint: str
         writer = writer.trigger(availableNow=True)
     fmt = formats.AVRO_CLASS if ft == "avro" else formats.spark_format(ft)
     return writer.format(fmt).start()
+
+
+def _deliver_batches(stream, path, ft, checkpoint, available_now, partition_by, options):
+    """File types without a streaming sink (xml): each micro-batch is a batch write.
+
+    A batch lands in ``<path>/batch=<id>`` with overwrite, so a batch replayed
+    after a failure replaces its own output: still exactly once per batch id.
+    """
+    from ..operators.sink import write_files
+
+    def deliver(batch, batch_id):
+        write_files(batch, f"{path}/batch={batch_id}", ft, mode="overwrite",
+                    partition_by=partition_by, **options)
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(deliver)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

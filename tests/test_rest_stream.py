@@ -82,3 +82,13 @@ def test_stream_avro_and_csv(spark, workdir):
                        f"{workdir}/out", "csv", checkpoint=f"{workdir}/ck")
     q.awaitTermination()
     assert same_rows(src, read_files(spark, f"{workdir}/out", "csv", schema=ddl(src)))
+
+
+def test_stream_to_xml_by_batches(spark, workdir):
+    src = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    write_files(src, f"{workdir}/in/a", "json")
+    q = deliver_stream(stream_files(spark, f"{workdir}/in/*", "json", src.schema),
+                       f"{workdir}/out", "xml", checkpoint=f"{workdir}/ck", rowTag="nation")
+    q.awaitTermination()
+    back = read_files(spark, f"{workdir}/out", "xml", schema=ddl(src), rowTag="nation")
+    assert same_rows(src, back.select(*src.columns))

@@ -128,3 +128,9 @@ def test_single_file_keeps_sort_order(spark, workdir):
     back = [r.l_extendedprice for r in read_files(
         spark, f"{workdir}/sorted.csv", "csv", schema="l_orderkey bigint, l_extendedprice double").collect()]
     assert back == sorted(back, reverse=True) and len(back) == li.count()
+
+
+def test_writer_partition_by_option(spark, workdir):
+    src = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    Writer(src).option("fileType", "parquet").option("partitionBy", "o_orderstatus").save(f"{workdir}/p")
+    assert sorted(d.rsplit("=", 1)[1] for d in session.subdirs(spark, f"{workdir}/p")) == ["F", "O", "P"]
