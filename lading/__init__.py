@@ -10,3 +10,28 @@ import sys
 from pyspark import cloudpickle as _cloudpickle
 
 _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_EXPORTS = {
+    "Reader": "lading.sources.files",
+    "read_files": "lading.sources.files",
+    "load_remote": "lading.sources.files",
+    "latest_file": "lading.sources.files",
+    "stage_files": "lading.sources.files",
+    "Writer": "lading.operators.sink",
+    "write_files": "lading.operators.sink",
+    "deliver": "lading.operators.sink",
+    "fetch_requests": "lading.operators.fetch",
+    "fetch_to_staging": "lading.operators.fetch",
+    "build_requests": "lading.operators.fetch",
+    "read_rest": "lading.sources.rest",
+}
+
+
+def __getattr__(name):
+    """``from lading import Reader, Writer, ...`` without importing everything up front."""
+    if name in _EXPORTS:
+        import importlib
+
+        return getattr(importlib.import_module(_EXPORTS[name]), name)
+    raise AttributeError(name)

@@ -170,6 +170,10 @@ class Writer:
         self._mode = "errorifexists"
         self.manifest: DataFrame | None = None
 
+    def format(self, file_type: str) -> "Writer":
+        """Same as ``option("fileType", file_type)``."""
+        return self.option("fileType", file_type)
+
     def option(self, key: str, value) -> "Writer":
         self._options[key] = value
         return self

@@ -182,6 +182,10 @@ class Reader:
         self._schema = None
         self.manifest: DataFrame | None = None
 
+    def format(self, file_type: str) -> "Reader":
+        """Same as ``option("fileType", file_type)``."""
+        return self.option("fileType", file_type)
+
     def option(self, key: str, value) -> "Reader":
         self._options[key] = value
         return self

@@ -84,3 +84,11 @@ def test_reader_with_host_targets_the_remote_not_a_local_path(spark, workdir):
         (Reader(spark).option("host", "files.invalid").option("username", "u")
          .option("fileType", "csv").load(f"{workdir}/x.csv").collect())
     assert "sftp" in str(err.value).lower() or "files.invalid" in str(err.value)
+
+
+def test_top_level_exports_and_format(spark, workdir):
+    from lading import Reader, Writer
+
+    src = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
+    Writer(src).format("json").save(f"{workdir}/r")
+    assert Reader(spark).format("json").schema(src.schema).load(f"{workdir}/r").count() == 5
