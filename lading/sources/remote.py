@@ -60,8 +60,10 @@ def configure(spark: SparkSession, options: dict) -> None:
         conf.set(key, value)
 
 
-def resolve(spark: SparkSession, path: str, options: dict) -> str:
-    """Configure the transport for ``options`` and return the URI to scan or write."""
+def resolve(spark: SparkSession, path, options: dict):
+    """Configure the transport for ``options`` and return the URI(s) to scan or write."""
+    if path is not None and not isinstance(path, str):
+        return [resolve(spark, p, options) for p in path]
     uri = remote_uri(path, options)
     if uri != path:
         configure(spark, options)
