@@ -134,3 +134,11 @@ def test_writer_partition_by_option(spark, workdir):
     src = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     Writer(src).option("fileType", "parquet").option("partitionBy", "o_orderstatus").save(f"{workdir}/p")
     assert sorted(d.rsplit("=", 1)[1] for d in session.subdirs(spark, f"{workdir}/p")) == ["F", "O", "P"]
+
+
+@pytest.mark.parametrize("ft,opts", [("json", {}), ("csv", {"multiLine": "true", "escape": '"'}),
+                                     ("avro", {}), ("parquet", {})])
+def test_carriage_returns_survive(spark, workdir, ft, opts):
+    src = spark.createDataFrame([(1, "a\r\nb"), (2, "c\rd"), (3, "e\n")], "id int, t string")
+    write_files(src, f"{workdir}/cr_{ft}", ft, **opts)
+    assert same_rows(src, read_files(spark, f"{workdir}/cr_{ft}", ft, schema="id int, t string", **opts))
