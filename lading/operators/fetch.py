@@ -209,9 +209,15 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                    proxy_port: int | None = None, auth: dict | None = None,
                    retry_count: int = 0, retry_frequency_s: float = 1.0,
                    parallelism: int | None = None, threads: int = 1,
-                   chunk_rows: int = 64, opener=None, keep: tuple[str, ...] = ()) -> DataFrame:
+                   chunk_rows: int = 64, opener=None, keep: tuple[str, ...] = (),
+                   per_host: int | None = None) -> DataFrame:
     """Fetch every request on the executors; one response row per request (lazy).
 
+    Requests are spread over ``parallelism`` tasks round-robin.  With
+    ``per_host=k`` they are hash-partitioned on (host, salt in 0..k-1)
+    instead: at most ``k`` tasks hold any one host's requests, so no host sees
+    more than ``k * threads`` concurrent requests, and a host holding most of
+    the requests is still split ``k`` ways rather than landing in one task.
     ``keep`` names request columns carried into the response rows as they are
     (no join back to the requests needed).
     """
@@ -245,8 +251,6 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
             if pool:
                 pool.shutdown()
 
-    # round-robin: even request counts per task whatever the ids look like
-    # (deterministic on retry: Spark sorts rows locally before a round-robin split)
     wanted = ["request_id", "url", "method", "headers", "body"]
     # a bare (request_id, url) table is a table of GETs
     defaults = {"body": F.lit(None).cast("string"),
@@ -257,9 +261,16 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     if "method" not in requests.columns:
         requests = requests.withColumn(
             "method", F.when(F.length("body") > 0, F.lit("POST")).otherwise(F.lit("GET")))
-    return (requests.select(*wanted, *[c for c in keep if c not in wanted])
-                    .repartition(n)
-                    .mapInPandas(run, schema))
+    rows = requests.select(*wanted, *[c for c in keep if c not in wanted])
+    if per_host:
+        host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+        salt = F.pmod(F.xxhash64(F.col("request_id").cast("string"), "url"), F.lit(per_host))
+        rows = rows.repartition(n, host, salt)
+    else:
+        # round-robin: even request counts per task whatever the ids look like
+        # (deterministic on retry: Spark sorts rows locally before a round-robin split)
+        rows = rows.repartition(n)
+    return rows.mapInPandas(run, schema)
 
 
 def fetch_to_staging(requests: DataFrame, staging_dir: str | None = None, **fetch_options) -> DataFrame:

@@ -185,3 +185,20 @@ def test_object_writes_are_idempotent_on_rerun(spark, workdir):
     names = sorted(os.listdir(f"{workdir}/objs"))
     assert names == sorted(f"{i}.txt" for i in range(30))
     assert open(f"{workdir}/objs/7.txt").read() == "v7"
+
+
+def test_per_host_bounds_tasks_per_host(spark):
+    from pyspark.sql import functions as F
+
+    hot = spark.range(300).select(F.col("id").alias("request_id"),
+                                  F.concat(F.lit("http://hot.example/items/"), F.col("id")).alias("url"))
+    cold = spark.range(300, 320).select(F.col("id").alias("request_id"),
+                                        F.concat(F.lit("http://cold.example/"), F.col("id")).alias("url"))
+    req = build_requests(hot.unionByName(cold), "request_id", "url")
+    out = fetch_requests(req, opener=echo_opener(), parallelism=16, per_host=3)
+    tagged = out.select(F.spark_partition_id().alias("p"),
+                        F.regexp_extract("body_text", r"http://([a-z.]+)/", 1).alias("host"))
+    per_host = {r.host: r.n for r in tagged.groupBy("host").agg(F.countDistinct("p").alias("n")).collect()}
+    assert per_host["hot.example"] <= 3 and per_host["hot.example"] >= 2
+    assert out.count() == 320
+    assert "hashpartitioning" in out._jdf.queryExecution().executedPlan().toString()
