@@ -605,8 +605,9 @@ def fetch_auth(spark, sf_dir):
 
 @query("fetch_config", "SELECT page_id, html FROM pages")
 def fetch_config(spark, sf_dir):
-    """Proxy and timeouts set explicitly (file:// is never proxied); bodies arrive whole."""
+    """Proxy, timeouts and per-host concurrency set explicitly (file:// is never
+    proxied); bodies arrive whole."""
     responses = fetch_to_staging(page_requests(spark, sf_dir), proxy_host="proxy.invalid",
                                  proxy_port=3128, connect_timeout_ms=2000,
-                                 read_timeout_ms=10000, threads=4, parallelism=4)
+                                 read_timeout_ms=10000, threads=4, parallelism=4, per_host=2)
     return responses.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"))
