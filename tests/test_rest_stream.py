@@ -92,3 +92,13 @@ def test_stream_to_xml_by_batches(spark, workdir):
     q.awaitTermination()
     back = read_files(spark, f"{workdir}/out", "xml", schema=ddl(src), rowTag="nation")
     assert same_rows(src, back.select(*src.columns))
+
+
+def test_rest_threads_and_implied_auth(spark, workdir):
+    for i in range(6):
+        write_bytes(f"{workdir}/t{i}.txt", f"body{i}".encode())
+    register(spark)
+    urls = ",".join(f"file://{workdir}/t{i}.txt" for i in range(6))
+    df = (spark.read.format(SOURCE_NAME).option("threads", "3").option("numPartitions", "2")
+          .option("token", "abc").load(urls))
+    assert sorted(r.body_text for r in df.collect()) == [f"body{i}" for i in range(6)]
