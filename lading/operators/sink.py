@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from .. import session
 from ..sources import formats
@@ -217,7 +217,3 @@ class Writer:
                                         partition_by=partition_by, **rest)
         return self.manifest
 
-
-def row_count_by_file(df: DataFrame) -> DataFrame:
-    """Rows per source file of a scan (uses the hidden ``_metadata`` column)."""
-    return df.groupBy(F.col("_metadata.file_path").alias("file_path")).count()
