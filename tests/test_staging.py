@@ -79,3 +79,15 @@ def test_newest_per_dataset(spark, workdir):
     assert [g.rsplit("/", 1)[1] for g in got] == ["x2.txt", "y3.txt"]
     manifest = stage_files(spark, [f"{workdir}/a", f"{workdir}/b"], f"{workdir}/st", latest=True)
     assert sorted(r.staged_path.rsplit("/", 1)[1] for r in manifest.collect()) == ["x2.txt", "y3.txt"]
+
+
+def test_staging_root_falls_back_to_the_checkpoint_dir(spark):
+    saved = spark.conf.get("lading.staging.dir")
+    spark.conf.unset("lading.staging.dir")
+    try:
+        expected = (spark.sparkContext.getConf().get("spark.checkpoint.dir")
+                    or spark.sparkContext.getCheckpointDir())
+        assert session.staging_root(spark) == expected.rstrip("/")
+        assert session.new_staging_dir(spark, "x").startswith(expected.rstrip("/") + "/lading/x-")
+    finally:
+        spark.conf.set("lading.staging.dir", saved)
