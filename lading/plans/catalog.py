@@ -81,8 +81,8 @@ def sink_csv(spark, sf_dir):
 @query("scan_full", """
 SELECT l_returnflag, l_linestatus,
        sum(l_quantity) AS sum_qty,
-       sum(l_extendedprice) AS sum_base_price,
-       sum(l_extendedprice * (1 - l_discount)) AS sum_disc_price,
+       round(sum(l_extendedprice), 2) AS sum_base_price,
+       round(sum(l_extendedprice * (1 - l_discount)), 4) AS sum_disc_price,
        count(*) AS count_order
 FROM lineitem
 WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00'
@@ -97,8 +97,11 @@ def scan_full(spark, sf_dir):
     return (li.filter(F.col("l_shipdate") <= F.lit("1998-09-02 00:00:00").cast("timestamp_ntz"))
               .groupBy("l_returnflag", "l_linestatus")
               .agg(F.sum("l_quantity").alias("sum_qty"),
-                   F.sum("l_extendedprice").alias("sum_base_price"),
-                   F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("sum_disc_price"),
+                   # money: presented at its exact decimal precision (cents; 4 places
+                   # after a 2-place discount), so summation order cannot show
+                   F.round(F.sum("l_extendedprice"), 2).alias("sum_base_price"),
+                   F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4)
+                    .alias("sum_disc_price"),
                    F.count(F.lit(1)).alias("count_order")))
 
 
@@ -116,7 +119,7 @@ WRITE_TYPES = ("csv", "json", "xml", "avro", "parquet")
 
 @query("write_dispatch", "\nUNION ALL\n".join(
     f"SELECT '{ft}' AS file_type, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS sum_size, "
-    f"sum(p_retailprice) AS sum_price, count(DISTINCT p_brand) AS n_brands FROM part"
+    f"round(sum(p_retailprice), 2) AS sum_price, count(DISTINCT p_brand) AS n_brands FROM part"
     for ft in WRITE_TYPES))
 def write_dispatch(spark, sf_dir):
     """One table through every writer the dispatch offers, each read back."""
@@ -129,7 +132,7 @@ def write_dispatch(spark, sf_dir):
         back = read_files(spark, f"{base}/{ft}", ft, schema=ddl(src), **extra)
         parts.append(back.agg(F.count(F.lit(1)).alias("n"),
                               F.sum("p_size").alias("sum_size"),
-                              F.sum("p_retailprice").alias("sum_price"),
+                              F.round(F.sum("p_retailprice"), 2).alias("sum_price"),
                               F.count_distinct("p_brand").alias("n_brands"))
                          .select(F.lit(ft).alias("file_type"), "*"))
     out = parts[0]
@@ -563,7 +566,7 @@ def sink_encrypt(spark, sf_dir):
 
 @query("stream_drops", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS drop_year, count(*) AS n,
-       sum(o_totalprice) AS total
+       round(sum(o_totalprice), 2) AS total
 FROM orders GROUP BY year(o_orderdate)""")
 def stream_drops(spark, sf_dir):
     """Yearly csv drops read incrementally and delivered as parquet, exactly once."""
@@ -576,7 +579,7 @@ def stream_drops(spark, sf_dir):
     q.awaitTermination()
     return (read_files(spark, out, "parquet")
             .groupBy("drop_year")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")))
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")))
 
 
 # --- request configuration: credentials, proxy, timeouts -------------------------
