@@ -19,6 +19,7 @@ def load(name, path):
 
 entry = load("spark_entry", os.path.join(ROOT, "__spark_entry__.py"))
 check = load("oracle_check", os.path.join(ROOT, "tools", "oracle_check.py"))
+check.EXACT = True      # floats compared bit for bit
 
 
 @pytest.fixture(scope="module")
