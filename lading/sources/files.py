@@ -125,9 +125,9 @@ def load_remote(spark: SparkSession, path, file_type: str, schema=None, **option
 
     * ``copyLatest=true``: only the newest object under ``path`` is used
       (``latestBy=directory`` picks the newest drop folder instead of a file).
-    * ``stage=true`` or ``createDF=false``: objects are copied into the staging
-      folder (``stagingLocation`` / ``tempLocation`` / ``hdfsTempLocation``)
-      before reading; otherwise ``path`` is scanned directly.
+    * ``stage=true``, ``createDF=false`` or a named staging folder
+      (``stagingLocation`` / ``tempLocation`` / ``hdfsTempLocation``): objects
+      are copied there before reading; otherwise ``path`` is scanned directly.
     * ``createDF=false``: returns an empty DataFrame with the declared schema
       (empty schema if none) -- the fetch-only contract.
     * ``cryptoKey`` / ``cryptoKeyFile`` (+ ``cryptoKeyId``, ``cryptoAlgorithm``):
@@ -142,7 +142,9 @@ def load_remote(spark: SparkSession, path, file_type: str, schema=None, **option
     create_df = formats.flag(opts, "createDF", formats.CONNECTOR_DEFAULTS["createDF"])
     latest = formats.flag(opts, "copyLatest", formats.CONNECTOR_DEFAULTS["copyLatest"])
     latest_by = formats.get(opts, "latestBy", "file")
-    stage = formats.flag(opts, "stage") or not create_df
+    # naming a temp/staging location asks for the copy, as the connector's does
+    stage = (formats.flag(opts, "stage") or not create_df
+             or formats.get(opts, "stagingLocation") is not None)
     manifest = None
     source = path
     if stage:

@@ -142,3 +142,14 @@ def test_carriage_returns_survive(spark, workdir, ft, opts):
     src = spark.createDataFrame([(1, "a\r\nb"), (2, "c\rd"), (3, "e\n")], "id int, t string")
     write_files(src, f"{workdir}/cr_{ft}", ft, **opts)
     assert same_rows(src, read_files(spark, f"{workdir}/cr_{ft}", ft, schema="id int, t string", **opts))
+
+
+def test_staged_delivery_ignore_and_overwrite(spark, workdir):
+    from lading.operators.sink import deliver
+
+    src = spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    deliver(src, f"{workdir}/t/r", "json")
+    deliver(src.limit(1), f"{workdir}/t/r", "json", mode="ignore")
+    assert read_files(spark, f"{workdir}/t/r", "json").count() == 5
+    deliver(src.limit(2), f"{workdir}/t/r", "json", mode="overwrite")
+    assert read_files(spark, f"{workdir}/t/r", "json").count() == 2

@@ -91,3 +91,19 @@ def test_staging_root_falls_back_to_the_checkpoint_dir(spark):
         assert session.new_staging_dir(spark, "x").startswith(expected.rstrip("/") + "/lading/x-")
     finally:
         spark.conf.set("lading.staging.dir", saved)
+
+
+def test_reader_latest_drop_and_temp_location_alias(spark, workdir):
+    for year in (2021, 2022, 2023):
+        write_bytes(f"{workdir}/drops/y={year}/part-0.csv", f"v\n{year}\n".encode())
+        write_bytes(f"{workdir}/drops/y={year}/part-1.csv", f"v\n{year + 100}\n".encode())
+        session.set_mtime(spark, f"{workdir}/drops/y={year}", ms(year))
+    df = (Reader(spark).option("fileType", "csv").option("copyLatest", "true")
+          .option("latestBy", "directory").load(f"{workdir}/drops"))
+    assert sorted(r.v for r in df.collect()) == ["2023", "2123"]
+    reader = (Reader(spark).option("fileType", "csv").option("copyLatest", "true")
+              .option("latestBy", "directory").option("hdfsTempLocation", f"{workdir}/tmp"))
+    staged = reader.load(f"{workdir}/drops")
+    assert sorted(r.v for r in staged.collect()) == ["2023", "2123"]
+    assert all(r.staged_path.startswith(session.qualify(spark, f"{workdir}/tmp"))
+               for r in reader.manifest.collect())
