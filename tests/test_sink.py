@@ -153,3 +153,13 @@ def test_staged_delivery_ignore_and_overwrite(spark, workdir):
     assert read_files(spark, f"{workdir}/t/r", "json").count() == 5
     deliver(src.limit(2), f"{workdir}/t/r", "json", mode="overwrite")
     assert read_files(spark, f"{workdir}/t/r", "json").count() == 2
+
+
+def test_single_file_guard_can_be_lifted_and_append_is_refused(spark, workdir):
+    src = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    write_files(src, f"{workdir}/n.csv", "csv", single_file=True, max_single_file_bytes=None)
+    assert read_files(spark, f"{workdir}/n.csv", "csv").count() == 25
+    with pytest.raises(ValueError, match="append"):
+        write_files(src, f"{workdir}/n.csv", "csv", single_file=True, mode="append")
+    write_files(src.limit(1), f"{workdir}/n.csv", "csv", single_file=True, mode="ignore")
+    assert read_files(spark, f"{workdir}/n.csv", "csv").count() == 25
