@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lading.llm import decontaminate, mixing
+from lading.llm import decontaminate, mixing, token_output
 from lading.llm.common import table
 
 
@@ -22,9 +22,15 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "contaminated")
 
 
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = token_output.tokenized(table(spark, sf_dir, "documents"))
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op5_mix_sources": mix_sources,
     "op6_benchmark_decontamination": benchmark_decontamination,
+    "op10_token_ids": token_ids,
 }
 
 ORACLE = {
