@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lading.llm import decontaminate, mixing, token_output
+from lading.llm import decontaminate, language_id, mixing, token_output
 from lading.llm.common import table
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> dict | None:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.train(docs.where(~language_id.held_out(F.col("doc_id"), 3, 1)))
+
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.predict(table(spark, sf_dir, "documents"), language_model(spark, sf_dir))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+                        "lang_pred", "score", "ambiguous")
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target",
@@ -28,6 +39,7 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": language,
     "op5_mix_sources": mix_sources,
     "op6_benchmark_decontamination": benchmark_decontamination,
     "op10_token_ids": token_ids,
