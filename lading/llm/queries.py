@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lading.llm import decontaminate, language_id, mixing, token_output
+from lading.llm import decontaminate, language_id, mixing, near_dedup, token_output
 from lading.llm.common import table
 
 
@@ -20,6 +20,10 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score", "ambiguous")
 
 
+def near_dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target",
@@ -40,12 +44,39 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_language_id": language,
+    "op3_minhash_near_dedup": near_dedup_components,
     "op5_mix_sources": mix_sources,
     "op6_benchmark_decontamination": benchmark_decontamination,
     "op10_token_ids": token_ids,
 }
 
 ORACLE = {
+    "op3_minhash_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + least(4, len(w)) - 1], ' ') AS sh
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - least(4, len(w)) + 1)) AS p FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), i AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), l AS (
+  SELECT i.a, i.b FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)
+), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l
+), r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+), m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(m.b, w.doc_id)) AS component_id,
+       w.doc_id = least(w.doc_id, coalesce(m.b, w.doc_id)) AS kept, c.class_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = w.doc_id
+LEFT JOIN (SELECT x.doc_id, least(x.doc_id, coalesce(min(z.other), x.doc_id)) AS class_id FROM w x LEFT JOIN (
+    SELECT i.a AS doc_id, i.b AS other FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b WHERE c = x.n AND c = y.n
+    UNION ALL SELECT i.b, i.a FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b WHERE c = x.n AND c = y.n
+  ) z ON z.doc_id = x.doc_id GROUP BY x.doc_id) c ON c.doc_id = w.doc_id
+""",
     "op5_mix_sources": r"""
 WITH d AS (
   SELECT doc_id, source,
