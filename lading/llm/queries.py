@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lading.llm import decontaminate, language_id, mixing, near_dedup, token_output
+from lading.llm import (chat_format, decontaminate, language_id, mixing, near_dedup, quality_model,
+                        token_output)
 from lading.llm.common import table
 
+#: a conversation whose texts hold control strings
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def chat_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], rows.schema)
+    turns = chat_format.canonical_turns(chat_format.as_records(rows.union(tricky)))
+    read = chat_format.read_turns(chat_format.format_turns(turns))
+    return chat_format.conversation_digests(read).withColumn("conv", F.col("conv").cast("long")).withColumnRenamed("conv", "conv_id")
+
 
 def language_model(spark: SparkSession, sf_dir: str) -> dict | None:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -24,6 +36,15 @@ def near_dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = language_id.held_out(F.col("doc_id"), 5, 0)
+    marked = labels.select("doc_id", F.col("quality").alias("label")).where(~held)
+    weights = quality_model.train(docs.select("doc_id", "text").join(marked, "doc_id"))
+    found = quality_model.score(docs, weights)
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target",
@@ -43,14 +64,30 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": chat_digests,
     "op2_language_id": language,
     "op3_minhash_near_dedup": near_dedup_components,
     "op5_mix_sources": mix_sources,
     "op6_benchmark_decontamination": benchmark_decontamination,
+    "op9_quality_classifier": quality_scores,
     "op10_token_ids": token_ids,
 }
 
 ORACLE = {
+    "op1_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(23 + length(regexp_replace(regexp_replace(role, '<(\\*)(/?turn)', '<\\\1\2', 'g'), '"(\\*)>', '"\\\1>', 'g'))
+           + length(regexp_replace(text, '<(\\*)(/?turn)', '<\\\1\2', 'g')))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+""",
     "op3_minhash_near_dedup": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
