@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lading.llm import (chat_format, decontaminate, language_id, mixing, near_dedup, quality_model,
-                        token_output)
+                        quality_rules, token_output)
 from lading.llm.common import table
 
 #: a conversation whose texts hold control strings
@@ -36,6 +36,12 @@ def near_dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept", "distance")
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = language_id.held_out(F.col("doc_id"), 5, 0)
@@ -69,6 +75,7 @@ QUERIES = {
     "op3_minhash_near_dedup": near_dedup_components,
     "op5_mix_sources": mix_sources,
     "op6_benchmark_decontamination": benchmark_decontamination,
+    "op7_quality_outliers": quality_outliers,
     "op9_quality_classifier": quality_scores,
     "op10_token_ids": token_ids,
 }
