@@ -1,13 +1,29 @@
-"""The corpus pipeline: stages over the documents table, each written and reread by its caller."""
+"""The corpus pipeline: stages over the documents table, each written and reread by its caller.
+
+Every stage takes the documents its predecessor kept and returns documents; the
+last one returns the token index of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lading.llm import decontaminate, mixing
+from lading.llm import decontaminate, language_id, mixing, near_dedup, token_output
 from lading.llm.common import staged, table
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or between languages, go; the model learns from the documents' own labels."""
+    model = language_id.train(docs.select("doc_id", "text", "lang"))
+    return language_id.keep_identified(docs, model)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component stays."""
+    return near_dedup.deduplicate(docs)
+
+
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages contaminate go."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -18,11 +34,21 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.mix(docs)
 
 
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in Simple-8b pages, and from the pages read back each document's place and checksum."""
+    read = token_output.tokenized(docs)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 STAGES = [
+    ("language ID", language_stage),
+    ("MinHash near-dedup", near_dedup_stage),
     ("benchmark decontamination", decontaminate_stage),
     ("mixing sources to target weights", mixing_stage),
+    ("token-ID / binary output", token_stage),
 ]
 
+#: SQL has neither the trained model nor the tokenizer; tests compare with a brute-force version
 ORACLE_SQL = None
 
 

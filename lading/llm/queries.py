@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lading.llm import (chat_format, decontaminate, language_id, mixing, near_dedup, quality_model,
-                        quality_rules, token_output)
+from lading.llm import (chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, quality_model,
+                        quality_rules, repeats, token_output)
 from lading.llm.common import table
 
 #: a conversation whose texts hold control strings
@@ -36,6 +36,15 @@ def near_dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
 def quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -73,9 +82,11 @@ QUERIES = {
     "op1_chat_format": chat_digests,
     "op2_language_id": language,
     "op3_minhash_near_dedup": near_dedup_components,
+    "op4_suffix_array_dedup": repeated_passages,
     "op5_mix_sources": mix_sources,
     "op6_benchmark_decontamination": benchmark_decontamination,
     "op7_quality_outliers": quality_outliers,
+    "op8_line_dedup": boilerplate_lines,
     "op9_quality_classifier": quality_scores,
     "op10_token_ids": token_ids,
 }
@@ -189,5 +200,22 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
        coalesce(it.n_items, 0)::BIGINT AS n_items, sha256(coalesce(it.ids, '')) AS items_sha256,
        coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN c USING (rid) LEFT JOIN it USING (rid)
+""",
+    "op8_line_dedup": r"""
+WITH l AS (
+  SELECT rid, doc_id, source, ord, line, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+  FROM (SELECT rid, doc_id, source, unnest(ls) AS line, generate_subscripts(ls, 1) AS ord
+        FROM (SELECT row_number() OVER () AS rid, doc_id, source, string_split(text, chr(10)) AS ls FROM documents))
+), b AS (
+  SELECT bare FROM l WHERE bare <> '' GROUP BY bare
+  HAVING count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) >= 10
+), d AS (
+  SELECT l.rid, count(*)::BIGINT AS n_lines, count(b.bare)::BIGINT AS n_removed,
+         sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.ord) FILTER (b.bare IS NULL), '')) AS text_sha256
+  FROM l LEFT JOIN b ON l.bare = b.bare GROUP BY l.rid
+)
+SELECT x.doc_id, coalesce(d.n_lines, 0) AS n_lines, coalesce(d.n_removed, 0) AS n_removed,
+       coalesce(d.text_sha256, sha256('')) AS text_sha256
+FROM (SELECT row_number() OVER () AS rid, doc_id FROM documents) x LEFT JOIN d ON d.rid = x.rid
 """,
 }
