@@ -55,6 +55,15 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` as one struct column ``_row`` beside the ``needed`` columns.
+
+    Operators that pass all columns through join on this and unpack ``_row.*``
+    at the end, so no column of the caller can clash with one of theirs.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *needed)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else (``lower`` alone also folds other letters)."""
     ascii_only = F.octet_length(text) == F.char_length(text)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import lower_ascii, same, small, staged
+from lading.llm.common import lower_ascii, packed, same, small, staged
 
 WINDOW = 13
 #: contaminated: at least one word in this many is hit
@@ -27,7 +27,8 @@ SHARE = 20
 BROADCAST_WINDOWS = 2_000_000
 
 NORMAL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*"
+#: what stands between words of a text in its own case
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 
 
 def normal_words(text: Column) -> Column:
@@ -127,13 +128,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove == "documents":
         bad = staged(found.where((F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
                      .select("_id", "_tkey"), "bench-bad")
-        return docs.join(small(bad), on, "left_anti")
+        return packed(docs, "doc_id", "text").join(small(bad), on, "left_anti").select("_row.*")
     if remove != "spans":
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
     hits = staged(found.select("_id", "_tkey", "hit"), "bench-spans")
     head = F.regexp_extract("text", f"^{GAP}", 0)
     pieces = F.regexp_extract_all("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+" + GAP), F.lit(0))
     left = F.concat(head, F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains(F.col("hit"), i)), ""))
-    return (docs.join(hits, on, "left")
+    return (packed(docs, "doc_id", "text").join(hits, on, "left")
             .withColumn("text", F.when(F.col("hit").isNull(), F.col("text")).otherwise(left))
-            .select(*docs.columns))
+            .select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns]))

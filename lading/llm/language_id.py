@@ -132,9 +132,10 @@ def train(labelled: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> di
     if not langs:
         return None
     index = {lang: i for i, lang in enumerate(langs)}
-    freq = np.full((len(langs), 1 << BUCKET_BITS), 0.05)
-    freq[[index[x] for x in sums.column("lang").to_pylist()], sums.column("bucket").to_numpy()] += sums.column("n").to_numpy()
-    freq /= freq.sum(axis=1, keepdims=True)
+    freq = np.zeros((len(langs), 1 << BUCKET_BITS))
+    freq[[index[x] for x in sums.column("lang").to_pylist()], sums.column("bucket").to_numpy()] = sums.column("n").to_numpy()
+    total = freq.sum(axis=1, keepdims=True)
+    freq = freq / total + 0.5 / np.median(total)  # an n-gram that no language has says nothing
     code = codewords(len(langs))
     weights = np.zeros(((1 << BUCKET_BITS) + 1, code.shape[1]), np.float32)
     trust = np.ones(code.shape[1])

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import same, small, staged
+from lading.llm.common import packed, same, small, staged
 
 MIN_SITES = 10
 #: size of the sketches (2^10 registers: about 3 % error) and the band that is counted exactly
@@ -63,14 +63,13 @@ def boilerplate_places(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with boilerplate lines cut from ``text``, plus ``n_lines, n_removed``."""
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    docs = docs.select(columns)
     places = boilerplate_places(docs, min_sites)
     kept = F.array_join(F.filter(lines_of(F.col("text")), lambda x, i: ~F.array_contains(F.col("places"), i)), "\n")
     on = same(F.col("doc_id"), F.col("_id")) & (F.xxhash64("text") == F.col("_tkey"))
-    return (docs.join(small(places, 100_000), on, "left")
-            .withColumn("n_lines", F.coalesce(F.size(lines_of(F.col("text"))), F.lit(0)).cast("long"))
-            .withColumn("n_lines", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.col("n_lines")).cast("long"))
-            .withColumn("n_removed", F.when(F.col("places").isNull(), F.lit(0)).otherwise(F.size("places")).cast("long"))
-            .withColumn("text", F.when(F.col("places").isNull(), F.col("text")).otherwise(kept))
-            .select(*columns, "n_lines", "n_removed"))
+    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines_of(F.col("text"))))
+    n_removed = F.when(F.col("places").isNull(), F.lit(0)).otherwise(F.size("places"))
+    text = F.when(F.col("places").isNull(), F.col("text")).otherwise(kept)
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return (packed(docs, "doc_id", "text").join(small(places, 100_000), on, "left")
+            .select(*[text.alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in columns],
+                    n_lines.cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed")))

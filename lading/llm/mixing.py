@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lading.llm.common import n_words, same, small, staged
+from lading.llm.common import n_words, packed, same, small, staged
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -81,8 +81,8 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT,
 
     One narrow aggregate (combined before its shuffle, so a hot source is a
     few rows per task); documents then meet their source's row in a broadcast
-    if there are few sources, and are not shuffled.  Reserved names in ``docs``
-    are replaced.
+    if there are few sources, and are not shuffled.  Columns of ``docs`` with
+    these names are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "copies")
     sized = docs.select("source", n_words(F.col("text")).alias("size"))
@@ -96,7 +96,6 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT,
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """The mixture: every document as often as its source's rate says, columns of ``docs``."""
-    plan = mixing_plan(docs, weights, max_repeat, seed)
-    return (plan.where("copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .select(*docs.columns))
+    plan = mixing_plan(packed(docs, "doc_id", "text", "source"), weights, max_repeat, seed)
+    return (plan.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+            .select("_row.*"))

@@ -25,12 +25,15 @@ table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lading.llm.common import same, small, staged
+from lading.llm.common import packed, same, small, staged
 
 MIN_WORDS = 50
 GRAM = 16
@@ -55,10 +58,11 @@ def selected(w: np.ndarray, gram: int = GRAM, min_words: int = MIN_WORDS) -> tup
     view = np.lib.stride_tricks.sliding_window_view(h, width)
     at = np.unique(np.concatenate([view[i:i + 65_536].argmin(axis=1) + np.arange(i, min(i + 65_536, len(view)))
                                    for i in range(0, len(view), 65_536)]))
-    # in a run of one repeated gram the first place of every window is enough
+    # in a run of one repeated gram a place every ``gram`` words and the last one are enough
     keep, last = np.ones(len(at), bool), 0
+    near = lambda i, j: h[at[i]] == h[at[j]] and at[j] - at[i] < gram
     for i in range(1, len(at)):
-        if h[at[i]] == h[at[last]] and at[i] - at[last] < gram:
+        if near(last, i) and i + 1 < len(at) and near(i, i + 1):
             keep[i] = False
         else:
             last = i
@@ -226,10 +230,10 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
     ids = small(kept.select(F.col("node").alias("_node")).distinct())
     texts = (docs.join(ids, F.coalesce("doc_id", F.lit(-2 ** 63)) == F.col("_node"), "left_semi")
              .select(F.coalesce("doc_id", F.lit(-2 ** 63)).alias("node"), "text"))
-    # a doc_id with several texts: the one whose words were seen
-    rows = (kept.join(texts, "node").select("uid", "text", F.col("z.at").alias("places"), F.col("z.key").alias("keys"), "same_words")
-            .where(_same_words("text", "same_words")).dropDuplicates(["uid"]) if _repeats_ids(docs, kept) else
-            kept.join(texts, "node").select("uid", "text", F.col("z.at").alias("places"), F.col("z.key").alias("keys")))
+    rows = kept.join(texts, "node").select("uid", "text", F.col("z.at").alias("places"), F.col("z.key").alias("keys"),
+                                           "same_words")
+    if _repeats_ids(docs, ids):  # of the rows with one id, the one whose words were seen
+        rows = rows.where(_has_words("text", "same_words")).dropDuplicates(["uid"])
     suffixes = staged(rows.select("uid", "text", "places", "keys")
                       .mapInArrow(_context_partition(gram, min_words), "key long, after binary, before binary, node long, at long"),
                       "repeat-suffixes")
@@ -251,56 +255,44 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
     return joined.union(whole)
 
 
-def _repeats_ids(docs: DataFrame, kept: DataFrame) -> bool:
+def _repeats_ids(docs: DataFrame, ids: DataFrame) -> bool:
     """Whether a kept node's doc_id has several rows."""
-    ids = small(kept.select(F.col("node").alias("_node")).distinct())
     mine = docs.select(F.coalesce("doc_id", F.lit(-2 ** 63)).alias("node")).join(ids, F.col("node") == F.col("_node"), "left_semi")
     return not mine.groupBy("node").count().where("count > 1").isEmpty()
 
 
-def _same_words(text: str, same_words: str):
-    import pandas as pd
+@F.pandas_udf(T.BooleanType())
+def _has_words(text: pd.Series, same_words: pd.Series) -> pd.Series:
+    """Whether each text is the one whose words have this digest."""
+    return pd.Series([hashlib.blake2b(word_hashes(t).tobytes(), digest_size=16).digest() == bytes(d)
+                      for t, d in zip(text, same_words)], dtype=bool)
 
-    @F.pandas_udf("boolean")
-    def check(t: pd.Series, s: pd.Series) -> pd.Series:
-        return pd.Series([hashlib.blake2b(word_hashes(x).tobytes(), digest_size=16).digest() == bytes(y) for x, y in zip(t, s)])
 
-    return check(F.col(text), F.col(same_words))
+@F.pandas_udf(T.StringType())
+def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
+    """Texts without the words of their spans, each word with the white space behind it."""
+    word = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
+    def one(t, cuts):
+        raw = t.encode("utf-8")
+        pieces = [m.span() for m in word.finditer(raw)]
+        out, last = [], 0
+        for start, n in sorted((s["start"], s["n_words"]) for s in cuts):
+            out.append(raw[last:pieces[start][0]])
+            last = pieces[start + n - 1][1]
+        return b"".join([*out, raw[last:]]).decode("utf-8")
 
-def _cut_partition(schema):
-    def run(batches):
-        import re
-
-        import pyarrow as pa
-
-        word = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
-        for b in batches:
-            rows = b.to_pylist()
-            for row in rows:
-                spans = row.pop("_spans")
-                if spans and row["text"] is not None:
-                    raw = row["text"].encode("utf-8")
-                    pieces = [m.span() for m in word.finditer(raw)]
-                    out, last = [], 0
-                    for start, n in sorted((s["start"], s["n_words"]) for s in spans):
-                        out.append(raw[last:pieces[start][0]])
-                        last = pieces[start + n - 1][1]
-                    row["text"] = b"".join([*out, raw[last:]]).decode("utf-8")
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    return run
+    return pd.Series([t if cuts is None or t is None else one(t, cuts) for t, cuts in zip(text, spans)])
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
     """``docs`` without the passages that repeat one of a smaller doc_id; same columns.
 
-    The smallest document of a passage always keeps it.
+    The smallest document of a passage always keeps it.  Rows that share a
+    doc_id must share their text.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    spans = (repeated_spans(docs, min_words, gram).where("repeat_of < doc_id")
+    spans = (repeated_spans(docs, min_words, gram).where("repeat_of < doc_id").distinct()
              .groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "n_words")).alias("_spans")))
     once = staged(spans, "repeat-spans")
-    return (docs.join(small(once, 100_000), same(F.col("doc_id"), F.col("_id")), "left").drop("_id")
-            .mapInArrow(_cut_partition(to_arrow_schema(docs.schema)), docs.schema))
+    return (packed(docs, "doc_id", "text").join(small(once, 100_000), same(F.col("doc_id"), F.col("_id")), "left")
+            .select(*[cut("text", "_spans").alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns]))

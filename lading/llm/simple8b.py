@@ -100,6 +100,7 @@ def decode(page: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     if magic != MAGIC:
         raise ValueError("not a Simple-8b page")
     last = blocks if last is None else min(last, blocks)
+    first = min(first, last)
     offsets = np.append(np.frombuffer(page, "<u4", blocks, HEAD_SIZE), n_words).astype(np.int64)
     base = HEAD_SIZE + 4 * blocks
     words = np.frombuffer(page, "<u8", n_words, base)[offsets[first]:offsets[last]]

@@ -1,0 +1,38 @@
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def prose(n, seed):
+    """Invented words, the same for the same seed."""
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice(["ka", "lo", "mi", "ren", "tu", "vos"]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+@pytest.fixture()
+def docs_of(spark):
+    """A documents frame of (doc_id, text[, lang[, source]]) rows, over several partitions."""
+    def make(rows, partitions=3):
+        full = [(*r, *(None,) * (4 - len(r)), None if r[1] is None else len(r[1])) for r in rows]
+        return spark.createDataFrame(full, DOCS).repartition(partitions)
+
+    return make
+
+
+@pytest.fixture()
+def odd(spark):
+    """Nulls in every column, empty and long texts, repeated rows, columns with clashing names."""
+    rows = [(None, None, None, None), (None, "a b c", "en", None), (1, None, "en", "s"), (2, "", None, "s"), (3, " \t\n", "en", "s"),
+            (4, "one two", "en", "s"), (4, "one two", "en", "s"), (4, "another text under the same id", "en", "t"),
+            (5, prose(40_000, 1), "en", "s"), (6, "### $$$ 123", "en", "t"), (7, "é" * 3 + " \U0001F600 x", "fr", "t")]
+    fields = T.StructType([T.StructField(n, t) for n, t in (
+        ("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()),
+        ("size", T.StringType()), ("n", T.LongType()), ("key", T.LongType()), ("_id", T.LongType()), ("hit", T.StringType()))])
+    return spark.createDataFrame([(*r, "x", 1, 2, 3, None) for r in rows], fields).repartition(2)
+
+
+def multiset(df, *columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=repr)
