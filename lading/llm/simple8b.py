@@ -67,16 +67,16 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         wide = most[j] if c == 2 ** j else np.maximum(most[j], _ahead(most[j], c - 2 ** j))
         pick[wide <= width] = sel
     counts = np.array([1] + [WIDTHS[s][0] for s in range(1, 15)], np.int64)
-    step = counts.astype(np.uint8)[pick]
-    starts, offsets = [], []
-    for b in range(blocks):
-        offsets.append(len(starts))
-        at, row, base = b * block, step[b].tobytes(), b * block
-        end = min(block, n - base) + base
-        while at < end:
-            starts.append(at)
-            at += row[at - base]
-    starts = np.array(starts, np.int64)
+    # all blocks walk their words in step
+    step, ends = counts[pick].reshape(-1), np.minimum((np.arange(blocks) + 1) * block, n)
+    at, walked = np.arange(blocks) * block, []
+    while len(at):
+        walked.append(at)
+        at = at + step[at]
+        ahead = at < ends
+        at, ends = at[ahead], ends[ahead]
+    starts = np.sort(np.concatenate(walked)) if walked else np.zeros(0, np.int64)
+    offsets = np.searchsorted(starts, np.arange(blocks) * block)
     sel = pick.reshape(-1)[starts] if n else np.zeros(0, np.uint8)
     words = sel.astype(np.uint64) << np.uint64(60)
     padded = np.concatenate([grid, np.zeros((blocks, 64), np.uint64)], axis=1)
@@ -91,7 +91,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     escapes = flat[place[at]] if len(at) else np.zeros(0, np.uint64)
     words[at] |= np.arange(len(at), dtype=np.uint64)
     return (struct.pack(HEAD, MAGIC, block, blocks, len(words), len(escapes), n)
-            + np.array(offsets, "<u4").tobytes() + words.astype("<u8").tobytes() + escapes.astype("<u8").tobytes())
+            + offsets.astype("<u4").tobytes() + words.astype("<u8").tobytes() + escapes.astype("<u8").tobytes())
 
 
 def decode(page: bytes, first: int = 0, last: int | None = None) -> np.ndarray:

@@ -17,6 +17,7 @@ Strings that name special tokens are ordinary text.
 from __future__ import annotations
 
 import re
+from array import array
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,10 +27,12 @@ from lading.llm import simple8b
 from lading.llm.common import small, spark_of, worker_state
 
 END_ID = 0
-PAGE_IDS = 32_768
-#: chunks whose ids a worker remembers before it starts anew; bounds memory, not results
-CACHE_CHUNKS = 800_000
-SLICE_CHARS = 4_000_000
+PAGE_IDS = 131_072
+#: pieces in a generation of a worker's memory, and the longest it keeps; bounds memory, not results
+CACHE_CHUNKS = 400_000
+LONG_PIECE = 64
+SLICE_CHARS = 2_000_000
+MARKS = ".,;:!?"
 
 PAGE_SCHEMA = "shard int, start_in_shard long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
@@ -40,30 +43,66 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """Each text's ids as little-endian u32.
+class Pieces:
+    """A tokenizer with a bounded memory of the ids of pieces it has seen.
 
-    The tokenizer's own first step never joins characters across the place
-    before a space that a non-space follows, so a text is cut there, and pieces
-    seen before come from a bounded per-process cache.
+    The tokenizer's first step never joins characters across the place before a
+    space that a non-space follows, nor across a single line feed between
+    non-spaces, nor between a letter and a closing punctuation mark.  So a text
+    may be cut at these places and its ids are those of the pieces.  Of two
+    generations of pieces the older is forgotten when the younger is full.
     """
-    from tokenizers import Tokenizer
-    import numpy as np
 
-    def load():
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
-        return tok, re.compile(r"(?= \S)"), {}
-
-    tok, cut, known = worker_state(f"tokenizer {path}", load)
-    pieces = [cut.split(t) for t in texts]
-    if len(known) > CACHE_CHUNKS:
-        known.clear()
-    new = list({p for doc in pieces for p in doc if p not in known})
-    ids = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False))}
-    known.update((p, b) for p, b in ids.items() if len(p) <= 64)
-    ids.update((p, known[p]) for doc in pieces for p in doc if p not in ids)
-    return [b"".join(map(ids.__getitem__, doc)) for doc in pieces]
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True
+        self.cut = re.compile(r"(?= \S)")
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.long: list[str] = []
+        self.marks = dict(zip(MARKS, self.encode(list(MARKS))))
+        self.feed = self.encode(["\n"])[0]
+
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def learn(self, pieces: set[str]) -> None:
+        if len(self.young) > CACHE_CHUNKS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = pieces.difference(young)
+        known = new.intersection(old)
+        young.update(zip(known, map(old.__getitem__, known)))
+        new -= known
+        closed = {p for p in new if len(p) > 2 and p[-1] in self.marks and p[-2].isalpha()}
+        plain = list((new - closed).union(p[:-1] for p in closed).difference(young))
+        young.update(zip(plain, self.encode(plain)))
+        young.update((p, young[p[:-1]] + self.marks[p[-1]]) for p in closed)
+        self.long = [p for p in (*plain, *closed) if len(p) > LONG_PIECE]  # used once, not remembered
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian u32."""
+        cut = []
+        for t in texts:
+            words = t.split()
+            # all white space is single blanks and line feeds between words
+            plain = len(words) == t.count(" ") + t.count("\n") + 1
+            cut.append([line.replace(" ", "\0 ").split("\0") for line in t.split("\n")] if plain and "\0" not in t
+                       else [self.cut.split(t)])
+        self.learn(set().union(*(line for lines in cut for line in lines)))
+        get = self.young.__getitem__
+        out = [self.feed.join([b"".join(map(get, line)) for line in lines]) for lines in cut]
+        for p in self.long:
+            del self.young[p]
+        self.long = []
+        return out
+
+
+def token_bytes(texts: list[str], path: str) -> list[bytes]:
+    """Each text's ids as little-endian u32."""
+    return worker_state(f"tokenizer {path}", lambda: Pieces(path))(texts)
 
 
 def _slices(rows, most: int):
