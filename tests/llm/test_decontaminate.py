@@ -68,7 +68,7 @@ def test_contamination_of_the_table(spark):
 
 
 def test_removal(spark, docs_of, odd):
-    passage = prose(20, 1)
+    passage = prose(20, 321)
     items = items_of(spark, [(1, passage)])
     docs = docs_of([(1, f"Keep (this) {passage}! and-that."), (2, "clean words"), (3, None),
                     (4, prose(900, 2) + " " + " ".join(passage.split()[:13]))])
