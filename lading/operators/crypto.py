@@ -11,6 +11,7 @@ value (a duplicated key id is an error), and shown in plans only as
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -81,13 +82,16 @@ def _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, encrypt: b
         F.concat(rel, F.lit(suffix_to)).alias("name"),
         fn(F.col("content"), key, F.lit(mode), F.lit(padding)).alias("payload"))
     # binaryFile already spreads files over tasks: no shuffle of the payloads
-    manifest = objects.write_objects(out, "name", "payload", dest_dir)
+    manifest = objects.write_objects(out, "name", "payload", dest_dir, keys_are_paths=True)
     return objects.materialise(manifest, f"{session.new_staging_dir(spark, 'crypto')}/_manifest")
 
 
 def encrypt_files(spark, src_uri, dest_dir, key_file=None, key_id="default", algorithm=None,
                   key=None) -> DataFrame:
-    """Encrypt every file under ``src_uri`` into ``dest_dir/<name>.enc``; returns the manifest."""
+    """Encrypt every file under ``src_uri`` into ``dest_dir/<name>.enc``; returns the manifest.
+
+    A file is one value while it is encrypted, so files of up to 2 GB.
+    """
     return _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, True, "", ".enc", key)
 
 
@@ -97,38 +101,130 @@ def decrypt_files(spark, src_uri, dest_dir, key_file=None, key_id="default", alg
     return _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, False, ".enc", "", key)
 
 
+#: rows of a part file that is encrypted whole, so parts stay far below the 2 GB of one value
+ROWS_PER_ENCRYPTED_FILE = 200_000
+
+
 def write_encrypted(df: DataFrame, path: str, file_type: str, key_file: str | None = None,
                     key_id: str = "default", algorithm: str | None = None,
-                    key: str | None = None, single_file: bool = False, **options) -> DataFrame:
-    """Deliver ``df`` encrypted: written in parallel to staging, encrypted file by file into ``path``.
-
-    With ``single_file`` the one encrypted file is ``path`` itself; otherwise
-    ``path`` is a folder of ``<part>.enc`` files.  The plaintext staging
-    folder is removed once the encrypted copy is complete.
+                    key: str | None = None, single_file: bool = False, mode: str = "errorifexists",
+                    partition_by=None, **options) -> DataFrame:
+    """Deliver ``df`` as encrypted files, as other parties read them.
+
+    Written in parallel to staging, then encrypted file by file: with
+    ``single_file`` the one encrypted file is ``path`` itself; otherwise
+    ``path`` is a folder of ``<part>.enc`` files of at most
+    ``ROWS_PER_ENCRYPTED_FILE`` rows each.  The plaintext staging folder is
+    removed whether or not the delivery succeeds.  For deliveries that only
+    this library reads back, ``write_encrypted_rows`` stages no plaintext.
     """
+    from .sink import check_mode
+
     spark = df.sparkSession
-    plain = f"{session.new_staging_dir(spark, 'plain')}/data"
-    if single_file:
-        parent, name = path.rstrip("/").rsplit("/", 1)
-        write_files(df, f"{plain}/{name}", file_type, single_file=True, **options)
-        manifest = _transform(spark, plain, parent, key_file, key_id, algorithm, True, key=key)
-    else:
-        write_files(df, plain, file_type, mode="overwrite", **options)
-        manifest = encrypt_files(spark, plain, path, key_file, key_id, algorithm, key)
+    mode = check_mode(spark, path, mode, single_file)
+    there = session.exists(spark, path)
+    if there and mode == "ignore":
+        return objects.LazyListing(spark, path)
+    work = session.new_staging_dir(spark, "plain")
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    incoming = f"{parent}/.{name}-{uuid.uuid4().hex}.incoming" if there and mode == "overwrite" else None
+    try:
+        if single_file:
+            write_files(df, f"{work}/data/{name}", file_type, single_file=True, **options)
+            manifest = _transform(spark, f"{work}/data", incoming or parent, key_file, key_id, algorithm, True, key=key)
+        else:
+            if formats.get(options, "maxRecordsPerFile") is None:
+                options["maxRecordsPerFile"] = ROWS_PER_ENCRYPTED_FILE
+            write_files(df, f"{work}/data", file_type, mode="overwrite", partition_by=partition_by, **options)
+            manifest = encrypt_files(spark, f"{work}/data", incoming or path, key_file, key_id, algorithm, key)
+        bad = objects.failed(manifest).count()
+        if bad:
+            raise RuntimeError(f"{bad} files failed to encrypt for {path}; nothing was replaced")
+        if incoming:
+            session.swap(spark, f"{incoming}/{name}" if single_file else incoming, path)
+            session.delete(spark, incoming)
+    except Exception:
+        if incoming:
+            session.delete(spark, incoming)
+        raise
+    finally:
+        session.delete(spark, work)
+    return manifest
+
+
+class Decrypted:
+    """A scan of decrypted copies; ``clear`` (or leaving a ``with``) removes the plaintext."""
+
+    def __init__(self, spark: SparkSession, frame: DataFrame, folder: str):
+        self.frame, self._spark, self.folder = frame, spark, folder
+
+    def clear(self) -> None:
+        session.delete(self._spark, self.folder)
+
+    def __enter__(self) -> DataFrame:
+        return self.frame
+
+    def __exit__(self, *_):
+        self.clear()
+
+
+def decrypted(spark: SparkSession, path: str, file_type: str, key_file: str | None = None,
+              schema=None, key_id: str = "default", algorithm: str | None = None,
+              key: str | None = None, **options) -> Decrypted:
+    """Decrypt an encrypted drop into staging and scan it natively, with a handle to remove the copies."""
+    work = session.new_staging_dir(spark, "decrypted")
+    manifest = decrypt_files(spark, path, f"{work}/data", key_file, key_id, algorithm, key)
     bad = objects.failed(manifest).count()
     if bad:
-        raise RuntimeError(f"{bad} files failed to encrypt; plaintext kept at {plain}")
-    session.delete(spark, plain.rsplit("/", 1)[0])
-    return manifest
+        session.delete(spark, work)
+        raise RuntimeError(f"{bad} files failed to decrypt under {path}")
+    return Decrypted(spark, read_files(spark, f"{work}/data", file_type, schema, **options), work)
 
 
 def read_encrypted(spark: SparkSession, path: str, file_type: str, key_file: str | None = None,
                    schema=None, key_id: str = "default", algorithm: str | None = None,
                    key: str | None = None, **options) -> DataFrame:
-    """Decrypt an encrypted drop into staging and scan it with the native reader."""
-    plain = f"{session.new_staging_dir(spark, 'decrypted')}/data"
-    manifest = decrypt_files(spark, path, plain, key_file, key_id, algorithm, key)
-    bad = objects.failed(manifest).count()
-    if bad:
-        raise RuntimeError(f"{bad} files failed to decrypt under {path}")
-    return read_files(spark, plain, file_type, schema, **options)
+    """The frame of ``decrypted``; its plaintext copies stay in staging while the frame is read."""
+    return decrypted(spark, path, file_type, key_file, schema, key_id, algorithm, key, **options).frame
+
+
+def write_encrypted_rows(df: DataFrame, path: str, key_file: str | None = None, key_id: str = "default",
+                         algorithm: str | None = None, key: str | None = None,
+                         mode: str = "errorifexists", partition_by=None) -> None:
+    """Deliver ``df`` as lines, each one row encrypted in the JVM; no plaintext is staged.
+
+    Rows are serialised as JSON, encrypted and written as hex lines by the
+    parallel, splittable text writer.  Partition columns stay readable in the
+    folder names.
+    """
+    from .sink import _columns, check_mode
+
+    cipher, padding = mode_of(algorithm)
+    spark = df.sparkSession
+    mode = check_mode(spark, path, mode)
+    if session.exists(spark, path) and mode == "ignore":
+        return
+    parts = _columns(partition_by)
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in parts]),
+                    {"ignoreNullFields": "false", "timestampNTZFormat": formats.TS_NTZ_FORMAT,
+                     "timestampFormat": formats.TS_LTZ_FORMAT})
+    line = F.hex(F.aes_encrypt(row.cast("binary"), key_column(spark, key_file, key_id, key), F.lit(cipher), F.lit(padding)))
+    out = df.select(*parts, line.alias("value"))
+    replace = mode == "overwrite" and session.exists(spark, path)
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    target = f"{parent}/.{name}-{uuid.uuid4().hex}.incoming" if replace else path
+    writer = out.write.mode("append")
+    (writer.partitionBy(*parts) if parts else writer).text(target)
+    if replace:
+        session.swap(spark, target, path)
+
+
+def read_encrypted_rows(spark: SparkSession, path: str, schema, key_file: str | None = None,
+                        key_id: str = "default", algorithm: str | None = None, key: str | None = None) -> DataFrame:
+    """Read ``write_encrypted_rows`` back: a native scan, decrypted row by row in the JVM."""
+    cipher, padding = mode_of(algorithm)
+    lines = spark.read.text(path)
+    plain = F.aes_decrypt(F.unhex("value"), key_column(spark, key_file, key_id, key), F.lit(cipher), F.lit(padding))
+    parsed = F.from_json(plain.cast("string"), schema)
+    return lines.select(parsed.alias("r"), *[F.col(f"`{c}`") for c in lines.columns if c != "value"]).select(
+        "r.*", *[F.col(f"`{c}`") for c in lines.columns if c != "value"])

@@ -3,14 +3,19 @@
 The default write is parallel (one part file per task) straight into the
 target URI, honouring the save mode.  ``single_file=True`` delivers exactly
 one file at the target path, as the connector's upload contract requires; it
-is one writer task by nature, so it is guarded by a size check.
+is one writer task by nature, whatever the size, so it suits deliveries that a
+single file can hold.
+
+All writers share one contract for save modes.  Where a write replaces
+something itself (single files, staged and encrypted deliveries), the new data
+is complete before the old data goes.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from .. import session
 from ..sources import formats
@@ -18,141 +23,119 @@ from . import objects
 
 SAVE_MODES = ("error", "errorifexists", "append", "overwrite", "ignore")
 
-# Upper bound for a single-file write (estimated plan size); larger outputs
-# must be written in parallel.  ``None`` disables the check.
-MAX_SINGLE_FILE_BYTES = 8 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df`` (from file sizes and statistics)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-# Logical nodes that cost no more in one task than in many (a scan and its
-# row-local expressions); anything else upstream stays parallel.
-_ROW_LOCAL = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation", "Range",
-              "SubqueryAlias", "Sample"}
-
-
-def _plan_nodes(df: DataFrame) -> list[str]:
-    tree = str(df._jdf.queryExecution().optimizedPlan().treeString())
-    nodes = [line.lstrip(" :+-").split(" ", 1)[0].split("[", 1)[0] for line in tree.splitlines()]
-    return [n for n in nodes if n]
-
 
-def _upstream_is_row_local(df: DataFrame) -> bool:
-    """True when the optimised plan is only scans, projections and filters."""
-    return all(n in _ROW_LOCAL for n in _plan_nodes(df))
+def check_mode(spark, target: str, mode: str | None, single_file: bool = False) -> str:
+    """The normalised save mode of a write to ``target``; raises where the target forbids it."""
+    mode = (mode or "errorifexists").lower()
+    if mode not in SAVE_MODES:
+        raise ValueError(f"unknown save mode {mode!r}; use one of {SAVE_MODES}")
+    if session.exists(spark, target):
+        if mode in ("error", "errorifexists"):
+            raise FileExistsError(f"path {target} already exists")
+        if mode == "append" and single_file:
+            raise ValueError("append is not possible for a single-file write; "
+                             "write in parallel or choose another target")
+    return mode
 
 
-def _ends_sorted(df: DataFrame) -> bool:
-    """True when the output order is the result of a final sort."""
-    top = [n for n in _plan_nodes(df) if n not in ("Project", "Filter")]
-    return bool(top) and top[0] == "Sort"
+def _columns(partition_by) -> list[str]:
+    return [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
 
 
 def write_files(df: DataFrame, path: str, file_type: str, mode: str = "errorifexists",
-                single_file: bool = False, partition_by=None,
-                max_single_file_bytes: int | None = MAX_SINGLE_FILE_BYTES,
+                single_file: bool = False, partition_by=None, keep_order: bool = False,
                 **options) -> DataFrame:
-    """Write ``df`` to ``path``; returns a manifest ``(path, length, modificationTime)``.
+    """Write ``df`` to ``path``; returns a lazy manifest ``(path, modificationTime, length)``.
 
     ``mode`` is one of error/errorifexists, append, overwrite, ignore.
     Options as the connector names them: ``header`` (default true),
     ``delimiter`` (default ","), ``codec``/``compression`` for csv,
     ``rowTag``/``rootTag`` for xml; any other Spark writer option passes through.
+    ``keep_order`` makes a single file from ``df``'s partitions in their order
+    (``coalesce``) instead of through a shuffle that keeps the work above it
+    parallel.
     """
     if not path:
         raise ValueError(formats.MSG_NO_PATH)
     ft = formats.file_type(file_type)
-    mode = (mode or "errorifexists").lower()
-    if mode not in SAVE_MODES:
-        raise ValueError(f"unknown save mode {mode!r}; use one of {SAVE_MODES}")
     opts = formats.write_options(ft, formats.normalise(options))
     spark = df.sparkSession
     if single_file:
-        return _write_single(df, path, ft, mode, opts, max_single_file_bytes)
+        if partition_by:
+            raise ValueError("a single file has no partition folders; drop partitionBy or singleFile")
+        return _write_single(df, path, ft, mode, opts, keep_order)
+    mode = (mode or "errorifexists").lower()
+    if mode not in SAVE_MODES:
+        raise ValueError(f"unknown save mode {mode!r}; use one of {SAVE_MODES}")
     writer = df.write.mode(mode).options(**opts)
     if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        writer = writer.partitionBy(*_columns(partition_by))
     formats.save_with(writer, ft, path)
-    return objects.listing(spark, path)
+    return objects.LazyListing(spark, path)
 
 
-def _write_single(df, path, ft, mode, opts, max_bytes) -> DataFrame:
+def _write_single(df, path, ft, mode, opts, keep_order) -> DataFrame:
     spark = df.sparkSession
-    if max_bytes is not None:
-        size = estimated_bytes(df)
-        if size > max_bytes:
-            raise ValueError(
-                f"single-file write of ~{size} bytes exceeds {max_bytes}; "
-                "write in parallel (single_file=False) or raise max_single_file_bytes"
-            )
-    if session.exists(spark, path):
-        if mode in ("error", "errorifexists"):
-            raise FileExistsError(f"path {path} already exists")
-        if mode == "ignore":
-            return objects.listing(spark, path)
-        if mode == "append":
-            raise ValueError("append is not possible for a single-file write; "
-                             "write in parallel or choose another target")
-        session.delete(spark, path)
+    mode = check_mode(spark, path, mode, single_file=True)
+    if mode == "ignore" and session.exists(spark, path):
+        return objects.LazyListing(spark, path)
     parent, name = path.rstrip("/").rsplit("/", 1)
     tmp = f"{parent}/.{name}-{uuid.uuid4().hex}"
     # one file means no per-file row cap
     opts = {k: v for k, v in opts.items() if k.lower() != "maxrecordsperfile"}
     opts["maxRecordsPerFile"] = "0"
-    # A heavy upstream (joins, aggregates, sorts, Python) keeps its
-    # parallelism with repartition(1): only the final rows meet in the one
-    # writer task.  A bare scan gains nothing from a shuffle, so coalesce(1)
-    # lets the writer task read it directly.
-    # A final sort is kept by coalescing its ordered partitions, not shuffling.
-    one = df.coalesce(1) if _upstream_is_row_local(df) or _ends_sorted(df) else df.repartition(1)
-    formats.save_with(one.write.mode("overwrite").options(**opts), ft, tmp)
-    parts = session.data_files(spark, tmp)
-    if ft == "parquet":
-        parts = [p for p in parts if p.endswith(".parquet")]
-    if len(parts) != 1:
-        raise RuntimeError(f"expected one part file under {tmp}, found {len(parts)}")
-    session.mkdirs(spark, parent)
-    session.rename(spark, parts[0], path)
-    session.delete(spark, tmp)
-    return objects.listing(spark, path)
+    one = df.coalesce(1) if keep_order else df.repartition(1)
+    try:
+        formats.save_with(one.write.mode("overwrite").options(**opts), ft, tmp)
+        parts = session.data_files(spark, tmp)
+        if ft == "parquet":
+            parts = [p for p in parts if p.endswith(".parquet")]
+        if len(parts) != 1:
+            raise RuntimeError(f"expected one part file under {tmp}, found {len(parts)}")
+        session.swap(spark, parts[0], path)
+    finally:
+        session.delete(spark, tmp)
+    return objects.LazyListing(spark, path)
 
 
 def deliver(df: DataFrame, target: str, file_type: str, mode: str = "errorifexists",
-            single_file: bool = False, staging_dir: str | None = None, **options) -> DataFrame:
+            single_file: bool = False, staging_dir: str | None = None, partition_by=None,
+            **options) -> DataFrame:
     """Write into staging first, then copy the finished files to ``target``.
 
     For targets without a cheap atomic rename (object stores, SFTP): Spark's
     commit protocol runs on the staging filesystem, and the target only ever
-    receives complete files, copied by executor tasks.  Returns the
-    materialised copy manifest ``(uri, staged_path, length, modification_time,
-    error)`` where ``staged_path`` is the delivered file.
+    receives complete files, copied by executor tasks.  An overwrite copies
+    beside the target and then swaps.  Returns the materialised copy manifest
+    ``(uri, staged_path, length, modification_time, error)`` where
+    ``staged_path`` is the delivered file.
     """
     spark = df.sparkSession
-    mode = (mode or "errorifexists").lower()
-    if session.exists(spark, target):
-        if mode in ("error", "errorifexists"):
-            raise FileExistsError(f"path {target} already exists")
-        if mode == "ignore":
-            return objects.listing(spark, target)
-        if mode == "overwrite":
-            session.delete(spark, target)
+    mode = check_mode(spark, target, mode, single_file)
+    there = session.exists(spark, target)
+    if there and mode == "ignore":
+        return objects.LazyListing(spark, target)
     work = staging_dir or session.new_staging_dir(spark, "deliver")
-    name = target.rstrip("/").rsplit("/", 1)[1]
+    target = target.rstrip("/")
+    parent, name = target.rsplit("/", 1)
     staged = f"{work}/out/{name}"
-    write_files(df, staged, file_type, mode="overwrite", single_file=single_file, **options)
+    write_files(df, staged, file_type, mode="overwrite", single_file=single_file, partition_by=partition_by, **options)
     files = objects.listing(spark, staged)
-    if single_file:
-        dest = target.rstrip("/").rsplit("/", 1)[0]
-        roots = [f"{work}/out"]
-    else:
-        dest, roots = target, [staged]
-    manifest = objects.materialise(objects.copy_files(files, roots, dest), f"{work}/_manifest")
+    incoming = f"{parent}/.{name}-{uuid.uuid4().hex}.incoming" if there and mode == "overwrite" else None
+    dest = incoming or (parent if single_file else target)
+    manifest = objects.materialise(objects.copy_files(files, [f"{work}/out" if single_file else staged], dest),
+                                   f"{work}/_manifest")
     bad = objects.failed(manifest).count()
     if bad:
+        if incoming:
+            session.delete(spark, incoming)
         raise RuntimeError(f"{bad} files failed to deliver to {target}; staged copy kept at {staged}")
+    if incoming:
+        session.swap(spark, f"{incoming}/{name}" if single_file else incoming, target)
+        session.delete(spark, incoming)
+        old = session.qualify(spark, incoming) + (f"/{name}" if single_file else "")
+        final = F.concat(F.lit(session.qualify(spark, target)), F.expr(f"substr(staged_path, {len(old) + 1})"))
+        manifest = manifest.withColumn("staged_path", final)
     return manifest
 
 
@@ -202,16 +185,14 @@ class Writer:
         if key is not None or key_file is not None:
             from .crypto import write_encrypted
 
-            if self._mode in ("error", "errorifexists") and session.exists(self._df.sparkSession, path):
-                raise FileExistsError(f"path {path} already exists")
             self.manifest = write_encrypted(
                 self._df, path, ft, key_file, key_id=formats.get(opts, "cryptoKeyId", "default"),
                 algorithm=formats.get(opts, "cryptoAlgorithm"), key=key, single_file=single,
-                **rest)
+                mode=self._mode, partition_by=partition_by, **rest)
         elif formats.flag(opts, "stage") or staging is not None:
             work = session.new_staging_dir(self._df.sparkSession, "deliver", root=staging)
             self.manifest = deliver(self._df, path, ft, self._mode, single_file=single,
-                                    staging_dir=work, **rest)
+                                    staging_dir=work, partition_by=partition_by, **rest)
         else:
             self.manifest = write_files(self._df, path, ft, self._mode, single_file=single,
                                         partition_by=partition_by, **rest)

@@ -32,7 +32,7 @@ def staging_root(spark: SparkSession) -> str:
             "no shared staging folder: set spark.checkpoint.dir (or "
             f"{STAGING_CONF}) to a location every executor can reach"
         )
-    local = tempfile.mkdtemp(prefix="lading-")
+    local = tempfile.mkdtemp(prefix="lading-")  # one process: the machine is the cluster
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set(STAGING_CONF, local)
     return local
@@ -79,6 +79,30 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def swap(spark: SparkSession, new: str, target: str) -> None:
+    """Put ``new`` in the place of ``target``: old data goes only when the new data stands there."""
+    if not exists(spark, target):
+        mkdirs(spark, target.rstrip("/").rsplit("/", 1)[0])
+        rename(spark, new, target)
+        return
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    old = f"{parent}/.{name}-{uuid.uuid4().hex}.old"
+    rename(spark, target, old)
+    try:
+        rename(spark, new, target)
+    except Exception:
+        rename(spark, old, target)
+        raise
+    delete(spark, old)
+
+
+def clear_staging(spark: SparkSession, root: str | None = None) -> int:
+    """Remove every folder this library staged under ``root``; call it when no result reads them."""
+    base = f"{(root or staging_root(spark)).rstrip('/')}/lading"
+    folders = subdirs(spark, base) if exists(spark, base) else []
+    return sum(delete(spark, folder) for folder in folders)
+
+
 def data_files(spark: SparkSession, uri: str) -> list[str]:
     """Visible data files directly under ``uri`` (no _SUCCESS, .crc, hidden)."""
     fs, path = _jvm_path(spark, uri)

@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, same_rows
 from lading import session
-from lading.operators.sink import Writer, write_files
+from lading.operators.crypto import read_encrypted, read_encrypted_rows, write_encrypted, write_encrypted_rows
+from lading.operators.sink import Writer, deliver, write_files
 from lading.plans.tables import ddl
 from lading.sources.files import read_files
 
@@ -60,13 +61,19 @@ def test_single_file_delivery(spark, workdir):
     assert read_files(spark, target, "csv").count() == 3
 
 
-def test_single_file_parquet_and_size_guard(spark, workdir):
+def test_single_file_takes_any_plan(spark, workdir):
     src = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     target = f"{workdir}/li.parquet"
     write_files(src, target, "parquet", single_file=True)
     assert same_rows(src, read_files(spark, target, "parquet"))
-    with pytest.raises(ValueError, match="exceeds"):
-        write_files(src, f"{workdir}/x.csv", "csv", single_file=True, max_single_file_bytes=1000)
+    # frames whose size Catalyst can only guess
+    one = spark.createDataFrame([(1, "a")], "n int, s string")
+    write_files(one, f"{workdir}/one.csv", "csv", single_file=True)
+    assert read_files(spark, f"{workdir}/one.csv", "csv").count() == 1
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    joined = src.join(orders, src.l_orderkey == orders.o_orderkey).groupBy("o_orderpriority").count()
+    write_files(joined, f"{workdir}/joined.csv", "csv", single_file=True)
+    assert read_files(spark, f"{workdir}/joined.csv", "csv").count() == 5
 
 
 def test_codec_and_writer_builder(spark, workdir):
@@ -111,20 +118,10 @@ def test_staged_delivery(spark, workdir):
     assert same_rows(src, read_files(spark, f"{workdir}/target/o.parquet", "parquet"))
 
 
-def test_single_file_keeps_heavy_upstream_parallel(spark):
-    from lading.operators.sink import _upstream_is_row_local
-
-    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    assert _upstream_is_row_local(li.filter("l_quantity > 3").select("l_orderkey"))
-    assert not _upstream_is_row_local(li.groupBy("l_orderkey").count())
-    assert not _upstream_is_row_local(li.join(li.select("l_orderkey").distinct(), "l_orderkey"))
-    assert not _upstream_is_row_local(li.orderBy("l_orderkey"))
-
-
 def test_single_file_keeps_sort_order(spark, workdir):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").repartition(4)
     ordered = li.orderBy(F.col("l_extendedprice").desc()).select("l_orderkey", "l_extendedprice")
-    write_files(ordered, f"{workdir}/sorted.csv", "csv", single_file=True)
+    write_files(ordered, f"{workdir}/sorted.csv", "csv", single_file=True, keep_order=True)
     back = [r.l_extendedprice for r in read_files(
         spark, f"{workdir}/sorted.csv", "csv", schema="l_orderkey bigint, l_extendedprice double").collect()]
     assert back == sorted(back, reverse=True) and len(back) == li.count()
@@ -155,11 +152,74 @@ def test_staged_delivery_ignore_and_overwrite(spark, workdir):
     assert read_files(spark, f"{workdir}/t/r", "json").count() == 2
 
 
-def test_single_file_guard_can_be_lifted_and_append_is_refused(spark, workdir):
+def test_single_file_append_is_refused(spark, workdir):
     src = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
-    write_files(src, f"{workdir}/n.csv", "csv", single_file=True, max_single_file_bytes=None)
+    write_files(src, f"{workdir}/n.csv", "csv", single_file=True)
     assert read_files(spark, f"{workdir}/n.csv", "csv").count() == 25
     with pytest.raises(ValueError, match="append"):
         write_files(src, f"{workdir}/n.csv", "csv", single_file=True, mode="append")
     write_files(src.limit(1), f"{workdir}/n.csv", "csv", single_file=True, mode="ignore")
     assert read_files(spark, f"{workdir}/n.csv", "csv").count() == 25
+
+
+def broken(df):
+    """A frame whose last rows fail."""
+    return df.withColumn("n_comment", F.when(F.col("n_nationkey") > 20, F.raise_error(F.lit("boom"))).otherwise(F.lit("x")))
+
+
+def test_failing_overwrite_leaves_the_old_data(spark, workdir):
+    src = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    key = "0123456789abcdef"
+    ways = {
+        "single": lambda df, mode: write_files(df, f"{workdir}/single.csv", "csv", mode, single_file=True),
+        "staged": lambda df, mode: deliver(df, f"{workdir}/staged", "json", mode),
+        "encrypted": lambda df, mode: write_encrypted(df, f"{workdir}/enc", "json", key=key, mode=mode),
+        "rows": lambda df, mode: write_encrypted_rows(df, f"{workdir}/rows", key=key, mode=mode),
+    }
+    for write in ways.values():
+        write(src, "errorifexists")
+        with pytest.raises(Exception, match="boom"):
+            write(broken(src), "overwrite")
+    assert read_files(spark, f"{workdir}/single.csv", "csv").count() == 25
+    assert read_files(spark, f"{workdir}/staged", "json").count() == 25
+    assert read_encrypted(spark, f"{workdir}/enc", "json", schema=ddl(src), key=key).count() == 25
+    assert same_rows(read_encrypted_rows(spark, f"{workdir}/rows", ddl(src), key=key), src)
+
+
+def test_overwrite_may_read_its_target(spark, workdir):
+    src = spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    write_files(src, f"{workdir}/r.parquet", "parquet", single_file=True)
+    own = read_files(spark, f"{workdir}/r.parquet", "parquet").where("r_regionkey < 2")
+    write_files(own, f"{workdir}/r.parquet", "parquet", "overwrite", single_file=True)
+    assert read_files(spark, f"{workdir}/r.parquet", "parquet").count() == 2
+
+
+def test_save_modes_of_staged_and_encrypted_writes(spark, workdir):
+    src = spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    key = "0123456789abcdef"
+
+    def builder(kind, mode):
+        w = Writer(src).option("fileType", "csv").mode(mode).option("partitionBy", "r_name")
+        if kind == "staged":
+            w = w.option("stage", "true")
+        elif kind == "encrypted":
+            w = w.option("cryptoKey", key)
+        return w.save(f"{workdir}/{kind}")
+
+    def rows(kind):
+        if kind == "encrypted":
+            return read_encrypted(spark, f"{workdir}/{kind}", "csv", key=key).count()
+        return read_files(spark, f"{workdir}/{kind}", "csv").count()
+
+    for kind in ("direct", "staged", "encrypted"):
+        for mode, n in (("errorifexists", 5), ("overwrite", 5), ("overwrite", 5), ("ignore", 5), ("append", 10)):
+            builder(kind, mode)
+            assert rows(kind) == n, (kind, mode)
+        with pytest.raises(Exception, match="exist"):
+            builder(kind, "error")
+        assert all("r_name=" in f for f in session.subdirs(spark, f"{workdir}/{kind}"))
+    deliver(src, f"{workdir}/one.csv", "csv", single_file=True)
+    with pytest.raises(ValueError, match="append"):
+        deliver(src, f"{workdir}/one.csv", "csv", "append", single_file=True)
+    with pytest.raises(ValueError, match="partition"):
+        write_files(src, f"{workdir}/p.csv", "csv", single_file=True, partition_by="r_name")
