@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import json
 
-from .. import session
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The token record's fields, all strings.
 TOKEN_SCHEMA = T.StructType([
@@ -18,18 +18,18 @@ BODY_TYPES = ("json",)
 
 
 def infer_json_schema(df: DataFrame, body_col: str = "body_text", **options) -> T.StructType:
-    """Schema of all JSON bodies in a column, inferred by a distributed scan.
+    """Schema of all JSON bodies in a column, inferred by one distributed pass in the JVM; nothing is copied.
 
-    Bodies are staged as JSON lines (raw newlines are JSON whitespace, so they
-    become blanks) and Spark's JSON reader infers over all of them;
-    ``samplingRatio`` limits the inference pass if wanted.
+    ``samplingRatio`` limits the pass if wanted.
     """
     spark = df.sparkSession
-    where = f"{session.new_staging_dir(spark, 'json-bodies')}/bodies"
-    (df.select(F.regexp_replace(F.col(body_col), r"[\r\n]+", " ").alias("value"))
-       .filter(F.col("value").isNotNull())
-       .write.text(where))
-    return spark.read.options(**options).json(where).schema
+    bodies = df.select(F.col(body_col).cast("string").alias("value")).where("value IS NOT NULL")
+    jvm = spark._jvm
+    texts = getattr(bodies._jdf, "as")(jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark._jsparkSession.read()
+    for key, value in options.items():
+        reader = reader.option(key, str(value))
+    return T.StructType.fromJson(json.loads(reader.json(texts).schema().json()))
 
 
 def json_body(body: Column | str, schema, **options) -> Column:

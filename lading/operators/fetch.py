@@ -1,10 +1,10 @@
 """HTTP fetch as a Spark job: a table of requests in, a table of responses out.
 
-Requests are spread over ``parallelism`` tasks (which also caps the load on
-the remote host) and fetched on the executors with the standard library.
-Failures are data: every request yields exactly one response row carrying its
-``status``, ``error`` and ``attempts``.  Credentials live only inside the task
-closure, never in a column or in the plan text.
+Requests are spread over ``partitions`` small tasks (what a retry repeats) and
+fetched on the executors with the standard library.  Failures are data: every
+request yields exactly one response row carrying its ``status``, ``error`` and
+``attempts``.  Credentials live only inside the task closure, never in a column
+or in the plan text, and are not sent on when a redirect leaves the host.
 
 A fetch has side effects and may be retried by Spark, so results are written
 to shared storage once (``fetch_to_staging``) and read back from there, rather
@@ -16,12 +16,15 @@ from __future__ import annotations
 import base64
 import functools
 import http.client
+import json
+import ssl
 import time
 import urllib.error
+import urllib.parse
 import urllib.request
+from collections import deque
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import session
@@ -31,7 +34,10 @@ from . import objects
 CONNECT_TIMEOUT_MS = 1000
 READ_TIMEOUT_MS = 5000
 
-BODY_MODES = ("string", "bytes")
+BODY_MODES = ("string", "bytes", "file")
+
+#: URL schemes a request table may use; ``file`` reads what executors can see, so it is opt-out by this list
+SCHEMES = ("http", "https", "file")
 
 
 def response_schema(id_type: T.DataType = T.LongType()) -> T.StructType:
@@ -56,9 +62,10 @@ REQUEST_SCHEMA = T.StructType([
 
 
 def url_of(path: Column) -> Column:
-    """``file:///...`` URL for a staged path (``file:/x``, ``/x``); others unchanged."""
+    """``file:///...`` URL for a staged path (``file:/x``, ``/x``), percent-encoded; others unchanged."""
     bare = F.regexp_replace(path, r"^file:(//)?", "")
-    return F.when(path.rlike(r"^(file:|/)"), F.concat(F.lit("file://"), bare)).otherwise(path)
+    quoted = F.replace(F.replace(F.url_encode(bare), F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/"))
+    return F.when(path.rlike(r"^(file:|/)"), F.concat(F.lit("file://"), quoted)).otherwise(path)
 
 
 def build_requests(df: DataFrame, request_id, url, headers=None, body=None,
@@ -97,9 +104,23 @@ def _auth_header(auth: dict | None) -> str | None:
 
 
 def _retryable(exc: Exception) -> bool:
+    """Trouble on the way and answers that ask to come back; never a wrong URL, a bad certificate or a refusal."""
     if isinstance(exc, urllib.error.HTTPError):
         return exc.code >= 500 or exc.code in (408, 429)
-    return True
+    if isinstance(exc, urllib.error.URLError):
+        return not isinstance(exc.reason, ssl.SSLError) and "unknown url type" not in str(exc.reason)
+    return isinstance(exc, (OSError, http.client.HTTPException)) and not isinstance(exc, http.client.InvalidURL)
+
+
+class _Redirects(urllib.request.HTTPRedirectHandler):
+    """Redirects without credentials when they lead to another host."""
+
+    def redirect_request(self, req, fp, code, msg, headers, newurl):
+        new = super().redirect_request(req, fp, code, msg, headers, newurl)
+        if new is not None and urllib.parse.urlsplit(newurl).netloc != urllib.parse.urlsplit(req.full_url).netloc:
+            for name in ("Authorization", "Cookie", "Proxy-authorization"):
+                new.remove_header(name)
+        return new
 
 
 class _ReadTimeout:
@@ -142,57 +163,103 @@ def build_opener(proxy_host=None, proxy_port=None, read_timeout_ms=READ_TIMEOUT_
     The per-request ``timeout`` bounds the connect; ``read_timeout_ms`` then
     bounds every socket read (the connector's separate connect/read timeouts).
     """
-    handlers = _timed_handlers(read_timeout_ms / 1000.0)
+    handlers = [*_timed_handlers(read_timeout_ms / 1000.0), _Redirects()]
     if proxy_host:
         where = f"{proxy_host}:{proxy_port}" if proxy_port else proxy_host
         handlers.append(urllib.request.ProxyHandler({"http": where, "https": where}))
     return urllib.request.build_opener(*handlers)
 
 
+def _refresh(auth: dict, send) -> dict | None:
+    """New credentials from the refresh token (``refrsh_token`` as the connector spells it), or None."""
+    token = auth.get("refresh_token", auth.get("refrsh_token"))
+    where = auth.get("token_url")
+    if not token or not where:
+        return None
+    form = {"grant_type": "refresh_token", "refresh_token": token}
+    form |= {k: auth[k] for k in ("client_id", "client_key") if k in auth}
+    got = json.loads(send(urllib.request.Request(
+        where, data=urllib.parse.urlencode(form).encode(), method="POST",
+        headers={"Content-Type": "application/x-www-form-urlencoded"})))
+    if not got.get("access_token"):
+        return None
+    return auth | {"type": "bearer", "token": got["access_token"], "token_type": got.get("token_type") or "Bearer",
+                   "refresh_token": got.get("refresh_token") or token}
+
+
 def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_TIMEOUT_MS,
                  read_timeout_ms=READ_TIMEOUT_MS, proxy_host=None, proxy_port=None,
-                 auth=None, retry_count=0, retry_frequency_s=1.0, opener=None):
-    """Return ``fetch_one(url, method, headers, body) -> tuple`` (runs in a task)."""
+                 auth=None, retry_count=0, retry_frequency_s=1.0, opener=None, schemes=SCHEMES):
+    """Return ``fetch_one(url, method, headers, body, target=None) -> tuple`` (runs in a task).
+
+    The tuple is (status, headers, text, bytes, error, attempts).  With
+    ``body_mode="file"`` the body is streamed to ``target`` in chunks and the
+    text slot holds the path.  ``auth`` with a refresh token and a ``token_url``
+    gets a new token once an answer is 401, for this and later requests.
+    ``opener`` replaces urllib's: an object with ``open(request, timeout=..)``,
+    or a class made with (proxy host, proxy port, read timeout in ms).
+    """
     mode = (body_mode or "").lower()
-    auth_value = _auth_header(auth)
     # connect timeout per request; the opener applies the read timeout after connecting
     timeout = connect_timeout_ms / 1000.0
+    state = {"auth": dict(auth) if auth else None}
+    _auth_header(auth)  # an unknown type fails here, on the driver
 
-    state = {}
-
-    def fetch_one(url, method, headers, body):
+    def fetch_one(url, method, headers, body, target=None):
         if "opener" not in state:
-            state["opener"] = (opener if opener is not None
-                               else build_opener(proxy_host, proxy_port, read_timeout_ms))
+            make = build_opener if opener is None else opener if isinstance(opener, type) else None
+            state["opener"] = make(proxy_host, proxy_port, read_timeout_ms) if make else opener
         op = state["opener"]
         if not url:
             return (None, None, None, None, "empty url: no request made", 0)
-        hdrs = dict(headers or {})
-        if auth_value:
-            hdrs["Authorization"] = auth_value
+        scheme = urllib.parse.urlsplit(url).scheme.lower()
+        if scheme not in schemes:
+            return (None, None, None, None, f"scheme {scheme!r} is not allowed", 0)
         data = body.encode("utf-8") if body else None
-        attempts, last = 0, None
-        while attempts <= retry_count:
+        attempts, renewed, last = 0, False, None
+        while attempts <= retry_count + renewed:
             attempts += 1
+            hdrs = dict(headers or {})
+            used = state["auth"]
+            value = _auth_header(used)
+            if value:
+                hdrs["Authorization"] = value
             try:
                 req = urllib.request.Request(url, data=data, headers=hdrs,
                                              method=method or ("POST" if data else "GET"))
                 with op.open(req, timeout=timeout) as resp:
-                    raw = resp.read()
                     status = getattr(resp, "status", None)
                     rh = {str(k): str(v) for k, v in (resp.headers.items() if resp.headers else [])}
-                text = raw_bytes = None
-                if mode == "string":
-                    charset = None
-                    if resp.headers is not None and hasattr(resp.headers, "get_content_charset"):
-                        charset = resp.headers.get_content_charset()
-                    text = raw.decode(charset or "utf-8", errors="replace")
-                elif mode == "bytes":
-                    raw_bytes = raw
+                    text = raw_bytes = None
+                    if mode == "file":
+                        objects.write_chunks(target, iter(lambda: resp.read(objects.CHUNK), b""))
+                        text = target
+                    elif mode == "string":
+                        charset = None
+                        if resp.headers is not None and hasattr(resp.headers, "get_content_charset"):
+                            charset = resp.headers.get_content_charset()
+                        text = resp.read().decode(charset or "utf-8", errors="replace")
+                    elif mode == "bytes":
+                        raw_bytes = resp.read()
+                    else:
+                        resp.read()
                 return (status, rh, text, raw_bytes, None, attempts)
             except Exception as exc:  # noqa: BLE001 -- error as data
                 last = exc
-                if attempts > retry_count or not _retryable(exc):
+                if used and not renewed and isinstance(exc, urllib.error.HTTPError) and exc.code == 401:
+                    if state["auth"] is used:  # another thread may have renewed it meanwhile
+                        def send(request):
+                            with op.open(request, timeout=timeout) as answer:
+                                return answer.read()
+
+                        try:
+                            state["auth"] = _refresh(used, send) or used
+                        except Exception as no:  # noqa: BLE001
+                            last = no
+                    renewed = state["auth"] is not used
+                    if renewed:
+                        continue
+                if attempts > retry_count + renewed or not _retryable(exc):
                     break
                 time.sleep(retry_frequency_s)
         if on_error == "fail":
@@ -203,6 +270,20 @@ def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_
     return fetch_one
 
 
+def in_order(pool, call, rows, ahead: int):
+    """``call`` of every row, in order, with at most ``ahead`` under way or waiting."""
+    if pool is None:
+        yield from map(call, rows)
+        return
+    under_way = deque()
+    for row in rows:
+        under_way.append(pool.submit(call, row))
+        if len(under_way) >= ahead:
+            yield under_way.popleft().result()
+    while under_way:
+        yield under_way.popleft().result()
+
+
 def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str = "row",
                    connect_timeout_ms: int = CONNECT_TIMEOUT_MS,
                    read_timeout_ms: int = READ_TIMEOUT_MS, proxy_host: str | None = None,
@@ -210,46 +291,33 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                    retry_count: int = 0, retry_frequency_s: float = 1.0,
                    parallelism: int | None = None, threads: int = 1,
                    chunk_rows: int = 64, opener=None, keep: tuple[str, ...] = (),
-                   per_host: int | None = None) -> DataFrame:
+                   per_host: int | None = None, partitions: int | None = None,
+                   body_dir: str | None = None, suffix: str = "", schemes=SCHEMES) -> DataFrame:
     """Fetch every request on the executors; one response row per request (lazy).
 
-    Requests are spread over ``parallelism`` tasks round-robin.  With
-    ``per_host=k`` they are hash-partitioned on (host, salt in 0..k-1)
-    instead: at most ``k`` tasks hold any one host's requests, so no host sees
-    more than ``k * threads`` concurrent requests, and a host holding most of
-    the requests is still split ``k`` ways rather than landing in one task.
-    ``keep`` names request columns carried into the response rows as they are
-    (no join back to the requests needed).
+    Requests are dealt round-robin over ``partitions`` tasks (``parallelism``
+    is its older name); a retried task repeats one share only, so many small
+    tasks are cheap to lose.  How many run at once is the cluster's cores times
+    ``threads``.  With ``per_host=k`` they are hash-partitioned on (host, salt
+    in 0..k-1) instead: at most ``k`` tasks hold any one host's requests, so no
+    host sees more than ``k * threads`` concurrent requests, and a host holding
+    most of the requests is still split ``k`` ways.
+    ``keep`` names request columns carried into the response rows as they are.
+    ``body_mode="file"`` streams each body to ``body_dir/<request id><suffix>``
+    and returns its path in ``body_text``; no body is held in memory.
     """
     if on_error not in ("row", "fail"):
         raise ValueError("on_error must be 'row' or 'fail'")
     spark = requests.sparkSession
-    fetch_one = make_fetcher(body_mode, on_error, connect_timeout_ms, read_timeout_ms,
-                             proxy_host, proxy_port, auth, retry_count, retry_frequency_s, opener)
+    fetch_one = make_fetcher(body_mode, on_error, connect_timeout_ms, read_timeout_ms, proxy_host, proxy_port,
+                             auth, retry_count, retry_frequency_s, opener, schemes)
     base = response_schema(requests.schema["request_id"].dataType)
     schema = T.StructType(base.fields[:1] + [requests.schema[c] for c in keep] + base.fields[1:])
-    n = parallelism or spark.sparkContext.defaultParallelism
-    cols = ["request_id", "status", "headers", "body_text", "body_bytes", "error", "attempts"]
-
-    def run(batches):
-        pool = ThreadPoolExecutor(threads) if threads > 1 else None
-        try:
-            for pdf in batches:
-                # small output chunks keep at most chunk_rows bodies in memory
-                for start in range(0, len(pdf), chunk_rows):
-                    part = pdf.iloc[start:start + chunk_rows]
-                    args = list(zip(part["url"], part["method"], part["headers"], part["body"]))
-                    call = lambda a: fetch_one(*a)
-                    results = list(pool.map(call, args)) if pool else [call(a) for a in args]
-                    out = pd.DataFrame(results, columns=cols[1:], index=part.index)
-                    for i, c in enumerate(("request_id", *keep)):
-                        out.insert(i, c, part[c])
-                    out["status"] = out["status"].astype("Int32")
-                    out["attempts"] = out["attempts"].astype("Int32")
-                    yield out
-        finally:
-            if pool:
-                pool.shutdown()
+    if body_mode == "file":
+        if body_dir is None:
+            raise ValueError("body_mode='file' needs body_dir")
+        body_dir = session.qualify(spark, body_dir)
+        objects._raise_on_repeats(requests, "request_id")
 
     wanted = ["request_id", "url", "method", "headers", "body"]
     # a bare (request_id, url) table is a table of GETs
@@ -261,16 +329,52 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     if "method" not in requests.columns:
         requests = requests.withColumn(
             "method", F.when(F.length("body") > 0, F.lit("POST")).otherwise(F.lit("GET")))
-    rows = requests.select(*wanted, *[c for c in keep if c not in wanted])
+    # ids and kept columns pass as they are; a name for the file is made in the JVM
+    rows = requests.select("request_id", *keep, F.col("url").alias("_url"), F.col("method").alias("_method"),
+                           F.col("headers").alias("_headers"), F.col("body").alias("_body"),
+                           F.col("request_id").cast("string").alias("_name") if body_mode == "file"
+                           else F.lit(None).cast("string").alias("_name"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        pool = ThreadPoolExecutor(threads) if threads > 1 else None
+
+        def call(row):
+            url, method, headers, body, name = row
+            target = None if body_dir is None else f"{body_dir}/{objects.object_name(name)}{suffix}"
+            return fetch_one(url, method, dict(headers) if headers else None, body, target)
+
+        kinds = (pa.int32(), pa.map_(pa.string(), pa.string()), pa.string(), pa.binary(), pa.string(), pa.int32())
+
+        def batch(part, results):
+            columns = list(zip(*results))
+            columns[1] = [None if h is None else list(h.items()) for h in columns[1]]
+            return pa.RecordBatch.from_arrays([*part.columns[:1 + len(keep)], *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                                              names=[f.name for f in schema.fields])
+
+        try:
+            for b in batches:
+                asked = zip(*(c.to_pylist() for c in b.columns[1 + len(keep):]))
+                answers = in_order(pool, call, asked, max(2 * threads, chunk_rows if pool else 1))
+                # small output chunks keep at most chunk_rows bodies in memory
+                for start in range(0, b.num_rows, chunk_rows):
+                    part = b.slice(start, chunk_rows)
+                    yield batch(part, [next(answers) for _ in range(part.num_rows)])
+        finally:
+            if pool:
+                pool.shutdown()
+
+    n = partitions or parallelism or spark.sparkContext.defaultParallelism
     if per_host:
-        host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-        salt = F.pmod(F.xxhash64(F.col("request_id").cast("string"), "url"), F.lit(per_host))
+        host = F.lower(F.regexp_extract("_url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+        salt = F.pmod(F.xxhash64(F.col("request_id").cast("string"), "_url"), F.lit(per_host))
         rows = rows.repartition(n, host, salt)
     else:
         # round-robin: even request counts per task whatever the ids look like
         # (deterministic on retry: Spark sorts rows locally before a round-robin split)
         rows = rows.repartition(n)
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def fetch_to_staging(requests: DataFrame, staging_dir: str | None = None, **fetch_options) -> DataFrame:
@@ -284,9 +388,12 @@ def responses_to_files(responses: DataFrame, dest_dir: str, body: str = "body_te
                        suffix: str = "", parallelism: int | None = None) -> DataFrame:
     """Save each response body as one file named after its request id.
 
-    Returns the materialised manifest ``(request_id, staged_path, length, error)``;
-    failed saves keep their row with ``error`` set.
+    Returns the materialised manifest ``(request_id, staged_path, length, error)``
+    with a row for every response: failed fetches and failed saves have
+    ``error`` set and no file.
     """
-    ok = responses.filter(F.col("error").isNull())
-    manifest = objects.write_objects(ok, "request_id", body, dest_dir, suffix, parallelism)
+    whole = responses.select("request_id", F.when(F.col("error").isNull(), F.col(body)).alias("_body"),
+                             F.col("error").alias("_failed"))
+    saved = objects.write_objects(whole, "request_id", "_body", dest_dir, suffix, parallelism, keep=("_failed",))
+    manifest = saved.select("request_id", "staged_path", "length", F.coalesce("_failed", "error").alias("error"))
     return objects.materialise(manifest, f"{dest_dir.rstrip('/')}/_manifest")

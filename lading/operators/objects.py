@@ -2,18 +2,18 @@
 
 Spark's writers produce part files; some connector work needs one file per
 object instead (a staged copy of a remote file, a saved HTTP response, an
-encrypted or decrypted file).  These helpers run inside ``mapInPandas`` tasks
-and talk to the shared staging store through ``pyarrow.fs`` (local, HDFS, S3,
+encrypted or decrypted file).  These helpers run inside ``mapInArrow`` tasks, so
+ids and keys keep their exact type, and talk to the shared staging store through ``pyarrow.fs`` (local, HDFS, S3,
 GCS, ...).  Each object is written to a temporary name and then moved into
 place, so a retried or speculative task rewrites the same final name.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import session
@@ -33,10 +33,16 @@ MANIFEST_SCHEMA = T.StructType([
 ARROW_SCHEMES = ("", "file", "hdfs", "viewfs", "s3", "s3a", "s3n", "gs", "gcs", "abfs", "abfss")
 
 
+def split_uri(uri: str) -> tuple[str, str, str]:
+    """(scheme, authority, path) of a Hadoop path, which is text: nothing in it is percent-encoded."""
+    scheme, authority, path = re.fullmatch(r"(?s)(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/]*))?(.*)", uri).groups()
+    return (scheme or "").lower(), authority or "", path
+
+
 def streamable(uris) -> bool:
     """Whether tasks can stream these locations with pyarrow (checked on the driver)."""
     for uri in uris:
-        if urlparse(uri).scheme.lower() not in ARROW_SCHEMES:
+        if split_uri(uri)[0] not in ARROW_SCHEMES:
             return False
         try:
             arrow_location(uri)
@@ -46,24 +52,22 @@ def streamable(uris) -> bool:
 
 
 def arrow_location(uri: str):
-    """(pyarrow FileSystem, path) for a Hadoop-style URI."""
+    """(pyarrow FileSystem, path) for a Hadoop path."""
     import pyarrow.fs as pafs
 
-    parsed = urlparse(uri)
-    scheme = (parsed.scheme or "file").lower()
-    if scheme == "file":
-        return pafs.LocalFileSystem(), unquote(parsed.path)
+    scheme, authority, path = split_uri(uri)
+    if scheme in ("", "file"):
+        return pafs.LocalFileSystem(), path
     if scheme in ("s3a", "s3n"):
-        uri = "s3" + uri[len(scheme):]
-    return pafs.FileSystem.from_uri(uri)
+        scheme = "s3"
+    fs, base = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return fs, base.rstrip("/") + path
 
 
-def file_url(uri: str) -> str:
-    """A ``file:///`` URL for a local or ``file:`` Hadoop path."""
-    parsed = urlparse(uri)
-    if parsed.scheme in ("", "file"):
-        return "file://" + parsed.path
-    return uri
+def object_name(key) -> str:
+    """A file name for a key: one path segment, different for different keys."""
+    name = quote(str(key), safe=" !#$&'()+,;=@[]{}~")
+    return name.replace(".", "%2E") if name in (".", "..") else name
 
 
 def _put(fs, path: str, chunks) -> int:
@@ -84,6 +88,12 @@ def write_bytes(uri: str, data: bytes) -> int:
     return _put(fs, path, [data])
 
 
+def write_chunks(uri: str, chunks) -> int:
+    """Stream chunks of bytes to an object."""
+    fs, path = arrow_location(uri)
+    return _put(fs, path, chunks)
+
+
 def copy_stream(src_uri: str, dst_uri: str) -> int:
     """Stream one object to another location without holding it in memory."""
     sfs, spath = arrow_location(src_uri)
@@ -102,49 +112,66 @@ def copy_stream(src_uri: str, dst_uri: str) -> int:
 
 def write_objects(df: DataFrame, key_col: str, content_col: str, dest_dir: str,
                   suffix: str = "", parallelism: int | None = None,
-                  keep: tuple[str, ...] = ()) -> DataFrame:
+                  keep: tuple[str, ...] = (), keys_are_paths: bool = False) -> DataFrame:
     """Write each row's ``content_col`` (binary or string) to ``dest_dir/<key><suffix>``.
 
-    Objects are written where their rows already are (no shuffle of payloads);
-    ``parallelism`` re-spreads them by a hash of their unique key first.
-    Returns a lazy manifest ``(key, *keep, staged_path, length, error)``; the
-    caller materialises it (``materialise``) so the files exist exactly once.
+    A key becomes one path segment (percent-encoded where needed; the manifest
+    maps keys to files); two rows with one key raise, they would overwrite each
+    other.  With ``keys_are_paths`` keys are relative paths that the caller
+    knows to be distinct.  Objects are written where their rows already are (no
+    shuffle of payloads); ``parallelism`` re-spreads them by a hash of their key
+    first.  Returns a lazy manifest ``(key, *keep, staged_path, length, error)``;
+    the caller materialises it (``materialise``) so the files exist exactly once.
     """
     spark = df.sparkSession
     dest = session.qualify(spark, dest_dir)
-    out_schema = T.StructType(
-        [df.schema[key_col]] + [df.schema[c] for c in keep] + [
-            T.StructField("staged_path", T.StringType()),
-            T.StructField("length", T.LongType()),
-            T.StructField("error", T.StringType()),
-        ])
+    extra = T.StructType([
+        T.StructField("staged_path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("error", T.StringType()),
+    ])
+    names = [key_col, *keep]
+    out_schema = T.StructType([df.schema[c] for c in names] + extra.fields)
+    if not keys_are_paths:
+        _raise_on_repeats(df, key_col)
 
     def run(batches):
-        for pdf in batches:
+        import pyarrow as pa
+
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index(key_col)).to_pylist()
             paths, lens, errs = [], [], []
-            for key, content in zip(pdf[key_col], pdf[content_col]):
-                if content is None:
-                    paths.append(None), lens.append(None), errs.append("null content")
+            for key, content in zip(keys, batch.column(batch.schema.get_field_index(content_col))):
+                content = content.as_py()
+                if key is None or content is None:
+                    paths.append(None), lens.append(None)
+                    errs.append("null content" if key is not None else "null key")
                     continue
                 data = content.encode("utf-8") if isinstance(content, str) else bytes(content)
-                target = f"{dest}/{key}{suffix}"
+                target = f"{dest}/{key if keys_are_paths else object_name(key)}{suffix}"
                 try:
                     lens.append(write_bytes(target, data))
                     paths.append(target)
                     errs.append(None)
                 except Exception as exc:  # error as data, never a lost row
                     paths.append(None), lens.append(None), errs.append(repr(exc))
-            out = pdf[[key_col, *keep]].copy()
-            out["staged_path"] = paths
-            out["length"] = pd.array(lens, dtype="Int64")
-            out["error"] = errs
-            yield out
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index(c)) for c in names]
+                + [pa.array(paths, pa.string()), pa.array(lens, pa.int64()), pa.array(errs, pa.string())],
+                names=[f.name for f in out_schema.fields])
 
-    cols = [key_col, *keep] + ([] if content_col in keep else [content_col])
+    cols = names + ([] if content_col in names else [content_col])
     rows = df.select(*cols)
     if parallelism:
         rows = rows.repartition(parallelism, key_col)
-    return rows.mapInPandas(run, out_schema)
+    return rows.mapInArrow(run, out_schema)
+
+
+def _raise_on_repeats(df: DataFrame, column: str) -> None:
+    """Two rows with one name would leave one file."""
+    twice = df.groupBy(F.col(column).alias("key")).count().where("key IS NOT NULL AND count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{twice[0]['count']} rows would be written to one file: {column} = {twice[0]['key']!r}")
 
 
 def materialise(df: DataFrame, where: str) -> DataFrame:
@@ -167,61 +194,93 @@ def listing(spark, uris, recursive: bool = True) -> DataFrame:
     return reader.load(paths).select("path", "modificationTime", "length")
 
 
+class LazyListing:
+    """The listing of a written path, made when it is first used: a write alone lists nothing."""
+
+    def __init__(self, spark, path: str):
+        self._spark, self._path, self._frame = spark, path, None
+
+    def __getattr__(self, name):
+        if name.startswith("__"):
+            raise AttributeError(name)
+        if self._frame is None:
+            self._frame = listing(self._spark, self._path)
+        return getattr(self._frame, name)
+
+
+def under_roots(spark, listing: DataFrame, roots) -> DataFrame:
+    """``listing`` plus ``root`` (the longest of ``roots`` a file is under, else null), its ``rank`` and ``rel``.
+
+    An equi-join of every file's parent folders with the roots, so the work
+    does not grow with their product.
+    """
+    qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots})
+    table = spark.createDataFrame(list(enumerate(qroots)), "rank int, root string")
+    parts = F.split("path", "/", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    found = (listing.select("path", F.explode(above).alias("root")).join(table, "root")
+             .groupBy("path").agg(F.max_by(F.struct("root", "rank"), F.length("root")).alias("at")))
+    rest = F.expr("substr(path, length(at.root) + 2)")
+    return (listing.join(found, "path", "left")
+            .withColumn("rel", F.when(F.col("at").isNull() | (rest == ""), F.regexp_extract("path", r"([^/]+)$", 1)).otherwise(rest))
+            .withColumn("root", F.col("at.root")).withColumn("rank", F.col("at.rank")).drop("at"))
+
+
+def staged_names(spark, files: DataFrame, roots) -> DataFrame:
+    """``path, modificationTime, rel``: where each file goes, its path below its root.
+
+    With several roots the file name starts with its root's number, so equal
+    names of different roots stay two files and partition folders stay one tree.
+    """
+    named = under_roots(spark, files, roots)
+    if len({session.qualify(spark, r).rstrip("/") for r in roots}) > 1:
+        named = named.withColumn("rel", F.regexp_replace(
+            "rel", F.lit(r"([^/]+)$"), F.concat(F.coalesce(F.col("rank").cast("string"), F.lit("x")), F.lit("-$1"))))
+    named = named.select("path", "modificationTime", "rel")
+    _raise_on_repeats(named, "rel")
+    return named
+
+
 def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
                parallelism: int | None = None) -> DataFrame:
     """Copy every listed file below ``dest_dir``, keeping its path relative to its root."""
     spark = files.sparkSession
     dest = session.qualify(spark, dest_dir)
-    qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots}, key=len, reverse=True)
     n = parallelism or spark.sparkContext.defaultParallelism
 
-    def relative(path: str) -> str:
-        for root in qroots:
-            if path == root:
-                return path.rsplit("/", 1)[1]
-            if path.startswith(root + "/"):
-                return path[len(root) + 1:]
-        return path.rsplit("/", 1)[1]
-
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for path, mtime in zip(pdf["path"], pdf["modificationTime"]):
-                target = f"{dest}/{relative(path)}"
+        import pyarrow as pa
+
+        for batch in batches:
+            targets, lens, errs = [], [], []
+            for path, rel in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 try:
-                    n_bytes = copy_stream(path, target)
-                    rows.append((path, target, n_bytes, mtime, None))
+                    lens.append(copy_stream(path, f"{dest}/{rel}"))
+                    targets.append(f"{dest}/{rel}"), errs.append(None)
                 except Exception as exc:
-                    rows.append((path, None, None, mtime, repr(exc)))
-            out = pd.DataFrame(rows, columns=["uri", "staged_path", "length",
-                                              "modification_time", "error"])
-            out["length"] = out["length"].astype("Int64")
-            yield out
+                    targets.append(None), lens.append(None), errs.append(repr(exc))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(targets, pa.string()), pa.array(lens, pa.int64()), batch.column(1),
+                 pa.array(errs, pa.string())], names=[f.name for f in MANIFEST_SCHEMA.fields])
 
     # round-robin over small metadata rows: even file counts per task
-    return (files.select("path", "modificationTime")
-                 .repartition(n)
-                 .mapInPandas(run, MANIFEST_SCHEMA))
+    return staged_names(spark, files, roots).repartition(n).mapInArrow(run, MANIFEST_SCHEMA)
 
 
 def copy_files_via_spark(spark, files: DataFrame, roots: list[str], dest_dir: str,
                          sources: list[str] | None = None) -> DataFrame:
     """Copy listed files whose scheme only Hadoop reads: ``binaryFile`` content.
 
-    Each object is held in memory once (binaryFile's per-file limit applies),
-    so this path is for sources pyarrow cannot open.  ``sources`` narrows what
-    is scanned for content (e.g. only the newest drops); default: the roots.
+    Each object is held in memory once (binaryFile's limit of 2 GB an object
+    applies), so this path is for sources pyarrow cannot open.  ``sources``
+    narrows what is scanned for content (e.g. only the newest drops); default:
+    the roots.
     """
-    qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots}, key=len, reverse=True)
+    qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots})
     content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(list(sources or qroots)).select("path", "modificationTime", "content")
-               .join(files.select("path"), "path", "left_semi"))
-    rel = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    for root in qroots:
-        rel = F.when(F.col("path").startswith(root + "/"),
-                     F.expr(f"substr(path, {len(root) + 2})")).otherwise(rel)
-    written = write_objects(content.withColumn("name", rel), "name", "content", dest_dir,
-                            keep=("path", "modificationTime"))
+               .load(list(sources or qroots)).select("path", "content")
+               .join(staged_names(spark, files, roots), "path"))
+    written = write_objects(content, "rel", "content", dest_dir, keep=("path", "modificationTime"), keys_are_paths=True)
     return written.select(F.col("path").alias("uri"), "staged_path", "length",
                           F.col("modificationTime").alias("modification_time"), "error")
 

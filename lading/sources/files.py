@@ -34,36 +34,36 @@ def read_files(spark: SparkSession, path, file_type: str, schema=None, **options
 
 def with_root(spark: SparkSession, listing: DataFrame, roots) -> DataFrame:
     """Tag each listed file with the root (dataset) it was found under."""
-    qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots}, key=len, reverse=True)
-    root = F.lit(None).cast("string")
-    for r in reversed(qroots):          # longest root wins: applied last
-        root = F.when(F.col("path").startswith(r + "/") | (F.col("path") == r), F.lit(r)).otherwise(root)
-    return listing.withColumn("root", root)
+    return objects.under_roots(spark, listing, roots).drop("rank", "rel")
+
+
+def drop_of(path: str = "path", root: str = "root"):
+    """The drop a file belongs to: the first folder under its root, or the root for a file right there."""
+    first = F.regexp_extract(F.expr(f"substr({path}, length({root}) + 2)"), r"^([^/]+)/", 1)
+    return F.when(first == "", F.col(root)).otherwise(F.concat(F.col(root), F.lit("/"), first))
 
 
 def newest(listing: DataFrame, by: str = "file") -> DataFrame:
     """The newest object of each dataset in a listing, as ``(root, path)`` rows.
 
     ``by="file"``: the newest file (ties broken by the larger path).
-    ``by="directory"``: the directory holding the newest file, i.e. the most
-    recent drop of a dataset written as several part files.
+    ``by="directory"``: the drop holding the newest file, whole: everything
+    below the first folder under the root.
     Without a ``root`` column the whole listing is one dataset.  Per-dataset
     maxima are partial aggregates combined map-side, so a dataset holding
     most of the files is no hot spot.
     """
+    if by not in ("file", "directory"):
+        raise ValueError(f"latest by must be 'file' or 'directory', not {by!r}")
     if "root" not in listing.columns:
         listing = listing.withColumn("root", F.lit(None).cast("string"))
     if by == "file":
         return listing.groupBy("root").agg(
             F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
-    if by == "directory":
-        drops = (listing
-                 .withColumn("drop", _parent(F.col("path")))
-                 .groupBy("root", "drop")
-                 .agg(F.max("modificationTime").alias("modificationTime")))
-        return drops.groupBy("root").agg(
-            F.max_by("drop", F.struct("modificationTime", "drop")).alias("path"))
-    raise ValueError(f"latest by must be 'file' or 'directory', not {by!r}")
+    drop = F.coalesce(drop_of(), _parent(F.col("path")))
+    drops = listing.groupBy("root", drop.alias("drop")).agg(F.max("modificationTime").alias("modificationTime"))
+    return drops.groupBy("root").agg(
+        F.max_by("drop", F.struct("modificationTime", "drop")).alias("path"))
 
 
 def latest_file(spark: SparkSession, uri, by: str = "file"):
@@ -98,14 +98,13 @@ def stage_files(spark: SparkSession, uris, staging_dir: str | None = None,
     target = staging_dir or session.new_staging_dir(spark, "stage")
     files = objects.listing(spark, roots)
     if latest:
-        pick = (newest(with_root(spark, files, roots), latest_by)
-                .select(F.col("path").alias("pick")))
-        unit = F.col("path") if latest_by == "file" else _parent(F.col("path"))
-        # equi-join against one row per root given by the caller: a broadcast
-        # whose size is bounded by the argument list, not by the data
-        files = (files.withColumn("unit", unit)
-                      .join(F.broadcast(pick), F.col("unit") == F.col("pick"), "left_semi")
-                      .drop("unit"))
+        rooted = with_root(spark, files, roots)
+        pick = newest(rooted, latest_by).select(F.col("path").alias("pick"))
+        unit = F.col("path") if latest_by == "file" else drop_of()
+        # an equi-join with one row per root; AQE picks its strategy
+        files = (rooted.withColumn("unit", unit)
+                       .join(pick, F.col("unit") == F.col("pick"), "left_semi")
+                       .drop("unit", "root"))
     if objects.streamable(roots) and objects.streamable([target]):
         manifest = objects.copy_files(files, roots, f"{target}/data", parallelism)
     else:
@@ -124,7 +123,8 @@ def load_remote(spark: SparkSession, path, file_type: str, schema=None, **option
     """The connector's read lifecycle as one call.
 
     * ``copyLatest=true``: only the newest object under ``path`` is used
-      (``latestBy=directory`` picks the newest drop folder instead of a file).
+      (``latestBy=directory``: the newest drop, whole, i.e. the first folder
+      under ``path`` and everything below it).
     * ``stage=true``, ``createDF=false`` or a named staging folder
       (``stagingLocation`` / ``tempLocation`` / ``hdfsTempLocation``): objects
       are copied there before reading; otherwise ``path`` is scanned directly.

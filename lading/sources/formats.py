@@ -86,6 +86,7 @@ def spark_format(ft: str) -> str:
 def normalise(options: dict | None) -> dict[str, str]:
     """Case-insensitive option map with string values, aliases folded in."""
     out: dict[str, str] = {}
+    refuse(options or {})
     for key, value in (options or {}).items():
         if value is None:
             continue
@@ -113,6 +114,12 @@ def flag(options: dict, key: str, default: str = "false") -> bool:
     return str(get(options, key, default)).strip().lower() == "true"
 
 
+def refuse(options: dict) -> None:
+    """Options that would silently not do what they say."""
+    if get(options, "pemPassphrase") is not None:
+        raise ValueError("pemPassphrase is not supported: the SFTP filesystem reads unencrypted key files only")
+
+
 def spark_options(options: dict) -> dict[str, str]:
     return {k: v for k, v in options.items() if k.lower() not in CONNECTOR_KEYS}
 
@@ -131,6 +138,8 @@ def read_options(ft: str, options: dict) -> dict[str, str]:
     # the writer emits (microseconds included) exactly, and is ~2x faster.
     if ft == "xml" and get(user, "rowTag") is None:
         raise ValueError("fileType xml needs the 'rowTag' option")
+    if ft == "xml" and not flag(user, "multiLine", "true"):
+        raise ValueError("xml is read whole-file: multiLine=false would split records between tasks and repeat them")
     return _merge(base, user)
 
 

@@ -1,23 +1,26 @@
 """REST endpoints as a Spark data source.
 
 ``spark.read.format("rest_endpoint").option(...).load("url1,url2")`` yields one
-response row per endpoint, fetched on the executors (one input partition per
-batch of endpoints).  ``read_rest`` adds the connector's ``fileType`` step:
-json/csv/txt bodies are split into lines and parsed JVM-side; other types are
-saved one file per response and scanned with the native reader.
-
-The endpoint list is planned on the driver, so this entry point suits tens to
-thousands of endpoints; a large request *table* goes through
-``lading.operators.fetch.fetch_requests``, which is distributed end to end.
+response row per endpoint, fetched on the executors.  With ``fileType`` (json,
+csv or txt) and a schema it yields the rows of the bodies instead.  Its endpoint
+list is planned on the driver, so it suits tens to thousands of endpoints.
+
+``read_rest`` takes a list or a whole table of requests: every body is streamed
+to staging inside the task that asks for it, and the files are scanned by
+Spark's own readers with all their options, so large bodies are split and
+columns pruned like any other file.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
+from .. import session
 from ..operators import fetch as fetch_ops
 from . import formats
 
@@ -34,12 +37,48 @@ RESPONSE_SCHEMA = T.StructType([
 ])
 
 _AUTH_KEYS = ("auth_type", "username", "password", "client_id", "client_key", "token",
-              "token_type")
+              "token_type", "refresh_token", "refrsh_token", "token_url")
+
+
+def split_endpoints(raw: str) -> list[str]:
+    """A JSON list, or URLs separated by line feeds or by commas that a scheme follows (a comma may be part of a URL)."""
+    if raw.lstrip().startswith("["):
+        return [str(u) for u in json.loads(raw)]
+    return [u.strip() for u in re.split(r"\n|,(?=\s*[A-Za-z][A-Za-z0-9+.-]*:/)", raw) if u.strip()]
+
+
+def with_host(url: str, options: dict) -> str:
+    """A relative endpoint under the ``host`` option (``protocol``, default https, and ``port``)."""
+    host = formats.get(options, "host")
+    if host is None or re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", url):
+        return url
+    base = host if "://" in host else f"{formats.get(options, 'protocol', 'https')}://{host}"
+    port = formats.get(options, "port")
+    return f"{base.rstrip('/')}{f':{port}' if port else ''}/{url.lstrip('/')}"
 
 
 def _endpoints(options: dict) -> list[str]:
-    raw = options.get("path") or options.get("endpoints") or ""
-    return [u.strip() for u in raw.replace("\n", ",").split(",") if u.strip()]
+    return [with_host(u, options) for u in split_endpoints(options.get("path") or options.get("endpoints") or "")]
+
+
+def fetch_options(options: dict) -> dict:
+    """The fetch settings among the options, by ``fetch_requests``' names."""
+    o = {k.lower(): v for k, v in options.items() if v is not None}
+    auth = {k: o[k] for k in _AUTH_KEYS if k in o} or None
+    if auth is not None:
+        # auth_type as given; otherwise implied by the credentials present
+        implied = "bearer" if "token" in auth else "client" if "client_id" in auth else "basic"
+        auth["type"] = auth.pop("auth_type", implied)
+    return {
+        "on_error": o.get("onerror", "row"),
+        "connect_timeout_ms": int(o.get("connecttimeoutms", fetch_ops.CONNECT_TIMEOUT_MS)),
+        "read_timeout_ms": int(o.get("readtimeoutms", fetch_ops.READ_TIMEOUT_MS)),
+        "proxy_host": o.get("proxyhost"),
+        "proxy_port": int(o["proxyport"]) if "proxyport" in o else None,
+        "auth": auth,
+        "retry_count": int(o.get("retry_count", o.get("retrycount", 0))),
+        "retry_frequency_s": float(o.get("retry_frequency", o.get("retry_frquencey", 1.0))),
+    }
 
 
 class _Batch(InputPartition):
@@ -49,8 +88,9 @@ class _Batch(InputPartition):
 
 
 class RestReader(DataSourceReader):
-    def __init__(self, options: dict):
+    def __init__(self, options: dict, schema: T.StructType | None = None):
         self.options = options
+        self.schema = schema
         self.wanted: set[str] | None = None
 
     def pushFilters(self, filters):
@@ -70,30 +110,15 @@ class RestReader(DataSourceReader):
         urls = _endpoints(self.options)
         if self.wanted is not None:
             urls = [u for u in urls if u in self.wanted]
-        n = int(self.options.get("numpartitions", 0) or 0) or min(len(urls), 64) or 1
+        n = int(self.options.get("numpartitions", 0) or 0) or len(urls) or 1
         size = max(1, -(-len(urls) // n))
         return [_Batch(urls[i:i + size]) for i in range(0, len(urls), size)] or [_Batch([])]
 
     def read(self, partition):
         o = self.options
-        auth = {k: o[k] for k in _AUTH_KEYS if k in o} or None
-        if auth is not None:
-            # auth_type as given; otherwise implied by the credentials present
-            implied = ("bearer" if "token" in auth else
-                       "client" if "client_id" in auth else "basic")
-            auth["type"] = auth.pop("auth_type", implied)
         headers = json.loads(o["headers"]) if "headers" in o else None
-        fetch_one = fetch_ops.make_fetcher(
-            body_mode=o.get("bodymode", "string"),
-            on_error=o.get("onerror", "row"),
-            connect_timeout_ms=int(o.get("connecttimeoutms", fetch_ops.CONNECT_TIMEOUT_MS)),
-            read_timeout_ms=int(o.get("readtimeoutms", fetch_ops.READ_TIMEOUT_MS)),
-            proxy_host=o.get("proxyhost"),
-            proxy_port=int(o["proxyport"]) if "proxyport" in o else None,
-            auth=auth,
-            retry_count=int(o.get("retry_count", o.get("retrycount", 0))),
-            retry_frequency_s=float(o.get("retry_frequency", o.get("retry_frquencey", 1.0))),
-        )
+        fetch_one = fetch_ops.make_fetcher(body_mode="string" if self.schema else o.get("bodymode", "string"),
+                                           **fetch_options(o))
         body = o.get("body")
         method = "POST" if body else "GET"
         threads = int(o.get("threads", 1))
@@ -101,14 +126,47 @@ class RestReader(DataSourceReader):
         def one(url):
             return (url, *fetch_one(url, method, headers, body))
 
-        if threads > 1:   # bounded concurrency inside the task; output order kept
-            from concurrent.futures import ThreadPoolExecutor
-
-            with ThreadPoolExecutor(threads) as pool:
-                yield from pool.map(one, partition.urls)
-        else:
-            for url in partition.urls:
-                yield one(url)
+        pool = ThreadPoolExecutor(threads) if threads > 1 else None
+        try:
+            for answer in fetch_ops.in_order(pool, one, partition.urls, 2 * threads):
+                if self.schema is None:
+                    yield answer
+                elif answer[5] is not None:
+                    raise RuntimeError(f"{answer[0]}: {answer[5]}")
+                else:
+                    yield from body_rows(answer[3], o, self.schema)
+        finally:
+            if pool:
+                pool.shutdown()
+
+
+def body_rows(text: str, options: dict, schema: T.StructType):
+    """The rows of one body, for the data source; ``read_rest`` scans bodies with Spark's readers."""
+    import csv
+    import io
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    ft, arrow = formats.file_type(options["filetype"]), to_arrow_schema(schema)
+    if ft == "txt":
+        yield from ((line,) for line in text.removesuffix("\n").split("\n"))
+        return
+    if ft == "json":
+        try:
+            found = json.loads(text)
+            found = found if isinstance(found, list) else [found]
+        except ValueError:  # json lines
+            found = [json.loads(line) for line in text.splitlines() if line.strip()]
+        columns = [pa.array([r.get(f.name) for r in found], f.type) for f in arrow]
+    else:
+        rows = list(csv.reader(io.StringIO(text), delimiter=formats.get(options, "delimiter", formats.CONNECTOR_DEFAULTS["delimiter"]),
+                               quotechar=formats.get(options, "quote", '"')))
+        if formats.flag(options, "header", formats.CONNECTOR_DEFAULTS["header"]):
+            rows = rows[1:]
+        columns = [pa.array([r[i] if i < len(r) and r[i] != "" else None for r in rows], pa.string()).cast(f.type)
+                   for i, f in enumerate(arrow)]
+    yield from zip(*(c.to_pylist() for c in columns))
 
 
 class RestDataSource(DataSource):
@@ -119,14 +177,23 @@ class RestDataSource(DataSource):
         return SOURCE_NAME
 
     def schema(self):
-        return RESPONSE_SCHEMA
+        ft = formats.get(self.options, "fileType")
+        if ft is None:
+            return RESPONSE_SCHEMA
+        if formats.file_type(ft) == "txt":
+            return T.StructType([T.StructField("value", T.StringType())])
+        raise ValueError(f"{SOURCE_NAME} needs a schema to parse {ft} bodies; read_rest infers one")
 
     def reader(self, schema):
-        if schema is not None and schema != RESPONSE_SCHEMA:
-            raise ValueError(
-                f"{SOURCE_NAME} returns response rows {RESPONSE_SCHEMA.simpleString()}; "
-                "to parse bodies into a schema use lading.sources.rest.read_rest")
-        return RestReader({k.lower(): v for k, v in self.options.items()})
+        options = {k.lower(): v for k, v in self.options.items()}
+        ft = options.get("filetype")
+        if ft is None:
+            if schema is not None and schema != RESPONSE_SCHEMA:
+                raise ValueError(f"{SOURCE_NAME} without fileType returns response rows {RESPONSE_SCHEMA.simpleString()}")
+            return RestReader(options)
+        if formats.file_type(ft) not in ("json", "csv", "txt"):
+            raise ValueError(f"{SOURCE_NAME} parses json, csv and txt bodies; read_rest scans {ft}")
+        return RestReader(options, schema)
 
 
 PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
@@ -142,63 +209,82 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(RestDataSource)
 
 
-def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, schema=None,
-              persist: bool = True, **options) -> DataFrame:
-    """Fetch endpoints and, with ``file_type``, parse their bodies into rows of ``schema``."""
-    register(spark)
-    urls = endpoints if isinstance(endpoints, str) else ",".join(endpoints)
-    opts = {k: str(v) for k, v in options.items() if v is not None}
-    if file_type is not None and formats.file_type(file_type) in ("parquet", "avro"):
-        opts["bodyMode"] = "bytes"
-    responses = spark.read.format(SOURCE_NAME).options(**opts).load(urls)
-    if persist:
-        # fetch once: later actions and recomputations read the saved responses
-        from ..operators.objects import materialise
-        from .. import session
-
-        responses = materialise(responses, f"{session.new_staging_dir(spark, 'rest')}/responses")
-    if file_type is None:
-        return responses
-    return responses_to_rows(responses.withColumnRenamed("url", "request_id"), file_type,
-                             schema, **options)
+#: options of ``read_rest`` that are not for the file reader
+_FETCH_KEYS = {*_AUTH_KEYS, "headers", "body", "host", "port", "protocol", "onerror", "connecttimeoutms", "readtimeoutms",
+               "proxyhost", "proxyport", "retry_count", "retrycount", "retry_frequency", "retry_frquencey", "threads",
+               "numpartitions", "bodymode", "endpoints"}
 
 
-def responses_to_rows(responses: DataFrame, file_type: str, schema=None, **options) -> DataFrame:
-    """Rows of ``schema`` from the bodies of a response table (failed responses skipped).
+def request_table(spark: SparkSession, endpoints, options: dict) -> DataFrame:
+    """``request_id, url[, method, headers, body]`` from URLs or from a table with a ``url`` column."""
+    if isinstance(endpoints, DataFrame):
+        if "request_id" in endpoints.columns:
+            return endpoints
+        return endpoints.withColumn("request_id", F.sha1(F.col("url")))
+    urls = split_endpoints(endpoints) if isinstance(endpoints, str) else list(endpoints)
+    rows = spark.createDataFrame([(i, with_host(u, options)) for i, u in enumerate(urls)], "request_id long, url string")
+    if formats.get(options, "headers"):
+        fixed = json.loads(options["headers"]) if isinstance(options["headers"], str) else dict(options["headers"])
+        rows = rows.withColumn("headers", F.create_map(*[F.lit(x) for kv in fixed.items() for x in kv]))
+    if formats.get(options, "body"):
+        rows = rows.withColumn("body", F.lit(formats.get(options, "body")))
+    return rows
 
-    json/csv with a schema and txt are split into lines and parsed JVM-side;
-    other types, or json/csv without a schema, are saved one file per
-    response and scanned by the native reader (which infers json/xml and
-    reads csv headers).  Works on ``fetch_requests`` output and on this
-    source's rows alike.
+
+def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, schema=None,
+              on_failed: str = "raise", opener=None, **options) -> DataFrame:
+    """Fetch endpoints and, with ``file_type``, scan their bodies as files.
+
+    ``endpoints`` is a URL, a list of them or a DataFrame with ``url`` (and
+    optionally ``request_id, method, headers, body``).  Bodies are streamed to
+    staging and read natively: every reader option applies, a schema is used as
+    given or inferred.  ``application/json`` bodies are whole documents (arrays
+    or pretty-printed), ``json`` is one value a line.  ``on_failed``: a failed
+    request raises, or with ``"skip"`` its rows are left out.
     """
-    from ..operators.fetch import responses_to_files
-    from .. import session
+    opts = {k: v for k, v in options.items() if v is not None}
+    how = fetch_options(opts)
+    requests = request_table(spark, endpoints, opts)
+    for name in ("threads", "numPartitions"):
+        if formats.get(opts, name):
+            how["threads" if name == "threads" else "partitions"] = int(formats.get(opts, name))
+    if file_type is None:
+        mode = formats.get(opts, "bodyMode", "string")
+        got = fetch_ops.fetch_to_staging(requests, body_mode=mode, opener=opener, keep=("url",), **how)
+        return got.drop("request_id")
+    where = session.new_staging_dir(spark, "rest")
+    ft = formats.file_type(file_type)
+    answers = fetch_ops.fetch_to_staging(requests, where, body_mode="file", body_dir=f"{where}/bodies", suffix="." + ft,
+                                         opener=opener, **how)
+    return _scan(spark, answers, f"{where}/bodies", file_type, schema, on_failed, opts)
+
+
+def _scan(spark, manifest: DataFrame, folder: str, file_type: str, schema, on_failed: str, options: dict) -> DataFrame:
     from .files import read_files
 
+    if on_failed not in ("raise", "skip"):
+        raise ValueError("on_failed must be 'raise' or 'skip'")
+    bad = manifest.where("error IS NOT NULL")
+    if on_failed == "raise":
+        first = bad.select(F.col("request_id").cast("string").alias("id"), "error").first()
+        if first is not None:
+            raise RuntimeError(f"{bad.count()} requests failed, e.g. {first.id}: {first.error}")
+    reader = {k: v for k, v in options.items() if k.lower() not in _FETCH_KEYS}
+    if str(file_type).strip().lower() == "application/json" and formats.get(reader, "multiLine") is None:
+        reader["multiLine"] = "true"
+    if not session.exists(spark, folder):  # no request, or none that succeeded
+        return spark.createDataFrame([], schema or T.StructType([]))
+    return read_files(spark, folder, file_type, schema, **reader)
+
+
+def responses_to_rows(responses: DataFrame, file_type: str, schema=None, on_failed: str = "raise", **options) -> DataFrame:
+    """The rows of a response table's bodies: saved as files, then scanned natively with all options.
+
+    Failed responses raise, or with ``on_failed="skip"`` are left out.
+    """
     spark = responses.sparkSession
     ft = formats.file_type(file_type)
-    ok = responses.filter(F.col("error").isNull())
-    norm = formats.normalise(options)
-    if ft == "txt" or (ft in ("json", "csv") and schema is not None):
-        lines = ok.select(F.posexplode(F.split("body_text", r"\r?\n")).alias("pos", "line"))
-        if ft == "txt":
-            return lines.filter(F.col("line") != "").select(F.col("line").alias("value"))
-        if ft == "json":
-            parsed = F.from_json("line", schema)
-            return lines.filter(F.trim("line") != "").select(parsed.alias("r")).select("r.*")
-        header = formats.flag(norm, "header", formats.CONNECTOR_DEFAULTS["header"])
-        sep = formats.get(norm, "delimiter", formats.CONNECTOR_DEFAULTS["delimiter"])
-        if header:
-            lines = lines.filter(F.col("pos") > 0)
-        ddl = schema if isinstance(schema, str) else ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        parsed = F.from_csv("line", ddl, {"sep": sep})
-        return lines.filter(F.col("line") != "").select(parsed.alias("r")).select("r.*")
     where = session.new_staging_dir(spark, "rest-bodies")
-    keyed = ok.withColumn("request_id", F.sha1(F.col("request_id").cast("string")))
-    responses_to_files(keyed, where, body="body_bytes" if ft in ("parquet", "avro") else "body_text",
-                       suffix="." + ft)
-    reader_keys = ("rowtag", "header", "delimiter", "sep", "inferschema", "multiline")
-    return read_files(spark, where, ft, schema,
-                      **{k: v for k, v in options.items() if k.lower() in reader_keys})
+    body = "body_bytes" if ft in ("parquet", "avro") else "body_text"
+    manifest = fetch_ops.responses_to_files(responses, f"{where}/bodies", body=body, suffix="." + ft)
+    return _scan(spark, manifest, f"{where}/bodies", file_type, schema, on_failed, options)

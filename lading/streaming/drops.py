@@ -3,7 +3,8 @@
 A remote folder that receives a new drop every day is read incrementally: each
 micro-batch picks up only files not seen before (the stream checkpoint records
 them), with the same file-type dispatch and options as the batch reader.
-``latestFirst`` mirrors ``copyLatest``: newest files are processed first.
+``latestFirst`` processes the newest files first; ``copyLatest`` (only the newest
+drop) has no meaning for a stream and raises.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ def stream_files(spark: SparkSession, uri: str, file_type: str, schema, **option
     """Streaming DataFrame over the files arriving under ``uri`` (schema required)."""
     ft = formats.file_type(file_type)
     opts = formats.normalise(options)
-    reader_opts = formats.read_options(ft, opts)
     if formats.flag(opts, "copyLatest"):
-        reader_opts["latestFirst"] = "true"
+        raise ValueError("copyLatest reads one drop and is for batch reads; a stream takes latestFirst")
+    reader_opts = formats.read_options(ft, opts)
     reader = spark.readStream.options(**reader_opts).schema(schema)
     # the avro file format class resolves whether or not the short name is registered
     fmt = formats.AVRO_CLASS if ft == "avro" else formats.spark_format(ft)
