@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import session
 from ..functions.parse import parse_body, parse_token
 from ..operators import objects
-from ..operators.crypto import encrypt_files, read_encrypted, write_encrypted
+from ..operators.crypto import (encrypt_files, read_encrypted, read_encrypted_rows, write_encrypted,
+                                write_encrypted_rows)
 from ..operators.fetch import (build_requests, fetch_requests, fetch_to_staging,
                                responses_to_files, url_of)
 from ..operators.sink import Writer, write_files
+from ..sources import formats
 from ..sources.files import Reader, load_remote, read_files
 from ..sources.rest import read_rest
 from ..streaming.drops import deliver_stream, stream_files
@@ -78,31 +80,13 @@ def sink_csv(spark, sf_dir):
     return _round_trip(spark, sf_dir, "orders", "csv", delimiter="|")
 
 
-@query("scan_full", """
-SELECT l_returnflag, l_linestatus,
-       sum(l_quantity) AS sum_qty,
-       round(sum(l_extendedprice), 2) AS sum_base_price,
-       round(sum(l_extendedprice * (1 - l_discount)), 4) AS sum_disc_price,
-       count(*) AS count_order
-FROM lineitem
-WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00'
-GROUP BY l_returnflag, l_linestatus
-""")
+@query("scan_full", "SELECT * FROM lineitem")
 def scan_full(spark, sf_dir):
-    """Full scan of a parquet delivery; filter and projection reach the scan."""
+    """Full scan of a self-describing delivery: every row and column, no schema given."""
     src = table(spark, sf_dir, "lineitem")
     out = f"{_dir(spark, 'lineitem-parquet')}/lineitem"
-    write_files(src, out, "parquet")
-    li = read_files(spark, out, "parquet")
-    return (li.filter(F.col("l_shipdate") <= F.lit("1998-09-02 00:00:00").cast("timestamp_ntz"))
-              .groupBy("l_returnflag", "l_linestatus")
-              .agg(F.sum("l_quantity").alias("sum_qty"),
-                   # money: presented at its exact decimal precision (cents; 4 places
-                   # after a 2-place discount), so summation order cannot show
-                   F.round(F.sum("l_extendedprice"), 2).alias("sum_base_price"),
-                   F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4)
-                    .alias("sum_disc_price"),
-                   F.count(F.lit(1)).alias("count_order")))
+    write_files(src, out, "parquet", partition_by="l_returnflag")
+    return read_files(spark, out, "parquet").select(*src.columns)
 
 
 @query("read_dispatch", "SELECT * FROM customer")
@@ -118,36 +102,31 @@ WRITE_TYPES = ("csv", "json", "xml", "avro", "parquet")
 
 
 @query("write_dispatch", "\nUNION ALL\n".join(
-    f"SELECT '{ft}' AS file_type, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS sum_size, "
-    f"round(sum(p_retailprice), 2) AS sum_price, count(DISTINCT p_brand) AS n_brands FROM part"
-    for ft in WRITE_TYPES))
+    [f"SELECT '{ft}' AS file_type, * FROM part" for ft in WRITE_TYPES]
+    + ["SELECT 'txt' AS file_type, NULL AS p_partkey, p_name, NULL AS p_brand, NULL AS p_type, NULL AS p_size, NULL AS p_retailprice FROM part"]))
 def write_dispatch(spark, sf_dir):
-    """One table through every writer the dispatch offers, each read back."""
+    """One table through every writer the dispatch offers (text: one column), each read back whole."""
     src = table(spark, sf_dir, "part")
     base = _dir(spark, "part-dispatch")
-    parts = []
+    out = None
     for ft in WRITE_TYPES:
         extra = {"rowTag": "part"} if ft == "xml" else {}
         write_files(src, f"{base}/{ft}", ft, **extra)
-        back = read_files(spark, f"{base}/{ft}", ft, schema=ddl(src), **extra)
-        parts.append(back.agg(F.count(F.lit(1)).alias("n"),
-                              F.sum("p_size").alias("sum_size"),
-                              F.round(F.sum("p_retailprice"), 2).alias("sum_price"),
-                              F.count_distinct("p_brand").alias("n_brands"))
-                         .select(F.lit(ft).alias("file_type"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        back = (read_files(spark, f"{base}/{ft}", ft, schema=ddl(src), **extra)
+                .select(F.lit(ft).alias("file_type"), *src.columns))
+        out = back if out is None else out.unionByName(back)
+    write_files(src.select("p_name"), f"{base}/txt", "txt")
+    lines = read_files(spark, f"{base}/txt", "txt").select(F.lit("txt").alias("file_type"), F.col("value").alias("p_name"))
+    return out.unionByName(lines, allowMissingColumns=True)
 
 
 @query("scan_no_schema", """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
-       CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
 FROM customer""")
 def scan_no_schema(spark, sf_dir):
     """No schema, inferSchema off (the default): every csv column is a string."""
-    src = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    src = table(spark, sf_dir, "customer")
     out = f"{_dir(spark, 'customer-csv')}/customer"
     write_files(src, out, "csv")
     return read_files(spark, out, "csv")
@@ -250,25 +229,33 @@ def sink_csv_codec(spark, sf_dir):
     return _round_trip(spark, sf_dir, "lineitem", "csv", codec="gzip")
 
 
+SAVE_PATHS = ("direct", "staged", "encrypted")
+
+
 @query("sink_save_mode", """
-SELECT 'append' AS phase, o_orderstatus, 2 * count(*) AS n FROM orders GROUP BY o_orderstatus
-UNION ALL
-SELECT 'overwrite' AS phase, o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus""")
+SELECT kind, phase, s.* FROM supplier s,
+  (VALUES ('direct'), ('staged'), ('encrypted')) k(kind),
+  (VALUES ('append'), ('append'), ('overwrite')) p(phase)""")
 def sink_save_mode(spark, sf_dir):
-    """append twice doubles the rows; overwrite then ignore leaves one copy."""
-    src = table(spark, sf_dir, "orders")
-    base = _dir(spark, "orders-modes")
-    write_files(src, f"{base}/appended", "parquet", mode="errorifexists")
-    write_files(src, f"{base}/appended", "parquet", mode="append")
-    write_files(src, f"{base}/replaced", "parquet", mode="append")
-    write_files(src, f"{base}/replaced", "parquet", mode="overwrite")
-    write_files(src, f"{base}/replaced", "parquet", mode="ignore")
+    """On every writer path: append twice doubles the rows; overwrite twice, then ignore, leaves one copy."""
+    src = table(spark, sf_dir, "supplier")
+    base, key = _dir(spark, "supplier-modes"), _key_file(spark)
     out = None
-    for phase, where in (("append", "appended"), ("overwrite", "replaced")):
-        counts = (read_files(spark, f"{base}/{where}", "parquet")
-                  .groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-                  .select(F.lit(phase).alias("phase"), "o_orderstatus", "n"))
-        out = counts if out is None else out.unionByName(counts)
+    for kind in SAVE_PATHS:
+        for phase, modes in (("append", ("errorifexists", "append")), ("overwrite", ("append", "overwrite", "overwrite", "ignore"))):
+            where = f"{base}/{kind}-{phase}"
+            for mode in modes:
+                writer = Writer(src).option("fileType", "json").mode(mode)
+                if kind == "staged":
+                    writer = writer.option("stage", "true")
+                elif kind == "encrypted":
+                    writer = writer.option("cryptoKeyFile", key)
+                writer.save(where)
+            reader = Reader(spark).option("fileType", "json").schema(ddl(src))
+            if kind == "encrypted":
+                reader = reader.option("cryptoKeyFile", key)
+            rows = reader.load(where).select(F.lit(kind).alias("kind"), F.lit(phase).alias("phase"), *src.columns)
+            out = rows if out is None else out.unionByName(rows)
     return out
 
 
@@ -294,12 +281,12 @@ def sink_deliver(spark, sf_dir):
 
 # --- step 6: newest drop, staging, fetch-only -----------------------------------
 
-def year_drops(spark: SparkSession, sf_dir: str) -> str:
-    """``orders`` as yearly csv drops, each folder stamped with its year's end."""
+def year_drops(spark: SparkSession, sf_dir: str, *below: str) -> str:
+    """``orders`` as yearly csv drops (with folders for the ``below`` columns), each stamped with its year's end."""
     src = table(spark, sf_dir, "orders")
     root = f"{_dir(spark, 'orders-drops')}/orders"
     write_files(src.withColumn("drop_year", F.year("o_orderdate")), root, "csv",
-                partition_by="drop_year")
+                partition_by=["drop_year", *below])
     for drop in session.subdirs(spark, root):
         year = int(drop.rsplit("=", 1)[1])
         end = int(datetime.datetime(year + 1, 1, 1).timestamp() * 1000)
@@ -314,11 +301,11 @@ WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)"""
 
 @query("latest_file", LATEST_YEAR)
 def latest_file_query(spark, sf_dir):
-    """copyLatest over drop folders: only the newest drop is read."""
-    root = year_drops(spark, sf_dir)
+    """copyLatest over drops of several folders each: the newest drop is read whole."""
     src = table(spark, sf_dir, "orders")
+    root = year_drops(spark, sf_dir, "o_orderstatus")
     df, _ = load_remote(spark, root, "csv", ddl(src), copyLatest="true", latestBy="directory")
-    return df
+    return df.select(*src.columns)
 
 
 @query("stage_files", "SELECT * FROM orders")
@@ -340,22 +327,40 @@ def stage_latest(spark, sf_dir):
     return df.select(*src.columns)
 
 
-@query("stage_only", """
-SELECT count(DISTINCT year(o_orderdate)) AS n_drops,
-       count(DISTINCT year(o_orderdate)) AS n_ok
-FROM orders""")
+@query("stage_only", "SELECT * FROM orders")
 def stage_only(spark, sf_dir):
-    """createDF=false: objects are staged, the frame is empty; report the staging."""
+    """createDF=false: the frame is empty, the objects are staged; the staged copies hold every row."""
     root = year_drops(spark, sf_dir)
+    src = table(spark, sf_dir, "orders")
     empty, manifest = load_remote(spark, root, "csv", createDF="false")
-    if empty.schema.fields or manifest is None:
-        raise RuntimeError("createDF=false must return an empty frame and a manifest")
-    per_drop = (manifest
-                .withColumn("drop", F.regexp_extract("uri", r"drop_year=(\d+)", 1))
-                .groupBy("drop")
-                .agg(F.max(F.col("error").isNotNull().cast("int")).alias("bad")))
-    return per_drop.agg(F.count(F.lit(1)).alias("n_drops"),
-                        F.count(F.when(F.col("bad") == 0, 1)).alias("n_ok"))
+    if empty.schema.fields or manifest is None or objects.failed(manifest).count():
+        raise RuntimeError("createDF=false must return an empty frame and a manifest of staged objects")
+    copies = manifest.select("staged_path").first()[0].split("/drop_year=")[0]
+    return read_files(spark, copies, "csv", schema=ddl(src)).select(*src.columns)
+
+
+@query("stage_two_roots", "SELECT * FROM orders")
+def stage_two_roots(spark, sf_dir):
+    """Two roots whose files have equal names: both are staged whole."""
+    src = table(spark, sf_dir, "orders")
+    base = _dir(spark, "two-roots")
+    odd = F.col("o_orderkey") % 2 == 1
+    for name, part in (("a", src.where(odd)), ("b", src.where(~odd))):
+        write_files(part, f"{base}/{name}/orders.csv", "csv", single_file=True)
+    df, _ = load_remote(spark, [f"{base}/a", f"{base}/b"], "csv", ddl(src), stage="true")
+    return df
+
+
+@query("stage_escaped_partitions", """
+SELECT *, event_type || ':' || CAST(user_id % 3 AS VARCHAR) || '#' AS tag FROM events""")
+def stage_escaped_partitions(spark, sf_dir):
+    """Partition folders whose names Spark escapes stage under their own names."""
+    src = table(spark, sf_dir, "events").withColumn(
+        "tag", F.concat(F.col("event_type"), F.lit(":"), (F.col("user_id") % 3).cast("string"), F.lit("#")))
+    root = f"{_dir(spark, 'escaped')}/events"
+    write_files(src, root, "json", partition_by="tag")
+    df, _ = load_remote(spark, root, "json", ddl(src), stage="true")
+    return df.select(*src.columns)
 
 
 # --- steps 7-8: fetch a table of requests ---------------------------------------
@@ -380,29 +385,67 @@ def fetch_requests_query(spark, sf_dir):
     return responses.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"))
 
 
-@query("fetch_body_mode", """
-SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes,
-       CAST(NULL AS VARCHAR) AS body_text
-FROM pages""")
+@query("fetch_body_mode", "SELECT page_id, md5(html) AS body_md5, CAST(NULL AS VARCHAR) AS body_text FROM pages")
 def fetch_body_mode(spark, sf_dir):
-    """body_mode='bytes' fills body_bytes and leaves body_text null."""
+    """body_mode='bytes' fills body_bytes, byte for byte, and leaves body_text null."""
     responses = fetch_to_staging(page_requests(spark, sf_dir), body_mode="bytes")
-    return responses.select(F.col("request_id").alias("page_id"),
-                            F.octet_length("body_bytes").cast("bigint").alias("n_bytes"),
-                            "body_text")
+    return responses.select(F.col("request_id").alias("page_id"), F.md5("body_bytes").alias("body_md5"), "body_text")
+
+
+class Echo:
+    """An opener that answers with what it was asked, in the same process: no server, no network."""
+
+    def __init__(self, proxy_host=None, proxy_port=None, read_timeout_ms=None):
+        self.made = {"proxy": f"{proxy_host}:{proxy_port}", "read_timeout_ms": read_timeout_ms}
+
+    def open(self, req, timeout=None):
+        import email.message
+        import io
+        import json
+
+        told = self.made | {"method": req.get_method(), "timeout_ms": int(timeout * 1000),
+                            "body": req.data.decode() if req.data else None,
+                            "headers": {k.lower(): v for k, v in req.header_items()}}
+        answer = io.BytesIO(json.dumps(told).encode())
+        answer.status, answer.headers = 200, email.message.Message()
+        answer.headers["X-Answer-To"] = req.full_url.rsplit("/", 1)[1]
+        return answer
+
+
+TOLD = ("proxy string, read_timeout_ms int, method string, timeout_ms int, body string, "
+        "headers map<string,string>")
+
+
+def echoed(requests: DataFrame, **options) -> DataFrame:
+    """Responses of an echo, what it was told as a struct ``told``."""
+    answers = fetch_to_staging(requests, opener=Echo, **options)
+    return answers.withColumn("told", F.from_json("body_text", TOLD))
 
 
 @query("fetch_headers", """
-SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS content_length FROM pages""")
+SELECT page_id, CAST(page_id AS VARCHAR) AS sent, 'p' || CAST(page_id AS VARCHAR) AS answered FROM pages""")
 def fetch_headers(spark, sf_dir):
-    """Request headers travel with each request; response headers come back as a map."""
-    staged = staged_pages(spark, sf_dir)
+    """Request headers arrive with each request; response headers come back as a map."""
+    pages = table(spark, sf_dir, "pages")
     requests = build_requests(
-        staged, "page_id", url_of(F.col("staged_path")),
+        pages, "page_id", F.concat(F.lit("http://echo/p"), F.col("page_id")),
         headers=F.create_map(F.lit("X-Page-Id"), F.col("page_id").cast("string")))
-    responses = fetch_to_staging(requests)
-    return responses.select(F.col("request_id").alias("page_id"),
-                            F.col("headers")["Content-length"].cast("bigint").alias("content_length"))
+    return echoed(requests).select(F.col("request_id").alias("page_id"),
+                                   F.col("told.headers")["x-page-id"].alias("sent"),
+                                   F.col("headers")["X-Answer-To"].alias("answered"))
+
+
+@query("fetch_wide_ids", """
+SELECT 9007199254740993 + 2 * page_id AS id, CASE WHEN page_id % 2 = 0 THEN 4611686018427387905 + page_id END AS kept,
+       html FROM pages""")
+def fetch_wide_ids(spark, sf_dir):
+    """Ids above 2^53 and kept columns with nulls pass unchanged."""
+    staged = staged_pages(spark, sf_dir).select(
+        "staged_path", (F.lit(2 ** 53 + 1) + 2 * F.col("page_id")).alias("id"),
+        F.when(F.col("page_id") % 2 == 0, F.lit(2 ** 62 + 1) + F.col("page_id")).alias("kept"))
+    requests = build_requests(staged, "id", url_of(F.col("staged_path")), keep=("kept",))
+    return fetch_to_staging(requests, keep=("kept",)).select(
+        F.col("request_id").alias("id"), "kept", F.col("body_text").alias("html"))
 
 
 MISSING_SQL = """
@@ -438,22 +481,36 @@ def fetch_retry(spark, sf_dir):
 
 
 @query("fetch_post", """
-SELECT conv_id, turn, CASE WHEN length(text) > 0 THEN 'POST' ELSE 'GET' END AS method,
-       text
-FROM conversations""")
+SELECT conv_id, turn, kind, CASE WHEN kind = 'text' AND length(text) > 0 THEN 'POST' ELSE 'GET' END AS method,
+       CASE WHEN kind = 'text' AND length(text) > 0 THEN text END AS body
+FROM conversations, (VALUES ('text'), ('empty'), ('none')) k(kind)""")
 def fetch_post(spark, sf_dir):
-    """A non-empty body makes the request a POST; the body is sent with it."""
-    conv = table(spark, sf_dir, "conversations").withColumn(
-        "key", F.concat_ws("-", "conv_id", "turn"))
-    where = _dir(spark, "conversation-files")
-    staged = objects.materialise(
-        objects.write_objects(conv, "key", "text", f"{where}/turns", ".txt",
-                              keep=("conv_id", "turn", "text")),
-        f"{where}/_manifest")
-    requests = build_requests(staged, "key", url_of(F.col("staged_path")), body=F.col("text"),
-                              keep=("conv_id", "turn"))
-    responses = fetch_to_staging(requests, keep=("conv_id", "turn", "method"))
-    return responses.select("conv_id", "turn", "method", F.col("body_text").alias("text"))
+    """A non-empty body makes the request a POST and is sent with it; an empty or null one makes it a GET."""
+    conv = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.explode(F.create_map(F.lit("text"), "text", F.lit("empty"), F.lit(""),
+                                                  F.lit("none"), F.lit(None).cast("string"))).alias("kind", "sent"))
+    requests = build_requests(conv, F.concat_ws("-", "conv_id", "turn", "kind"), F.lit("http://echo/turn"), body="sent",
+                              keep=("conv_id", "turn", "kind"))
+    return echoed(requests, keep=("conv_id", "turn", "kind")).select(
+        "conv_id", "turn", "kind", F.col("told.method").alias("method"), F.col("told.body").alias("body"))
+
+
+@query("responses_all_kept", """
+SELECT page_id, kind, kind = 'present' AS saved, CASE WHEN kind = 'present' THEN html END AS html
+FROM pages, (VALUES ('present'), ('missing')) k(kind)""")
+def responses_all_kept(spark, sf_dir):
+    """Saved and failed responses are all in the manifest; the saved ones hold their bodies."""
+    staged = staged_pages(spark, sf_dir)
+    url = url_of(F.col("staged_path"))
+    kinds = (build_requests(staged, F.concat("page_id", F.lit("-present")), url)
+             .unionByName(build_requests(staged, F.concat("page_id", F.lit("-missing")), F.concat(url, F.lit(".missing")))))
+    where = _dir(spark, "responses-kept")
+    manifest = responses_to_files(fetch_to_staging(kinds), f"{where}/bodies", suffix=".html")
+    back = read_files(spark, f"{where}/bodies", "txt", wholetext="true").select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.html$", 1).alias("request_id"), F.col("value").alias("html"))
+    key = F.split("request_id", "-")
+    return manifest.join(back, "request_id", "left").select(
+        key[0].cast("bigint").alias("page_id"), key[1].alias("kind"), F.col("error").isNull().alias("saved"), "html")
 
 
 @query("responses_to_files", "SELECT page_id, html FROM pages")
@@ -504,30 +561,66 @@ def parse_token_query(spark, sf_dir):
 
 # --- step 10: REST endpoints as a data source -----------------------------------
 
-def _part_urls(spark, served: str) -> list[str]:
-    """file:// URLs of the part files under ``served`` (a listing: one row per file)."""
-    files = objects.listing(spark, served).select(url_of(F.col("path")).alias("url"))
-    return [r["url"] for r in files.collect()]
+def _served(spark, served: str) -> DataFrame:
+    """The part files under ``served`` as a table of requests."""
+    return objects.listing(spark, served).select(url_of(F.col("path")).alias("url"))
 
 
 @query("rest_source", "SELECT * FROM events")
 def rest_source(spark, sf_dir):
-    """Endpoints serving JSON lines, loaded through the data source and parsed."""
+    """Endpoints serving JSON lines: bodies streamed to staging, then a native scan."""
     events = table(spark, sf_dir, "events")
     served = f"{_dir(spark, 'events-endpoint')}/events"
     write_files(events, served, "json")
-    urls = _part_urls(spark, served)
-    return read_rest(spark, urls, "json", events.schema)
+    return read_rest(spark, _served(spark, served), "json", events.schema)
 
 
 @query("rest_source_csv", "SELECT * FROM orders")
 def rest_source_csv(spark, sf_dir):
-    """csv bodies with a header line and custom delimiter, parsed per line."""
+    """csv bodies with a header line and custom delimiter."""
     orders = table(spark, sf_dir, "orders")
     served = f"{_dir(spark, 'orders-endpoint')}/orders"
     write_files(orders, served, "csv", delimiter=";")
-    urls = _part_urls(spark, served)
-    return read_rest(spark, urls, "csv", orders.schema, delimiter=";")
+    return read_rest(spark, _served(spark, served), "csv", orders.schema, delimiter=";")
+
+
+@query("rest_json_array", "SELECT * FROM events")
+def rest_json_array(spark, sf_dir):
+    """Endpoints serving JSON arrays of at most 100 values over several lines."""
+    events = table(spark, sf_dir, "events")
+    pages = (events.groupBy(F.expr("event_id div 100").alias("page"))
+             .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.to_json(F.struct(*events.columns), {"timestampNTZFormat": formats.TS_NTZ_FORMAT})), ",\n"), F.lit("\n]")).alias("body")))
+    where = _dir(spark, "events-pages")
+    manifest = objects.materialise(objects.write_objects(pages, "page", "body", f"{where}/served", ".json"), f"{where}/_manifest")
+    urls = manifest.select(url_of(F.col("staged_path")).alias("url"))
+    return read_rest(spark, urls, "application/json", events.schema)
+
+
+@query("rest_csv_multiline", "SELECT * FROM documents")
+def rest_csv_multiline(spark, sf_dir):
+    """csv bodies whose quoted fields hold line feeds."""
+    docs = table(spark, sf_dir, "documents")
+    served = f"{_dir(spark, 'documents-endpoint')}/documents"
+    write_files(docs, served, "csv", escape='"')
+    return read_rest(spark, _served(spark, served), "csv", docs.schema, multiLine="true", escape='"')
+
+
+@query("rest_text", """
+SELECT c_custkey, line, count(*) AS n
+FROM (SELECT c_custkey, unnest(CASE WHEN c_custkey % 3 = 0 THEN ['', c_name] ELSE [c_name] END) AS line FROM customer)
+GROUP BY c_custkey, line""")
+def rest_text(spark, sf_dir):
+    """Text bodies line by line, blank lines kept."""
+    cust = table(spark, sf_dir, "customer")
+    bodies = cust.select("c_custkey", F.concat(F.when(F.col("c_custkey") % 3 == 0, F.lit("\n")).otherwise(F.lit("")),
+                                               "c_name", F.lit("\n")).alias("body"))
+    where = _dir(spark, "names")
+    manifest = objects.materialise(objects.write_objects(bodies, "c_custkey", "body", f"{where}/served", ".txt"), f"{where}/_manifest")
+    requests = manifest.select(F.col("c_custkey").alias("request_id"), url_of(F.col("staged_path")).alias("url"))
+    lines = read_rest(spark, requests, "txt")
+    key = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.txt$", 1).cast("bigint")
+    return lines.select(key.alias("c_custkey"), F.col("value").alias("line")).groupBy("c_custkey", "line").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 # --- step 11: encrypted drops and deliveries -------------------------------------
@@ -554,7 +647,17 @@ def decrypt_scan(spark, sf_dir):
 
 @query("sink_encrypt", "SELECT * FROM orders")
 def sink_encrypt(spark, sf_dir):
-    """Encrypted csv delivery (JCE default AES), read back through decryption."""
+    """Encrypted delivery row by row in the JVM, read back through decryption; no plaintext is staged."""
+    orders = table(spark, sf_dir, "orders")
+    key = _key_file(spark)
+    target = f"{_dir(spark, 'orders-enc')}/orders"
+    write_encrypted_rows(orders, target, key, algorithm="AES/GCM/NoPadding")
+    return read_encrypted_rows(spark, target, ddl(orders), key, algorithm="AES/GCM/NoPadding")
+
+
+@query("sink_encrypt_files", "SELECT * FROM orders")
+def sink_encrypt_files(spark, sf_dir):
+    """Encrypted csv files for other parties (JCE default AES), read back through decryption."""
     orders = table(spark, sf_dir, "orders")
     key = _key_file(spark)
     target = f"{_dir(spark, 'orders-enc')}/orders"
@@ -590,27 +693,28 @@ def _assert_secret_absent(df: DataFrame, secret: str) -> None:
         raise AssertionError("a credential leaked into the plan or the schema")
 
 
-@query("fetch_auth", "SELECT page_id, html FROM pages")
+#: made-up credentials of the echo
+ECHO_USER, ECHO_WORD = "reader", "made-up-word"
+
+
+@query("fetch_auth", f"""
+SELECT page_id, 'Basic ' || base64(encode('{ECHO_USER}:{ECHO_WORD}')) AS sent FROM pages""")
 def fetch_auth(spark, sf_dir):
-    """Basic-auth requests: the header is built inside the task, never in plan or columns.
-
-    (file:// URLs ignore the Authorization header; header content is unit-tested
-    against an opener double.)
-    """
-    secret = "s3cr3t-" + session.new_staging_dir(spark, "x")[-8:]
-    auth = {"type": "basic", "username": "reader", "password": secret}
-    requests = page_requests(spark, sf_dir)
-    _assert_secret_absent(fetch_requests(requests, auth=auth), secret)
-    responses = fetch_to_staging(requests, auth=auth)
-    _assert_secret_absent(responses, secret)
-    return responses.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"))
+    """Basic-auth requests: the header reaches the endpoint, and is never in a plan or a request column."""
+    auth = {"type": "basic", "username": ECHO_USER, "password": ECHO_WORD}
+    pages = table(spark, sf_dir, "pages")
+    requests = build_requests(pages, "page_id", F.concat(F.lit("http://echo/p"), F.col("page_id")))
+    _assert_secret_absent(fetch_requests(requests, auth=auth, opener=Echo), ECHO_WORD)
+    return echoed(requests, auth=auth).select(F.col("request_id").alias("page_id"),
+                                              F.col("told.headers")["authorization"].alias("sent"))
 
 
-@query("fetch_config", "SELECT page_id, html FROM pages")
+@query("fetch_config", """
+SELECT page_id, 'proxy.invalid:3128' AS proxy, 2000 AS timeout_ms, 10000 AS read_timeout_ms FROM pages""")
 def fetch_config(spark, sf_dir):
-    """Proxy, timeouts and per-host concurrency set explicitly (file:// is never
-    proxied); bodies arrive whole."""
-    responses = fetch_to_staging(page_requests(spark, sf_dir), proxy_host="proxy.invalid",
-                                 proxy_port=3128, connect_timeout_ms=2000,
-                                 read_timeout_ms=10000, threads=4, parallelism=4, per_host=2)
-    return responses.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"))
+    """Proxy and both timeouts reach the opener; per-host concurrency splits the requests."""
+    pages = table(spark, sf_dir, "pages")
+    requests = build_requests(pages, "page_id", F.concat(F.lit("http://echo/p"), F.col("page_id")))
+    got = echoed(requests, proxy_host="proxy.invalid", proxy_port=3128, connect_timeout_ms=2000,
+                 read_timeout_ms=10000, threads=4, partitions=4, per_host=2)
+    return got.select(F.col("request_id").alias("page_id"), "told.proxy", "told.timeout_ms", "told.read_timeout_ms")

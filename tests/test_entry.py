@@ -6,6 +6,7 @@ import os
 import pytest
 
 from conftest import SF_SMALL
+from lading.plans import catalog
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -40,10 +41,10 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = check.canon(df.columns, [tuple(r) for r in df.collect()])

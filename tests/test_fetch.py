@@ -112,7 +112,7 @@ def test_file_urls_saved_responses(spark, workdir):
     got = {r.request_id: (r.body_text, r.error) for r in responses.collect()}
     assert got[1] == ("body 1", None) and got[3][0] is None and "URLError" in got[3][1]
     manifest = responses_to_files(responses, f"{workdir}/saved", suffix=".txt")
-    assert manifest.count() == 3
+    assert manifest.count() == 4 and manifest.where("error IS NOT NULL").count() == 1
     back = spark.read.text(f"{workdir}/saved", wholetext=True).collect()
     assert sorted(r.value for r in back) == ["body 0", "body 1", "body 2"]
 
@@ -125,8 +125,71 @@ def test_response_table_to_rows(spark, workdir):
     df = spark.range(1, 4).select(F.col("id").alias("request_id"),
                                   url_of(F.concat(F.lit(f"{workdir}/r/"), F.col("id"), F.lit(".json"))).alias("url"))
     responses = fetch_to_staging(build_requests(df, "request_id", "url"))
-    assert sorted(r.a for r in responses_to_rows(responses, "json", "a int").collect()) == [1, 2, 3]
-    assert sorted(r.a for r in responses_to_rows(responses, "json").collect()) == [1, 2, 3]
+    with pytest.raises(RuntimeError, match="1 requests failed"):
+        responses_to_rows(responses, "json", "a int")
+    for schema in ("a int", None):
+        rows = responses_to_rows(responses, "json", schema, on_failed="skip")
+        assert sorted(r.a for r in rows.collect()) == [1, 2, 3]
+
+
+def test_ids_and_kept_columns_are_exact(spark):
+    rows = [(2 ** 53 + 1, None, 1.5), (2 ** 53 + 3, 2 ** 62 + 1, None), (None, 7, 0.1)]
+    req = (spark.createDataFrame(rows, "request_id long, k long, d double").withColumn("url", F.lit("http://h/x")))
+    got = fetch_requests(req, opener=echo_opener(), keep=("k", "d"), partitions=1).collect()
+    assert sorted(((r.request_id, r.k, r.d) for r in got), key=repr) == sorted(rows, key=repr)
+
+
+def test_odd_file_names_are_fetched(spark, workdir):
+    names = ["c%41.txt", "h#1.txt", "a b+c.txt", "q?x=1,2.txt", "é.txt"]
+    for n in names:
+        write_bytes(f"{workdir}/odd/{n}", n.encode())
+    df = spark.createDataFrame(list(enumerate(names)), "request_id long, n string").withColumn(
+        "url", url_of(F.concat(F.lit(f"file:{workdir}/odd/"), F.col("n"))))
+    got = {r.request_id: r.body_text for r in fetch_requests(build_requests(df, "request_id", "url")).collect()}
+    assert got == dict(enumerate(names))
+
+
+def test_only_allowed_schemes_and_no_retry_of_wrong_urls():
+    assert "not allowed" in make_fetcher(schemes=("http", "https"))("file:///etc/hostname", "GET", None, None)[4]
+    assert "not allowed" in make_fetcher()("ftp://h/x", "GET", None, None)[4]
+    got = make_fetcher(schemes=("http", "nope"), retry_count=3, retry_frequency_s=0)("nope://x", "GET", None, None)
+    assert got[5] == 1 and "unknown url type" in got[4]
+
+
+def test_redirect_to_another_host_drops_credentials():
+    from lading.operators.fetch import _Redirects
+
+    req = urllib.request.Request("http://a.example/x", headers={"Authorization": "Basic x", "X-Keep": "1"})
+    away = _Redirects().redirect_request(req, None, 302, "", {}, "http://b.example/y")
+    home = _Redirects().redirect_request(req, None, 302, "", {}, "http://a.example/y")
+    assert not away.has_header("Authorization") and away.has_header("X-keep") and home.has_header("Authorization")
+
+
+def test_expired_token_is_refreshed():
+    import io
+
+    class Opener:
+        seen = []
+
+        def open(self, req, timeout=None):
+            sent = req.get_header("Authorization")
+            self.seen.append((req.full_url, sent))
+            if req.full_url == "http://h/token":
+                assert b"refresh_token=r1" in req.data
+                body = b'{"access_token": "new", "token_type": "Bearer"}'
+            elif sent != "Bearer new":
+                raise urllib.error.HTTPError(req.full_url, 401, "expired", {}, None)
+            else:
+                body = b"ok"
+            return type("R", (io.BytesIO,), {"status": 200, "headers": None})(body)
+
+    op = Opener()
+    fetch = make_fetcher(opener=op, auth={"type": "bearer", "token": "old", "refrsh_token": "r1", "token_url": "http://h/token"})
+    assert fetch("http://h/a", "GET", None, None)[2] == "ok"
+    assert fetch("http://h/b", "GET", None, None)[2] == "ok"
+    assert [u for u, _ in op.seen] == ["http://h/a", "http://h/token", "http://h/a", "http://h/b"]
+    plain = make_fetcher(opener=op, auth={"type": "bearer", "token": "old"})
+    assert plain("http://h/c", "GET", None, None)[0] == 401
 
 
 def test_connect_and_read_timeouts_are_separate():

@@ -92,3 +92,10 @@ def test_top_level_exports_and_format(spark, workdir):
     src = spark.read.parquet("/root/testdata/sf0.001/region.parquet")
     Writer(src).format("json").save(f"{workdir}/r")
     assert Reader(spark).format("json").schema(src.schema).load(f"{workdir}/r").count() == 5
+
+
+def test_options_that_would_not_hold_are_refused():
+    with pytest.raises(ValueError, match="pemPassphrase"):
+        formats.normalise({"pemPassphrase": "x"})
+    with pytest.raises(ValueError, match="multiLine"):
+        formats.read_options("xml", {"rowTag": "r", "multiLine": "false"})

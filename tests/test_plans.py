@@ -27,7 +27,7 @@ def test_csv_and_json_scans_prune_and_push(spark, workdir):
 def test_fetch_is_one_round_robin_exchange(spark):
     req = build_requests(spark.range(10), "id", F.lit("file:///nothing"))
     p = plan(fetch_requests(req, parallelism=3))
-    assert "RoundRobinPartitioning(3)" in p and "MapInPandas" in p
+    assert "RoundRobinPartitioning(3)" in p and "MapInArrow" in p
     assert p.count("Exchange") == 1
 
 

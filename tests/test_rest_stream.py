@@ -102,3 +102,57 @@ def test_rest_threads_and_implied_auth(spark, workdir):
     df = (spark.read.format(SOURCE_NAME).option("threads", "3").option("numPartitions", "2")
           .option("token", "abc").load(urls))
     assert sorted(r.body_text for r in df.collect()) == [f"body{i}" for i in range(6)]
+
+
+def test_rest_bodies_are_scanned_like_files(spark, workdir):
+    import pytest
+
+    write_bytes(f"{workdir}/arr.json", b'[{"id": 1},\n {"id": 2}]')
+    write_bytes(f"{workdir}/line.json", b'[{"id":1},{"id":2}]\n')
+    write_bytes(f"{workdir}/a,b.csv", b"n,t\n1,'x,\ny'\n")
+    write_bytes(f"{workdir}/t.txt", b"a\n\nb\n")
+    url = lambda n: f"file://{workdir}/{n}"
+    assert sorted(r.id for r in read_rest(spark, url("arr.json"), "application/json").collect()) == [1, 2]
+    assert sorted(r.id for r in read_rest(spark, [url("line.json")], "json", "id int").collect()) == [1, 2]
+    rows = read_rest(spark, [url("a,b.csv")], "csv", "n int, t string", quote="'", multiLine="true").collect()
+    assert [(r.n, r.t) for r in rows] == [(1, "x,\ny")]
+    assert [r.value for r in read_rest(spark, url("t.txt"), "txt").collect()] == ["a", "", "b"]
+    both = [url("t.txt"), url("missing.txt")]
+    with pytest.raises(RuntimeError, match="1 requests failed"):
+        read_rest(spark, both, "txt")
+    assert read_rest(spark, both, "txt", on_failed="skip").count() == 3
+    table = spark.createDataFrame([(url("t.txt"),)], "url string")
+    assert read_rest(spark, table, "txt").count() == 3
+    assert read_rest(spark, both).where("error IS NULL").count() == 1
+
+
+def test_endpoints_with_commas_and_hosts():
+    from lading.sources.rest import split_endpoints, with_host
+
+    assert split_endpoints("http://h/x?ids=1,2,https://h/y\nfile:///z") == ["http://h/x?ids=1,2", "https://h/y", "file:///z"]
+    assert split_endpoints('["http://h/a,http://b", "c"]') == ["http://h/a,http://b", "c"]
+    assert with_host("v1/x", {"host": "api.example", "port": "8443"}) == "https://api.example:8443/v1/x"
+    assert with_host("/v1/x", {"Host": "http://h/base/"}) == "http://h/base/v1/x"
+    assert with_host("http://o/x", {"host": "h"}) == "http://o/x"
+
+
+def test_data_source_parses_bodies(spark, workdir):
+    write_bytes(f"{workdir}/arr.json", b'[{"id": 1, "s": "x"}, {"id": 2}]')
+    write_bytes(f"{workdir}/l.json", b'{"id": 3}\n{"id": 4}\n')
+    write_bytes(f"{workdir}/c.csv", b"a,b\n1,x\n,y\n")
+    write_bytes(f"{workdir}/t.txt", b"a\n\nb\n")
+    register(spark)
+    load = lambda kind, schema, n: (spark.read.format(SOURCE_NAME).option("fileType", kind).schema(schema)
+                                    .load(f"file://{workdir}/{n}").collect())
+    assert [tuple(r) for r in load("application/json", "id int, s string", "arr.json")] == [(1, "x"), (2, None)]
+    assert [r.id for r in load("json", "id long", "l.json")] == [3, 4]
+    assert [tuple(r) for r in load("csv", "a int, b string", "c.csv")] == [(1, "x"), (None, "y")]
+    df = spark.read.format(SOURCE_NAME).option("fileType", "txt").load(f"file://{workdir}/t.txt")
+    assert [r.value for r in df.collect()] == ["a", "", "b"]
+
+
+def test_copy_latest_has_no_meaning_for_streams(spark, workdir):
+    import pytest
+
+    with pytest.raises(ValueError, match="copyLatest"):
+        stream_files(spark, workdir, "csv", "a int", copyLatest="true")

@@ -1,11 +1,12 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, same_rows
 from lading import session
 from lading.operators.objects import write_bytes
-from lading.sources.files import Reader, latest_file, load_remote, stage_files
+from lading.sources.files import Reader, latest_file, load_remote, read_files, stage_files
 
 
 def ms(y, m=1, d=1):
@@ -78,7 +79,8 @@ def test_newest_per_dataset(spark, workdir):
     got = latest_file(spark, [f"{workdir}/a", f"{workdir}/b"])
     assert [g.rsplit("/", 1)[1] for g in got] == ["x2.txt", "y3.txt"]
     manifest = stage_files(spark, [f"{workdir}/a", f"{workdir}/b"], f"{workdir}/st", latest=True)
-    assert sorted(r.staged_path.rsplit("/", 1)[1] for r in manifest.collect()) == ["x2.txt", "y3.txt"]
+    # files of several roots carry their root's number
+    assert sorted(r.staged_path.rsplit("/", 1)[1] for r in manifest.collect()) == ["0-x2.txt", "1-y3.txt"]
 
 
 def test_staging_root_falls_back_to_the_checkpoint_dir(spark):
@@ -107,3 +109,51 @@ def test_reader_latest_drop_and_temp_location_alias(spark, workdir):
     assert sorted(r.v for r in staged.collect()) == ["2023", "2123"]
     assert all(r.staged_path.startswith(session.qualify(spark, f"{workdir}/tmp"))
                for r in reader.manifest.collect())
+
+
+def test_equal_names_of_two_roots_stay_two_files(spark, workdir):
+    for r in ("r1", "r2"):
+        write_bytes(f"{workdir}/{r}/k=1/part-0.csv", f"v\n{r}\n".encode())
+    manifest = stage_files(spark, [f"{workdir}/r1", f"{workdir}/r2"], f"{workdir}/st")
+    assert manifest.count() == 2
+    back = read_files(spark, f"{workdir}/st/data", "csv")
+    assert sorted((r.v, r.k) for r in back.collect()) == [("r1", 1), ("r2", 1)]
+
+
+def test_escaped_names_stage(spark, workdir):
+    names = ["k=x%3Ay/part.csv", "c#d.csv", "a b?.csv", "p%41.csv"]
+    for n in names:
+        write_bytes(f"{workdir}/in/{n}", b"v\n1\n")
+    got = stage_files(spark, f"{workdir}/in", f"{workdir}/st").collect()
+    assert [r.error for r in got] == [None] * 4
+    assert sorted(r.staged_path.split("/st/data/")[1] for r in got) == sorted(names)
+
+
+def test_newest_drop_is_whole(spark, workdir):
+    for year in (2023, 2024):
+        for region in ("EU", "US"):
+            write_bytes(f"{workdir}/drops/{year}/region={region}/p.csv", f"v\n{year}{region}\n".encode())
+            session.set_mtime(spark, f"{workdir}/drops/{year}/region={region}", ms(year) + (region == "US"))
+    df, _ = load_remote(spark, f"{workdir}/drops", "csv", copyLatest="true", latestBy="directory")
+    assert sorted(r.v for r in df.collect()) == ["2024EU", "2024US"]
+    df, m = load_remote(spark, f"{workdir}/drops", "csv", copyLatest="true", latestBy="directory", stage="true")
+    assert sorted(r.v for r in df.collect()) == ["2024EU", "2024US"] and m.count() == 2
+
+
+def test_objects_never_overwrite_each_other(spark, workdir):
+    from lading.operators.objects import write_objects
+
+    twice = spark.createDataFrame([(5, "a"), (5, "b")], "k long, t string")
+    with pytest.raises(ValueError, match="one file"):
+        write_objects(twice, "k", "t", f"{workdir}/o")
+    odd = spark.createDataFrame([("../up", "1"), ("a/b", "2"), ("..", "3"), (None, "4"), ("n", None)], "k string, t string")
+    got = {r.k: r for r in write_objects(odd, "k", "t", f"{workdir}/o").collect()}
+    assert got[None].error == "null key" and got["n"].error == "null content"
+    home = session.qualify(spark, f"{workdir}/o")
+    assert all(r.staged_path.rsplit("/", 1)[0] == home for k, r in got.items() if k not in (None, "n"))
+
+
+def test_staged_folders_can_be_cleared(spark, workdir):
+    root = f"{workdir}/own"
+    session.mkdirs(spark, session.new_staging_dir(spark, "x", root))
+    assert session.clear_staging(spark, root) == 1 and session.clear_staging(spark, root) == 0
