@@ -20,3 +20,24 @@ def test_every_inventory_id_is_registered_with_an_oracle():
     queries, oracle = entry.queries(), entry.oracle_sql()
     assert [i for i in ids if i not in queries] == []
     assert set(catalog.QUERIES) <= set(queries) and set(catalog.QUERIES) <= set(oracle)
+
+
+def test_fetch_queries_observe_what_they_name(spark):
+    """Without the header, body, credential or settings the echo tells something else."""
+    from pyspark.sql import functions as F
+
+    from lading.operators.fetch import build_requests
+
+    ids = spark.range(2)
+    url = F.concat(F.lit("http://echo/p"), F.col("id"))
+
+    def told(requests, **options):
+        return catalog.echoed(requests, **options).select("told.*").first()
+
+    bare = told(build_requests(ids, "id", url))
+    assert bare.method == "GET" and bare.body is None and not {"x-page-id", "authorization"} & set(bare.headers)
+    assert (bare.proxy, bare.timeout_ms, bare.read_timeout_ms) == ("None:None", 1000, 5000)
+    full = told(build_requests(ids, "id", url, headers=F.create_map(F.lit("X-Page-Id"), F.lit("7")), body=F.lit("b")),
+                auth={"type": "bearer", "token": "t"}, proxy_host="p", proxy_port=1, connect_timeout_ms=5, read_timeout_ms=6)
+    assert full.method == "POST" and full.body == "b" and full.headers["x-page-id"] == "7"
+    assert full.headers["authorization"] == "Bearer t" and (full.proxy, full.timeout_ms, full.read_timeout_ms) == ("p:1", 5, 6)
