@@ -10,9 +10,12 @@ confirmed on the full sets.
 
 No group is turned into all its pairs.  Equal sets are one node first.  Then
 every member of a band is checked against the band's smallest node only, which
-joins most of a group; a second round checks, inside each band, only nodes that
-are still in different components.  That covers every pair that shares a band,
-for the components, with far fewer checks.
+joins most of a group.  A second round looks, inside each band, at nodes that are
+still in different components: they are compared, and confirmed on full sets, in
+blocks of ``BLOCK`` nodes, so a hot band spreads over tasks and no pair becomes a
+row unless it joins two components.  That covers every pair that shares a band,
+for the components.  The comparisons of the second round grow with the square of
+what the first leaves apart in a band; its rows and memory do not.
 
 With 48 bands of 5 registers a pair at exactly 0.8 shares no band with a
 probability of 5e-9.
@@ -33,13 +36,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import same, small, staged
+from lading.llm.common import packed, small, staged
 
 THRESHOLD = 80  # per cent
 BANDS, ROWS = 48, 5
 REGISTERS = BANDS * ROWS
 #: SetSketch parameters: base, rate, largest value
 BASE, RATE, TOP = 1.001, 20.0, 2 ** 16 - 1
+#: nodes of one band that the second round compares in one go
+BLOCK = 4000
 #: a candidate is rejected when the likelihood ratio against the threshold exceeds this (5.5 sigma)
 REJECT = 15.0
 
@@ -81,9 +86,9 @@ def registers(members: np.ndarray, mult: np.ndarray) -> np.ndarray:
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of register values."""
+    """One 64-bit key per band of register values; a row of registers or many."""
     key = np.arange(BANDS, dtype=np.uint64)
-    for column in regs.reshape(BANDS, ROWS).T.astype(np.uint64):
+    for column in np.moveaxis(regs.reshape(*regs.shape[:-1], BANDS, ROWS), -1, 0).astype(np.uint64):
         key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
     return key.view(np.int64)
 
@@ -171,17 +176,133 @@ def _confirm_partition(k: int, threshold: int):
     return run
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """The ``a, b`` of ``pairs`` whose full sets reach the threshold.
+def _block_pairs(rows: list, threshold: int):
+    """(i, j) of a block's rows whose registers admit the threshold, between nodes of different components.
 
-    ``pairs`` has ``a, b, na, nb``.  Registers decide first; only texts of
-    documents that are still in a pair are shuffled.
+    A pair that shares several bands is looked at in the first of them only.
+    Rows are (key, i, j, node, n, label, side, regs, ..).
     """
+    key, cross = rows[0][0], rows[0][1] != rows[0][2]
+    n, label, side = (np.array([r[c] for r in rows]) for c in (4, 5, 6))
+    regs = np.frombuffer(b"".join(r[7] for r in rows), np.uint16).reshape(len(rows), REGISTERS)
+    bands = band_keys(regs)
+    share = threshold / 100
+    least = REGISTERS * share - 6 * math.sqrt(REGISTERS * share * (1 - share))
+    for i in range(len(rows) - 1):
+        rest = slice(i + 1, None)
+        fit = (label[rest] != label[i]) & (np.minimum(n[rest], n[i]) * 100 >= np.maximum(n[rest], n[i]) * threshold)
+        if cross:
+            fit &= side[rest] != side[i]
+        at = np.flatnonzero(fit) + i + 1
+        at = at[(regs[at] == regs[i]).sum(axis=1) >= least]
+        if len(at):
+            at = at[bands[i][(bands[at] == bands[i]).argmax(axis=1)] == key]
+        if len(at):
+            ok = possible(regs[at], np.broadcast_to(regs[i], (len(at), REGISTERS)), n[at], np.full(len(at), n[i]), threshold)
+            yield from ((i, j) for j in at[ok])
+
+
+def _by_block(batches):
+    """The rows of each block, which come sorted."""
+    held = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[0][:3] != row[:3]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _suspect_partition(threshold: int):
+    """The rows of a block that are in some admitted pair."""
+    def run(batches):
+        import pyarrow as pa
+
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+        names = ["key", "i", "j", "node", "n", "label", "side"]
+        for rows in _by_block(batches):
+            found = sorted({x for pair in _block_pairs(rows, threshold) for x in pair})
+            if found:
+                columns = zip(*(rows[x][:7] for x in found))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    return run
+
+
+def _join_partition(k: int, threshold: int):
+    """Links that join components of a block: admitted pairs, confirmed on the full sets of their texts."""
+    def run(batches):
+        import pyarrow as pa
+
+        for rows in _by_block(batches):
+            sets, parent, links = {}, {}, []
+
+            def find(x):
+                while parent.setdefault(x, x) != x:
+                    x = parent[x]
+                return x
+
+            for pair in _block_pairs(rows, threshold):
+                la, lb = (find(rows[x][5]) for x in pair)
+                if la == lb:  # joined by an earlier link of the block
+                    continue
+                one, other = (sets[x] if x in sets else sets.setdefault(x, shingles(rows[x][8], k)) for x in pair)
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                if 100 * both >= threshold * (len(one) + len(other) - both) > 0:
+                    parent[max(la, lb)] = min(la, lb)
+                    links.append((rows[pair[0]][3], rows[pair[1]][3]))
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def likely_pairs(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """The ``a, b`` of ``pairs`` (``a, b, na, nb``) whose registers admit the threshold."""
     regs = nodes.select("node", "regs")
-    likely = (pairs.join(regs.withColumnsRenamed({"node": "a", "regs": "ra"}), "a")
-              .join(regs.withColumnsRenamed({"node": "b", "regs": "rb"}), "b")
-              .select("a", "b", "na", "nb", "ra", "rb"))
-    likely = staged(likely.mapInArrow(_possible_partition(threshold), "a long, b long").distinct(), "near-likely")
+    both = (pairs.join(regs.withColumnsRenamed({"node": "a", "regs": "ra"}), "a")
+            .join(regs.withColumnsRenamed({"node": "b", "regs": "rb"}), "b")
+            .select("a", "b", "na", "nb", "ra", "rb"))
+    return both.mapInArrow(_possible_partition(threshold), "a long, b long").distinct()
+
+
+def links_apart(placed: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """Links ``a, b`` that join components, among ``key, node, n, label`` rows of one key and different labels.
+
+    A key's nodes are dealt into blocks and every pair of blocks is one unit of
+    work.  A first pass over registers keeps the nodes that are in an admitted
+    pair; only they bring their texts to the second, which confirms inside the
+    block.  Pairs never become rows, only links that join components do.
+    """
+    sizes = (placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
+             .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    regs = nodes.select("node", "regs")
+    block = ["key", "i", "j"]
+    apart = (placed.join(sizes, "key")
+             .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+             .join(regs, "node")
+             .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
+                     "node", "n", "label", "side", "regs"))
+    suspects = staged(apart.repartition(*block).sortWithinPartitions(*block).mapInArrow(
+        _suspect_partition(threshold), "key long, i int, j int, node long, n long, label long, side int"), "near-suspects")
+    ids = small(suspects.select(F.col("node").alias("doc_id")).distinct())
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
+    told = (suspects.join(regs, "node").join(texts, "node")
+            .select(*block, "node", "n", "label", "side", "regs", "text"))
+    return staged(told.repartition(*block).sortWithinPartitions(*block)
+                  .mapInArrow(_join_partition(k, threshold), "a long, b long").distinct(), "near-joins")
+
+
+def confirmed(likely: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """The ``a, b`` of ``likely`` whose full sets reach the threshold.
+
+    Only texts of documents that are in a pair are shuffled.
+    """
+    likely = staged(likely, "near-likely")
     ids = small(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct())
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sides = (likely.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a")
@@ -229,8 +350,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
     shared = staged(classes.where("members > 1").select("set_key", "class_id"), "near-classes")
     known = sketches.join(small(shared.withColumnRenamed("set_key", "_key")), F.col("set_key") == F.col("_key"), "left")
     rows = staged(known.select("doc_id", "n", "set_key",
-                               F.when(F.col("n") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id"))
-                               .alias("class_id")), "near-rows")
+                               F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id")),
+                  "near-rows")
     nodes = (real.join(rows.where("doc_id = class_id").select("doc_id", "set_key").distinct(), ["doc_id", "set_key"], "left_semi")
              .select(F.col("doc_id").alias("node"), "n", "regs").dropDuplicates(["node", "regs"]))
     nodes = staged(nodes, "near-nodes")
@@ -249,19 +370,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
     ties = (rows.where("doc_id <> class_id AND n > 0").select("doc_id", "class_id").distinct()
             .join(rows.where("n > 0").select("doc_id", F.col("class_id").alias("other")).distinct(), "doc_id")
             .where("class_id <> other").select(F.col("class_id").alias("a"), F.col("other").alias("b")))
-    links = staged(confirmed(star, nodes, docs, shingle_words, threshold).union(ties), "near-links")
+    links = staged(confirmed(likely_pairs(star, nodes, threshold), docs, shingle_words, threshold).union(ties), "near-links")
     labels = components(links)
 
-    # second round: inside a band, nodes of different components
-    placed = crowd.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
-    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    open_ = staged(placed.join(split, "key"), "near-open")
-    other = open_.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    cross = (open_.select("key", F.col("node").alias("a"), F.col("n").alias("na"), "label").join(other, "key")
-             .where("label < lb").where(fits).select("a", "b", "na", "nb").distinct())
-    again = confirmed(cross.join(star.select("a", "b"), ["a", "b"], "left_anti")
-                      .join(star.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"),
-                      nodes, docs, shingle_words, threshold)
+    # second round: inside a band, nodes of different components; the smallest node was checked
+    placed = (crowd.where("node > lead.node").select("key", "node", "n").join(labels, "node", "left")
+              .withColumn("label", F.coalesce("label", "node")))
+    again = links_apart(placed, nodes, docs, shingle_words, threshold)
     if not again.isEmpty():
         labels = components(links.union(again))
     labels = small(labels.withColumnRenamed("node", "_node"))
@@ -278,11 +393,11 @@ def deduplicate(docs: DataFrame, shingle_words: int = 5, threshold: int = THRESH
     """
     found = staged(near_duplicates(docs, shingle_words, threshold).select("doc_id", "kept"), "near-found")
     gone = found.where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    out = docs.join(small(gone), F.col("doc_id") == F.col("_id"), "left_anti")
-    twice = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    out = packed(docs, F.col("doc_id").cast("long").alias("doc_id")).join(small(gone), F.col("doc_id") == F.col("_id"), "left_anti")
+    twice = staged(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+                   .select(F.col("doc_id").alias("_id")), "near-twice")
     if twice.isEmpty():
-        return out
-    twice = F.broadcast(twice.select(F.col("doc_id").alias("_id"))) if twice.count() < 100_000 else \
-        twice.select(F.col("doc_id").alias("_id"))
-    on = same(F.col("doc_id"), F.col("_id"))
-    return out.join(twice, on, "left_anti").union(out.join(twice, on, "left_semi").dropDuplicates(["doc_id"]))
+        return out.select("_row.*")
+    on = F.col("doc_id") == F.col("_id")
+    once = out.join(small(twice), on, "left_semi").dropDuplicates(["doc_id"])
+    return out.join(small(twice), on, "left_anti").union(once).select("_row.*")
