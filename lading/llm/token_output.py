@@ -86,11 +86,10 @@ class Pieces:
         """Each text's ids as little-endian u32."""
         cut = []
         for t in texts:
-            words = t.split()
-            # all white space is single blanks and line feeds between words
-            plain = len(words) == t.count(" ") + t.count("\n") + 1
-            cut.append([line.replace(" ", "\0 ").split("\0") for line in t.split("\n")] if plain and "\0" not in t
-                       else [self.cut.split(t)])
+            lines = t.split("\n")
+            # all white space is single blanks and line feeds between words (other kinds are not printable)
+            plain = "  " not in t and all(x and x[0] != " " and x[-1] != " " and x.isprintable() for x in lines)
+            cut.append([x.replace(" ", "\0 ").split("\0") for x in lines] if plain else [self.cut.split(t)])
         self.learn(set().union(*(line for lines in cut for line in lines)))
         get = self.young.__getitem__
         out = [self.feed.join([b"".join(map(get, line)) for line in lines]) for lines in cut]
