@@ -1,7 +1,6 @@
 import hashlib
 import json
 
-from conftest import SF_SMALL
 from corpus_fixtures import DOCS, prose  # noqa: F401
 from test_decontaminate import brute
 from test_dedup import brute_components

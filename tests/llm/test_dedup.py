@@ -156,7 +156,11 @@ def test_remove_repeats_keeps_the_first(docs_of, odd):
 def test_boilerplate_lines_leave(docs_of, odd):
     rows = [(i, f"  Footer line \nown {i}\n\nnear {i % 9}", None, f"site{i % 12}") for i in range(120)]
     rows.append((500, "Footer line", None, None))
-    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs_of(rows)).collect()}
+    docs = docs_of(rows)
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs).collect()}
+    joined = line_dedup.remove_boilerplate(docs, broadcast_keys=0)
+    columns = ("doc_id", "text", "n_lines", "n_removed")
+    assert multiset(joined, *columns) == multiset(line_dedup.remove_boilerplate(docs), *columns)
     assert all(r.n_removed == 1 for r in got.values())
     assert got[7].text == "own 7\n\nnear 7" and got[7].n_lines == 4
     assert got[500].text == ""
