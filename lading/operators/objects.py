@@ -215,6 +215,12 @@ def under_roots(spark, listing: DataFrame, roots) -> DataFrame:
     does not grow with their product.
     """
     qroots = sorted({session.qualify(spark, r).rstrip("/") for r in roots})
+    if len(qroots) == 1:  # nothing to look up
+        below = F.col("path").startswith(qroots[0] + "/")
+        name = F.regexp_extract("path", r"([^/]+)$", 1)
+        return (listing.withColumn("rel", F.when(below, F.expr(f"substr(path, {len(qroots[0]) + 2})")).otherwise(name))
+                .withColumn("root", F.when(below | (F.col("path") == qroots[0]), F.lit(qroots[0])))
+                .withColumn("rank", F.when(F.col("root").isNotNull(), F.lit(0))))
     table = spark.createDataFrame(list(enumerate(qroots)), "rank int, root string")
     parts = F.split("path", "/", -1)
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
@@ -233,11 +239,13 @@ def staged_names(spark, files: DataFrame, roots) -> DataFrame:
     names of different roots stay two files and partition folders stay one tree.
     """
     named = under_roots(spark, files, roots)
-    if len({session.qualify(spark, r).rstrip("/") for r in roots}) > 1:
+    several = len({session.qualify(spark, r).rstrip("/") for r in roots}) > 1
+    if several:
         named = named.withColumn("rel", F.regexp_replace(
             "rel", F.lit(r"([^/]+)$"), F.concat(F.coalesce(F.col("rank").cast("string"), F.lit("x")), F.lit("-$1"))))
     named = named.select("path", "modificationTime", "rel")
-    _raise_on_repeats(named, "rel")
+    if several:  # files of one root have distinct paths below it
+        _raise_on_repeats(named, "rel")
     return named
 
 
