@@ -1,25 +1,23 @@
 """Repeated passages with sparse suffix arrays.
 
-Only suffixes at content-selected positions are kept: the minimisers of every
-window of ``MIN_WORDS - GRAM + 1`` consecutive word ``GRAM``-grams, so any two
-occurrences of a passage of ``MIN_WORDS`` words keep a suffix at the same place
-of it.  Suffixes whose gram occurs once are dropped.  The rest are sorted, by
-what follows and a second time by what precedes, and neighbours that share their
-gram are compared and extended to the left and right; together at least
-``MIN_WORDS`` equal words make a repeat.  Spans of a document are then joined.
-
-The sort is range-partitioned over the whole sort key, which ends in the
-document and position, so a passage in very many documents spreads over tasks;
-the suffixes at each partition's ends are compared in a last small step (those
-of one document at either end).  Documents with the same words are one document
-while sorting.
+Suffixes are kept cut off after ``MIN_WORDS`` words.  Each has a minimiser, the
+least hash of its word ``GRAM``-grams; two occurrences of a passage of
+``MIN_WORDS`` words have the same one, so only suffixes whose minimiser occurs
+in two documents are kept, by a hash of all their words.  Suffixes are equal or
+not; every one that stands in two documents is a repeat, whatever its neighbours
+share with it, and the spans of a document are joined.
+
+Equal suffixes are counted before they are shuffled, and those that are more
+than one in 100,000 of all get their documents by broadcast, so a passage in
+very many documents stays where it lies.  Documents with the same words are one
+document while comparing.
 
 Words are runs of non-white space with A-Z in lower case, compared by hash.
 
 Defined cases: null, empty and shorter texts have no repeats; a passage that
 occurs only inside one document is no repeat; rows with a null doc_id
-or that repeat a doc_id take part, and are reported under that id; an empty
-table gives no rows; other columns are not read.
+or that repeat a doc_id take part, and are reported under that id, null as the
+smallest; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,6 +35,8 @@ from lading.llm.common import packed, same, small, staged
 
 MIN_WORDS = 50
 GRAM = 16
+#: stands for a null doc_id
+NO_ID = -2 ** 63
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -46,28 +46,28 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def selected(w: np.ndarray, gram: int = GRAM, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the minimisers of a document and the hashes of their grams."""
-    if len(w) < min_words:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def gram_hashes(w: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """Hash of the ``gram`` words from each position on."""
     h = np.zeros(len(w) - gram + 1, np.uint64)
     for j in range(gram):
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + w[j:len(w) - gram + 1 + j]
-    h ^= h >> np.uint64(29)
-    width = min_words - gram + 1
-    view = np.lib.stride_tricks.sliding_window_view(h, width)
-    at = np.unique(np.concatenate([view[i:i + 65_536].argmin(axis=1) + np.arange(i, min(i + 65_536, len(view)))
-                                   for i in range(0, len(view), 65_536)]))
-    # in a run of one repeated gram a place every ``gram`` words and the last one are enough
-    keep, last = np.ones(len(at), bool), 0
-    near = lambda i, j: h[at[i]] == h[at[j]] and at[j] - at[i] < gram
-    for i in range(1, len(at)):
-        if near(last, i) and i + 1 < len(at) and near(i, i + 1):
-            keep[i] = False
-        else:
-            last = i
-    at = at[keep]
-    return at, h[at]
+    return h ^ (h >> np.uint64(29))
+
+
+def minimisers(h: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` consecutive hashes."""
+    k = 1
+    while 2 * k <= width:
+        h, k = np.minimum(h[:-k], h[k:]), 2 * k
+    return np.minimum(h[:len(h) - (width - k)], h[width - k:])
+
+
+def window_hashes(h: np.ndarray, at: np.ndarray, gram: int, min_words: int) -> np.ndarray:
+    """Hash of the ``min_words`` words from each of the positions ``at`` on, from the grams that cover them."""
+    out = np.zeros(len(at), np.uint64)
+    for j in [*range(0, min_words - gram, gram), min_words - gram]:
+        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + h[at + j]
+    return out ^ (out >> np.uint64(29))
 
 
 def _select_partition(gram: int, min_words: int):
@@ -75,189 +75,117 @@ def _select_partition(gram: int, min_words: int):
         import pyarrow as pa
 
         for b in batches:
-            n, same_words, places, keys = [], [], [], []
+            n, same_words, keys = [], [], []
             for text in b.column(1).to_pylist():
                 w = word_hashes(text)
-                at, h = selected(w, gram, min_words)
                 n.append(len(w))
                 same_words.append(hashlib.blake2b(w.tobytes(), digest_size=16).digest())
-                places.append(at)
-                keys.append(h.view(np.int64))
+                keys.append(np.zeros(0, np.int64) if len(w) < min_words else
+                            np.unique(minimisers(gram_hashes(w, gram), min_words - gram + 1)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(same_words, pa.binary()),
-                 pa.array(places, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "same_words", "places", "keys"])
-
-    return run
-
-
-def _context_partition(gram: int, min_words: int):
-    """(key, after, before, node, at) of every kept suffix; words as four bytes of their hash."""
-    def run(batches):
-        import pyarrow as pa
-
-        back = min_words - gram
-        for b in batches:
-            for node, text, places, keys in zip(*(b.column(i).to_pylist() for i in range(4))):
-                w = word_hashes(text)
-                short = (w >> np.uint64(32)).astype(">u4") | np.array(1, ">u4")  # 0 marks the text's end
-                padded = np.concatenate([np.zeros(back, ">u4"), short, np.zeros(min_words, ">u4")]).astype(">u4")
-                at = np.array(places, np.int64)
-                after = padded[back + at[:, None] + np.arange(min_words)].astype(">u4")
-                before = padded[back + at[:, None] - 1 - np.arange(back)].astype(">u4")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array([r.tobytes() for r in after], pa.binary()),
-                     pa.array([r.tobytes() for r in before], pa.binary()),
-                     pa.array([node] * len(at), pa.int64()), pa.array(at, pa.int64())],
-                    names=["key", "after", "before", "node", "at"])
+                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n", "same_words", "keys"])
 
     return run
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Number of leading words equal and present in each pair of rows."""
-    differ = (a != b) | (a == 0)
-    return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
-
-
-def _neighbour_partition(gram: int, min_words: int, edges: bool):
-    """Spans of neighbouring suffixes of different documents; with ``edges`` also the suffixes at both ends.
-
-    A document's suffixes that stand together are a run; each is compared with
-    the last suffix before and the first after its run.  From batch to batch the
-    last run and the suffix before it are carried on.
-    """
+def _window_partition(gram: int, min_words: int):
+    """(hash, uid, node, at, fresh) of every kept suffix; ``fresh`` at its first place in the document."""
     def run(batches):
         import pyarrow as pa
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        names = ["part", "rank", "node", "start", "n", "other", "key", "after", "before", "at"]
-        kinds = [pa.int64()] * 7 + [pa.binary()] * 2 + [pa.int64()]
-        held, opened, rank = None, False, 0
 
-        def edge_rows(rows):
-            nonlocal rank
-            n = len(rows[0])
-            ranks, rank = range(rank, rank + n), rank + n
-            values = ([part] * n, ranks, rows[3], *([None] * n,) * 3, rows[0], rows[1], rows[2], rows[4])
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
+        def rows(parts):
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)],
+                                              names=["hash", "uid", "node", "at", "fresh"])
 
         for b in batches:
-            if not b.num_rows:
-                continue
-            cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("key", "after", "before", "node", "at")]
-            fresh = 0 if held is None else len(held[0])
-            if held is not None:
-                cols = [x + c for x, c in zip(held, cols)]
-            size = len(cols[0])
-            key, node, at = (np.array(cols[i], np.int64) for i in (0, 3, 4))
-            after = np.frombuffer(b"".join(cols[1]), ">u4").reshape(size, min_words)
-            before = np.frombuffer(b"".join(cols[2]), ">u4").reshape(size, min_words - gram)
-            new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-            begin = np.flatnonzero(new)
-            which = np.cumsum(new) - 1
-            ahead, behind = begin[which] - 1, np.append(begin[1:], size)[which]
-            for other in (ahead, behind):
-                mine = np.flatnonzero((other >= 0) & (other < size))
-                mine = mine[(key[mine] == key[other[mine]]) & (np.maximum(mine, other[mine]) >= fresh)]
-                for i in range(0, len(mine), 20_000):
-                    x, y = mine[i:i + 20_000], other[mine[i:i + 20_000]]
-                    r, l = _common(after[x], after[y]), _common(before[x], before[y])  # noqa: E741
-                    ok = l + r >= min_words
-                    x, y, l, r = x[ok], y[ok], l[ok], r[ok]  # noqa: E741
-                    if len(x):
-                        # both sides: a neighbour of an earlier batch may not be compared again
-                        none = pa.nulls(2 * len(x), pa.int64())
-                        blank = pa.nulls(2 * len(x), pa.binary())
-                        yield pa.RecordBatch.from_arrays(
-                            [none, none, pa.array(np.concatenate([node[x], node[y]])),
-                             pa.array(np.concatenate([at[x] - l, at[y] - l])), pa.array(np.tile(l + r, 2)),
-                             pa.array(np.concatenate([node[y], node[x]])), none, blank, blank, none], names=names)
-            if edges and not opened and len(begin) > 1:
-                opened = True
-                yield edge_rows([c[:begin[1]] for c in cols])
-            keep = max(0, begin[-1] - 1)
-            held, tail = [c[keep:] for c in cols], begin[-1] - keep
-        if edges and held is not None:
-            yield edge_rows([c[tail:] for c in held])
+            parts, size = [], 0
+            for uid, node, text, keys in zip(*(b.column(i).to_pylist() for i in range(4))):
+                h = gram_hashes(word_hashes(text), gram)
+                all_at = np.flatnonzero(np.isin(minimisers(h, min_words - gram + 1), np.array(keys, np.int64).view(np.uint64)))
+                hashes = window_hashes(h, all_at, gram, min_words)
+                fresh = np.zeros(len(hashes), bool)
+                fresh[np.unique(hashes, return_index=True)[1]] = True
+                for i in range(0, len(all_at), 200_000):
+                    at = all_at[i:i + 200_000]
+                    parts.append((hashes[i:i + 200_000].view(np.int64), np.full(len(at), uid, np.int64),
+                                  np.full(len(at), node, np.int64), at.astype(np.int64), fresh[i:i + 200_000]))
+                    size += len(at)
+                    if size >= 200_000:
+                        yield rows(parts)
+                        parts, size = [], 0
+            if parts:
+                yield rows(parts)
 
     return run
 
 
-def _sorted_spans(suffixes: DataFrame, order: list[str], gram: int, min_words: int) -> DataFrame:
-    """``node, start, n, other`` from neighbours in one order of the suffixes."""
-    schema = ("part long, rank long, node long, start long, n long, other long, key long, after binary, "
-              "before binary, at long")
-    found = staged(suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-                   .mapInArrow(_neighbour_partition(gram, min_words, True), schema), "repeat-neighbours")
-    seams = (found.where("part IS NOT NULL").select("part", "rank", "key", "after", "before", "node", "at")
-             .coalesce(1).sortWithinPartitions("part", "rank")
-             .mapInArrow(_neighbour_partition(gram, min_words, False), schema))
-    spans = ["node", "start", "n", "other"]
-    return found.where("part IS NULL").select(*spans).union(seams.select(*spans))
+def _window_spans(windows: DataFrame, min_words: int) -> DataFrame:
+    """``uid, start, n_words, other`` of the suffixes that two documents have; spans that touch are one."""
+    counted = (windows.groupBy("hash").agg(F.min("node").alias("low"), F.max("node").alias("high"),
+                                           F.sum(F.col("fresh").cast("long")).alias("nodes"), F.count(F.lit(1)).alias("n")))
+    shared = staged(counted.where("nodes > 1").drop("nodes"), "repeat-shared")
+    often = F.col("n") > max(1000, windows.count() // 100_000)  # at most 100,000 of them
+    hot, cold = shared.where(often).drop("n"), shared.where(~often).drop("n")
+    rest = windows.join(F.broadcast(hot.select("hash")), "hash", "left_anti")
+    found = (windows.join(F.broadcast(hot), "hash").select("uid", "node", "at", "low", "high")
+             .union(rest.join(small(cold), "hash").select("uid", "node", "at", "low", "high"))
+             .select("uid", "at", F.when(F.col("node") > F.col("low"), F.col("low")).otherwise(F.col("high")).alias("other")))
+    by_doc = Window.partitionBy("uid").orderBy("at")
+    so_far = by_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    isles = (found.withColumn("ahead", F.lag("at").over(by_doc))
+             .withColumn("isle", F.sum(F.when(F.col("at") - F.col("ahead") <= min_words, 0).otherwise(1)).over(so_far)))
+    return (isles.groupBy("uid", "isle")
+            .agg(F.min("at").alias("start"), F.max("at").alias("last"), F.min("other").alias("other"))
+            .select("uid", "start", (F.col("last") + min_words - F.col("start")).alias("n_words"), "other"))
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
     """``doc_id, start, n_words, repeat_of`` of every repeated passage, in words of its document.
 
-    ``repeat_of`` is the smallest document that a neighbouring suffix belongs to.
+    ``repeat_of`` is the smallest document with ``min_words`` words of the
+    passage, or in the smallest itself one of the others.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    node = F.coalesce("doc_id", F.lit(NO_ID))
     picked = staged(docs.mapInArrow(_select_partition(gram, min_words),
-                                    "doc_id long, n long, same_words binary, places array<long>, keys array<long>")
-                    .where(F.col("n") >= min_words), "repeat-picked")
+                                    "doc_id long, n long, same_words binary, keys array<long>")
+                    .where(F.col("n") >= min_words), "repeat-picked").withColumn("node", node)
     # documents with the same words: one node, and whole repeats
-    classes = picked.groupBy("same_words").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("members"),
-                                               F.max(F.coalesce("doc_id", F.lit(0))).alias("top"))
+    classes = picked.groupBy("same_words").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("members"),
+                                               F.max("node").alias("top"))
     shared = staged(classes.where("members > 1"), "repeat-classes").withColumnRenamed("same_words", "_same")
-    whole = (picked.select("doc_id", "n", "same_words").join(small(shared), F.col("same_words") == F.col("_same"))
-             .select("doc_id", F.lit(0).cast("long").alias("start"), F.col("n").alias("n_words"),
-                     F.when(F.col("doc_id") > F.col("first"), F.col("first")).otherwise(F.col("top")).alias("repeat_of")))
-    nodes = (picked.select("same_words", F.struct(F.coalesce("doc_id", F.lit(-2 ** 63)).alias("node"), "places", "keys").alias("v"),
-                           F.xxhash64("same_words").alias("uid"))
+    whole = (picked.select("node", "n", "same_words").join(small(shared), F.col("same_words") == F.col("_same"))
+             .select("node", F.lit(0).cast("long").alias("start"), F.col("n").alias("n_words"),
+                     F.when(F.col("node") > F.col("first"), F.col("first")).otherwise(F.col("top")).alias("other")))
+    nodes = (picked.select("same_words", F.struct("node", "keys").alias("v"), F.xxhash64("same_words").alias("uid"))
              .join(small(shared.select("_same")), F.col("same_words") == F.col("_same"), "left"))
     single = nodes.where("_same IS NULL").select("same_words", "v", "uid")
     several = nodes.where("_same IS NOT NULL").groupBy("same_words").agg(F.min("v").alias("v"), F.first("uid").alias("uid"))
     nodes = staged(single.union(several), "repeat-nodes").select("same_words", "uid", "v.*")
 
-    places = nodes.select("uid", F.explode(F.arrays_zip("places", "keys")).alias("z")).select(
-        "uid", F.col("z.places").alias("at"), F.col("z.keys").alias("key"))
-    twice = places.groupBy("key").count().where("count > 1").select("key")
-    kept = (places.join(twice, "key", "left_semi").groupBy("uid")
-            .agg(F.sort_array(F.collect_list(F.struct("at", "key"))).alias("z")))
+    keys = nodes.select("uid", F.explode("keys").alias("key"))
+    twice = keys.groupBy("key").count().where("count > 1").select("key")
+    kept = keys.join(twice, "key", "left_semi").groupBy("uid").agg(F.collect_list("key").alias("keys"))
     kept = staged(kept.join(nodes.select("uid", "same_words", "node"), "uid"), "repeat-kept")
     ids = small(kept.select(F.col("node").alias("_node")).distinct())
-    texts = (docs.join(ids, F.coalesce("doc_id", F.lit(-2 ** 63)) == F.col("_node"), "left_semi")
-             .select(F.coalesce("doc_id", F.lit(-2 ** 63)).alias("node"), "text"))
-    rows = kept.join(texts, "node").select("uid", "text", F.col("z.at").alias("places"), F.col("z.key").alias("keys"),
-                                           "same_words")
+    texts = docs.select(node.alias("node"), "text").join(ids, F.col("node") == F.col("_node"), "left_semi")
+    rows = kept.join(texts, "node").select("uid", "node", "text", "keys", "same_words")
     if _repeats_ids(docs, ids):  # of the rows with one id, the one whose words were seen
         rows = rows.where(_has_words("text", "same_words")).dropDuplicates(["uid"])
-    suffixes = staged(rows.select("uid", "text", "places", "keys")
-                      .mapInArrow(_context_partition(gram, min_words), "key long, after binary, before binary, node long, at long"),
-                      "repeat-suffixes")
-    spans = _sorted_spans(suffixes, ["key", "after", "before", "node", "at"], gram, min_words).union(
-        _sorted_spans(suffixes, ["key", "before", "after", "node", "at"], gram, min_words))
-    owner = nodes.select(F.col("uid").alias("_uid"), F.when(F.col("node") > -2 ** 63, F.col("node")).alias("doc_id"),
-                         "same_words")
-    named = (spans.join(owner, F.col("node") == F.col("_uid")).drop("_uid", "node")
-             .join(owner.select("_uid", F.col("doc_id").alias("repeat_of")), F.col("other") == F.col("_uid"))
+    windows = staged(rows.select("uid", "node", "text", "keys")
+                     .mapInArrow(_window_partition(gram, min_words), "hash long, uid long, node long, at long, fresh boolean"),
+                     "repeat-windows")
+    spans = (_window_spans(windows, min_words).join(nodes.select("uid", "same_words", "node"), "uid")
              .join(small(shared.select("_same")), F.col("same_words") == F.col("_same"), "left_anti"))
-    # spans that touch are one
-    by_doc = Window.partitionBy("doc_id", "same_words").orderBy("start", "n")
-    ends = named.withColumn("reach", F.max(F.col("start") + F.col("n")).over(by_doc.rowsBetween(Window.unboundedPreceding, -1)))
-    isles = ends.withColumn("isle", F.sum(F.when(F.col("start") <= F.col("reach"), 0).otherwise(1)).over(
-        by_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    joined = (isles.groupBy("doc_id", "same_words", "isle")
-              .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("n")).alias("end"), F.min("repeat_of").alias("repeat_of"))
-              .select("doc_id", "start", (F.col("end") - F.col("start")).alias("n_words"), "repeat_of"))
-    return joined.union(whole)
+    named = lambda c: F.when(F.col(c) > NO_ID, F.col(c))
+    return (spans.select("node", "start", "n_words", "other").union(whole)
+            .select(named("node").alias("doc_id"), "start", "n_words", named("other").alias("repeat_of")))
 
 
 def _repeats_ids(docs: DataFrame, ids: DataFrame) -> bool:
     """Whether a kept node's doc_id has several rows."""
-    mine = docs.select(F.coalesce("doc_id", F.lit(-2 ** 63)).alias("node")).join(ids, F.col("node") == F.col("_node"), "left_semi")
+    mine = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("node")).join(ids, F.col("node") == F.col("_node"), "left_semi")
     return not mine.groupBy("node").count().where("count > 1").isEmpty()
 
 

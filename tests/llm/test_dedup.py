@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 
@@ -142,6 +143,22 @@ def test_repeats_of_the_table(spark):
     assert covered(repeats.repeated_spans(docs)) == brute_repeats(rows)
 
 
+def edited_copies(groups, copies, n_words=300, gap=45, seed=0):
+    """Groups of copies of one text, each with other words changed."""
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        base = prose(n_words, 7000 + g).split()
+        for c in range(copies):
+            words = [f"x{g}y{c}z{i}" if rng.random() < 1 / gap else w for i, w in enumerate(base)]
+            rows.append((g * copies + c, " ".join(words)))
+    return rows
+
+
+def test_repeats_of_edited_copies(docs_of):
+    rows = edited_copies(12, 30)
+    assert covered(repeats.repeated_spans(docs_of(rows, 8))) == brute_repeats(rows)
+
+
 def test_remove_repeats_keeps_the_first(docs_of, odd):
     passage = prose(60, 1)
     docs = docs_of([(2, f"aa {passage} bb"), (1, f"cc {passage}\ndd"), (3, "ee " + passage)])
