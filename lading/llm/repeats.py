@@ -121,7 +121,11 @@ def _window_partition(gram: int, min_words: int):
 
 
 def _window_spans(windows: DataFrame, min_words: int) -> DataFrame:
-    """``uid, start, n_words, other`` of the suffixes that two documents have; spans that touch are one."""
+    """``uid, start, n_words, other, cut`` of the suffixes that two documents have; spans that touch are one.
+
+    A suffix belongs to its smallest document; ``cut`` are the ranges of words in
+    suffixes that belong to another.
+    """
     counted = (windows.groupBy("hash").agg(F.min("node").alias("low"), F.max("node").alias("high"),
                                            F.sum(F.col("fresh").cast("long")).alias("nodes"), F.count(F.lit(1)).alias("n")))
     shared = staged(counted.where("nodes > 1").drop("nodes"), "repeat-shared")
@@ -130,21 +134,34 @@ def _window_spans(windows: DataFrame, min_words: int) -> DataFrame:
     rest = windows.join(F.broadcast(hot.select("hash")), "hash", "left_anti")
     found = (windows.join(F.broadcast(hot), "hash").select("uid", "node", "at", "low", "high")
              .union(rest.join(small(cold), "hash").select("uid", "node", "at", "low", "high"))
-             .select("uid", "at", F.when(F.col("node") > F.col("low"), F.col("low")).otherwise(F.col("high")).alias("other")))
+             .select("uid", "at", F.when(F.col("node") > F.col("low"), F.col("low")).otherwise(F.col("high")).alias("other"),
+                     F.when(F.col("node") > F.col("low"), F.col("at")).alias("gone")))
     by_doc = Window.partitionBy("uid").orderBy("at")
     so_far = by_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    isles = (found.withColumn("ahead", F.lag("at").over(by_doc))
-             .withColumn("isle", F.sum(F.when(F.col("at") - F.col("ahead") <= min_words, 0).otherwise(1)).over(so_far)))
-    return (isles.groupBy("uid", "isle")
-            .agg(F.min("at").alias("start"), F.max("at").alias("last"), F.min("other").alias("other"))
-            .select("uid", "start", (F.col("last") + min_words - F.col("start")).alias("n_words"), "other"))
+    before = F.max("gone").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
+    isles = (found.withColumn("ahead", F.lag("at").over(by_doc)).withColumn("before", before)
+             .withColumn("isle", F.sum(F.when(F.col("at") - F.col("ahead") <= min_words, 0).otherwise(1)).over(so_far))
+             .withColumn("hole", F.sum(F.when(F.col("gone").isNull() | (F.col("gone") - F.col("before") <= min_words), 0)
+                                       .otherwise(1)).over(so_far)))
+    holes = isles.groupBy("uid", "isle", "hole").agg(
+        F.min("at").alias("start"), F.max("at").alias("last"), F.min("other").alias("other"),
+        F.min("gone").alias("gone"), (F.max("gone") + min_words - F.min("gone")).alias("n_gone"))
+    return (holes.groupBy("uid", "isle")
+            .agg(F.min("start").alias("start"), F.max("last").alias("last"), F.min("other").alias("other"),
+                 F.sort_array(F.collect_list(F.when(F.col("gone").isNotNull(), _range("gone", "n_gone")))).alias("cut"))
+            .select("uid", "start", (F.col("last") + min_words - F.col("start")).alias("n_words"), "other", "cut"))
+
+
+def _range(start, n):
+    return F.struct(F.col(start).alias("start"), F.col(n).alias("n_words"))
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
-    """``doc_id, start, n_words, repeat_of`` of every repeated passage, in words of its document.
+    """``doc_id, start, n_words, repeat_of, cut`` of every repeated passage, in words of its document.
 
     ``repeat_of`` is the smallest document with ``min_words`` words of the
-    passage, or in the smallest itself one of the others.
+    passage, or in the smallest itself one of the others.  ``cut`` are the ranges
+    of its words that a smaller document has in ``min_words`` equal words.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     node = F.coalesce("doc_id", F.lit(NO_ID))
@@ -156,8 +173,8 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
                                                F.max("node").alias("top"))
     shared = staged(classes.where("members > 1"), "repeat-classes").withColumnRenamed("same_words", "_same")
     whole = (picked.select("node", "n", "same_words").join(small(shared), F.col("same_words") == F.col("_same"))
-             .select("node", F.lit(0).cast("long").alias("start"), F.col("n").alias("n_words"),
-                     F.when(F.col("node") > F.col("first"), F.col("first")).otherwise(F.col("top")).alias("other")))
+             .select("node", F.lit(0).cast("long").alias("start"), F.col("n").alias("n_words"), "first", "top",
+                     F.xxhash64("same_words").alias("uid")))
     nodes = (picked.select("same_words", F.struct("node", "keys").alias("v"), F.xxhash64("same_words").alias("uid"))
              .join(small(shared.select("_same")), F.col("same_words") == F.col("_same"), "left"))
     single = nodes.where("_same IS NULL").select("same_words", "v", "uid")
@@ -176,11 +193,18 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
     windows = staged(rows.select("uid", "node", "text", "keys")
                      .mapInArrow(_window_partition(gram, min_words), "hash long, uid long, node long, at long, fresh boolean"),
                      "repeat-windows")
-    spans = (_window_spans(windows, min_words).join(nodes.select("uid", "same_words", "node"), "uid")
-             .join(small(shared.select("_same")), F.col("same_words") == F.col("_same"), "left_anti"))
+    spans = staged(_window_spans(windows, min_words).join(nodes.select("uid", "same_words", "node"), "uid")
+                   .join(small(shared.select("_same")), F.col("same_words") == F.col("_same"), "left"), "repeat-spans")
+    # of documents with the same words the first is cut like any other, the rest are cut whole
+    own = (spans.where("_same IS NOT NULL").groupBy(F.col("uid").alias("_uid"))
+           .agg(F.min(F.when(F.size("cut") > 0, F.col("other"))).alias("low"), F.sort_array(F.flatten(F.collect_list("cut"))).alias("own")))
+    later = F.col("node") > F.col("first")
+    whole = whole.join(small(own), F.col("uid") == F.col("_uid"), "left").select(
+        "node", "start", "n_words", F.coalesce("low", F.when(later, F.col("first")).otherwise(F.col("top"))).alias("other"),
+        F.when(later, F.array(_range("start", "n_words"))).otherwise(F.coalesce("own", F.array().cast(spans.schema["cut"].dataType))).alias("cut"))
     named = lambda c: F.when(F.col(c) > NO_ID, F.col(c))
-    return (spans.select("node", "start", "n_words", "other").union(whole)
-            .select(named("node").alias("doc_id"), "start", "n_words", named("other").alias("repeat_of")))
+    return (spans.where("_same IS NULL").select("node", "start", "n_words", "other", "cut").union(whole)
+            .select(named("node").alias("doc_id"), "start", "n_words", named("other").alias("repeat_of"), "cut"))
 
 
 def _repeats_ids(docs: DataFrame, ids: DataFrame) -> bool:
@@ -216,11 +240,13 @@ def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
     """``docs`` without the passages that repeat one of a smaller doc_id; same columns.
 
-    The smallest document of a passage always keeps it.  Rows that share a
-    doc_id must share their text.
+    Every ``min_words`` equal words belong to the smallest document that has
+    them (a null doc_id is the smallest), which does not lose them to a larger
+    one; so each word cut stands in a smaller document.  Rows that share a
+    doc_id keep what only they share, and must share their text.
     """
-    spans = (repeated_spans(docs, min_words, gram).where("repeat_of < doc_id").distinct()
-             .groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "n_words")).alias("_spans")))
-    once = staged(spans, "repeat-spans")
+    spans = (repeated_spans(docs, min_words, gram).select(F.col("doc_id").alias("_id"), F.explode("cut").alias("cut")).distinct()
+             .groupBy("_id").agg(F.collect_list("cut").alias("_spans")))
+    once = staged(spans, "repeat-cuts")
     return (packed(docs, "doc_id", "text").join(small(once, 100_000), same(F.col("doc_id"), F.col("_id")), "left")
             .select(*[cut("text", "_spans").alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns]))

@@ -170,6 +170,50 @@ def test_remove_repeats_keeps_the_first(docs_of, odd):
     assert repeats.repeated_spans(twice).count() == 4
 
 
+def brute_cuts(rows, least=50):
+    """Words in ``least`` equal words of a smaller document."""
+    owner, gone = {}, defaultdict(set)
+    words = [(doc_id, WORD.findall((text or "").encode().lower())) for doc_id, text in rows]
+    for doc_id, w in words:
+        for i in range(len(w) - least + 1):
+            key = tuple(w[i:i + least])
+            owner[key] = min(owner.get(key, doc_id), doc_id)
+    for doc_id, w in words:
+        for i in range(len(w) - least + 1):
+            if owner[tuple(w[i:i + least])] < doc_id:
+                gone[doc_id].update(range(i, i + least))
+    return {(d, tuple(sorted(v))) for d, v in gone.items()}
+
+
+def cuts(df):
+    out = defaultdict(set)
+    for r in df.collect():
+        for start, n in r.cut:
+            assert r.start <= start and start + n <= r.start + r.n_words
+            out[r.doc_id].update(range(start, start + n))
+    return {(d, tuple(sorted(v))) for d, v in out.items() if v}
+
+
+def test_one_of_many_sharers_keeps_a_passage(docs_of):
+    passage = prose(70, 77)
+    rows = [(i, f"{prose(20, i)} {passage} {prose(20, 5000 + i)}") for i in range(400)]
+    docs = docs_of(rows, 8)
+    assert cuts(repeats.repeated_spans(docs)) == brute_cuts(rows)
+    assert [r.doc_id for r in repeats.remove_repeats(docs).collect() if passage in r.text] == [0]
+
+
+def test_touching_passages_and_classes_keep_one_copy(docs_of):
+    p, q, s, t = (prose(80, i) for i in (1, 2, 3, 4))
+    rows = [(3, f"a {p} b"), (50, f"c {p} {q} d"), (100, f"e {q} f"), (110, f"g {p} h {s} i"), (120, f"g {p} h {s} i"),
+            (130, f"{s} j"), (140, f"{t} k"), (None, f"l {t} m")]
+    out = {r.doc_id: r.text for r in repeats.remove_repeats(docs_of(rows)).collect()}
+    assert {x: [d for d, text in out.items() if x in text] for x in (p, q, s, t)} == {p: [3], q: [50], s: [110], t: [None]}
+    assert (out[50], out[110], out[120], out[130]) == (f"c {q} d", f"g h {s} i", "", "j")
+    rows = [r for r in rows if r[0] is not None] + edited_copies(2, 20)
+    rows = [(10 * i, text) for i, (_, text) in enumerate(rows)]
+    assert cuts(repeats.repeated_spans(docs_of(rows))) == brute_cuts(rows)
+
+
 def test_boilerplate_lines_leave(docs_of, odd):
     rows = [(i, f"  Footer line \nown {i}\n\nnear {i % 9}", None, f"site{i % 12}") for i in range(120)]
     rows.append((500, "Footer line", None, None))
