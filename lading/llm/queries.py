@@ -37,7 +37,11 @@ def near_dedup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.repeated_spans(table(spark, sf_dir, "documents"))
+    found = repeats.repeated_spans(table(spark, sf_dir, "documents"))
+    ranges = F.transform("cut", lambda c: F.concat_ws("+", c["start"], c["n_words"]))
+    return found.select("doc_id", "start", "n_words", "repeat_of",
+                        F.aggregate("cut", F.lit(0).cast("long"), lambda n, c: n + c["n_words"]).alias("n_cut"),
+                        F.array_join(ranges, ",").alias("cut"))
 
 
 def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from corpus_fixtures import docs_of, multiset, odd, prose  # noqa: F401
 
 from lading.llm import line_dedup, near_dedup, repeats
 from lading.llm.common import table
+from lading.llm.queries import QUERIES
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -214,6 +215,18 @@ def test_touching_passages_and_classes_keep_one_copy(docs_of):
     assert cuts(repeats.repeated_spans(docs_of(rows))) == brute_cuts(rows)
 
 
+def test_query_returns_what_is_cut(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()]
+    gone = defaultdict(set)
+    found = QUERIES["op4_suffix_array_dedup"](spark, SF_SMALL).collect()
+    for r in found:
+        ranges = [tuple(map(int, c.split("+"))) for c in r.cut.split(",") if c]
+        assert r.n_cut == sum(n for _, n in ranges)
+        for start, n in ranges:
+            gone[r.doc_id].update(range(start, start + n))
+    assert gone and {(d, tuple(sorted(v))) for d, v in gone.items()} == brute_cuts(rows)
+
+
 def test_boilerplate_lines_leave(docs_of, odd):
     rows = [(i, f"  Footer line \nown {i}\n\nnear {i % 9}", None, f"site{i % 12}") for i in range(120)]
     rows.append((500, "Footer line", None, None))
