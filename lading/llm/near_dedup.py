@@ -14,8 +14,9 @@ joins most of a group.  A second round looks, inside each band, at nodes that ar
 still in different components: they are compared, and confirmed on full sets, in
 blocks of ``BLOCK`` nodes, so a hot band spreads over tasks and no pair becomes a
 row unless it joins two components.  That covers every pair that shares a band,
-for the components.  The comparisons of the second round grow with the square of
-what the first leaves apart in a band; its rows and memory do not.
+for the components.  The second round takes all nodes of a band with more than one
+component, each once for every block of the band, so its comparisons and, over
+``BLOCK``, its rows grow with the square of the band.
 
 With 48 bands of 5 registers a pair at exactly 0.8 shares no band with a
 probability of 5e-9.
