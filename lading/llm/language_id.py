@@ -10,7 +10,8 @@ best and second codeword are close is flagged ambiguous.
 Training counts n-grams over a sample of labelled rows, at most about
 ``MAX_DOCS_PER_LANG`` per language by a hash of the id; the counts are summed by
 Spark and the driver gets one row per language and bucket at most.  Texts are
-scored whole, in slices of bounded size.
+scored whole, in slices of bounded size; the margins of a longer text are summed
+over pieces of it.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
 ambiguous; with no learned language every text is ``und``; with one, every text
@@ -43,12 +44,29 @@ FOLD = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0
 PAD = max(NGRAMS) - 1
 
 
-def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of the texts, one row per n, and where each text starts.
+def pieces(texts, most: int = SLICE_BYTES):
+    """Runs of (number of the text, folded bytes) of under about 2 * ``most`` bytes.
 
-    A place whose n-gram would reach into the next text gets the extra bucket.
+    A longer text goes in pieces of ``most`` bytes and the ``PAD`` bytes behind.
+    """
+    run, size = [], 0
+    for i, t in enumerate(texts):
+        raw = b" " + t.lower().encode("utf-8").translate(FOLD) + b" " * PAD
+        for at in range(0, len(raw) - PAD, most):
+            run.append((i, raw[at:at + most + PAD]))
+            size += len(run[-1][1])
+            if size >= most:
+                yield run
+                run, size = [], 0
+    if run:
+        yield run
+
+
+def buckets(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of the pieces, one row per n, and where each piece starts.
+
+    The last ``PAD`` places of a piece, padding or the next piece's, get the extra bucket.
     """
-    raw = [b" " + t.lower().encode("utf-8").translate(FOLD) + b" " * PAD for t in texts]
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
     ends = np.cumsum([len(r) for r in raw])
     starts = ends - [len(r) for r in raw]
@@ -107,8 +125,9 @@ def _count_partition(batches):
             for lang, text in run:
                 by_lang.setdefault(lang, []).append(text)
             for lang, texts in by_lang.items():
-                got = np.bincount(buckets(texts)[0].ravel(), minlength=size)
-                counts[lang] = counts.get(lang, 0) + got
+                for some in pieces(texts):
+                    got = np.bincount(buckets([raw for _, raw in some])[0].ravel(), minlength=size)
+                    counts[lang] = counts.get(lang, 0) + got
     for lang, got in counts.items():
         at = np.flatnonzero(got[:-1])
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int64()), pa.array(got[at], pa.int64())],
@@ -150,11 +169,14 @@ def train(labelled: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> di
 
 def scores(texts: list[str], model: dict) -> np.ndarray:
     """Soft-min score of every language for each text."""
-    places, starts = buckets(texts)
     weights = model["weights"]
-    total = sum(np.add.reduceat(weights[row], starts, axis=0) for row in places).astype(float)
-    n = np.diff(np.append(starts, places.shape[1])) * len(NGRAMS)
-    margin = total / np.sqrt(n)[:, None]
+    total, n = np.zeros((len(texts), weights.shape[1])), np.full(len(texts), PAD)
+    for some in pieces(texts):
+        which, raw = [i for i, _ in some], [r for _, r in some]
+        places, starts = buckets(raw)
+        np.add.at(total, which, sum(np.add.reduceat(weights[row], starts, axis=0) for row in places))
+        np.add.at(n, which, [len(r) - PAD for r in raw])
+    margin = total / np.sqrt(n * len(NGRAMS))[:, None]
     loss = np.logaddexp(0, -margin[:, None, :] * model["code"][None]) @ model["trust"]
     best = np.exp(loss.min(axis=1, keepdims=True) - loss)
     return best / best.sum(axis=1, keepdims=True)

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -35,6 +36,24 @@ def test_language_scores_ignore_slicing():
     assert np.allclose(together, np.concatenate([language_id.scores([t], model) for t in texts]), atol=1e-5)
 
 
+def test_language_long_texts_go_in_pieces():
+    texts = ["Ab c", "", "é" * 50, "some longer text here " * 9]
+    counts = [np.sum([np.bincount(language_id.buckets([r for _, r in run])[0].ravel(), minlength=(1 << 16) + 1)[:-1]
+                      for run in language_id.pieces(texts, most)], axis=0) for most in (1, 7, 64, 10 ** 6)]
+    assert all(np.array_equal(c, counts[-1]) for c in counts)
+    rng = np.random.default_rng(0)
+    model = {"langs": list("abcd"), "code": language_id.codewords(4), "trust": np.ones(7),
+             "weights": rng.normal(size=((1 << 16) + 1, 7)).astype(np.float32)}
+    model["weights"][-1] = 0
+    text = "".join(rng.choice(list("abcdef "), 16_000_000))
+    tracemalloc.start()
+    got = language_id.scores([text, "abc def"], model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250_000_000, peak
+    assert np.allclose(got[1], language_id.scores(["abc def"], model)[0])
+
+
 def test_language_odd_rows(spark, odd, docs_of):
     model = language_id.train(odd)
     got = {(r.doc_id, r.lang_pred, r.score == 0) for r in language_id.predict(odd, model).collect()}
