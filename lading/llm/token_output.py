@@ -11,28 +11,23 @@ once.
 Defined cases: a null text is empty and still has its end id; a null doc_id
 sorts first; rows that repeat a doc_id are all written, by text; an empty table
 writes no pages; columns other than ``doc_id`` and ``text`` are not written.
-Strings that name special tokens are ordinary text.
+Strings that name special tokens are ordinary text (the tokenizer's
+``encode_special_tokens`` is set, which is not the library's default).
 """
 
 from __future__ import annotations
 
-import re
-from array import array
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lading import session
-from lading.llm import simple8b
+from lading.llm import pieces, simple8b
 from lading.llm.common import small, spark_of, worker_state
 
 END_ID = 0
 PAGE_IDS = 131_072
-#: pieces in a generation of a worker's memory, and the longest it keeps; bounds memory, not results
-CACHE_CHUNKS = 400_000
-LONG_PIECE = 64
-SLICE_CHARS = 2_000_000
-MARKS = ".,;:!?"
+#: text that a task encodes at once
+SLICE_BYTES = 4_000_000
 
 PAGE_SCHEMA = "shard int, start_in_shard long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
@@ -43,78 +38,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Pieces:
-    """A tokenizer with a bounded memory of the ids of pieces it has seen.
-
-    The tokenizer's first step never joins characters across the place before a
-    space that a non-space follows, nor across a single line feed between
-    non-spaces, nor between a letter and a closing punctuation mark.  So a text
-    may be cut at these places and its ids are those of the pieces.  Of two
-    generations of pieces the older is forgotten when the younger is full.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        self.cut = re.compile(r"(?= \S)")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.long: list[str] = []
-        self.marks = dict(zip(MARKS, self.encode(list(MARKS))))
-        self.feed = self.encode(["\n"])[0]
-
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def learn(self, pieces: set[str]) -> None:
-        if len(self.young) > CACHE_CHUNKS:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        new = pieces.difference(young)
-        known = new.intersection(old)
-        young.update(zip(known, map(old.__getitem__, known)))
-        new -= known
-        closed = {p for p in new if len(p) > 2 and p[-1] in self.marks and p[-2].isalpha()}
-        plain = list((new - closed).union(p[:-1] for p in closed).difference(young))
-        young.update(zip(plain, self.encode(plain)))
-        young.update((p, young[p[:-1]] + self.marks[p[-1]]) for p in closed)
-        self.long = [p for p in (*plain, *closed) if len(p) > LONG_PIECE]  # used once, not remembered
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian u32."""
-        cut = []
-        for t in texts:
-            lines = t.split("\n")
-            # all white space is single blanks and line feeds between words (other kinds are not printable)
-            plain = "  " not in t and all(x and x[0] != " " and x[-1] != " " and x.isprintable() for x in lines)
-            cut.append([x.replace(" ", "\0 ").split("\0") for x in lines] if plain else [self.cut.split(t)])
-        self.learn(set().union(*(line for lines in cut for line in lines)))
-        get = self.young.__getitem__
-        out = [self.feed.join([b"".join(map(get, line)) for line in lines]) for lines in cut]
-        for p in self.long:
-            del self.young[p]
-        self.long = []
-        return out
+def tokenizer_of(path: str) -> pieces.TextIds:
+    """The worker's tokenizer with its table of pieces (bounded: ``pieces.TABLE_BITS``)."""
+    return worker_state(f"tokenizer {path}", lambda: pieces.TextIds(path))
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Each text's ids as little-endian u32."""
-    return worker_state(f"tokenizer {path}", lambda: Pieces(path))(texts)
-
+    import pyarrow as pa
 
-def _slices(rows, most: int):
-    """Runs of (doc_id, text) of at most about ``most`` characters."""
-    run, chars = [], 0
-    for row in rows:
-        run.append(row)
-        chars += len(row[1])
-        if chars >= most:
-            yield run
-            run, chars = [], 0
-    if run:
-        yield run
+    ids, ends = tokenizer_of(path)(pa.array(texts, pa.string()))
+    raw, ends = ids.astype("<u4").tobytes(), (4 * ends).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _encode_partition(path: str, end_id: int, page_ids: int):
@@ -127,29 +62,31 @@ def _encode_partition(path: str, end_id: int, page_ids: int):
                             ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
                             ("payload", pa.binary())])
         shard, start = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
-        doc_ids, parts, size = [], [], 0
+        doc_ids, lengths, parts, size = [], [], [], 0
 
         def page():
-            nonlocal start, doc_ids, parts, size
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            nonlocal start, doc_ids, lengths, parts, size
             out = pa.RecordBatch.from_arrays([
-                pa.array([shard], pa.int32()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()),
-                pa.array([doc_ids], pa.list_(pa.int64())), pa.array([[len(p) // 4 for p in parts]], pa.list_(pa.int64())),
-                pa.array([simple8b.encode(ids)], pa.binary())], schema=schema)
-            start, doc_ids, parts, size = start + len(ids), [], [], 0
+                pa.array([shard], pa.int32()), pa.array([start], pa.int64()), pa.array([size], pa.int64()),
+                pa.array([doc_ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
+                pa.array([simple8b.encode(np.concatenate(parts))], pa.binary())], schema=schema)
+            start, doc_ids, lengths, parts, size = start + size, [], [], [], 0
             return out
 
-        def rows():
-            for b in batches:
-                for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    yield doc_id, text or ""
-
-        for some in _slices(rows(), SLICE_CHARS):
-            for (doc_id, _), got in zip(some, token_bytes([t for _, t in some], path)):
-                doc_ids.append(doc_id)
-                parts.append(got + end)
-                size += len(got) // 4 + 1
+        for rows in pieces.slices(batches, 1, SLICE_BYTES):
+            ids, ends = tokenizer_of(path)(rows.column(1))
+            n = len(ends)
+            ended = np.insert(ids, ends, end_id)  # every document's end id
+            ends = ends + np.arange(1, n + 1)
+            ids_of, done = rows.column(0).to_pylist(), 0
+            while done < n:  # whole documents up to a full page
+                begin = int(ends[done - 1]) if done else 0
+                last = min(int(np.searchsorted(ends, begin + page_ids - size)), n - 1)
+                stop = int(ends[last])
+                doc_ids += ids_of[done:last + 1]
+                lengths += np.diff(ends[done:last + 1], prepend=begin).tolist()
+                parts.append(ended[begin:stop])
+                size, done = size + stop - begin, last + 1
                 if size >= page_ids:
                     yield page()
         if doc_ids:
