@@ -25,7 +25,7 @@ def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared staging folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read instead of a
@@ -34,7 +34,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = spark_of(df)
     path = session.new_staging_dir(spark, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

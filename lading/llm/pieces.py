@@ -90,14 +90,14 @@ def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return flat[at]
 
 
-def distinct(data: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The different pieces of ``data``, and for each piece which of them it is."""
+def distinct(data: np.ndarray, starts: np.ndarray):
+    """The different pieces of ``data`` as an Arrow array, and for each piece which of them it is."""
     import pyarrow as pa
 
     offsets = np.append(starts, len(data)).astype(np.int64)
     pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     coded = pieces.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    return coded.dictionary, coded.indices.to_numpy()
 
 
 class Table:
@@ -224,7 +224,7 @@ class TextIds:
         hit = self.table.known(keys, slot, lengths)
         new = np.flatnonzero(~hit)
         pieces, which = distinct(gathered(data, starts[new], lengths[new]), np.cumsum(lengths[new]) - lengths[new])
-        ids, sizes = self.encode(pieces)
+        ids, sizes = self.encode(pieces.to_pylist())
         pool = np.concatenate([self.table.ids.reshape(-1), ids])
         at, counts = slot * SLOT_IDS, self.table.counts[slot].astype(np.int64)
         at[new], counts[new] = self.table.ids.size + (np.cumsum(sizes) - sizes)[which], sizes[which]

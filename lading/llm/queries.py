@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lading.llm import (chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, quality_model,
-                        quality_rules, repeats, token_output)
+from lading.llm import (alignment, chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, packing,
+                        quality_model, quality_rules, repeats, token_output, vector_codes)
 from lading.llm.common import table
 
 #: a conversation whose texts hold control strings
@@ -82,6 +82,21 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.pack(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents")).drop("groups")
+
+
+def vector_code_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.codes(table(spark, sf_dir, "embeddings"))
+    return (vector_codes.with_label_error(coded).drop("label")
+            .withColumn("codebooks_sha256", F.lit(vector_codes.codebooks_sha256(books))))
+
+
 QUERIES = {
     "op1_chat_format": chat_digests,
     "op2_language_id": language,
@@ -93,6 +108,9 @@ QUERIES = {
     "op8_line_dedup": boilerplate_lines,
     "op9_quality_classifier": quality_scores,
     "op10_token_ids": token_ids,
+    "op11_best_fit_packing": packed_sequences,
+    "op12_token_alignment": aligned_tokens,
+    "op13_vector_codes": vector_code_rows,
 }
 
 ORACLE = {
@@ -222,4 +240,5 @@ SELECT x.doc_id, coalesce(d.n_lines, 0) AS n_lines, coalesce(d.n_removed, 0) AS
        coalesce(d.text_sha256, sha256('')) AS text_sha256
 FROM (SELECT row_number() OVER () AS rid, doc_id FROM documents) x LEFT JOIN d ON d.rid = x.rid
 """,
+    "op13_vector_codes": vector_codes.oracle_sql(),
 }

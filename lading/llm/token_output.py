@@ -52,6 +52,14 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def ended_ids(texts, path: str, end_id: int):
+    """Ids of an Arrow string array, the end id behind each text's, and where each text ends."""
+    import numpy as np
+
+    ids, ends = tokenizer_of(path)(texts)
+    return np.insert(ids, ends, end_id).astype("<u4", copy=False), ends + np.arange(1, len(ends) + 1)
+
+
 def _encode_partition(path: str, end_id: int, page_ids: int):
     def run(batches):
         import numpy as np
@@ -74,11 +82,8 @@ def _encode_partition(path: str, end_id: int, page_ids: int):
             return out
 
         for rows in pieces.slices(batches, 1, SLICE_BYTES):
-            ids, ends = tokenizer_of(path)(rows.column(1))
-            n = len(ends)
-            ended = np.insert(ids, ends, end_id)  # every document's end id
-            ends = ends + np.arange(1, n + 1)
-            ids_of, done = rows.column(0).to_pylist(), 0
+            ended, ends = ended_ids(rows.column(1), path, end_id)
+            n, ids_of, done = len(ends), rows.column(0).to_pylist(), 0
             while done < n:  # whole documents up to a full page
                 begin = int(ends[done - 1]) if done else 0
                 last = min(int(np.searchsorted(ends, begin + page_ids - size)), n - 1)
