@@ -12,11 +12,12 @@ No group is turned into all its pairs.  Equal sets are one node first.  Then
 every member of a band is checked against the band's smallest node only, which
 joins most of a group.  A second round looks, inside each band, at nodes that are
 still in different components: they are compared, and confirmed on full sets, in
-blocks of ``BLOCK`` nodes, so a hot band spreads over tasks and no pair becomes a
-row unless it joins two components.  That covers every pair that shares a band,
-for the components.  The second round takes all nodes of a band with more than one
-component, each once for every block of the band, so its comparisons and, over
-``BLOCK``, its rows grow with the square of the band.
+blocks of ``BLOCK`` nodes and ``BLOCK_MEMBERS`` shingles, so a hot band spreads
+over tasks and no pair becomes a row unless it joins two components.  That covers
+every pair that shares a band, for the components.  Nodes of a band's largest
+component meet only the band's other nodes: their rows are as many as the blocks
+of those, so a few strays beside a hot group cost one pass over it.  Among the
+others, comparisons grow with the square of their number.
 
 With 48 bands of 5 registers a pair at exactly 0.8 shares no band with a
 probability of 5e-9.
@@ -44,8 +45,8 @@ BANDS, ROWS = 48, 5
 REGISTERS = BANDS * ROWS
 #: SetSketch parameters: base, rate, largest value
 BASE, RATE, TOP = 1.001, 20.0, 2 ** 16 - 1
-#: nodes of one band that the second round compares in one go
-BLOCK = 4000
+#: nodes of one band that the second round compares in one go, and the shingles they have together
+BLOCK, BLOCK_MEMBERS = 4000, 4_000_000
 #: a candidate is rejected when the likelihood ratio against the threshold exceeds this (5.5 sigma)
 REJECT = 15.0
 
@@ -273,18 +274,29 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFram
 def links_apart(placed: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
     """Links ``a, b`` that join components, among ``key, node, n, label`` rows of one key and different labels.
 
-    A key's nodes are dealt into blocks and every pair of blocks is one unit of
+    A key's nodes are dealt into blocks, those of its largest component by
+    themselves; every pair of blocks but two of that component is one unit of
     work.  A first pass over registers keeps the nodes that are in an admitted
     pair; only they bring their texts to the second, which confirms inside the
     block.  Pairs never become rows, only links that join components do.
     """
-    sizes = (placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
-             .where("lo < hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    labels = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("members"))
+    blocks = lambda nodes, members: F.greatest(F.ceil(nodes / F.lit(BLOCK)), F.ceil(members / F.lit(BLOCK_MEMBERS))).cast("int")
+    largest = F.max(F.struct("nodes", "label", "members"))
+    sizes = (labels.groupBy("key").agg(largest.alias("top"), F.sum("nodes").alias("nodes"), F.sum("members").alias("members"))
+             .where("nodes > top.nodes")
+             .select("key", F.col("top.label").alias("major"), blocks(F.col("top.nodes"), F.col("top.members")).alias("majors"),
+                     blocks(F.col("nodes") - F.col("top.nodes"), F.col("members") - F.col("top.members")).alias("minors")))
     regs = nodes.select("node", "regs")
     block = ["key", "i", "j"]
+    # blocks of the largest component come first and meet only the others, which also meet each other
+    of_major = F.col("label") == F.col("major")
+    dealt = F.xxhash64("node")
     apart = (placed.join(sizes, "key")
-             .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+             .withColumn("side", F.when(of_major, F.pmod(dealt, F.col("majors")))
+                         .otherwise(F.col("majors") + F.pmod(dealt, F.col("minors"))).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.when(of_major, F.col("majors")).otherwise(0),
+                                                       F.col("majors") + F.col("minors") - 1)))
              .join(regs, "node")
              .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
                      "node", "n", "label", "side", "regs"))
@@ -390,7 +402,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
 def deduplicate(docs: DataFrame, shingle_words: int = 5, threshold: int = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest doc_id; same columns.
 
-    Of rows that repeat that doc_id one stays.
+    Of rows that repeat that doc_id the one whose text has the smallest hash stays.
     """
     found = staged(near_duplicates(docs, shingle_words, threshold).select("doc_id", "kept"), "near-found")
     gone = found.where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
@@ -400,5 +412,7 @@ def deduplicate(docs: DataFrame, shingle_words: int = 5, threshold: int = THRESH
     if twice.isEmpty():
         return out.select("_row.*")
     on = F.col("doc_id") == F.col("_id")
-    once = out.join(small(twice), on, "left_semi").dropDuplicates(["doc_id"])
-    return out.join(small(twice), on, "left_anti").union(once).select("_row.*")
+    text = F.col("_row.text")
+    once = (out.join(small(twice), on, "left_semi").groupBy("doc_id")
+            .agg(F.min_by("_row", F.struct(F.xxhash64(text), text)).alias("_row")))
+    return out.join(small(twice), on, "left_anti").select("_row").union(once.select("_row")).select("_row.*")

@@ -74,6 +74,25 @@ def test_links_between_stars_are_found(docs_of):
     assert got == brute_components(rows, 4, 80)
 
 
+def test_blocks_cover_every_pair(docs_of, monkeypatch):
+    """Bands of many blocks: a large component, strays beside it, and components that only strays tie together."""
+    base = prose(150, 21)
+    rows = [(i, edited(base, 40 + i % 60, i)) for i in range(60)] + [(100 + i, edited(base, 9 + i % 5, i)) for i in range(40)]
+    want = brute_components(rows, 4, 80)
+    assert 1 < len(set(want.values())) < len(rows)
+    for nodes, members in ((3, 4_000_000), (4000, 300)):
+        monkeypatch.setattr(near_dedup, "BLOCK", nodes)
+        monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", members)
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs_of(rows), 4).collect()}
+        assert got == want
+
+
+def test_the_kept_row_of_a_repeated_id_is_always_the_same(docs_of):
+    rows = [(1, prose(30, s)) for s in range(6)]
+    kept = {near_dedup.deduplicate(docs_of(rows[at:] + rows[:at], 1 + at)).first().text for at in range(3)}
+    assert len(kept) == 1
+
+
 def test_near_duplicates_odd_rows(odd, docs_of):
     got = multiset(near_dedup.near_duplicates(odd), "doc_id", "component_id", "kept")
     assert len(got) == odd.count()
