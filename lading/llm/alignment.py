@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lading.llm import pieces
-from lading.llm.common import staged, worker_state
+from lading.llm.common import mapped, staged, worker_state
 
 #: text of a chunk, in bytes: one row of pairs and one Python call
 CHUNK_BYTES = 8_000_000
@@ -294,8 +294,8 @@ def aligned(docs: DataFrame, tokenizers: tuple[str, str] | None = None, with_gro
     sentencepiece model without normalisation, which every executor has.
     """
     a, b = tokenizers or default_tokenizers()
-    chunks = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                    .mapInArrow(_chunk_partition(a, b, with_groups), CHUNK_SCHEMA), "align-chunks", "zstd")
+    chunks = staged(mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
+                           _chunk_partition(a, b, with_groups), CHUNK_SCHEMA, keep="aligner"), "align-chunks", "zstd")
     held = (chunks.select("chunk", F.explode(F.arrays_zip("pairs", "counts")).alias("p"))
             .select("chunk", F.col("p.pairs").alias("pair"), F.col("p.counts").alias("n")))
     # documents without tokens leave pairs that nothing counts
@@ -306,5 +306,5 @@ def aligned(docs: DataFrame, tokenizers: tuple[str, str] | None = None, with_gro
             .select("pair", "total", (F.col("total") == F.col("most")).cast("int").alias("best")))
     per_chunk = (held.select("chunk", "pair").join(told, "pair")
                  .groupBy(F.col("chunk").alias("_chunk")).agg(F.collect_list(F.struct("pair", "total", "best")).alias("totals")))
-    return (chunks.join(per_chunk, F.col("chunk") == F.col("_chunk"), "left").drop("counts", "chunk", "_chunk")
-            .mapInArrow(_count_partition, DOC_SCHEMA))
+    return mapped(chunks.join(per_chunk, F.col("chunk") == F.col("_chunk"), "left").drop("counts", "chunk", "_chunk"),
+                  _count_partition, DOC_SCHEMA)

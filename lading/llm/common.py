@@ -20,6 +20,9 @@ LOWER = UPPER.lower()
 #: a side is broadcast only when it was counted and has at most this many narrow rows
 BROADCAST_ROWS = 500_000
 
+#: bytes of an Arrow batch on its way to Python, where Spark's default holds
+BATCH_CONF, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8388608b"
+
 
 def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
@@ -79,13 +82,52 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def mapped(df: DataFrame, run, schema: str, keep: str | None = None) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in bounded memory.
+
+    Arrow batches are bounded by bytes (unless the session says otherwise), not
+    only by rows.  Workers outlive a stage, so a task first drops what other
+    operators keep there (all but the states whose names begin with ``keep``)
+    and gives its free memory back when its partition ends.
+    """
+    conf = spark_of(df).conf
+    if conf.get(BATCH_CONF) == BATCH_DEFAULT:
+        conf.set(BATCH_CONF, BATCH_BYTES)
+
+    def task(batches):
+        held = _worker_module().__dict__
+        for name in [n for n in held if not n.startswith("__") and not (keep and n.startswith(keep))]:
+            del held[name]
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def _give_back() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
+def _worker_module() -> types.ModuleType:
+    return sys.modules.setdefault("_lading_worker_state", types.ModuleType("_lading_worker_state"))
+
+
 def worker_state(name: str, make):
     """An object kept per Python worker process and reused by its later tasks.
 
     Task code is shipped by value, so module globals start anew with each task;
     this keeps caches (never results) in a private module instead.
     """
-    holder = sys.modules.setdefault("_lading_worker_state", types.ModuleType("_lading_worker_state"))
-    if name not in holder.__dict__:
-        holder.__dict__[name] = make()
-    return holder.__dict__[name]
+    held = _worker_module().__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]

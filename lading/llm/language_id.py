@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import spark_of
+from lading.llm.common import mapped, spark_of
 from lading.llm.mixing import coin
 
 MAX_DOCS_PER_LANG = 4000
@@ -145,7 +145,7 @@ def train(labelled: DataFrame, max_docs_per_lang: int = MAX_DOCS_PER_LANG) -> di
         if n > max_docs_per_lang:
             rate = F.when(F.col("lang") == lang, max_docs_per_lang / n).otherwise(rate)
     sample = rows.where(coin(F.col("doc_id"), "lang-sample") < rate).select("lang", "text")
-    sums = (sample.mapInArrow(_count_partition, "lang string, bucket long, n long")
+    sums = (mapped(sample, _count_partition, "lang string, bucket long, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
     langs = sorted(set(sums.column("lang").to_pylist()))
     if not langs:
@@ -211,8 +211,8 @@ def _predict_partition(model, lead: float):
 def predict(docs: DataFrame, model: dict | None, lead: float = LEAD) -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous`` of every row of ``docs``, from its text alone."""
     shared = spark_of(docs).sparkContext.broadcast(model)
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .mapInArrow(_predict_partition(shared, lead), "doc_id long, lang_pred string, score double, ambiguous boolean"))
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _predict_partition(shared, lead),
+                  "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -234,4 +234,4 @@ def keep_identified(docs: DataFrame, model: dict | None, lead: float = LEAD) ->
             kept = [not x for part in judge([rows]) for x in part.column("ambiguous").to_pylist()]
             yield b.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lading.llm.common import packed, small, staged
+from lading.llm.common import mapped, packed, small, staged
 
 THRESHOLD = 80  # per cent
 BANDS, ROWS = 48, 5
@@ -268,7 +268,7 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFram
     both = (pairs.join(regs.withColumnsRenamed({"node": "a", "regs": "ra"}), "a")
             .join(regs.withColumnsRenamed({"node": "b", "regs": "rb"}), "b")
             .select("a", "b", "na", "nb", "ra", "rb"))
-    return both.mapInArrow(_possible_partition(threshold), "a long, b long").distinct()
+    return mapped(both, _possible_partition(threshold), "a long, b long").distinct()
 
 
 def links_apart(placed: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -300,14 +300,14 @@ def links_apart(placed: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, th
              .join(regs, "node")
              .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
                      "node", "n", "label", "side", "regs"))
-    suspects = staged(apart.repartition(*block).sortWithinPartitions(*block).mapInArrow(
-        _suspect_partition(threshold), "key long, i int, j int, node long, n long, label long, side int"), "near-suspects")
+    suspects = staged(mapped(
+        apart.repartition(*block).sortWithinPartitions(*block), _suspect_partition(threshold), "key long, i int, j int, node long, n long, label long, side int"), "near-suspects")
     ids = small(suspects.select(F.col("node").alias("doc_id")).distinct())
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
     told = (suspects.join(regs, "node").join(texts, "node")
             .select(*block, "node", "n", "label", "side", "regs", "text"))
-    return staged(told.repartition(*block).sortWithinPartitions(*block)
-                  .mapInArrow(_join_partition(k, threshold), "a long, b long").distinct(), "near-joins")
+    return staged(mapped(told.repartition(*block).sortWithinPartitions(*block), _join_partition(k, threshold), "a long, b long")
+                  .distinct(), "near-joins")
 
 
 def confirmed(likely: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -321,7 +321,7 @@ def confirmed(likely: DataFrame, docs: DataFrame, k: int, threshold: int) -> Dat
     sides = (likely.join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a")
              .join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b")
              .select("a", "b", "ta", "tb").sortWithinPartitions("b"))
-    return staged(sides.mapInArrow(_confirm_partition(k, threshold), "a long, b long").distinct(), "near-links")
+    return staged(mapped(sides, _confirm_partition(k, threshold), "a long, b long").distinct(), "near-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -354,7 +354,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
     smallest reachable over links of at least ``threshold`` per cent.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = staged(docs.mapInArrow(_sketch_partition(shingle_words),
+    sketches = staged(mapped(docs, _sketch_partition(shingle_words),
                                       "doc_id long, n long, set_key binary, regs binary"), "near-sketches")
     real = sketches.where("doc_id IS NOT NULL AND n > 0")
 
@@ -368,7 +368,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = TH
     nodes = (real.join(rows.where("doc_id = class_id").select("doc_id", "set_key").distinct(), ["doc_id", "set_key"], "left_semi")
              .select(F.col("doc_id").alias("node"), "n", "regs").dropDuplicates(["node", "regs"]))
     nodes = staged(nodes, "near-nodes")
-    bands = nodes.mapInArrow(_band_partition, "key long, node long, n long")
+    bands = mapped(nodes, _band_partition, "key long, node long, n long")
 
     # first round: every member of a band against the band's smallest node
     led = (bands.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.max("node").alias("top"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lading.llm import pieces
-from lading.llm.common import staged
+from lading.llm.common import mapped, staged
 from lading.llm.token_output import END_ID, SLICE_BYTES, default_tokenizer, ended_ids
 
 SIZE = 2048
@@ -156,10 +156,10 @@ def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end_id
     first of which may be shorter; no other document is cut.
     """
     run = _pack_partition(tokenizer or default_tokenizer(), end_id, size, open_bins)
-    once = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA), "packed", "zstd")
+    once = staged(mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, SCHEMA, keep="tokenizer"), "packed", "zstd")
     columns = ["doc_id", "piece", "start", "length", "ids"]
     rest = once.where("open").select(*columns)
     groups = -(-(rest.agg(F.sum("length")).first()[0] or 0) // REPACK_IDS) or 1
-    again = (rest.repartition(groups).sortWithinPartitions(F.desc("length"), *columns)
-             .mapInArrow(_repack_partition(size, open_bins), SCHEMA))
+    again = mapped(rest.repartition(groups).sortWithinPartitions(F.desc("length"), *columns),
+                   _repack_partition(size, open_bins), SCHEMA)
     return once.where("NOT open").union(again).drop("open")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lading import session
 from lading.llm import pieces, simple8b
-from lading.llm.common import small, spark_of, worker_state
+from lading.llm.common import mapped, small, spark_of, worker_state
 
 END_ID = 0
 PAGE_IDS = 131_072
@@ -107,7 +107,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                .repartitionByRange(F.col("doc_id").asc_nulls_first())
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()))
     run = _encode_partition(tokenizer or default_tokenizer(), end_id, page_ids)
-    ordered.mapInArrow(run, PAGE_SCHEMA).write.parquet(path)
+    mapped(ordered, run, PAGE_SCHEMA, keep="tokenizer").write.parquet(path)
 
 
 def _decode_pages(batches):
@@ -139,7 +139,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     shards = pages.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     offsets = shards.select(F.col("shard").alias("_shard"), F.coalesce(
         F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    docs = pages.mapInArrow(_decode_pages, "doc_id long, shard int, at long, n_tokens long, ids binary")
+    docs = mapped(pages, _decode_pages, "doc_id long, shard int, at long, n_tokens long, ids binary")
     return (docs.join(small(offsets), F.col("shard") == F.col("_shard"))
             .select("doc_id", (F.col("offset") + F.col("at")).alias("start"), "n_tokens", "ids"))
 
