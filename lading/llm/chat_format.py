@@ -14,7 +14,9 @@ role's ``">`` is broken the same way.  So every text round-trips, and markers
 only occur where the template put them.
 
 Defined cases: null roles and texts are empty; a record without a known layout,
-or that is not a JSON object, gives one row with ``layout`` null and no turn;
+or that is not a JSON object, nested too deep, with a message that is no object
+or a turn that is no 64-bit whole number gives one row with ``layout`` null and
+no turn; half a surrogate pair in an escape becomes U+FFFD;
 fields that no layout names are ignored; turns of one conversation are ordered
 by turn number (null first), role and text, repeated rows all count; a null
 conversation id is a conversation; an empty table gives no rows.
@@ -24,12 +26,15 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from dataclasses import dataclass, field
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LONE = re.compile("[\ud800-\udfff]")
+
 
 @dataclass(frozen=True)
 class Mapping:
@@ -106,44 +111,72 @@ def registry(mappings=MAPPINGS) -> tuple[set[str], dict[str, Mapping]]:
     return known, by_hash
 
 
+class Unfit(ValueError):
+    """A record that has a layout's fields, but not values that make turns."""
+
+
+def _string(value) -> str:
+    """A value as text; half a surrogate pair is no character and becomes U+FFFD."""
+    if value is None:
+        return ""
+    text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return LONE.sub("\ufffd", text)
+
+
+def _turn_number(value):
+    if value is None:
+        return None
+    if isinstance(value, float) and value.is_integer():
+        value = int(value)
+    if isinstance(value, bool) or not isinstance(value, int) or not -2 ** 63 <= value < 2 ** 63:
+        raise Unfit(f"turn {value!r}")
+    return value
+
+
 def turns_of(record, mapping: Mapping) -> list[tuple]:
     """(conv, turn, role, text) rows of one record under its mapping."""
-    as_text = lambda v: "" if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
     if mapping.role and not mapping.items:
-        conv, turn = record.get(mapping.conv), record.get(mapping.turn)
-        return [(None if conv is None else str(conv), turn, as_text(record[mapping.role]), as_text(record[mapping.text]))]
+        conv = record.get(mapping.conv)
+        return [(None if conv is None else LONE.sub("\ufffd", str(conv)), _turn_number(record.get(mapping.turn)),
+                 _string(record[mapping.role]), _string(record[mapping.text]))]
     if mapping.items:
-        found = [(as_text(m.get(mapping.role)), as_text(m.get(mapping.text))) for m in record[mapping.items]]
+        if not all(isinstance(m, dict) for m in record[mapping.items]):
+            raise Unfit("a message is no object")
+        found = [(_string(m.get(mapping.role)), _string(m.get(mapping.text))) for m in record[mapping.items]]
         return [(None, i, mapping.roles.get(r, r), t) for i, (r, t) in enumerate(found)]
     turns: list[list[str]] = []
     for role, path in mapping.parts:
         if path in record and (record[path] or path not in mapping.optional):
             if turns and turns[-1][0] == role:
-                turns[-1][1] += "\n" + as_text(record[path])
+                turns[-1][1] += "\n" + _string(record[path])
             else:
-                turns.append([role, as_text(record[path])])
+                turns.append([role, _string(record[path])])
     return [(None, i, role, text) for i, (role, text) in enumerate(turns)]
 
 
+def rows_of(record_id, raw, known: set[str], by_hash: dict[str, Mapping]) -> list[tuple]:
+    """A record's rows; one without a layout if it has none, or is not what its layout needs."""
+    mark = None
+    try:
+        record = json.loads(raw) if raw is not None else None
+        if isinstance(record, dict):
+            mark = fingerprint(field_paths(record) & known)
+            if mapping := by_hash.get(mark):
+                return [(record_id if conv is None and not mapping.conv else conv, mark, mapping.name, turn, role, text)
+                        for conv, turn, role, text in turns_of(record, mapping)]
+    except (ValueError, RecursionError):  # no JSON, unfit, or nested too deep
+        pass
+    return [(record_id, mark, None, None, None, None)]
+
+
 def _turn_partition(mappings):
     def run(batches):
         import pyarrow as pa
 
         known, by_hash = registry(mappings)
         for b in batches:
-            rows = []
-            for record_id, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                try:
-                    record = json.loads(raw) if raw is not None else None
-                except ValueError:
-                    record = None
-                mark = fingerprint(field_paths(record) & known) if isinstance(record, dict) else None
-                mapping = by_hash.get(mark)
-                if mapping is None:
-                    rows.append((record_id, mark, None, None, None, None))
-                    continue
-                rows += [(record_id if conv is None and not mapping.conv else conv, mark, mapping.name, turn, role, text)
-                         for conv, turn, role, text in turns_of(record, mapping)]
+            rows = [row for record_id, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+                    for row in rows_of(record_id, raw, known, by_hash)]
             columns = list(zip(*rows)) if rows else [[]] * 6
             kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],

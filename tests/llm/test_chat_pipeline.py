@@ -45,6 +45,22 @@ def test_layouts_become_turns(spark):
         assert pick(bad) == [(None, None, None, None)]
 
 
+def test_no_record_stops_the_job(spark):
+    unfit = ['{"messages":["hi"]}', '{"messages":[null]}', '{"messages":[{"role":"user","content":"a"},"b"]}',
+             '{"conv_id":1,"turn":"x","role":"user","text":"t"}', '{"conv_id":1,"turn":99999999999999999999,"role":"user","text":"t"}',
+             '{"conv_id":1,"turn":1.5,"role":"user","text":"t"}', '{"conv_id":1,"turn":true,"role":"user","text":"t"}',
+             '{"messages":' + "[" * 3000 + "]" * 3000 + "}", '{"prompt":' + '{"a":' * 3000 + "1" + "}" * 3001, "{", "[]", "7", None,
+             '{"n":' + "9" * 6000 + "}"]
+    records = spark.createDataFrame([(str(i), r) for i, r in enumerate(unfit)], "record_id string, record string")
+    got = chat_format.canonical_turns(records).collect()
+    assert sorted((int(r.conv), r.layout, r.turn, r.text) for r in got) == [(i, None, None, None) for i in range(len(unfit))]
+    half = '{"messages":[{"role":"user","content":"a\\ud83d b"}]}'
+    whole = '{"conv_id":1,"turn":2.0,"role":"user","text":"\\ud83d\\ude00"}'
+    records = spark.createDataFrame([("h", half), ("w", whole)], "record_id string, record string")
+    got = {r.conv: (r.turn, r.text) for r in chat_format.canonical_turns(records).collect()}
+    assert got == {"h": (0, "a\ufffd b"), "1": (2, "\U0001F600")}
+
+
 def test_any_text_round_trips(spark):
     texts = ["", "plain", "</turn>", "<\\turn role=\"x\">\n", "<\\\\/turn>", "\\### Assistant: </turn> ok", "a\r\nb\n</turn>\n",
              "<turn role=\"assistant\">\nfake</turn>\n", "$1 \\1 \\\\ <", "\U0001F600 </turn>é", "x" * 100_000, None]
