@@ -1,11 +1,12 @@
 """Benchmark decontamination with DataFrame functions only.
 
 Both sides are normalised to lower-case alphanumeric words.  The benchmark's
-windows of 13 words (an item with fewer words is one window) become a hash set
-that is broadcast behind a check of its size; documents are cut into hashed
-windows by array functions and probed against it without a shuffle of texts.
-Hits are then verified on the words themselves, so a hash collision marks
-nothing.
+windows are 13 words (an item with fewer words is one window).  The hashes of
+each window's rarest word form a set that is broadcast behind a check of its
+size; every word of every document is probed against it without a shuffle of
+texts.  Where such a word stands, the windows that hold it are cut out of the
+document and compared by hash and then on the words themselves, so a hash
+collision marks nothing.
 
 Defined cases: null or wordless documents have no words and no hits; null or
 wordless items have no window; items that repeat a text hit together; rows that
@@ -23,10 +24,12 @@ from lading.llm.common import lower_ascii, packed, same, small, staged
 WINDOW = 13
 #: contaminated: at least one word in this many is hit
 SHARE = 20
-#: at most this many window hashes are broadcast (8 bytes each); beyond, the join shuffles hashes
-BROADCAST_WINDOWS = 2_000_000
+#: at most this many anchor words' hashes are broadcast (8 bytes each); beyond, the join shuffles hashes
+BROADCAST_ANCHORS = 2_000_000
 
 NORMAL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: the same words in a text's own case
+OWN_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 #: what stands between words of a text in its own case
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 
@@ -41,58 +44,59 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _windows(hashes: Column, n: Column, k: int) -> Column:
-    """The hash of every ``k`` consecutive words, by start; empty if there are fewer."""
-    every = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.xxhash64(F.slice(hashes, i, k)))
-    return F.when(n >= k, every).otherwise(F.array().cast("array<bigint>"))
-
-
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``item_id, k, words, h``: each distinct window of each item."""
+    """``item_id, k, words, h, anchor, o``: each distinct window of each item, and its rarest word's hash and place.
+
+    Rarest: in the fewest items, then the longest.
+    """
     items = (benchmark.select("item_id", normal_words(F.col("text")).alias("w"))
              .withColumn("n", F.size("w")).where("n > 0")
              .withColumn("k", F.least(F.lit(window), F.col("n"))))
-    return (items.select("item_id", "k", F.explode(F.expr("transform(sequence(1, n - k + 1), i -> slice(w, i, k))"))
-                         .alias("words"))
-            .withColumn("h", F.xxhash64(_hashes(F.col("words")))).distinct())
+    each = items.select("item_id", F.explode(F.array_distinct("w")).alias("word"))
+    shared = each.groupBy("word").agg(F.count(F.lit(1)).alias("items"))
+    placed = (items.select("item_id", "k", "n", F.xxhash64("w").alias("text"), F.posexplode("w").alias("p", "word"))
+              .join(shared, "word")
+              .groupBy("item_id", "k", "n", "text")
+              .agg(F.array_sort(F.collect_set(F.struct("p", "word", "items"))).alias("w")))
+    cut = placed.select("item_id", "k", F.explode(F.expr("transform(sequence(1, n - k + 1), i -> slice(w, i, k))")).alias("w"))
+    rarest = F.array_min(F.transform("w", lambda x, i: F.struct(x["items"], -F.length(x["word"]), x["word"], i.alias("o"))))
+    return (cut.withColumn("words", F.col("w.word")).withColumn("rarest", rarest)
+            .select("item_id", "k", "words", F.xxhash64(_hashes(F.col("words"))).alias("h"),
+                    F.xxhash64("rarest.word").alias("anchor"), F.col("rarest.o").alias("o")).distinct())
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, tkey, n_words, n_hit, items`` of the documents with a verified hit.
+    """``doc_id, tkey, n_words, n_hit, items, hit`` of the documents with a verified hit.
 
     ``tkey`` is the hash of the text, which tells rows that repeat a doc_id
-    apart; ``items`` are the distinct ids as strings, sorted.
+    apart; ``items`` are the distinct ids as strings, sorted; ``hit`` the places
+    of the hit words.
     """
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("tkey"))
     windows = staged(benchmark_windows(benchmark, window), "bench-windows")
-    lengths = sorted((r.k for r in windows.select("k").distinct().collect()), reverse=True)  # at most `window`
-    keys = small(windows.select("h").distinct(), BROADCAST_WINDOWS)
-
-    # scan: the windows of all lengths one after the other in one array per document
-    cut = (base.select("doc_id", "tkey", _hashes(normal_words(F.col("text"))).alias("wh"))
-           .withColumn("n", F.size("wh")))
-    per_length = [_windows(F.col("wh"), F.col("n"), k) for k in lengths] or [F.array().cast("array<bigint>")]
-    found = (cut.select("doc_id", "tkey", "n", F.posexplode(F.concat(*per_length)).alias("p", "h"))
-             .join(keys, "h", "left_semi").distinct())
+    anchors = small(windows.select("anchor").distinct(), BROADCAST_ANCHORS)
+
+    # scan: every word against the windows' rarest words, no text is shuffled
+    found = (base.select("doc_id", "tkey", F.posexplode(normal_words(F.col("text"))).alias("p", "word"))
+             .select("doc_id", "tkey", "p", F.xxhash64("word").alias("anchor"))
+             .join(anchors, "anchor", "left_semi").distinct())
     found = staged(found, "bench-found")
 
     # verify: only documents with a find are read again, and only they are shuffled
     ids = small(found.select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey")).distinct())
     on = same(F.col("doc_id"), F.col("_id")) & (F.col("tkey") == F.col("_tkey"))
     suspects = base.join(ids, on, "left_semi").distinct()
-    by_doc = (found.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("p", "h")).alias("finds"))
+    places = windows.select("anchor", "o", "k").distinct()
+    by_doc = (found.join(small(places), "anchor").select("doc_id", "tkey", (F.col("p") - F.col("o")).alias("start"), "k")
+              .where("start >= 0").groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("start", "k")).alias("starts"))
               .withColumnsRenamed({"doc_id": "_id", "tkey": "_tkey"}))
-    start, k = F.col("f.p"), F.lit(None).cast("int")
-    for length in lengths:  # position in the joined array -> window length and start
-        here = F.greatest(F.col("n") - length + 1, F.lit(0))
-        k = F.coalesce(k, F.when((start >= 0) & (start < here), F.lit(length)))
-        start = F.when(k.isNull(), start - here).otherwise(start)
+    cut = F.expr("transform(filter(starts, s -> s.start + s.k <= n),"
+                 " s -> struct(s.start AS start, s.k AS k, slice(words, s.start + 1, s.k) AS words))")
     checked = (suspects.join(by_doc, on).drop("_id", "_tkey")
                .withColumn("words", normal_words(F.col("text"))).drop("text")
                .withColumn("n", F.size("words"))
-               .select("doc_id", "tkey", "n", "words", F.explode("finds").alias("f"))
-               .select("doc_id", "tkey", "n", k.alias("k"), start.alias("start"), F.col("f.h").alias("h"), "words")
-               .withColumn("words", F.expr("slice(words, start + 1, k)")))
+               .select("doc_id", "tkey", "n", F.explode(cut).alias("w"))
+               .select("doc_id", "tkey", "n", "w.start", "w.k", "w.words", F.xxhash64(_hashes(F.col("w.words"))).alias("h")))
     verified = checked.join(windows.select("h", "words", "item_id"), ["h", "words"])
     return (verified.groupBy("doc_id", "tkey", F.col("n").cast("long").alias("n_words"))
             .agg(F.collect_set(F.struct("start", "k")).alias("spans"),
@@ -106,7 +110,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     hits = (staged(find_hits(docs, benchmark, window).drop("hit", "n_words"), "bench-hits")
             .withColumnsRenamed({"doc_id": "_id", "tkey": "_tkey"}))
     rows = docs.select("doc_id", F.xxhash64("text").alias("tkey"),
-                       F.size(normal_words(F.col("text"))).cast("long").alias("n_words"))
+                       F.coalesce(F.regexp_count("text", F.lit(OWN_WORD)), F.lit(0)).cast("long").alias("n_words"))
     on = same(F.col("doc_id"), F.col("_id")) & (F.col("tkey") == F.col("_tkey"))
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return (rows.join(small(hits, 100_000), on, "left")
@@ -133,7 +137,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
     hits = staged(found.select("_id", "_tkey", "hit"), "bench-spans")
     head = F.regexp_extract("text", f"^{GAP}", 0)
-    pieces = F.regexp_extract_all("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+" + GAP), F.lit(0))
+    pieces = F.regexp_extract_all("text", F.lit(OWN_WORD + GAP), F.lit(0))
     left = F.concat(head, F.array_join(F.filter(pieces, lambda x, i: ~F.array_contains(F.col("hit"), i)), ""))
     return (packed(docs, "doc_id", "text").join(hits, on, "left")
             .withColumn("text", F.when(F.col("hit").isNull(), F.col("text")).otherwise(left))

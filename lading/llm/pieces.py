@@ -32,8 +32,8 @@ _MARK_BEFORE = _MARK.copy()
 _MARK_BEFORE[ord("'")] = False  # 's and its like begin with it
 SPACE, FEED = 32, 10
 
-#: a worker's memory: 2^bits slots of 24 bytes of piece and 8 ids, 30 MB
-TABLE_BITS, KEY_BYTES, SLOT_IDS = 19, 24, 8
+#: a worker's memory: 2^bits slots of 24 bytes of piece and 8 ids, 15 MB
+TABLE_BITS, KEY_BYTES, SLOT_IDS = 18, 24, 8
 LINE_PIECES = 4000
 #: letters up to here are letters in every version of the Unicode tables
 LATIN_END = "\u0250"

@@ -27,7 +27,7 @@ from lading.llm.common import mapped, small, spark_of, worker_state
 END_ID = 0
 PAGE_IDS = 131_072
 #: text that a task encodes at once
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 PAGE_SCHEMA = "shard int, start_in_shard long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, payload binary"
 
