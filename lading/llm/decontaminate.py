@@ -2,11 +2,11 @@
 
 Both sides are normalised to lower-case alphanumeric words.  The benchmark's
 windows are 13 words (an item with fewer words is one window).  The hashes of
-each window's rarest word form a set that is broadcast behind a check of its
-size; every word of every document is probed against it without a shuffle of
-texts.  Where such a word stands, the windows that hold it are cut out of the
-document and compared by hash and then on the words themselves, so a hash
-collision marks nothing.
+each window's rarest pair of neighbouring words form a set that is broadcast
+behind a check of its size; every pair of every document is probed against it
+without a shuffle of texts.  Where such a pair stands, the windows that hold it
+are cut out of the document and compared by hash and then on the words
+themselves, so a hash collision marks nothing.
 
 Defined cases: null or wordless documents have no words and no hits; null or
 wordless items have no window; items that repeat a text hit together; rows that
@@ -24,7 +24,7 @@ from lading.llm.common import lower_ascii, packed, same, small, staged
 WINDOW = 13
 #: contaminated: at least one word in this many is hit
 SHARE = 20
-#: at most this many anchor words' hashes are broadcast (8 bytes each); beyond, the join shuffles hashes
+#: at most this many anchors' hashes are broadcast (8 bytes each); beyond, the join shuffles hashes
 BROADCAST_ANCHORS = 2_000_000
 
 NORMAL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -44,25 +44,34 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def _pair(words: Column, w: Column, i: Column) -> Column:
+    """The hash of a word and the one after it; of the last word alone."""
+    return F.xxhash64(w, F.get(words, i + 1))
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``item_id, k, words, h, anchor, o``: each distinct window of each item, and its rarest word's hash and place.
+    """``item_id, k, words, h, anchor, o``: each distinct window of each item, its rarest pair's hash and place.
 
-    Rarest: in the fewest items, then the longest.
+    Rarest: in the fewest items, then the longest.  A window of one word has
+    that word as its pair.
     """
+    w = F.col("w")
     items = (benchmark.select("item_id", normal_words(F.col("text")).alias("w"))
              .withColumn("n", F.size("w")).where("n > 0")
              .withColumn("k", F.least(F.lit(window), F.col("n"))))
-    each = items.select("item_id", F.explode(F.array_distinct("w")).alias("word"))
-    shared = each.groupBy("word").agg(F.count(F.lit(1)).alias("items"))
-    placed = (items.select("item_id", "k", "n", F.xxhash64("w").alias("text"), F.posexplode("w").alias("p", "word"))
-              .join(shared, "word")
-              .groupBy("item_id", "k", "n", "text")
-              .agg(F.array_sort(F.collect_set(F.struct("p", "word", "items"))).alias("w")))
-    cut = placed.select("item_id", "k", F.explode(F.expr("transform(sequence(1, n - k + 1), i -> slice(w, i, k))")).alias("w"))
-    rarest = F.array_min(F.transform("w", lambda x, i: F.struct(x["items"], -F.length(x["word"]), x["word"], i.alias("o"))))
-    return (cut.withColumn("words", F.col("w.word")).withColumn("rarest", rarest)
-            .select("item_id", "k", "words", F.xxhash64(_hashes(F.col("words"))).alias("h"),
-                    F.xxhash64("rarest.word").alias("anchor"), F.col("rarest.o").alias("o")).distinct())
+    each = items.select("item_id", "k", "n", "w", F.xxhash64("w").alias("key"), F.posexplode(F.slice(
+        F.transform(w, lambda x, i: F.struct(_pair(w, x, i).alias("h"), F.length(F.concat_ws("", x, F.get(w, i + 1))).alias("len"))),
+        F.lit(1), F.greatest(F.col("n") - 1, F.lit(1)))).alias("p", "pair"))
+    shared = (each.select("item_id", F.col("pair.h").alias("_h")).distinct()
+              .groupBy("_h").agg(F.count(F.lit(1)).alias("items")))
+    placed = (each.join(shared, F.col("pair.h") == F.col("_h")).groupBy("item_id", "key")
+              .agg(F.first("k").alias("k"), F.first("n").alias("n"), F.first("w").alias("w"),
+                   F.array_sort(F.collect_set(F.struct("p", "items", -F.col("pair.len"), "_h"))).alias("pairs")))
+    cut = F.expr("transform(sequence(1, n - k + 1), i -> struct(slice(w, i, k) AS words, slice(pairs, i, greatest(k - 1, 1)) AS pairs))")
+    windows = placed.select("item_id", "k", F.inline(cut))
+    rarest = F.array_min(F.transform("pairs", lambda x, i: F.struct(x["items"], x["col3"], x["_h"].alias("anchor"), i.alias("o"))))
+    return (windows.withColumn("rarest", rarest)
+            .select("item_id", "k", "words", F.xxhash64(_hashes(F.col("words"))).alias("h"), "rarest.anchor", "rarest.o").distinct())
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -76,9 +85,14 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     windows = staged(benchmark_windows(benchmark, window), "bench-windows")
     anchors = small(windows.select("anchor").distinct(), BROADCAST_ANCHORS)
 
-    # scan: every word against the windows' rarest words, no text is shuffled
-    found = (base.select("doc_id", "tkey", F.posexplode(normal_words(F.col("text"))).alias("p", "word"))
-             .select("doc_id", "tkey", "p", F.xxhash64("word").alias("anchor"))
+    # scan: every pair of words against the windows' rarest pairs, no text is shuffled; single words if a window is one
+    words = F.col("words")
+    probes, step = F.transform(words, lambda w, i: _pair(words, w, i)), 1
+    if not windows.where("k = 1").isEmpty():
+        probes, step = F.flatten(F.transform(words, lambda w, i: F.array(_pair(words, w, i), F.xxhash64(w)))), 2
+    found = (base.select("doc_id", "tkey", normal_words(F.col("text")).alias("words"))
+             .select("doc_id", "tkey", F.posexplode(probes).alias("p", "anchor"))
+             .withColumn("p", F.floor(F.col("p") / step).cast("int"))
              .join(anchors, "anchor", "left_semi").distinct())
     found = staged(found, "bench-found")
 
