@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import session
 from ..sources import formats
@@ -101,6 +101,9 @@ def decrypt_files(spark, src_uri, dest_dir, key_file=None, key_id="default", alg
     return _transform(spark, src_uri, dest_dir, key_file, key_id, algorithm, False, ".enc", "", key)
 
 
+#: the column of encrypted rows
+PAYLOAD = "payload"
+
 #: rows of a part file that is encrypted whole, so parts stay far below the 2 GB of one value
 ROWS_PER_ENCRYPTED_FILE = 200_000
 
@@ -191,11 +194,11 @@ def read_encrypted(spark: SparkSession, path: str, file_type: str, key_file: str
 def write_encrypted_rows(df: DataFrame, path: str, key_file: str | None = None, key_id: str = "default",
                          algorithm: str | None = None, key: str | None = None,
                          mode: str = "errorifexists", partition_by=None) -> None:
-    """Deliver ``df`` as lines, each one row encrypted in the JVM; no plaintext is staged.
+    """Deliver ``df`` as a table of encrypted rows, encrypted in the JVM; no plaintext is staged.
 
-    Rows are serialised as JSON, encrypted and written as hex lines by the
-    parallel, splittable text writer.  Partition columns stay readable in the
-    folder names.
+    Rows are serialised as JSON, encrypted and written by the parallel,
+    splittable Parquet writer as one binary column.  Partition columns stay
+    readable in the folder names, where Spark has null for an empty string.
     """
     from .sink import _columns, check_mode
 
@@ -205,26 +208,38 @@ def write_encrypted_rows(df: DataFrame, path: str, key_file: str | None = None,
     if session.exists(spark, path) and mode == "ignore":
         return
     parts = _columns(partition_by)
+    if PAYLOAD in parts:
+        raise ValueError(f"{PAYLOAD!r} names the encrypted rows; it cannot be a partition column")
     row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in parts]),
                     {"ignoreNullFields": "false", "timestampNTZFormat": formats.TS_NTZ_FORMAT,
                      "timestampFormat": formats.TS_LTZ_FORMAT})
-    line = F.hex(F.aes_encrypt(row.cast("binary"), key_column(spark, key_file, key_id, key), F.lit(cipher), F.lit(padding)))
-    out = df.select(*parts, line.alias("value"))
+    payload = F.aes_encrypt(row.cast("binary"), key_column(spark, key_file, key_id, key), F.lit(cipher), F.lit(padding))
+    out = df.select(*[F.col(f"`{c}`") for c in parts], payload.alias(PAYLOAD))
     replace = mode == "overwrite" and session.exists(spark, path)
     parent, name = path.rstrip("/").rsplit("/", 1)
     target = f"{parent}/.{name}-{uuid.uuid4().hex}.incoming" if replace else path
     writer = out.write.mode("append")
-    (writer.partitionBy(*parts) if parts else writer).text(target)
+    (writer.partitionBy(*parts) if parts else writer).parquet(target)
     if replace:
         session.swap(spark, target, path)
 
 
 def read_encrypted_rows(spark: SparkSession, path: str, schema, key_file: str | None = None,
                         key_id: str = "default", algorithm: str | None = None, key: str | None = None) -> DataFrame:
-    """Read ``write_encrypted_rows`` back: a native scan, decrypted row by row in the JVM."""
+    """Read ``write_encrypted_rows`` back: a native scan, decrypted row by row in the JVM.
+
+    ``schema`` is that of the rows and gives partition columns their type too;
+    one that it does not name comes last, with the type its folders suggest.
+    """
     cipher, padding = mode_of(algorithm)
-    lines = spark.read.text(path)
-    plain = F.aes_decrypt(F.unhex("value"), key_column(spark, key_file, key_id, key), F.lit(cipher), F.lit(padding))
-    parsed = F.from_json(plain.cast("string"), schema)
-    return lines.select(parsed.alias("r"), *[F.col(f"`{c}`") for c in lines.columns if c != "value"]).select(
-        "r.*", *[F.col(f"`{c}`") for c in lines.columns if c != "value"])
+    declared = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    found = [f for f in spark.read.parquet(path).schema.fields if f.name != PAYLOAD]
+    by_name = {f.name: f for f in declared.fields}
+    parts = [T.StructField(f.name, by_name.get(f.name, f).dataType) for f in found]
+    stored = spark.read.schema(T.StructType([T.StructField(PAYLOAD, T.BinaryType()), *parts])).parquet(path)
+    plain = F.aes_decrypt(PAYLOAD, key_column(spark, key_file, key_id, key), F.lit(cipher), F.lit(padding))
+    in_folders = {f.name for f in parts}
+    inside = T.StructType([f for f in declared.fields if f.name not in in_folders])
+    rows = stored.select(F.from_json(plain.cast("string"), inside).alias("r"), *[F.col(f"`{f.name}`") for f in parts])
+    order = [F.col(f"`{f.name}`") if f.name in in_folders else F.col(f"r.`{f.name}`") for f in declared.fields]
+    return rows.select(*order, *[F.col(f"`{f.name}`") for f in parts if f.name not in by_name])

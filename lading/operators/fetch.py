@@ -14,6 +14,7 @@ than being recomputed by every action.
 from __future__ import annotations
 
 import base64
+import email.utils
 import functools
 import http.client
 import json
@@ -38,6 +39,8 @@ BODY_MODES = ("string", "bytes", "file")
 
 #: URL schemes a request table may use; ``file`` reads what executors can see, so it is opt-out by this list
 SCHEMES = ("http", "https", "file")
+#: no wait between two tries of a request is longer, whatever the endpoint asks
+RETRY_WAIT_MAX_S = 300.0
 
 
 def response_schema(id_type: T.DataType = T.LongType()) -> T.StructType:
@@ -187,9 +190,28 @@ def _refresh(auth: dict, send) -> dict | None:
                    "refresh_token": got.get("refresh_token") or token}
 
 
+def wait_before_retry(exc: Exception, attempts: int, base_s: float, growth: float, most_s: float) -> float:
+    """Seconds until the next try: ``base_s``, growing with each try, or what a ``Retry-After`` asks if that is longer.
+
+    A ``Retry-After`` is seconds or a date; no wait is longer than ``most_s``.
+    """
+    wait = base_s * growth ** (attempts - 1)
+    asked = exc.headers.get("Retry-After") if isinstance(exc, urllib.error.HTTPError) and exc.headers else None
+    if asked:
+        try:
+            wait = max(wait, float(asked))
+        except ValueError:
+            try:
+                wait = max(wait, email.utils.parsedate_to_datetime(asked).timestamp() - time.time())
+            except (TypeError, ValueError):  # no date either
+                pass
+    return max(0.0, min(wait, most_s))
+
+
 def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_TIMEOUT_MS,
                  read_timeout_ms=READ_TIMEOUT_MS, proxy_host=None, proxy_port=None,
-                 auth=None, retry_count=0, retry_frequency_s=1.0, opener=None, schemes=SCHEMES):
+                 auth=None, retry_count=0, retry_frequency_s=1.0, opener=None, schemes=SCHEMES,
+                 retry_growth=1.0, retry_wait_max_s=RETRY_WAIT_MAX_S):
     """Return ``fetch_one(url, method, headers, body, target=None) -> tuple`` (runs in a task).
 
     The tuple is (status, headers, text, bytes, error, attempts).  With
@@ -261,7 +283,7 @@ def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_
                         continue
                 if attempts > retry_count + renewed or not _retryable(exc):
                     break
-                time.sleep(retry_frequency_s)
+                time.sleep(wait_before_retry(exc, attempts, retry_frequency_s, retry_growth, retry_wait_max_s))
         if on_error == "fail":
             raise RuntimeError(f"fetch failed for {url}: {last!r}") from last
         status = last.code if isinstance(last, urllib.error.HTTPError) else None
@@ -292,7 +314,8 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                    parallelism: int | None = None, threads: int = 1,
                    chunk_rows: int = 64, opener=None, keep: tuple[str, ...] = (),
                    per_host: int | None = None, partitions: int | None = None,
-                   body_dir: str | None = None, suffix: str = "", schemes=SCHEMES) -> DataFrame:
+                   body_dir: str | None = None, suffix: str = "", schemes=SCHEMES,
+                   retry_growth: float = 1.0, retry_wait_max_s: float = RETRY_WAIT_MAX_S, log=None) -> DataFrame:
     """Fetch every request on the executors; one response row per request (lazy).
 
     Requests are dealt round-robin over ``partitions`` tasks (``parallelism``
@@ -305,12 +328,14 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     ``keep`` names request columns carried into the response rows as they are.
     ``body_mode="file"`` streams each body to ``body_dir/<request id><suffix>``
     and returns its path in ``body_text``; no body is held in memory.
+    ``log`` is called in the task with every batch of responses before any of
+    them is passed on.
     """
     if on_error not in ("row", "fail"):
         raise ValueError("on_error must be 'row' or 'fail'")
     spark = requests.sparkSession
     fetch_one = make_fetcher(body_mode, on_error, connect_timeout_ms, read_timeout_ms, proxy_host, proxy_port,
-                             auth, retry_count, retry_frequency_s, opener, schemes)
+                             auth, retry_count, retry_frequency_s, opener, schemes, retry_growth, retry_wait_max_s)
     base = response_schema(requests.schema["request_id"].dataType)
     schema = T.StructType(base.fields[:1] + [requests.schema[c] for c in keep] + base.fields[1:])
     if body_mode == "file":
@@ -318,6 +343,11 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
             raise ValueError("body_mode='file' needs body_dir")
         body_dir = session.qualify(spark, body_dir)
         objects._raise_on_repeats(requests, "request_id")
+        if not requests.where("request_id IS NULL").isEmpty():
+            # numbered once and written, so that a retried task finds the same names; no id's name begins with %n
+            where = f"{session.new_staging_dir(spark, 'requests')}/numbered"
+            requests = objects.materialise(requests.withColumn(
+                "_lading_file", F.when(F.col("request_id").isNull(), F.concat(F.lit("%null-"), F.monotonically_increasing_id()))), where)
 
     wanted = ["request_id", "url", "method", "headers", "body"]
     # a bare (request_id, url) table is a table of GETs
@@ -333,7 +363,8 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     rows = requests.select("request_id", *keep, F.col("url").alias("_url"), F.col("method").alias("_method"),
                            F.col("headers").alias("_headers"), F.col("body").alias("_body"),
                            F.col("request_id").cast("string").alias("_name") if body_mode == "file"
-                           else F.lit(None).cast("string").alias("_name"))
+                           else F.lit(None).cast("string").alias("_name"),
+                           (F.col("_lading_file") if "_lading_file" in requests.columns else F.lit(None).cast("string")).alias("_unnamed"))
 
     def run(batches):
         import pyarrow as pa
@@ -341,8 +372,8 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
         pool = ThreadPoolExecutor(threads) if threads > 1 else None
 
         def call(row):
-            url, method, headers, body, name = row
-            target = None if body_dir is None else f"{body_dir}/{objects.object_name(name)}{suffix}"
+            url, method, headers, body, name, unnamed = row
+            target = None if body_dir is None else f"{body_dir}/{unnamed or objects.object_name(name)}{suffix}"
             return fetch_one(url, method, dict(headers) if headers else None, body, target)
 
         kinds = (pa.int32(), pa.map_(pa.string(), pa.string()), pa.string(), pa.binary(), pa.string(), pa.int32())
@@ -360,7 +391,10 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                 # small output chunks keep at most chunk_rows bodies in memory
                 for start in range(0, b.num_rows, chunk_rows):
                     part = b.slice(start, chunk_rows)
-                    yield batch(part, [next(answers) for _ in range(part.num_rows)])
+                    answered = batch(part, [next(answers) for _ in range(part.num_rows)])
+                    if log:
+                        log(answered)
+                    yield answered
         finally:
             if pool:
                 pool.shutdown()

@@ -21,6 +21,8 @@ from ..operators.crypto import (encrypt_files, read_encrypted, read_encrypted_ro
                                 write_encrypted_rows)
 from ..operators.fetch import (build_requests, fetch_requests, fetch_to_staging,
                                responses_to_files, url_of)
+from ..operators.ledger import fetch_with_ledger
+from ..operators.segments import encrypt_segments, read_encrypted_segments
 from ..operators.sink import Writer, write_files
 from ..sources import formats
 from ..sources.files import Reader, load_remote, read_files
@@ -623,6 +625,24 @@ def rest_text(spark, sf_dir):
         F.count(F.lit(1)).alias("n"))
 
 
+@query("rest_null_ids", "SELECT md5(html) AS body_md5, count(*) AS n FROM pages GROUP BY ALL")
+def rest_null_ids(spark, sf_dir):
+    """Requests without an id: every body comes back, whatever else shares the null."""
+    requests = page_requests(spark, sf_dir).withColumn("request_id", F.when(F.col("request_id") % 3 == 0, F.col("request_id")))
+    bodies = read_rest(spark, requests, "txt", wholetext="true")
+    return bodies.groupBy(F.md5(F.col("value").cast("binary")).alias("body_md5")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("fetch_resume", "SELECT page_id, html, 1 AS attempts FROM pages")
+def fetch_resume(spark, sf_dir):
+    """Pages fetched through a ledger: a first run of every third page, then all, which sends only the rest."""
+    requests = page_requests(spark, sf_dir)
+    ledger = f"{_dir(spark, 'ledger')}/answers"
+    fetch_with_ledger(requests.where("request_id % 3 = 0"), ledger)
+    got = fetch_with_ledger(requests, ledger)
+    return got.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"), "attempts")
+
+
 # --- step 11: encrypted drops and deliveries -------------------------------------
 
 def _key_file(spark) -> str:
@@ -655,6 +675,28 @@ def sink_encrypt(spark, sf_dir):
     return read_encrypted_rows(spark, target, ddl(orders), key, algorithm="AES/GCM/NoPadding")
 
 
+@query("encrypt_partitioned", "SELECT *, lpad(CAST(o_custkey % 100 AS VARCHAR), 3, '0') AS k FROM orders")
+def encrypt_partitioned(spark, sf_dir):
+    """Encrypted rows by a text key with leading zeros: it comes back as the text it was, in its own column."""
+    orders = table(spark, sf_dir, "orders").withColumn("k", F.lpad((F.col("o_custkey") % 100).cast("string"), 3, "0"))
+    key = _key_file(spark)
+    target = f"{_dir(spark, 'orders-enc')}/orders"
+    write_encrypted_rows(orders, target, key, algorithm="AES/GCM/NoPadding", partition_by="k")
+    return read_encrypted_rows(spark, target, ddl(orders), key, algorithm="AES/GCM/NoPadding")
+
+
+@query("encrypt_segments", "SELECT * FROM documents")
+def encrypt_segments_query(spark, sf_dir):
+    """Json files as encrypted segments, decrypted and parsed segment by segment; nothing is staged in the clear."""
+    docs = table(spark, sf_dir, "documents")
+    key = _key_file(spark)
+    plain = f"{_dir(spark, 'documents-plain')}/documents"
+    write_files(docs, plain, "json")
+    target = f"{_dir(spark, 'documents-segments')}/documents"
+    encrypt_segments(spark, plain, target, key, segment_bytes=1 << 20, lines=True)
+    return read_encrypted_segments(spark, target, "json", docs.schema, key)
+
+
 @query("sink_encrypt_files", "SELECT * FROM orders")
 def sink_encrypt_files(spark, sf_dir):
     """Encrypted csv files for other parties (JCE default AES), read back through decryption."""

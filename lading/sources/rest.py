@@ -220,7 +220,11 @@ def request_table(spark: SparkSession, endpoints, options: dict) -> DataFrame:
     if isinstance(endpoints, DataFrame):
         if "request_id" in endpoints.columns:
             return endpoints
-        return endpoints.withColumn("request_id", F.sha1(F.col("url")))
+        sent = [c for c in ("method", "headers", "body") if c in endpoints.columns]
+        if not sent:
+            return endpoints.withColumn("request_id", F.sha1(F.col("url")))
+        whole = F.struct("url", *[F.map_entries(c).alias(c) if c == "headers" else F.col(c) for c in sent])
+        return endpoints.withColumn("request_id", F.sha1(F.to_json(whole)))
     urls = split_endpoints(endpoints) if isinstance(endpoints, str) else list(endpoints)
     rows = spark.createDataFrame([(i, with_host(u, options)) for i, u in enumerate(urls)], "request_id long, url string")
     if formats.get(options, "headers"):
