@@ -26,6 +26,7 @@ from ..operators.segments import encrypt_segments, read_encrypted_segments
 from ..operators.sink import Writer, write_files
 from ..sources import formats
 from ..sources.files import Reader, load_remote, read_files
+from ..sources.ranges import read_csv_ranges, read_xml_ranges
 from ..sources.rest import read_rest
 from ..streaming.drops import deliver_stream, stream_files
 from .tables import ddl, table
@@ -69,7 +70,10 @@ def priority_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
-query("scan_custom_schema", PRIORITY_COUNTS)(priority_counts)
+@query("scan_custom_schema", "SELECT * FROM orders")
+def scan_custom_schema(spark, sf_dir):
+    """A declared schema over csv: every declared type of every column comes back."""
+    return _round_trip(spark, sf_dir, "orders", "csv")
 
 
 @query("scan_csv", "SELECT * FROM lineitem")
@@ -643,6 +647,24 @@ def fetch_resume(spark, sf_dir):
     return got.select(F.col("request_id").alias("page_id"), F.col("body_text").alias("html"), "attempts")
 
 
+@query("scan_xml_ranges", "SELECT * FROM lineitem")
+def scan_xml_ranges(spark, sf_dir):
+    """One xml file of all rows, read by byte ranges that meet at records."""
+    items = table(spark, sf_dir, "lineitem")
+    one = f"{_dir(spark, 'lineitem-one')}/lineitem.xml"
+    write_files(items, one, "xml", single_file=True, rowTag="row", rootTag="rows")
+    return read_xml_ranges(spark, one, items.schema, "row", range_bytes=1 << 20)
+
+
+@query("scan_csv_ranges", "SELECT * FROM documents")
+def scan_csv_ranges(spark, sf_dir):
+    """One csv file whose quoted texts hold line feeds, read by byte ranges that meet at records."""
+    docs = table(spark, sf_dir, "documents")
+    one = f"{_dir(spark, 'documents-one')}/documents.csv"
+    write_files(docs, one, "csv", single_file=True, escape='"')
+    return read_csv_ranges(spark, one, docs.schema, range_bytes=1 << 18, escape='"')
+
+
 # --- step 11: encrypted drops and deliveries -------------------------------------
 
 def _key_file(spark) -> str:
