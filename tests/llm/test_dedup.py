@@ -179,6 +179,32 @@ def test_repeats_of_edited_copies(docs_of):
     assert covered(repeats.repeated_spans(docs_of(rows, 8))) == brute_repeats(rows)
 
 
+def test_repeats_of_grams_in_parts(docs_of, monkeypatch):
+    """Grams with many surroundings, sorted in several parts and cut into several batches."""
+    monkeypatch.setattr(repeats, "PART", 7)
+    monkeypatch.setattr(repeats, "ROWS", 50)
+    passage = prose(70, 77)
+    rows = edited_copies(4, 40) + [(1000 + i, f"{prose(20, i)} {passage} {prose(20, 5000 + i)}") for i in range(120)]
+    found = repeats.repeated_spans(docs_of(rows, 8))
+    assert covered(found) == brute_repeats(rows)
+    assert cuts(found) == brute_cuts(rows)
+
+
+def test_few_suffixes_are_retained():
+    w = repeats.word_hashes(prose(20_000, 9))
+    key, _, at, first, last = repeats.retained(w, repeats.GRAM, repeats.MIN_WORDS)
+    assert len(at) < len(w) / 10
+    assert list(first[1:]) == list(last[:-1] + 1) and (first[0], last[-1]) == (0, len(w) - repeats.MIN_WORDS)
+    assert ((first <= at) & (at + repeats.GRAM <= last + repeats.MIN_WORDS)).all()
+
+
+def test_unlike_texts_under_one_id(docs_of):
+    passage, other = prose(60, 1), prose(100, 2)
+    rows = [(1, f"a {passage} b"), (4, f"c {passage} d"), (4, other), (4, "short"), (None, other + " e"), (None, prose(80, 3))]
+    out = sorted((r.text for r in repeats.remove_repeats(docs_of(rows, 3)).collect()))
+    assert out == sorted([f"a {passage} b", "c d", "", "short", other + " e", prose(80, 3)])
+
+
 def test_remove_repeats_keeps_the_first(docs_of, odd):
     passage = prose(60, 1)
     docs = docs_of([(2, f"aa {passage} bb"), (1, f"cc {passage}\ndd"), (3, "ee " + passage)])
