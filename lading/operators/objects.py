@@ -275,6 +275,79 @@ def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
     return staged_names(spark, files, roots).repartition(n).mapInArrow(run, MANIFEST_SCHEMA)
 
 
+def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 << 20,
+               parallelism: int | None = None) -> int:
+    """Join the part files of ``folders``, in order, into the one new file ``target``; returns its length.
+
+    Each part's place is the sum of the lengths before it.  Where files can be
+    written at an offset (local and shared mounts) every range of ``range_bytes``
+    goes to its place in a task of its own, and a retried task writes the same
+    bytes there again.  Elsewhere one task streams the parts; it copies bytes and
+    encodes nothing.
+    """
+    from pyspark.sql import Window
+
+    target = session.qualify(spark, target)
+    parts = None
+    for i, folder in enumerate(folders):
+        found = listing(spark, folder).select(F.lit(i).alias("folder"), "path", "length")
+        parts = found if parts is None else parts.unionByName(found)
+    number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("long")
+    order = Window.orderBy("folder", "number", "path")  # one small row a part file
+    ranges = (parts.where("length > 0").withColumn("number", number)
+              .withColumn("begin", F.sum("length").over(order) - F.col("length"))
+              .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(range_bytes))))
+              .select("path", "at", F.least(F.lit(range_bytes), F.col("length") - F.col("at")).alias("n"),
+                      (F.col("begin") + F.col("at")).alias("to")))
+    ranges = materialise(ranges, session.new_staging_dir(spark, "join"))
+    total = ranges.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    at_offset = split_uri(target)[0] in ("", "file")
+
+    def bytes_of(path, at, n):
+        fs, where = arrow_location(path)
+        with fs.open_input_file(where) as src:
+            src.seek(at)
+            while n:
+                buf = src.read(min(CHUNK, n))
+                if not buf:
+                    raise EOFError(f"{path} is shorter than listed")
+                n -= len(buf)
+                yield buf
+
+    def place(batches):
+        import os
+
+        import pyarrow as pa
+
+        for b in batches:
+            for path, at, n, to in zip(*(c.to_pylist() for c in b.columns)):
+                fd = os.open(split_uri(target)[2], os.O_WRONLY | os.O_CREAT, 0o666)
+                with os.fdopen(fd, "wb") as out:
+                    out.seek(to)
+                    for chunk in bytes_of(path, at, n):
+                        out.write(chunk)
+            yield pa.RecordBatch.from_arrays([b.column(2)], names=["n"])
+
+    def stream(batches):
+        import pyarrow as pa
+
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        n = write_chunks(target, (chunk for path, at, n, _ in rows for chunk in bytes_of(path, at, n)))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    if at_offset:
+        session.mkdirs(spark, target.rsplit("/", 1)[0])
+        # one row a task where there are fewer ranges than that
+        n = min(parallelism or 4 * spark.sparkContext.defaultParallelism, max(1, ranges.count()))
+        written = ranges.repartition(n).mapInArrow(place, "n long")
+    else:
+        written = ranges.repartition(1).sortWithinPartitions("to").mapInArrow(stream, "n long")
+    done = written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if done != total:
+        raise RuntimeError(f"{done} of {total} bytes were joined into {target}")
+    return total
+
+
 def copy_files_via_spark(spark, files: DataFrame, roots: list[str], dest_dir: str,
                          sources: list[str] | None = None) -> DataFrame:
     """Copy listed files whose scheme only Hadoop reads: ``binaryFile`` content.

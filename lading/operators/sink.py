@@ -2,9 +2,10 @@
 
 The default write is parallel (one part file per task) straight into the
 target URI, honouring the save mode.  ``single_file=True`` delivers exactly
-one file at the target path, as the connector's upload contract requires; it
-is one writer task by nature, whatever the size, so it suits deliveries that a
-single file can hold.
+one file at the target path, as the connector's upload contract requires.  Types
+made of lines (csv, json, txt; plain, gzip or bzip2) are encoded by all tasks,
+and their parts joined byte by byte in the order of the partitions, the csv
+header once.  Xml, parquet and avro frame a file as a whole: one writer task.
 
 All writers share one contract for save modes.  Where a write replaces
 something itself (single files, staged and encrypted deliveries), the new data
@@ -21,6 +22,10 @@ from .. import session
 from ..sources import formats
 from . import objects
 
+#: file types and codecs whose files, one after the other, are a file
+JOINED_TYPES = ("csv", "json", "txt")
+JOINED_CODECS = ("none", "uncompressed", "gzip", "bzip2")
+
 SAVE_MODES = ("error", "errorifexists", "append", "overwrite", "ignore")
 
 
@@ -51,9 +56,9 @@ def write_files(df: DataFrame, path: str, file_type: str, mode: str = "errorifex
     Options as the connector names them: ``header`` (default true),
     ``delimiter`` (default ","), ``codec``/``compression`` for csv,
     ``rowTag``/``rootTag`` for xml; any other Spark writer option passes through.
-    ``keep_order`` makes a single file from ``df``'s partitions in their order
-    (``coalesce``) instead of through a shuffle that keeps the work above it
-    parallel.
+    ``keep_order`` makes a single file from ``df``'s partitions in their order.
+    Files joined of parts always keep it; of the other types it ``coalesce``s
+    instead of taking a shuffle that keeps the work above it parallel.
     """
     if not path:
         raise ValueError(formats.MSG_NO_PATH)
@@ -84,20 +89,50 @@ def _write_single(df, path, ft, mode, opts, keep_order) -> DataFrame:
     # one file means no per-file row cap
     opts = {k: v for k, v in opts.items() if k.lower() != "maxrecordsperfile"}
     opts["maxRecordsPerFile"] = "0"
-    one = df.coalesce(1) if keep_order else df.repartition(1)
     try:
-        formats.save_with(one.write.mode("overwrite").options(**opts), ft, tmp)
-        parts = session.data_files(spark, tmp)
-        if ft == "parquet":
-            parts = [p for p in parts if p.endswith(".parquet")]
-        if len(parts) != 1:
-            raise RuntimeError(f"expected one part file under {tmp}, found {len(parts)}")
-        session.swap(spark, parts[0], path)
+        if _joinable(ft, opts) and objects.streamable([session.qualify(spark, tmp)]):
+            one = _encode_and_join(df, tmp, ft, opts)
+        else:
+            one = _encode_in_one_task(df.coalesce(1) if keep_order else df.repartition(1), f"{tmp}/parts", ft, opts)
+        session.swap(spark, one, path)
     finally:
         session.delete(spark, tmp)
     return objects.LazyListing(spark, path)
 
 
+def _joinable(ft: str, opts: dict) -> bool:
+    """Whether files of this type and these options can be joined byte by byte."""
+    codec = (formats.get(opts, "compression") or formats.get(opts, "codec") or "none").lower()
+    encoding = (formats.get(opts, "encoding") or formats.get(opts, "charset") or "utf-8").lower()
+    return ft in JOINED_TYPES and codec in JOINED_CODECS and encoding in ("utf-8", "utf8")
+
+
+def _encode_and_join(df: DataFrame, tmp: str, ft: str, opts: dict) -> str:
+    spark = df.sparkSession
+    folders = [f"{tmp}/parts"]
+    header = ft == "csv" and formats.flag(opts, "header")
+    if header:  # Spark writes it alone when there are no rows
+        none = spark.createDataFrame([], df.schema).coalesce(1)
+        formats.save_with(none.write.options(**opts), ft, f"{tmp}/header")
+        folders.insert(0, f"{tmp}/header")
+        opts = {**{k: v for k, v in opts.items() if k.lower() != "header"}, "header": "false"}
+    formats.save_with(df.write.options(**opts), ft, f"{tmp}/parts")
+    if not objects.join_files(spark, folders, f"{tmp}/one"):  # no bytes at all: an empty part is the file
+        return session.data_files(spark, folders[-1])[0]
+    return f"{tmp}/one"
+
+
+def _encode_in_one_task(one: DataFrame, folder: str, ft: str, opts: dict) -> str:
+    spark = one.sparkSession
+    formats.save_with(one.write.mode("overwrite").options(**opts), ft, folder)
+    parts = session.data_files(spark, folder)
+    if ft == "parquet":
+        parts = [p for p in parts if p.endswith(".parquet")]
+    if len(parts) != 1:
+        raise RuntimeError(f"expected one part file under {folder}, found {len(parts)}")
+    return parts[0]
+
+
 def deliver(df: DataFrame, target: str, file_type: str, mode: str = "errorifexists",
             single_file: bool = False, staging_dir: str | None = None, partition_by=None,
             **options) -> DataFrame:

@@ -215,18 +215,14 @@ def sink_text(spark, sf_dir):
 
 # --- step 5: delivery contracts -------------------------------------------------
 
-@query("sink_single_file", """
-SELECT o_orderpriority, count(*) AS n, CAST(1 AS BIGINT) AS n_files
-FROM orders GROUP BY o_orderpriority""")
+@query("sink_single_file", "SELECT *, 'lineitem.csv' AS file FROM lineitem")
 def sink_single_file(spark, sf_dir):
-    """Exactly one delivered file: every row comes back from the same file."""
-    src = table(spark, sf_dir, "orders")
-    target = f"{_dir(spark, 'orders-single')}/orders.csv"
-    write_files(src, target, "csv", single_file=True)
+    """One delivered file, encoded by several tasks: every row comes back, all from the same file."""
+    src = table(spark, sf_dir, "lineitem")
+    target = f"{_dir(spark, 'lineitem-single')}/lineitem.csv"
+    write_files(src.repartition(8), target, "csv", single_file=True)
     back = read_files(spark, target, "csv", schema=ddl(src))
-    return (back.groupBy("o_orderpriority")
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.count_distinct(F.col("_metadata.file_path")).alias("n_files")))
+    return back.select("*", F.col("_metadata.file_name").alias("file"))
 
 
 @query("sink_csv_codec", "SELECT * FROM lineitem")

@@ -61,6 +61,50 @@ def test_single_file_delivery(spark, workdir):
     assert read_files(spark, target, "csv").count() == 3
 
 
+def _bytes(path):
+    with open(path, "rb") as f:
+        return f.read()
+
+
+@pytest.mark.parametrize("ft, options", [("csv", {}), ("csv", {"header": "false", "delimiter": "|"}), ("json", {})])
+def test_single_file_of_parts_equals_one_tasks_file(spark, workdir, ft, options):
+    from lading.operators import sink
+    from lading.sources import formats
+
+    src = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").repartition(13, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
+    write_files(src, f"{workdir}/many.{ft}", ft, single_file=True, keep_order=True, **options)
+    one = sink._encode_in_one_task(src.coalesce(1), f"{workdir}/one", ft, formats.write_options(ft, formats.normalise(options)))
+    assert _bytes(f"{workdir}/many.{ft}") == _bytes(one.removeprefix("file:"))
+    assert same_rows(src, read_files(spark, f"{workdir}/many.{ft}", ft, schema=ddl(src), **options))
+
+
+@pytest.mark.parametrize("codec", ["gzip", "bzip2", "none"])
+def test_single_file_of_compressed_parts(spark, workdir, codec):
+    src = spark.read.parquet(f"{SF_SMALL}/customer.parquet").repartition(5)
+    end = {"gzip": ".gz", "bzip2": ".bz2"}.get(codec, "")
+    write_files(src, f"{workdir}/c.csv{end}", "csv", single_file=True, codec=codec)
+    assert same_rows(src, read_files(spark, f"{workdir}/c.csv{end}", "csv", schema=ddl(src)))
+
+
+def test_parts_are_joined_in_ranges_by_several_tasks(spark, workdir):
+    from lading.operators import objects
+
+    src = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").repartition(3)
+    src.write.json(f"{workdir}/parts")
+    parts = session.data_files(spark, f"{workdir}/parts")
+    whole = b"".join(_bytes(p.removeprefix("file:")) for p in parts)
+    n = objects.join_files(spark, [f"{workdir}/parts"], f"{workdir}/all.json", range_bytes=10_007, parallelism=7)
+    assert n == len(whole) and _bytes(f"{workdir}/all.json") == whole
+
+
+def test_single_file_without_rows(spark, workdir):
+    none = spark.createDataFrame([], "n int, s string")
+    write_files(none, f"{workdir}/none.csv", "csv", single_file=True)
+    assert _bytes(f"{workdir}/none.csv") == b"n,s\n"
+    write_files(none, f"{workdir}/none.json", "json", single_file=True)
+    assert _bytes(f"{workdir}/none.json") == b""
+
+
 def test_single_file_takes_any_plan(spark, workdir):
     src = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     target = f"{workdir}/li.parquet"
