@@ -25,6 +25,7 @@ _EXPORTS = {
     "fetch_to_staging": "lading.operators.fetch",
     "build_requests": "lading.operators.fetch",
     "read_rest": "lading.sources.rest",
+    "post_rows": "lading.operators.post",
 }
 
 

@@ -180,6 +180,9 @@ class Writer:
     ``singleFile=true`` delivers one file, as the connector does;
     ``stage=true`` or a ``tempLocation``/``hdfsTempLocation``/``stagingLocation``
     writes there first and then copies the files to the target (``deliver``).
+    To an http or https URL json rows are posted in batches (``post_rows``):
+    ``batchRows``, ``batchBytes``, ``postFolder`` and the fetch options apply,
+    and the mode must be ``append``.
     """
 
     def __init__(self, df: DataFrame):
@@ -206,8 +209,11 @@ class Writer:
 
     def save(self, path=None) -> DataFrame:
         from ..sources.remote import resolve
+        from ..sources.rest import is_endpoint
 
         opts = formats.normalise(self._options)
+        if is_endpoint(path or formats.get(opts, "path")):
+            return self._post(path or formats.get(opts, "path"), opts)
         path = resolve(self._df.sparkSession, path or formats.get(opts, "path"), opts)
         ft = formats.get(opts, "fileType")
         single = formats.flag(opts, "singleFile")
@@ -233,3 +239,20 @@ class Writer:
                                         partition_by=partition_by, **rest)
         return self.manifest
 
+    def _post(self, url: str, opts: dict) -> DataFrame:
+        import json
+
+        from ..sources.rest import fetch_options
+        from .post import BATCH_BYTES, BATCH_ROWS, post_rows
+
+        if self._mode.lower() != "append":
+            raise ValueError("rows are added to an endpoint: use mode 'append'")
+        if formats.file_type(formats.get(opts, "fileType", "json")) != "json":
+            raise ValueError("endpoints take json rows")
+        headers = formats.get(opts, "headers")
+        how = {k: v for k, v in fetch_options(opts).items() if k != "on_error"}
+        self.manifest = post_rows(
+            self._df, url, formats.get(opts, "postFolder"), batch_rows=int(formats.get(opts, "batchRows", BATCH_ROWS)),
+            batch_bytes=int(formats.get(opts, "batchBytes", BATCH_BYTES)),
+            headers=json.loads(headers) if isinstance(headers, str) else headers, **how)
+        return self.manifest

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import session
 from ..functions.parse import parse_body, parse_token
@@ -22,6 +22,7 @@ from ..operators.crypto import (encrypt_files, read_encrypted, read_encrypted_ro
 from ..operators.fetch import (build_requests, fetch_requests, fetch_to_staging,
                                responses_to_files, url_of)
 from ..operators.ledger import fetch_with_ledger
+from ..operators.post import post_rows
 from ..operators.segments import encrypt_segments, read_encrypted_segments
 from ..operators.sink import Writer, write_files
 from ..sources import formats
@@ -497,6 +498,17 @@ def fetch_post(spark, sf_dir):
         "conv_id", "turn", "kind", F.col("told.method").alias("method"), F.col("told.body").alias("body"))
 
 
+@query("rest_write", "SELECT *, 'POST' AS method, 'application/json' AS sent_as FROM conversations")
+def rest_write(spark, sf_dir):
+    """Rows posted in batches of at most 100, as the endpoint was told them."""
+    conv = table(spark, sf_dir, "conversations")
+    told = (post_rows(conv, "http://echo/rows", batch_rows=100, opener=Echo)
+            .select(F.from_json("body_text", TOLD).alias("told")))
+    rows = told.select(F.explode(F.from_json("told.body", T.ArrayType(conv.schema))).alias("row"),
+                       F.col("told.method").alias("method"), F.col("told.headers")["content-type"].alias("sent_as"))
+    return rows.select("row.*", "method", "sent_as")
+
+
 @query("responses_all_kept", """
 SELECT page_id, kind, kind = 'present' AS saved, CASE WHEN kind = 'present' THEN html END AS html
 FROM pages, (VALUES ('present'), ('missing')) k(kind)""")

@@ -176,6 +176,8 @@ class Reader:
     """Option-builder mirroring ``spark.read.format(..).option(..).load(path)``.
 
     >>> df = Reader(spark).option("fileType", "csv").option("delimiter", ";").load(uri)
+
+    http and https URLs are endpoints: their bodies are fetched and scanned (``read_rest``).
     """
 
     def __init__(self, spark: SparkSession):
@@ -202,10 +204,14 @@ class Reader:
 
     def load(self, path=None) -> DataFrame:
         from .remote import resolve
+        from .rest import is_endpoint, read_rest
 
         path = path or formats.get(self._options, "path")
         opts = {k: v for k, v in self._options.items() if k.lower() != "path"}
-        path = resolve(self._spark, path, opts)
         ft = formats.get(opts, "fileType")
+        if is_endpoint(path):
+            opts = {k: v for k, v in opts.items() if k.lower() != "filetype"}
+            return read_rest(self._spark, path, ft, self._schema, **opts)
+        path = resolve(self._spark, path, opts)
         df, self.manifest = load_remote(self._spark, path, ft, self._schema, **opts)
         return df

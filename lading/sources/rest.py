@@ -1,9 +1,10 @@
 """REST endpoints as a Spark data source.
 
 ``spark.read.format("rest_endpoint").option(...).load("url1,url2")`` yields one
-response row per endpoint, fetched on the executors.  With ``fileType`` (json,
-csv or txt) and a schema it yields the rows of the bodies instead.  Its endpoint
-list is planned on the driver, so it suits tens to thousands of endpoints.
+response row per endpoint, fetched on the executors.  It parses no bodies: typed
+rows come from ``read_rest``, ``Reader`` or ``responses_to_rows``, through Spark's
+own readers.  Its endpoint list is planned on the driver, so it suits tens to
+thousands of endpoints.
 
 ``read_rest`` takes a list or a whole table of requests: every body is streamed
 to staging inside the task that asks for it, and the files are scanned by
@@ -47,6 +48,10 @@ def split_endpoints(raw: str) -> list[str]:
     return [u.strip() for u in re.split(r"\n|,(?=\s*[A-Za-z][A-Za-z0-9+.-]*:/)", raw) if u.strip()]
 
 
+def is_endpoint(path: str | None) -> bool:
+    return bool(path) and re.match(r"(?i)\s*https?://", path) is not None
+
+
 def with_host(url: str, options: dict) -> str:
     """A relative endpoint under the ``host`` option (``protocol``, default https, and ``port``)."""
     host = formats.get(options, "host")
@@ -88,9 +93,8 @@ class _Batch(InputPartition):
 
 
 class RestReader(DataSourceReader):
-    def __init__(self, options: dict, schema: T.StructType | None = None):
+    def __init__(self, options: dict):
         self.options = options
-        self.schema = schema
         self.wanted: set[str] | None = None
 
     def pushFilters(self, filters):
@@ -117,8 +121,7 @@ class RestReader(DataSourceReader):
     def read(self, partition):
         o = self.options
         headers = json.loads(o["headers"]) if "headers" in o else None
-        fetch_one = fetch_ops.make_fetcher(body_mode="string" if self.schema else o.get("bodymode", "string"),
-                                           **fetch_options(o))
+        fetch_one = fetch_ops.make_fetcher(body_mode=o.get("bodymode", "string"), **fetch_options(o))
         body = o.get("body")
         method = "POST" if body else "GET"
         threads = int(o.get("threads", 1))
@@ -128,47 +131,12 @@ class RestReader(DataSourceReader):
 
         pool = ThreadPoolExecutor(threads) if threads > 1 else None
         try:
-            for answer in fetch_ops.in_order(pool, one, partition.urls, 2 * threads):
-                if self.schema is None:
-                    yield answer
-                elif answer[5] is not None:
-                    raise RuntimeError(f"{answer[0]}: {answer[5]}")
-                else:
-                    yield from body_rows(answer[3], o, self.schema)
+            yield from fetch_ops.in_order(pool, one, partition.urls, 2 * threads)
         finally:
             if pool:
                 pool.shutdown()
 
 
-def body_rows(text: str, options: dict, schema: T.StructType):
-    """The rows of one body, for the data source; ``read_rest`` scans bodies with Spark's readers."""
-    import csv
-    import io
-
-    import pyarrow as pa
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    ft, arrow = formats.file_type(options["filetype"]), to_arrow_schema(schema)
-    if ft == "txt":
-        yield from ((line,) for line in text.removesuffix("\n").split("\n"))
-        return
-    if ft == "json":
-        try:
-            found = json.loads(text)
-            found = found if isinstance(found, list) else [found]
-        except ValueError:  # json lines
-            found = [json.loads(line) for line in text.splitlines() if line.strip()]
-        columns = [pa.array([r.get(f.name) for r in found], f.type) for f in arrow]
-    else:
-        rows = list(csv.reader(io.StringIO(text), delimiter=formats.get(options, "delimiter", formats.CONNECTOR_DEFAULTS["delimiter"]),
-                               quotechar=formats.get(options, "quote", '"')))
-        if formats.flag(options, "header", formats.CONNECTOR_DEFAULTS["header"]):
-            rows = rows[1:]
-        columns = [pa.array([r[i] if i < len(r) and r[i] != "" else None for r in rows], pa.string()).cast(f.type)
-                   for i, f in enumerate(arrow)]
-    yield from zip(*(c.to_pylist() for c in columns))
-
-
 class RestDataSource(DataSource):
     """Python data source: endpoints in, responses out (options are case-insensitive)."""
 
@@ -177,23 +145,16 @@ class RestDataSource(DataSource):
         return SOURCE_NAME
 
     def schema(self):
-        ft = formats.get(self.options, "fileType")
-        if ft is None:
-            return RESPONSE_SCHEMA
-        if formats.file_type(ft) == "txt":
-            return T.StructType([T.StructField("value", T.StringType())])
-        raise ValueError(f"{SOURCE_NAME} needs a schema to parse {ft} bodies; read_rest infers one")
+        if formats.get(self.options, "fileType") is not None:
+            raise ValueError(f"{SOURCE_NAME} returns responses; read_rest(spark, endpoints, fileType, schema) or "
+                             "Reader(spark).option('fileType', ..).load(endpoints) returns the rows of their bodies")
+        return RESPONSE_SCHEMA
 
     def reader(self, schema):
-        options = {k.lower(): v for k, v in self.options.items()}
-        ft = options.get("filetype")
-        if ft is None:
-            if schema is not None and schema != RESPONSE_SCHEMA:
-                raise ValueError(f"{SOURCE_NAME} without fileType returns response rows {RESPONSE_SCHEMA.simpleString()}")
-            return RestReader(options)
-        if formats.file_type(ft) not in ("json", "csv", "txt"):
-            raise ValueError(f"{SOURCE_NAME} parses json, csv and txt bodies; read_rest scans {ft}")
-        return RestReader(options, schema)
+        self.schema()
+        if schema is not None and schema != RESPONSE_SCHEMA:
+            raise ValueError(f"{SOURCE_NAME} returns response rows {RESPONSE_SCHEMA.simpleString()}")
+        return RestReader({k.lower(): v for k, v in self.options.items()})
 
 
 PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, same_rows
@@ -136,19 +137,151 @@ def test_endpoints_with_commas_and_hosts():
     assert with_host("http://o/x", {"host": "h"}) == "http://o/x"
 
 
-def test_data_source_parses_bodies(spark, workdir):
+def test_bodies_are_parsed(spark, workdir):
     write_bytes(f"{workdir}/arr.json", b'[{"id": 1, "s": "x"}, {"id": 2}]')
     write_bytes(f"{workdir}/l.json", b'{"id": 3}\n{"id": 4}\n')
     write_bytes(f"{workdir}/c.csv", b"a,b\n1,x\n,y\n")
     write_bytes(f"{workdir}/t.txt", b"a\n\nb\n")
-    register(spark)
-    load = lambda kind, schema, n: (spark.read.format(SOURCE_NAME).option("fileType", kind).schema(schema)
-                                    .load(f"file://{workdir}/{n}").collect())
+    load = lambda kind, schema, n: read_rest(spark, f"file://{workdir}/{n}", kind, schema).collect()
     assert [tuple(r) for r in load("application/json", "id int, s string", "arr.json")] == [(1, "x"), (2, None)]
     assert [r.id for r in load("json", "id long", "l.json")] == [3, 4]
     assert [tuple(r) for r in load("csv", "a int, b string", "c.csv")] == [(1, "x"), (None, "y")]
-    df = spark.read.format(SOURCE_NAME).option("fileType", "txt").load(f"file://{workdir}/t.txt")
-    assert [r.value for r in df.collect()] == ["a", "", "b"]
+    assert [r.value for r in load("txt", None, "t.txt")] == ["a", "", "b"]
+
+
+TYPED = "d date, t timestamp_ntz, n decimal(9,2), i int, s string"
+
+
+@pytest.mark.parametrize("name, kind, body, options", [
+    ("a.json", "json", '{"d":"2024-02-29","t":"2024-02-29T10:11:12.5","n":1.25,"i":7,"s":12}\n{"i":"x","s":"a\u2028b"}\n\n', {}),
+    ("b.json", "application/json", '[{"d":"2024-02-29","n":"3.50"},\n {"s":null}]', {}),
+    ("c.csv", "csv", "d,t,n,i,s\r\n2024-02-29,2024-02-29T10:11:12,1.25,7,x\r\nNA,NA,NA,NA,NA\r\n", {"nullValue": "NA"}),
+    ("d.csv", "csv", "", {}), ("e.json", "json", "", {}),
+])
+def test_bodies_read_like_files(spark, workdir, name, kind, body, options):
+    write_bytes(f"{workdir}/{name}", body.encode())
+    got = read_rest(spark, f"file://{workdir}/{name}", kind, TYPED, **options)
+    multi = {"multiLine": "true"} if kind == "application/json" else {}
+    want = read_files(spark, f"{workdir}/{name}", kind, TYPED, **multi, **options)
+    assert got.schema == want.schema
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert got.count() == (2 if body else 0)
+
+
+def test_the_data_source_names_what_parses(spark, workdir):
+    register(spark)
+    with pytest.raises(Exception, match="read_rest"):
+        spark.read.format(SOURCE_NAME).option("fileType", "json").schema("id int").load(f"file://{workdir}/x.json").collect()
+    with pytest.raises(Exception, match="read_rest"):
+        spark.read.format(SOURCE_NAME).option("fileType", "txt").load(f"file://{workdir}/x.txt")
+
+
+def test_builders_know_endpoints(spark, monkeypatch):
+    from lading import Reader, Writer
+    from lading.operators import post
+    from lading.sources import rest
+
+    seen = []
+    monkeypatch.setattr(rest, "read_rest", lambda spark, *a, **k: seen.append((a, k)))
+    Reader(spark).format("csv").option("delimiter", ";").option("token", "t").schema("a int").load("https://h/x,http://h/y")
+    assert seen.pop() == (("https://h/x,http://h/y", "csv", "a int"), {"delimiter": ";", "token": "t"})
+    monkeypatch.setattr(post, "post_rows", lambda df, *a, **k: seen.append((a, k)))
+    writer = Writer(spark.range(1)).option("batchRows", "7").option("token", "t").option("headers", '{"A": "b"}')
+    writer.mode("append").save("https://h/x")
+    args, how = seen.pop()
+    assert args[0] == "https://h/x" and how["batch_rows"] == 7 and how["headers"] == {"A": "b"} and how["auth"]["type"] == "bearer"
+    with pytest.raises(ValueError, match="append"):
+        writer.mode("overwrite").save("https://h/x")
+    with pytest.raises(ValueError, match="json"):
+        writer.mode("append").format("csv").save("https://h/x")
+
+
+def receiving(folder, poison=None, refused=None):
+    """An opener that keeps every body under its idempotency key; it kills its own worker once at a body with ``poison``."""
+    class Opener:
+        def open(self, req, timeout=None):
+            import email.message
+            import io
+            import os
+            import time
+            import urllib.error
+            import uuid
+
+            body = req.data.decode()
+            headers = {k.lower(): v for k, v in req.header_items()}
+            if poison and poison in body and not os.path.exists(f"{folder}/marker"):
+                with open(f"{folder}/marker", "w"):
+                    pass
+                time.sleep(1)
+                os.kill(os.getpid(), 9)
+            if refused and refused in body and not os.path.exists(f"{folder}/accept"):
+                raise urllib.error.HTTPError(req.full_url, 503, "busy", email.message.Message(), None)
+            with open(f"{folder}/{headers['idempotency-key']}-{uuid.uuid4().hex}", "w") as f:
+                f.write(body)
+            out = io.BytesIO(b"ok")
+            out.status, out.headers = 200, email.message.Message()
+            return out
+
+    return Opener()
+
+
+def received(folder):
+    """Rows received, and bodies a key."""
+    import collections
+    import json
+    import os
+
+    rows, keys = [], collections.Counter()
+    for name in os.listdir(folder):
+        if "-" in name:
+            with open(f"{folder}/{name}") as f:
+                rows += json.load(f)
+            keys[name.split("-")[0]] += 1
+    return sorted(r["id"] for r in rows), keys
+
+
+def test_a_retried_task_posts_nothing_twice(spark, workdir, tmp_path):
+    from lading import post_rows
+
+    rows = spark.range(0, 100, 1, 3).selectExpr("id", "concat('v', id, 'w') AS s")
+    try:  # a local session gives a task one try, so its loss loses the job
+        post_rows(rows, "http://h/in", f"{workdir}/sent", batch_rows=10, opener=receiving(str(tmp_path), "v57w"), partitions=2)
+    except Exception:
+        pass
+    before = received(str(tmp_path))[1]
+    got = post_rows(rows, "http://h/in", f"{workdir}/sent", batch_rows=10, opener=receiving(str(tmp_path)), partitions=2)
+    ids, keys = received(str(tmp_path))
+    assert before and set(keys.values()) == {1} and ids == list(range(100))
+    assert (got.count(), got.agg(F.sum("n_rows")).first()[0]) == (len(keys), 100)
+    post_rows(rows, "http://h/in", f"{workdir}/sent", batch_rows=10, opener=receiving(str(tmp_path)))
+    assert received(str(tmp_path))[1] == keys
+
+
+def test_refused_batches_raise_and_are_sent_again(spark, workdir, tmp_path):
+    from lading import post_rows
+
+    rows = spark.range(0, 40, 1, 2).selectExpr("id", "concat('v', id, 'w') AS s")
+    send = lambda **how: post_rows(rows, "http://h/in", f"{workdir}/sent", batch_rows=8,
+                                   opener=receiving(str(tmp_path), refused="v33w"), **how)
+    with pytest.raises(RuntimeError, match="1 batches"):
+        send()
+    assert send(on_failed="row").where("error IS NOT NULL").count() == 1
+    (tmp_path / "accept").write_text("")
+    assert send().where("error IS NULL").count() == 6
+    ids, keys = received(str(tmp_path))
+    assert ids == list(range(40)) and set(keys.values()) == {1}
+
+
+def test_batches_are_bounded_by_rows_and_bytes(spark, workdir, tmp_path):
+    from lading import post_rows
+
+    rows = spark.createDataFrame([(0, "x" * 50), (1, "y" * 5000), (2, "z"), (3, None), (3, None)], "id long, s string").coalesce(1)
+    got = post_rows(rows, "http://h/in", f"{workdir}/a", batch_rows=2, batch_bytes=1000, opener=receiving(str(tmp_path)))
+    assert sorted((r.request_id, r.n_rows) for r in got.collect()) == [("0-0", 1), ("0-1", 1), ("0-2", 2), ("0-3", 1)]
+    assert received(str(tmp_path))[0] == [0, 1, 2, 3, 3]
+    assert post_rows(rows.limit(0), "http://h/in", f"{workdir}/b", opener=receiving(str(tmp_path))).count() == 0
+    with pytest.raises(ValueError, match="form"):
+        post_rows(rows, "http://h/in", form="xml")
 
 
 def test_copy_latest_has_no_meaning_for_streams(spark, workdir):
