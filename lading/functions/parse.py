@@ -60,3 +60,44 @@ def parse_token(body: Column | str) -> Column:
     Non-string JSON values (``"expires_in": 3600``) come back as their text.
     """
     return json_body(body, TOKEN_SCHEMA)
+
+
+_BROKEN = "_broken_xml_"
+
+
+def parse_unlike(df: DataFrame, body_col: str = "body_text", xml_schema=None, alias: str = "parsed", **options) -> DataFrame:
+    """Add ``alias``, a VARIANT of each body whatever its layout, and ``<alias>_kind``.
+
+    The kind is ``json`` (one whole value), ``xml`` (a body that begins with ``<``; a record of
+    ``xml_schema``, declared, with Spark's XML options), ``empty`` (null or
+    blank) or ``malformed``.  No row is lost and no body stops the job: empty and
+    malformed ones, and xml without a schema, have a null VARIANT and keep their
+    text.  Fields are taken with ``try_variant_get(parsed, path, type)``.
+    """
+    body = F.col(f"`{body_col}`").cast("string")
+    json_value, like_xml = F.try_parse_json(body), F.ltrim(body).startswith("<")
+    # the parser stops behind the first value: a body that goes on fits in neither an array nor an object
+    json_is_whole = (json_value.isNotNull() & F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))).isNotNull()
+                     & F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}"))).isNotNull())
+    xml_value, xml_is_whole = F.lit(None).cast("variant"), F.lit(xml_schema is None)
+    if xml_schema is not None:
+        fields = T.StructType.fromDDL(xml_schema) if isinstance(xml_schema, str) else xml_schema
+        with_broken = T.StructType([*fields.fields, T.StructField(_BROKEN, T.StringType())])
+        # a body of another kind never reaches the xml parser
+        record = F.from_xml(F.when(like_xml, body), with_broken,
+                            {**{k: str(v) for k, v in options.items()}, "columnNameOfCorruptRecord": _BROKEN})
+        xml_is_whole = record[_BROKEN].isNull()
+        xml_value = F.to_variant_object(F.struct(*[record[f.name].alias(f.name) for f in fields]))
+    kind = (F.when(body.isNull() | (F.trim(body) == ""), "empty").when(like_xml & xml_is_whole, "xml")
+            .when(json_is_whole, "json").otherwise("malformed"))
+    return (df.withColumn(f"{alias}_kind", kind)
+            .withColumn(alias, F.when(F.col(f"{alias}_kind") == "json", json_value)
+                        .when(F.col(f"{alias}_kind") == "xml", xml_value)))
+
+
+def unlike_schema(df: DataFrame, alias: str = "parsed") -> str:
+    """The one schema (DDL) that holds every VARIANT of a column; one aggregate, merged map-side.
+
+    Fields that differ in type are VARIANT there; ``void`` if there is no value.
+    """
+    return df.select(F.schema_of_variant_agg(alias).alias("s")).first().s or "VOID"

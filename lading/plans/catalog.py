@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import session
-from ..functions.parse import parse_body, parse_token
+from ..functions.parse import parse_body, parse_token, parse_unlike
 from ..operators import objects
 from ..operators.crypto import (encrypt_files, read_encrypted, read_encrypted_rows, write_encrypted,
                                 write_encrypted_rows)
@@ -559,6 +559,25 @@ def parse_json_infer(spark, sf_dir):
     return parsed.select("event_id", F.col("parsed.k").alias("k"))
 
 
+@query("parse_unlike", """
+SELECT event_id, CASE event_id % 6 WHEN 3 THEN 'malformed' WHEN 4 THEN 'xml' WHEN 5 THEN 'malformed' ELSE 'json' END AS kind,
+       CASE WHEN event_id % 6 IN (0, 1, 4) THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE event_id % 6 WHEN 3 THEN substr(props, 1, 4) WHEN 5 THEN '<r><k>' || event_type || '</r>' END AS broken
+FROM events""")
+def parse_unlike_query(spark, sf_dir):
+    """Objects, arrays, texts, xml, and broken ones of either, in one column: all rows come back, broken ones with their text."""
+    k = F.get_json_object("props", "$.k")
+    bodies = table(spark, sf_dir, "events").select("event_id", F.expr("event_id % 6").alias("m"), "props", "event_type", k.alias("k")).select(
+        "event_id", F.when(F.col("m") == 0, F.col("props")).when(F.col("m") == 1, F.concat(F.lit("["), "props", F.lit("]")))
+        .when(F.col("m") == 2, F.to_json(F.array("event_type"))).when(F.col("m") == 3, F.substring("props", 1, 4))
+        .when(F.col("m") == 4, F.concat(F.lit("<r><k>"), "k", F.lit("</k></r>")))
+        .otherwise(F.concat(F.lit("<r><k>"), "event_type", F.lit("</r>"))).alias("body"))
+    parsed = parse_unlike(bodies, "body", "k long")
+    return parsed.select("event_id", F.col("parsed_kind").alias("kind"),
+                         F.coalesce(F.try_variant_get("parsed", "$.k", "bigint"), F.try_variant_get("parsed", "$[0].k", "bigint")).alias("k"),
+                         F.when(F.col("parsed_kind") == "malformed", F.col("body")).alias("broken"))
+
+
 @query("parse_token", """
 SELECT c_custkey, c_name AS access_token, c_mktsegment AS token_type,
        CAST(c_nationkey AS VARCHAR) AS expires_in, CAST(c_custkey AS VARCHAR) AS refresh_token

@@ -106,3 +106,21 @@ def test_single_file_encrypted_delivery(spark, workdir):
     back = (Reader(spark).option("fileType", "csv").option("cryptoKey", KEY)
             .schema(ddl(src)).load(target))
     assert same_rows(src, back)
+
+
+def test_unlike_bodies(spark):
+    from lading.functions.parse import parse_unlike, unlike_schema
+
+    bodies = ['{"k":1}', '[{"k":2}]', '"x"', '{"k": ', "<r><k>5</k></r>", " <r><k>5</r>", "", "  ", None, "null",
+              '<?xml version="1.0"?>\n<r a="1"><k>7</k><b>u</b></r>', "hello", '{"k":"one","b":null}', '{"k":1}{"k":2}', "1,2", "1]", "1}", '1,"a":2', ' {"k":1}\n ']
+    df = spark.createDataFrame(list(enumerate(bodies)), "id int, `the body` string")
+    kinds = ["json", "json", "json", "malformed", "xml", "malformed", "empty", "empty", "empty", "json", "xml", "malformed", "json", *["malformed"] * 5, "json"]
+    got = parse_unlike(df, "the body", "k long, b string")
+    rows = sorted(got.select("id", "parsed_kind", F.to_json("parsed").alias("v"), "the body").collect())
+    assert [r.parsed_kind for r in rows] == kinds and [r["the body"] for r in rows] == bodies
+    assert [r.v for r in rows if r.parsed_kind == "xml"] == ['{"b":null,"k":5}', '{"b":"u","k":7}']
+    assert all((r.v is None) == (r.parsed_kind in ("empty", "malformed")) for r in rows)
+    assert unlike_schema(got.where("id IN (0, 4)")).startswith("OBJECT<")
+    assert unlike_schema(got) == "VARIANT" and unlike_schema(got.limit(0)) == "VOID"
+    without = parse_unlike(df, "the body")
+    assert {r.id for r in without.where("parsed_kind = 'xml' AND parsed IS NULL").collect()} == {4, 5, 10}
