@@ -1,9 +1,12 @@
 import hashlib
 import json
+import zlib
 
+import numpy as np
 from corpus_fixtures import DOCS, prose  # noqa: F401
 from test_decontaminate import brute
 from test_dedup import brute_components
+from test_language_mixing_tokens import library_ids
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -127,6 +130,9 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     order = sorted(got, key=lambda r: r.start)
     assert [r.doc_id for r in order] == sorted(r.doc_id for r in got)
     assert all(a.start + a.n_tokens == b.start for a, b in zip(order, order[1:]))
+    for r in got:
+        ids = np.array(library_ids(texts[r.doc_id]), "<u4")
+        assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
 
 
 def test_stages_take_an_empty_table(spark, tmp_path):
