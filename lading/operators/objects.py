@@ -276,14 +276,14 @@ def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
 
 
 def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 << 20,
-               parallelism: int | None = None) -> int:
+               parallelism: int | None = None, at_offset: bool | None = None) -> int:
     """Join the part files of ``folders``, in order, into the one new file ``target``; returns its length.
 
     Each part's place is the sum of the lengths before it.  Where files can be
     written at an offset (local and shared mounts) every range of ``range_bytes``
     goes to its place in a task of its own, and a retried task writes the same
-    bytes there again.  Elsewhere one task streams the parts; it copies bytes and
-    encodes nothing.
+    bytes there again.  Elsewhere, or with ``at_offset=False``, one task streams the
+    parts; it copies bytes and encodes nothing.
     """
     from pyspark.sql import Window
 
@@ -301,7 +301,7 @@ def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 <<
                       (F.col("begin") + F.col("at")).alias("to")))
     ranges = materialise(ranges, session.new_staging_dir(spark, "join"))
     total = ranges.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    at_offset = split_uri(target)[0] in ("", "file")
+    at_offset = split_uri(target)[0] in ("", "file") if at_offset is None else at_offset
 
     def bytes_of(path, at, n):
         fs, where = arrow_location(path)

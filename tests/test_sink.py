@@ -95,6 +95,8 @@ def test_parts_are_joined_in_ranges_by_several_tasks(spark, workdir):
     whole = b"".join(_bytes(p.removeprefix("file:")) for p in parts)
     n = objects.join_files(spark, [f"{workdir}/parts"], f"{workdir}/all.json", range_bytes=10_007, parallelism=7)
     assert n == len(whole) and _bytes(f"{workdir}/all.json") == whole
+    objects.join_files(spark, [f"{workdir}/parts"], f"{workdir}/streamed.json", range_bytes=10_007, at_offset=False)
+    assert _bytes(f"{workdir}/streamed.json") == whole
 
 
 def test_single_file_without_rows(spark, workdir):
