@@ -26,7 +26,7 @@ import urllib.request
 from collections import deque
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import session
 from . import objects
@@ -208,11 +208,28 @@ def wait_before_retry(exc: Exception, attempts: int, base_s: float, growth: floa
     return max(0.0, min(wait, most_s))
 
 
+class Pace:
+    """Turns to send: those of one key (a host's share) lie at least ``1 / rate`` seconds apart, over all threads of a task."""
+
+    def __init__(self, rate: float):
+        import threading
+
+        self.gap, self.next, self.lock = 1.0 / rate, {}, threading.Lock()
+
+    def wait(self, key) -> None:
+        with self.lock:
+            now = time.monotonic()
+            turn = max(now, self.next.get(key, now))
+            self.next[key] = turn + self.gap
+        if turn > now:
+            time.sleep(turn - now)
+
+
 def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_TIMEOUT_MS,
                  read_timeout_ms=READ_TIMEOUT_MS, proxy_host=None, proxy_port=None,
                  auth=None, retry_count=0, retry_frequency_s=1.0, opener=None, schemes=SCHEMES,
                  retry_growth=1.0, retry_wait_max_s=RETRY_WAIT_MAX_S):
-    """Return ``fetch_one(url, method, headers, body, target=None) -> tuple`` (runs in a task).
+    """Return ``fetch_one(url, method, headers, body, target=None, turn=None) -> tuple`` (runs in a task).
 
     The tuple is (status, headers, text, bytes, error, attempts).  With
     ``body_mode="file"`` the body is streamed to ``target`` in chunks and the
@@ -220,6 +237,7 @@ def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_
     gets a new token once an answer is 401, for this and later requests.
     ``opener`` replaces urllib's: an object with ``open(request, timeout=..)``,
     or a class made with (proxy host, proxy port, read timeout in ms).
+    ``turn`` is called before every try, the retries too.
     """
     mode = (body_mode or "").lower()
     # connect timeout per request; the opener applies the read timeout after connecting
@@ -227,7 +245,7 @@ def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_
     state = {"auth": dict(auth) if auth else None}
     _auth_header(auth)  # an unknown type fails here, on the driver
 
-    def fetch_one(url, method, headers, body, target=None):
+    def fetch_one(url, method, headers, body, target=None, turn=None):
         if "opener" not in state:
             make = build_opener if opener is None else opener if isinstance(opener, type) else None
             state["opener"] = make(proxy_host, proxy_port, read_timeout_ms) if make else opener
@@ -241,6 +259,8 @@ def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_
         attempts, renewed, last = 0, False, None
         while attempts <= retry_count + renewed:
             attempts += 1
+            if turn is not None:
+                turn()
             hdrs = dict(headers or {})
             used = state["auth"]
             value = _auth_header(used)
@@ -315,7 +335,8 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                    chunk_rows: int = 64, opener=None, keep: tuple[str, ...] = (),
                    per_host: int | None = None, partitions: int | None = None,
                    body_dir: str | None = None, suffix: str = "", schemes=SCHEMES,
-                   retry_growth: float = 1.0, retry_wait_max_s: float = RETRY_WAIT_MAX_S, log=None) -> DataFrame:
+                   retry_growth: float = 1.0, retry_wait_max_s: float = RETRY_WAIT_MAX_S, log=None,
+                   rate_per_host: float | None = None) -> DataFrame:
     """Fetch every request on the executors; one response row per request (lazy).
 
     Requests are dealt round-robin over ``partitions`` tasks (``parallelism``
@@ -325,6 +346,11 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     in 0..k-1) instead: at most ``k`` tasks hold any one host's requests, so no
     host sees more than ``k * threads`` concurrent requests, and a host holding
     most of the requests is still split ``k`` ways.
+    ``rate_per_host=r`` sends any host at most ``r`` requests a second, retries
+    counted, all tasks together: each of its ``per_host`` shares (default 1) is in
+    one task and goes at ``r / per_host``, and hosts that share a task take turns.
+    It waits only before sending, so a task that starts late never catches up in
+    a burst; a lost task's share starts anew at its own pace.
     ``keep`` names request columns carried into the response rows as they are.
     ``body_mode="file"`` streams each body to ``body_dir/<request id><suffix>``
     and returns its path in ``body_text``; no body is held in memory.
@@ -333,6 +359,10 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     """
     if on_error not in ("row", "fail"):
         raise ValueError("on_error must be 'row' or 'fail'")
+    if rate_per_host is not None:
+        if rate_per_host <= 0:
+            raise ValueError("rate_per_host must be above 0")
+        per_host = per_host or 1
     spark = requests.sparkSession
     fetch_one = make_fetcher(body_mode, on_error, connect_timeout_ms, read_timeout_ms, proxy_host, proxy_port,
                              auth, retry_count, retry_frequency_s, opener, schemes, retry_growth, retry_wait_max_s)
@@ -364,17 +394,20 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                            F.col("headers").alias("_headers"), F.col("body").alias("_body"),
                            F.col("request_id").cast("string").alias("_name") if body_mode == "file"
                            else F.lit(None).cast("string").alias("_name"),
-                           (F.col("_lading_file") if "_lading_file" in requests.columns else F.lit(None).cast("string")).alias("_unnamed"))
+                           (F.col("_lading_file") if "_lading_file" in requests.columns else F.lit(None).cast("string")).alias("_unnamed"),
+                           F.lit(None).cast("string").alias("_share"))
 
     def run(batches):
         import pyarrow as pa
 
         pool = ThreadPoolExecutor(threads) if threads > 1 else None
+        pace = Pace(rate_per_host / per_host) if rate_per_host else None
 
         def call(row):
-            url, method, headers, body, name, unnamed = row
+            url, method, headers, body, name, unnamed, share = row
             target = None if body_dir is None else f"{body_dir}/{unnamed or objects.object_name(name)}{suffix}"
-            return fetch_one(url, method, dict(headers) if headers else None, body, target)
+            turn = None if pace is None else functools.partial(pace.wait, share)
+            return fetch_one(url, method, dict(headers) if headers else None, body, target, turn)
 
         kinds = (pa.int32(), pa.map_(pa.string(), pa.string()), pa.string(), pa.binary(), pa.string(), pa.int32())
 
@@ -403,7 +436,14 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     if per_host:
         host = F.lower(F.regexp_extract("_url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
         salt = F.pmod(F.xxhash64(F.col("request_id").cast("string"), "_url"), F.lit(per_host))
-        rows = rows.repartition(n, host, salt)
+        if rate_per_host:
+            # every share whole in one task, its requests numbered there; by number, so that hosts take turns
+            share = F.concat_ws(" ", salt.cast("string"), host)
+            rows = (rows.withColumn("_share", share).repartition(n, "_share")
+                    .withColumn("_rank", F.row_number().over(Window.partitionBy("_share").orderBy("request_id", "_url")))
+                    .sortWithinPartitions("_rank").drop("_rank"))
+        else:
+            rows = rows.repartition(n, host, salt)
     else:
         # round-robin: even request counts per task whatever the ids look like
         # (deterministic on retry: Spark sorts rows locally before a round-robin split)

@@ -250,8 +250,8 @@ def staged_names(spark, files: DataFrame, roots) -> DataFrame:
 
 
 def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
-               parallelism: int | None = None) -> DataFrame:
-    """Copy every listed file below ``dest_dir``, keeping its path relative to its root."""
+               parallelism: int | None = None, name=None) -> DataFrame:
+    """Copy every listed file below ``dest_dir``, keeping its path relative to its root (``name`` of it, if given)."""
     spark = files.sparkSession
     dest = session.qualify(spark, dest_dir)
     n = parallelism or spark.sparkContext.defaultParallelism
@@ -272,7 +272,10 @@ def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
                  pa.array(errs, pa.string())], names=[f.name for f in MANIFEST_SCHEMA.fields])
 
     # round-robin over small metadata rows: even file counts per task
-    return staged_names(spark, files, roots).repartition(n).mapInArrow(run, MANIFEST_SCHEMA)
+    named = staged_names(spark, files, roots)
+    if name is not None:
+        named = named.withColumn("rel", name(F.col("rel")))
+    return named.repartition(n).mapInArrow(run, MANIFEST_SCHEMA)
 
 
 def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 << 20,

@@ -25,6 +25,7 @@ from ..operators.ledger import fetch_with_ledger
 from ..operators.post import post_rows
 from ..operators.segments import encrypt_segments, read_encrypted_segments
 from ..operators.sink import Writer, write_files
+from ..operators.snapshots import copy_ranges, read_snapshot, stage_snapshot
 from ..sources import formats
 from ..sources.files import Reader, load_remote, read_files
 from ..sources.ranges import read_csv_ranges, read_xml_ranges
@@ -354,6 +355,35 @@ def stage_two_roots(spark, sf_dir):
     return df
 
 
+@query("stage_ranges", "SELECT * FROM lineitem")
+def stage_ranges(spark, sf_dir):
+    """One delivered file copied by many tasks, range by range, then scanned."""
+    src = table(spark, sf_dir, "lineitem")
+    base = _dir(spark, "one-file")
+    write_files(src, f"{base}/drop/lineitem.csv", "csv", single_file=True)
+    files = objects.listing(spark, f"{base}/drop")
+    manifest = copy_ranges(files, [f"{base}/drop"], f"{base}/copy", f"{base}/work", range_bytes=256 << 10)
+    if objects.failed(manifest).count():
+        raise RuntimeError("a range was not copied")
+    return read_files(spark, f"{base}/copy", "csv", schema=ddl(src))
+
+
+@query("stage_snapshot", """
+SELECT *, year(o_orderdate)::INTEGER AS drop_year,
+       CASE WHEN year(o_orderdate) % 2 = 0 THEN 1 ELSE 2 END AS version
+FROM orders""")
+def stage_snapshot_query(spark, sf_dir):
+    """Yearly drops staged twice, half of them at a time: the second version copies only what is new."""
+    src = table(spark, sf_dir, "orders").withColumn("drop_year", F.year("o_orderdate"))
+    root, store = (f"{_dir(spark, 'snapshots')}/{x}" for x in ("orders", "store"))
+    for half in (0, 1):
+        write_files(src.where(F.col("drop_year") % 2 == half), root, "csv", mode="append", partition_by=["drop_year"])
+        stage_snapshot(spark, root, store)
+    rows = read_snapshot(spark, store, "csv", ddl(src))
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)-", 1).cast("int")
+    return rows.select(*src.columns, number.alias("version"))
+
+
 @query("stage_escaped_partitions", """
 SELECT *, event_type || ':' || CAST(user_id % 3 AS VARCHAR) || '#' AS tag FROM events""")
 def stage_escaped_partitions(spark, sf_dir):
@@ -809,3 +839,16 @@ def fetch_config(spark, sf_dir):
     got = echoed(requests, proxy_host="proxy.invalid", proxy_port=3128, connect_timeout_ms=2000,
                  read_timeout_ms=10000, threads=4, partitions=4, per_host=2)
     return got.select(F.col("request_id").alias("page_id"), "told.proxy", "told.timeout_ms", "told.read_timeout_ms")
+
+
+#: requests a second to each host of the query below
+ECHO_RATE = 400.0
+
+
+@query("fetch_rate", "SELECT page_id, 'p' || CAST(page_id AS VARCHAR) AS answered, 1 AS attempts FROM pages")
+def fetch_rate(spark, sf_dir):
+    """A page a request, dealt to seven hosts, none of which is sent more than its rate."""
+    pages = table(spark, sf_dir, "pages")
+    url = F.concat(F.lit("http://h"), (F.col("page_id") % 7).cast("string"), F.lit("/p"), F.col("page_id"))
+    got = echoed(build_requests(pages, "page_id", url), rate_per_host=ECHO_RATE, per_host=2, threads=4)
+    return got.select(F.col("request_id").alias("page_id"), F.col("headers")["X-Answer-To"].alias("answered"), "attempts")

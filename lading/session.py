@@ -72,6 +72,18 @@ def mkdirs(spark: SparkSession, uri: str) -> None:
     fs.mkdirs(path)
 
 
+def create_new(spark: SparkSession, uri: str) -> bool:
+    """Create an empty file; False if it is there already (one of several callers gets True)."""
+    fs, path = _jvm_path(spark, uri)
+    try:
+        fs.create(path, False).close()
+    except Exception as exc:  # noqa: BLE001 -- the file systems name it differently
+        if not fs.exists(path):
+            raise exc
+        return False
+    return True
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _jvm_path(spark, src)
     _, d = _jvm_path(spark, dst)

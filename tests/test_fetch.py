@@ -265,3 +265,67 @@ def test_per_host_bounds_tasks_per_host(spark):
     assert per_host["hot.example"] <= 3 and per_host["hot.example"] >= 2
     assert out.count() == 320
     assert "hashpartitioning" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def timed_opener(folder, fail=()):
+    """An opener double that notes when it is asked for what, by file, since every task has its own."""
+    class Opener:
+        def open(self, req, timeout=None):
+            import io
+            import time
+            import uuid
+            from urllib.parse import urlsplit
+
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(f"{time.time()} {urlsplit(req.full_url).netloc} {req.full_url}")
+            if req.full_url in fail:
+                raise urllib.error.URLError("transient")
+            answer = io.BytesIO(b"ok")
+            answer.status, answer.headers = 200, None
+            return answer
+
+    return Opener()
+
+
+def sent_at(folder):
+    import os
+    from collections import defaultdict
+
+    out = defaultdict(list)
+    for name in os.listdir(folder):
+        at, host, _ = open(f"{folder}/{name}").read().split(" ", 2)
+        out[host].append(float(at))
+    return {host: sorted(at) for host, at in out.items()}
+
+
+@pytest.mark.parametrize("threads,per_host", [(1, None), (4, 1), (4, 3)])
+def test_no_host_is_sent_more_than_its_rate(spark, tmp_path, threads, per_host):
+    """A hot host and a rare one; retries count; all tasks together hold to the rate."""
+    rate, shares = 20.0, per_host or 1
+    url = F.concat(F.when(F.col("id") % 5 == 0, F.lit("http://rare")).otherwise(F.lit("http://hot")), F.lit("/p"), F.col("id"))
+    requests = build_requests(spark.range(30), "id", url)
+    opener = timed_opener(str(tmp_path), fail=("http://hot/p1",))
+    got = fetch_requests(requests, opener=opener, rate_per_host=rate, per_host=per_host, threads=threads, partitions=4,
+                         retry_count=2, retry_frequency_s=0.0).collect()
+    assert sorted(r.request_id for r in got) == list(range(30))
+    assert [(r.request_id, r.attempts) for r in got if r.error] == [(1, 3)]
+    sent = sent_at(tmp_path)
+    assert {h: len(at) for h, at in sent.items()} == {"hot": 26, "rare": 6}
+    slack = 0.03  # between a turn and the note
+    for at in sent.values():
+        # in any stretch of time: its share of the rate and one start for each of the shares
+        for i in range(len(at)):
+            for j in range(i + 1, len(at)):
+                assert j - i + 1 <= (at[j] - at[i] + slack) * rate + shares
+    assert max(at[-1] for at in sent.values()) - min(at[0] for at in sent.values()) >= 25 / rate / shares * 0.5
+
+
+def test_hosts_that_share_a_task_take_turns(spark, tmp_path):
+    url = F.concat(F.lit("http://h"), (F.col("id") % 2).cast("string"), F.lit("/"), F.col("id"))
+    fetch_requests(build_requests(spark.range(20), "id", url), opener=timed_opener(str(tmp_path)), rate_per_host=20.0,
+                   partitions=1).collect()
+    sent = sent_at(tmp_path)
+    # one host after the other would take twice as long
+    assert max(at[-1] for at in sent.values()) - min(at[0] for at in sent.values()) < 0.8
+    with pytest.raises(ValueError, match="rate_per_host"):
+        fetch_requests(build_requests(spark.range(2), "id", url), rate_per_host=0)
