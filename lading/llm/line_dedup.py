@@ -21,6 +21,7 @@ an empty table gives no rows; other columns pass through ``remove_boilerplate``.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ MIN_SITES = 10
 LG_K = 10
 NEAR = 0.25
 
-#: at most this many line hashes are broadcast (8 bytes each)
+#: at most this many line hashes are broadcast (one sorted array, 8 bytes each)
 BROADCAST_KEYS = 2_000_000
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -68,14 +69,22 @@ def line_keys(text: Column) -> Column:
 
 
 def _cutter(shared):
-    """Texts and their line hashes to the text without boilerplate and the number of lines cut."""
+    """Texts and their line hashes to the text without boilerplate and the number of lines cut.
+
+    ``shared`` holds the boilerplate's hashes in order.
+    """
     @F.pandas_udf("text string, n_removed long")
     def cut(text: pd.Series, keys: pd.Series) -> pd.DataFrame:
-        gone, out = shared.value, []
-        for t, ks in zip(text, keys):
-            bad = [] if t is None else [k in gone for k in ks]
-            n = sum(bad)
-            out.append((t if not n else "\n".join(x for x, b in zip(t.split("\n"), bad) if not b), n))
+        gone, out, begin = shared.value, [], 0
+        lines = [np.zeros(0, np.int64) if k is None else np.asarray(k, np.int64) for k in keys]
+        every = np.concatenate([*lines, np.zeros(0, np.int64)])
+        at = np.searchsorted(gone, every)
+        at[at == len(gone)] = 0
+        bad = gone[at] == every if len(gone) else np.zeros(len(every), bool)
+        for t, k in zip(text, lines):
+            cuts, begin = bad[begin:begin + len(k)], begin + len(k)
+            n = int(cuts.sum())
+            out.append((t if not n else "\n".join(x for x, b in zip(t.split("\n"), cuts.tolist()) if not b), n))
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
     return cut
@@ -94,7 +103,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, broadcast_ke
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines_of(F.col("text"))))
     if keys.count() <= broadcast_keys:
-        shared = spark_of(docs).sparkContext.broadcast(frozenset(keys.toArrow().column("key").to_pylist()))
+        shared = spark_of(docs).sparkContext.broadcast(np.sort(keys.toArrow().column("key").to_numpy()))
         cut = packed(docs, "text").select("_row", n_lines.alias("n"), _cutter(shared)("text", line_keys(F.col("text"))).alias("cut"))
         return cut.select(*[F.col("cut.text").alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in columns],
                           F.col("n").cast("long").alias("n_lines"), F.col("cut.n_removed").alias("n_removed"))

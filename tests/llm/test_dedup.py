@@ -294,3 +294,22 @@ def test_lines_near_the_threshold_are_counted(docs_of):
     rows += [(9000 + i, "line on 8 sites", None, f"s{i % 8}") for i in range(50)]
     got = {r.doc_id // 100: r.n_removed for r in line_dedup.remove_boilerplate(docs_of(rows)).collect()}
     assert got == {8: 0, 9: 0, 10: 1, 11: 1, 12: 1, 13: 1, 90: 0}
+
+
+def test_lines_are_cut_by_sorted_hashes(docs_of):
+    """The cut of every text equals a plain one, with no, one and many hashes, empty and null texts."""
+    texts = ["", None, "a", "a\nb\n\na", "\n", " b \nc", "\n".join(f"l{i % 7}" for i in range(100))]
+    docs = docs_of([(i, t, f"s{i}", None) for i, t in enumerate(texts)])
+    for lines in (set(), {"b"}, {"a", "b", "l3", "l6"}):
+        shared = sorted(r[0] for r in docs.sparkSession.createDataFrame([(x,) for x in lines], "x string")
+                        .selectExpr("xxhash64(x)").collect())
+
+        class Held:
+            value = np.array(shared, np.int64)
+
+        got = docs.select("doc_id", line_dedup._cutter(Held)("text", line_dedup.line_keys(docs.text)).alias("c")).select("doc_id", "c.*")
+        want = {}
+        for i, t in enumerate(texts):
+            kept = None if t is None else [x for x in t.split("\n") if x.strip() not in lines]
+            want[i] = (t if t is None else "\n".join(kept), 0 if t is None else len(t.split("\n")) - len(kept))
+        assert {r.doc_id: (r.text, r.n_removed) for r in got.collect()} == want
