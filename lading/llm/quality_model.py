@@ -3,9 +3,12 @@
 Features are the hashed one- and two-word sequences of a text, over its words
 and over their shapes (runs of capitals, small letters, digits and other signs;
 a pair of equal words is told from other pairs), by the root of their count and
-scaled to length one.  The FTRL-proximal learner goes through a sample of labelled rows of at most about ``MAX_TRAIN`` documents, taken
-by a hash of the id and in hash order, as often as it takes to make about
-``STEPS`` updates; the driver receives their hashed features, never texts.  Every text is scored whole as a sparse dot product.
+scaled to length one.  The FTRL-proximal learner goes through a sample of
+labelled rows of at most about ``MAX_TRAIN`` documents and ``MAX_TRAIN_BYTES`` of
+text, taken by a hash of the id and in hash order, as often as it takes to make
+about ``STEPS`` updates; the driver receives their hashed features, never texts:
+about 5 bytes for a byte of text, and at most 8 MB for one text of any length.
+Every text is scored whole as a sparse dot product.
 
 Defined cases: null and empty texts have the bias alone; rows without a label
 are not learned from; a document with several label rows is learned once per
@@ -26,6 +29,7 @@ from lading.llm.mixing import coin
 
 BITS = 20
 MAX_TRAIN = 10_000
+MAX_TRAIN_BYTES = 48_000_000
 STEPS = 20_000
 MAX_EPOCHS = 20
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-4, 1e-6
@@ -97,12 +101,17 @@ def fit(examples) -> np.ndarray:
     return weights(np.arange(1 << BITS)).astype(np.float32)
 
 
-def train(labelled: DataFrame, max_train: int = MAX_TRAIN, steps: int = STEPS) -> np.ndarray:
+def sample_rate(rows: DataFrame, max_train: int = MAX_TRAIN, max_bytes: int = MAX_TRAIN_BYTES) -> float:
+    """The share of ``rows`` that is expected to keep both bounds."""
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    return min(1.0, max_train / max(n, 1), max_bytes / max(size, 1))
+
+
+def train(labelled: DataFrame, max_train: int = MAX_TRAIN, steps: int = STEPS, max_bytes: int = MAX_TRAIN_BYTES) -> np.ndarray:
     """Weights from ``doc_id, text, label`` rows, label 0 or 1."""
     rows = labelled.where("label IN (0, 1)")
-    total = rows.count()
     order = coin(F.col("doc_id"), "quality-sample")
-    sample = (rows.withColumn("ord", order).where(order < (max_train / total if total > max_train else 1.0))
+    sample = (rows.withColumn("ord", order).where(order < sample_rate(rows, max_train, max_bytes))
               .select("text", F.col("label").cast("int").alias("label"), "ord"))
     got = sample.mapInArrow(_feature_partition, "idx binary, val binary, label int, ord double").toArrow()
     seen = sorted(zip(*(got.column(c).to_pylist() for c in ("ord", "label", "idx", "val"))))

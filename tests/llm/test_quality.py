@@ -99,3 +99,20 @@ def test_features_see_order_shape_and_repeats():
     index, value = quality_model.features("a a a b")
     assert index[0] == 0 and value[0] == 1 and abs((value[1:] ** 2).sum() - 1) < 1e-5
     assert quality_model.features(None)[0].tolist() == [0]
+
+
+def test_sample_is_bounded_by_bytes(docs_of):
+    """One text in ten is a hundred times as long: bytes bound the sample where rows would not."""
+    from lading.llm.mixing import coin
+
+    rows = docs_of([(i, "word " * (2000 if i % 10 == 0 else 20), None, None) for i in range(2000)])
+    size = 200 * 10_000 + 1800 * 100
+    assert quality_model.sample_rate(rows, 5000, 10 ** 9) == 1.0
+    assert quality_model.sample_rate(rows, 500, 10 ** 9) == 0.25
+    rate = quality_model.sample_rate(rows, 5000, size // 10)
+    assert abs(rate - 0.1) < 1e-9
+    taken = rows.where(coin(F.col("doc_id"), "quality-sample") < rate).agg(F.sum(F.octet_length("text"))).first()[0]
+    assert taken < 2 * size / 10
+    assert quality_model.sample_rate(rows.limit(0)) == 1.0
+    index, value = quality_model.features("a b c " * 1_000_000)
+    assert index.nbytes + value.nbytes <= 8 * 2 ** quality_model.BITS + 8
