@@ -279,9 +279,12 @@ def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
 
 
 def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 << 20,
-               parallelism: int | None = None, at_offset: bool | None = None) -> int:
+               parallelism: int | None = None, at_offset: bool | None = None,
+               frames: dict[int, tuple[int, int]] | None = None) -> int:
     """Join the part files of ``folders``, in order, into the one new file ``target``; returns its length.
 
+    ``frames`` says, by the number of a folder, how many bytes are left out at the
+    beginning and at the end of each of its parts that has any.
     Each part's place is the sum of the lengths before it.  Where files can be
     written at an offset (local and shared mounts) every range of ``range_bytes``
     goes to its place in a task of its own, and a retried task writes the same
@@ -293,14 +296,16 @@ def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 <<
     target = session.qualify(spark, target)
     parts = None
     for i, folder in enumerate(folders):
-        found = listing(spark, folder).select(F.lit(i).alias("folder"), "path", "length")
+        front, back = (frames or {}).get(i, (0, 0))
+        found = listing(spark, folder).where("length > 0").select(
+            F.lit(i).alias("folder"), "path", F.lit(front).cast("long").alias("front"), (F.col("length") - front - back).alias("length"))
         parts = found if parts is None else parts.unionByName(found)
     number = F.regexp_extract("path", r"part-(\d+)[^/]*$", 1).cast("long")
     order = Window.orderBy("folder", "number", "path")  # one small row a part file
     ranges = (parts.where("length > 0").withColumn("number", number)
               .withColumn("begin", F.sum("length").over(order) - F.col("length"))
               .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(range_bytes))))
-              .select("path", "at", F.least(F.lit(range_bytes), F.col("length") - F.col("at")).alias("n"),
+              .select("path", (F.col("at") + F.col("front")).alias("at"), F.least(F.lit(range_bytes), F.col("length") - F.col("at")).alias("n"),
                       (F.col("begin") + F.col("at")).alias("to")))
     ranges = materialise(ranges, session.new_staging_dir(spark, "join"))
     total = ranges.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -3,9 +3,10 @@
 The default write is parallel (one part file per task) straight into the
 target URI, honouring the save mode.  ``single_file=True`` delivers exactly
 one file at the target path, as the connector's upload contract requires.  Types
-made of lines (csv, json, txt; plain, gzip or bzip2) are encoded by all tasks,
-and their parts joined byte by byte in the order of the partitions, the csv
-header once.  Xml, parquet and avro frame a file as a whole: one writer task.
+made of lines (csv, json, txt; plain, gzip or bzip2) and plain xml are encoded by
+all tasks, and their parts joined byte by byte in the order of the partitions,
+the csv header and the xml declaration and root once.  Parquet, avro and
+compressed xml frame a file as a whole: one writer task.
 
 All writers share one contract for save modes.  Where a write replaces
 something itself (single files, staged and encrypted deliveries), the new data
@@ -25,6 +26,7 @@ from . import objects
 #: file types and codecs whose files, one after the other, are a file
 JOINED_TYPES = ("csv", "json", "txt")
 JOINED_CODECS = ("none", "uncompressed", "gzip", "bzip2")
+PLAIN_CODECS = ("none", "uncompressed")
 
 SAVE_MODES = ("error", "errorifexists", "append", "overwrite", "ignore")
 
@@ -104,7 +106,8 @@ def _joinable(ft: str, opts: dict) -> bool:
     """Whether files of this type and these options can be joined byte by byte."""
     codec = (formats.get(opts, "compression") or formats.get(opts, "codec") or "none").lower()
     encoding = (formats.get(opts, "encoding") or formats.get(opts, "charset") or "utf-8").lower()
-    return ft in JOINED_TYPES and codec in JOINED_CODECS and encoding in ("utf-8", "utf8")
+    joined = codec in PLAIN_CODECS if ft == "xml" else ft in JOINED_TYPES and codec in JOINED_CODECS
+    return joined and encoding in ("utf-8", "utf8")
 
 
 def _encode_and_join(df: DataFrame, tmp: str, ft: str, opts: dict) -> str:
@@ -117,11 +120,31 @@ def _encode_and_join(df: DataFrame, tmp: str, ft: str, opts: dict) -> str:
         folders.insert(0, f"{tmp}/header")
         opts = {**{k: v for k, v in opts.items() if k.lower() != "header"}, "header": "false"}
     formats.save_with(df.write.options(**opts), ft, f"{tmp}/parts")
-    if not objects.join_files(spark, folders, f"{tmp}/one"):  # no bytes at all: an empty part is the file
+    frames = None
+    if ft == "xml" and not objects.listing(spark, f"{tmp}/parts").where("length > 0").isEmpty():
+        begin, end = _xml_frame(spark, f"{tmp}/frame", opts)
+        objects.write_bytes(session.qualify(spark, f"{tmp}/begin/part-0"), begin)
+        objects.write_bytes(session.qualify(spark, f"{tmp}/end/part-0"), end)
+        folders, frames = [f"{tmp}/begin", f"{tmp}/parts", f"{tmp}/end"], {1: (len(begin), len(end))}
+    if not objects.join_files(spark, folders, f"{tmp}/one", frames=frames):  # no bytes at all: an empty part is the file
         return session.data_files(spark, folders[-1])[0]
     return f"{tmp}/one"
 
 
+def _xml_frame(spark, folder: str, opts: dict) -> tuple[bytes, bytes]:
+    """What Spark's xml writer puts before and after the rows of a file, as it frames one row without a value."""
+    plain = {k: v for k, v in opts.items() if k.lower() != "nullvalue"}
+    formats.save_with(spark.range(1).select(F.lit(None).cast("int").alias("none")).coalesce(1).write.options(**plain), "xml", folder)
+    fs, where = objects.arrow_location(session.data_files(spark, folder)[0])
+    with fs.open_input_stream(where) as src:
+        one = src.read()
+    row = f"<{formats.get(opts, 'rowTag')}/>".encode()
+    at = one.rindex(row)
+    # the line feed and indent before a row are part of the row
+    feed = one.rfind(b"\n", 0, at)
+    return one[:at if feed < 0 else feed], one[at + len(row):]
+
+
 def _encode_in_one_task(one: DataFrame, folder: str, ft: str, opts: dict) -> str:
     spark = one.sparkSession
     formats.save_with(one.write.mode("overwrite").options(**opts), ft, folder)

@@ -78,6 +78,23 @@ def test_single_file_of_parts_equals_one_tasks_file(spark, workdir, ft, options)
     assert same_rows(src, read_files(spark, f"{workdir}/many.{ft}", ft, schema=ddl(src), **options))
 
 
+@pytest.mark.parametrize("options", [{"rowTag": "r"}, {"rowTag": "row", "rootTag": 'books foo="<row/>"', "declaration": ""},
+                                     {"rowTag": "row", "rootTag": "rows", "indent": "", "nullValue": "none"}])
+def test_single_xml_file_is_encoded_by_all_tasks(spark, workdir, options, monkeypatch):
+    from lading.operators import sink
+    from lading.sources import formats
+
+    rows = [(i, [None, "", "a\n<b> é", "</rows>\n<row/>"][i % 4], [i] * (i % 3)) for i in range(40)]
+    src = spark.createDataFrame(rows, "n int, s string, l array<int>").repartitionByRange(5, "n").where("n < 20 OR n > 28")
+    opts = formats.write_options("xml", formats.normalise(options))
+    one = sink._encode_in_one_task(src.coalesce(1), f"{workdir}/one", "xml", opts)
+    monkeypatch.setattr(sink, "_encode_in_one_task", None)
+    write_files(src, f"{workdir}/many.xml", "xml", single_file=True, **options)
+    assert _bytes(f"{workdir}/many.xml") == _bytes(one.removeprefix("file:"))
+    write_files(src.where("n < 0"), f"{workdir}/none.xml", "xml", single_file=True, **options)
+    assert _bytes(f"{workdir}/none.xml") == b""
+
+
 @pytest.mark.parametrize("codec", ["gzip", "bzip2", "none"])
 def test_single_file_of_compressed_parts(spark, workdir, codec):
     src = spark.read.parquet(f"{SF_SMALL}/customer.parquet").repartition(5)
