@@ -102,17 +102,32 @@ def fit(examples) -> np.ndarray:
 
 
 def sample_rate(rows: DataFrame, max_train: int = MAX_TRAIN, max_bytes: int = MAX_TRAIN_BYTES) -> float:
-    """The share of ``rows`` that is expected to keep both bounds."""
-    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    """The share of ``rows`` (with their ``text``, or its ``size`` in bytes) that is expected to keep both bounds."""
+    size = F.col("size") if "text" not in rows.columns else F.octet_length("text").cast("long")
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
     return min(1.0, max_train / max(n, 1), max_bytes / max(size, 1))
 
 
-def train(labelled: DataFrame, max_train: int = MAX_TRAIN, steps: int = STEPS, max_bytes: int = MAX_TRAIN_BYTES) -> np.ndarray:
-    """Weights from ``doc_id, text, label`` rows, label 0 or 1."""
-    rows = labelled.where("label IN (0, 1)")
+def train(labelled: DataFrame, max_train: int = MAX_TRAIN, steps: int = STEPS, max_bytes: int = MAX_TRAIN_BYTES,
+          marks: DataFrame | None = None) -> np.ndarray:
+    """Weights from ``doc_id, text, label`` rows, label 0 or 1.
+
+    With ``marks`` (``doc_id, label``) the first are ``doc_id, text`` rows, joined with
+    them by id: sizes are joined for the rate, then the sample's marks are broadcast
+    to the texts, so that no text is shuffled.
+    """
     order = coin(F.col("doc_id"), "quality-sample")
-    sample = (rows.withColumn("ord", order).where(order < sample_rate(rows, max_train, max_bytes))
-              .select("text", F.col("label").cast("int").alias("label"), "ord"))
+    if marks is None:
+        rows = labelled.where("label IN (0, 1)")
+        rows = rows.where(order < sample_rate(rows, max_train, max_bytes))
+    else:
+        marks = marks.where("label IN (0, 1)")
+        sizes = labelled.select("doc_id", F.octet_length("text").cast("long").alias("size"))
+        taken = order < sample_rate(sizes.join(marks, "doc_id"), max_train, max_bytes)
+        # marks that have a document, by ids alone: about as many as the sample has rows
+        found = marks.where(taken).join(labelled.select("doc_id").where(taken), "doc_id", "left_semi")
+        rows = labelled.select("doc_id", "text").where(taken).join(F.broadcast(found), "doc_id")
+    sample = rows.select("text", F.col("label").cast("int").alias("label"), order.alias("ord"))
     got = sample.mapInArrow(_feature_partition, "idx binary, val binary, label int, ord double").toArrow()
     seen = sorted(zip(*(got.column(c).to_pylist() for c in ("ord", "label", "idx", "val"))))
     epochs = min(MAX_EPOCHS, -(-steps // max(1, len(seen))))

@@ -59,7 +59,7 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held = language_id.held_out(F.col("doc_id"), 5, 0)
     marked = labels.select("doc_id", F.col("quality").alias("label")).where(~held)
-    weights = quality_model.train(docs.select("doc_id", "text").join(marked, "doc_id"))
+    weights = quality_model.train(docs, marks=marked)
     found = quality_model.score(docs, weights)
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

@@ -101,6 +101,28 @@ def test_features_see_order_shape_and_repeats():
     assert quality_model.features(None)[0].tolist() == [0]
 
 
+def test_marks_are_taken_to_the_texts(spark, docs_of, tmp_path, monkeypatch):
+    """The sample of documents and marks is that of their join, and no text is shuffled for it."""
+    rows = docs_of([(None if i % 50 == 0 else i // 2 if i < 40 else i, None if i == 7 else f"good text {i} " * (1 + i % 9), None, None) for i in range(400)])
+    marks = spark.createDataFrame([(i % 300 if i % 11 else None, [0, 1, None, 2][i % 4]) for i in range(600)], "doc_id int, label int")
+    rows.write.parquet(f"{tmp_path}/docs")
+    rows = spark.read.parquet(f"{tmp_path}/docs")
+    joined = quality_model.train(rows.select("doc_id", "text").join(marks, "doc_id"), max_train=100)
+    frames = []
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda df, run, schema, _m=type(rows).mapInArrow: frames.append(df) or _m(df, run, schema))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames.clear()
+        split = quality_model.train(rows, max_train=100, marks=marks)
+        plan = frames[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert (joined != 0).any() and (joined == split).all()
+    texts, ids = plan.split("BroadcastExchange", 1)
+    assert "text#" in texts and "Exchange hashpartitioning" not in texts and "text#" not in ids
+
+
 def test_sample_is_bounded_by_bytes(docs_of):
     """One text in ten is a hundred times as long: bytes bound the sample where rows would not."""
     from lading.llm.mixing import coin
