@@ -17,6 +17,7 @@ import base64
 import email.utils
 import functools
 import http.client
+import itertools
 import json
 import ssl
 import time
@@ -225,15 +226,27 @@ class Pace:
             time.sleep(turn - now)
 
 
+def _read_up_to(source, n: int) -> bytes:
+    """``n`` bytes, fewer only where the source ends."""
+    got = b""
+    while len(got) < n:
+        more = source.read(n - len(got))
+        if not more:
+            break
+        got += more
+    return got
+
+
 def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_TIMEOUT_MS,
                  read_timeout_ms=READ_TIMEOUT_MS, proxy_host=None, proxy_port=None,
                  auth=None, retry_count=0, retry_frequency_s=1.0, opener=None, schemes=SCHEMES,
-                 retry_growth=1.0, retry_wait_max_s=RETRY_WAIT_MAX_S):
+                 retry_growth=1.0, retry_wait_max_s=RETRY_WAIT_MAX_S, inline_bytes=0):
     """Return ``fetch_one(url, method, headers, body, target=None, turn=None) -> tuple`` (runs in a task).
 
     The tuple is (status, headers, text, bytes, error, attempts).  With
     ``body_mode="file"`` the body is streamed to ``target`` in chunks and the
-    text slot holds the path.  ``auth`` with a refresh token and a ``token_url``
+    text slot holds the path; a body of at most ``inline_bytes`` (if above 0) goes to
+    the bytes slot instead, and no file is made.  ``auth`` with a refresh token and a ``token_url``
     gets a new token once an answer is 401, for this and later requests.
     ``opener`` replaces urllib's: an object with ``open(request, timeout=..)``,
     or a class made with (proxy host, proxy port, read timeout in ms).
@@ -274,8 +287,13 @@ def make_fetcher(body_mode="string", on_error="row", connect_timeout_ms=CONNECT_
                     rh = {str(k): str(v) for k, v in (resp.headers.items() if resp.headers else [])}
                     text = raw_bytes = None
                     if mode == "file":
-                        objects.write_chunks(target, iter(lambda: resp.read(objects.CHUNK), b""))
-                        text = target
+                        head = _read_up_to(resp, inline_bytes + 1) if inline_bytes else b""
+                        if inline_bytes and len(head) <= inline_bytes:
+                            raw_bytes = head
+                        else:
+                            rest = iter(lambda: resp.read(objects.CHUNK), b"")
+                            objects.write_chunks(target, itertools.chain([head] if head else [], rest))
+                            text = target
                     elif mode == "string":
                         charset = None
                         if resp.headers is not None and hasattr(resp.headers, "get_content_charset"):
@@ -336,7 +354,7 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
                    per_host: int | None = None, partitions: int | None = None,
                    body_dir: str | None = None, suffix: str = "", schemes=SCHEMES,
                    retry_growth: float = 1.0, retry_wait_max_s: float = RETRY_WAIT_MAX_S, log=None,
-                   rate_per_host: float | None = None) -> DataFrame:
+                   rate_per_host: float | None = None, inline_bytes: int = 0) -> DataFrame:
     """Fetch every request on the executors; one response row per request (lazy).
 
     Requests are dealt round-robin over ``partitions`` tasks (``parallelism``
@@ -353,7 +371,9 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
     a burst; a lost task's share starts anew at its own pace.
     ``keep`` names request columns carried into the response rows as they are.
     ``body_mode="file"`` streams each body to ``body_dir/<request id><suffix>``
-    and returns its path in ``body_text``; no body is held in memory.
+    and returns its path in ``body_text``; no body is held in memory.  With
+    ``inline_bytes=n`` bodies of at most ``n`` bytes are returned in ``body_bytes``
+    and make no file: millions of small files are slow to list, plan and open.
     ``log`` is called in the task with every batch of responses before any of
     them is passed on.
     """
@@ -365,7 +385,7 @@ def fetch_requests(requests: DataFrame, body_mode: str = "string", on_error: str
         per_host = per_host or 1
     spark = requests.sparkSession
     fetch_one = make_fetcher(body_mode, on_error, connect_timeout_ms, read_timeout_ms, proxy_host, proxy_port,
-                             auth, retry_count, retry_frequency_s, opener, schemes, retry_growth, retry_wait_max_s)
+                             auth, retry_count, retry_frequency_s, opener, schemes, retry_growth, retry_wait_max_s, inline_bytes)
     base = response_schema(requests.schema["request_id"].dataType)
     schema = T.StructType(base.fields[:1] + [requests.schema[c] for c in keep] + base.fields[1:])
     if body_mode == "file":

@@ -678,11 +678,12 @@ def rest_text(spark, sf_dir):
     bodies = cust.select("c_custkey", F.concat(F.when(F.col("c_custkey") % 3 == 0, F.lit("\n")).otherwise(F.lit("")),
                                                "c_name", F.lit("\n")).alias("body"))
     where = _dir(spark, "names")
-    manifest = objects.materialise(objects.write_objects(bodies, "c_custkey", "body", f"{where}/served", ".txt"), f"{where}/_manifest")
+    spread = 4 * spark.sparkContext.defaultParallelism  # a small table is one partition, and each row a file
+    written = objects.write_objects(bodies, "c_custkey", "body", f"{where}/served", ".txt", spread)
+    manifest = objects.materialise(written, f"{where}/_manifest")
     requests = manifest.select(F.col("c_custkey").alias("request_id"), url_of(F.col("staged_path")).alias("url"))
-    lines = read_rest(spark, requests, "txt")
-    key = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.txt$", 1).cast("bigint")
-    return lines.select(key.alias("c_custkey"), F.col("value").alias("line")).groupBy("c_custkey", "line").agg(
+    lines = read_rest(spark, requests, "txt", id_column="id")
+    return lines.select(F.col("id").cast("bigint").alias("c_custkey"), F.col("value").alias("line")).groupBy("c_custkey", "line").agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -690,7 +691,7 @@ def rest_text(spark, sf_dir):
 def rest_null_ids(spark, sf_dir):
     """Requests without an id: every body comes back, whatever else shares the null."""
     requests = page_requests(spark, sf_dir).withColumn("request_id", F.when(F.col("request_id") % 3 == 0, F.col("request_id")))
-    bodies = read_rest(spark, requests, "txt", wholetext="true")
+    bodies = read_rest(spark, requests, "txt", id_column="id", wholetext="true")
     return bodies.groupBy(F.md5(F.col("value").cast("binary")).alias("body_md5")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -196,8 +196,12 @@ def request_table(spark: SparkSession, endpoints, options: dict) -> DataFrame:
     return rows
 
 
+#: with an id column, text bodies of at most this many bytes stay in the response table
+INLINE_BYTES = 256 << 10
+
+
 def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, schema=None,
-              on_failed: str = "raise", opener=None, **options) -> DataFrame:
+              on_failed: str = "raise", opener=None, id_column: str | None = None, **options) -> DataFrame:
     """Fetch endpoints and, with ``file_type``, scan their bodies as files.
 
     ``endpoints`` is a URL, a list of them or a DataFrame with ``url`` (and
@@ -206,6 +210,11 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
     given or inferred.  ``application/json`` bodies are whole documents (arrays
     or pretty-printed), ``json`` is one value a line.  ``on_failed``: a failed
     request raises, or with ``"skip"`` its rows are left out.
+
+    ``id_column`` adds the ``request_id`` each row came from, first and under that
+    name.  Small text bodies are then kept in the staged response table and cut
+    into the reader's lines there; only larger ones become files (which
+    ``_metadata`` tells of), so that requests may be many and small.
     """
     opts = {k: v for k, v in options.items() if v is not None}
     how = fetch_options(opts)
@@ -219,9 +228,41 @@ def read_rest(spark: SparkSession, endpoints, file_type: str | None = None, sche
         return got.drop("request_id")
     where = session.new_staging_dir(spark, "rest")
     ft = formats.file_type(file_type)
+    reader = {k.lower() for k in opts} - _FETCH_KEYS
+    inline = INLINE_BYTES if id_column and ft == "txt" and schema is None and reader <= {"wholetext"} else 0
     answers = fetch_ops.fetch_to_staging(requests, where, body_mode="file", body_dir=f"{where}/bodies", suffix="." + ft,
-                                         opener=opener, **how)
-    return _scan(spark, answers, f"{where}/bodies", file_type, schema, on_failed, opts)
+                                         opener=opener, inline_bytes=inline, **how)
+    rows = _scan(spark, answers, f"{where}/bodies", file_type, schema, on_failed, opts)
+    if not id_column:
+        return rows
+    if rows.columns:
+        name = F.element_at(F.split("body_text", "/"), -1)
+        ids = answers.where("error IS NULL AND body_text IS NOT NULL").select(F.col("request_id").alias("_id"), name.alias("_file"))
+        if session.exists(spark, f"{where}/bodies"):
+            file = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # it is percent-encoded
+            named = rows.select(F.struct("*").alias("_row"), file.alias("_file")).join(ids, "_file")
+            rows = named.select(F.col("_id").alias(id_column), "_row.*")
+        else:
+            rows = ids.where("false").select(F.col("_id").alias(id_column)).crossJoin(rows)
+    if not inline:
+        return rows
+    small = answers.where("error IS NULL AND body_bytes IS NOT NULL").select(F.col("request_id").alias(id_column), "body_bytes")
+    lines = _text_rows(small, id_column, formats.flag(opts, "wholetext"))
+    return rows.unionByName(lines) if session.exists(spark, f"{where}/bodies") else lines
+
+
+def _text_rows(bodies: DataFrame, id_column: str, whole: bool) -> DataFrame:
+    """The rows Spark's text reader gives for each body: bytes as they are, lines ended by \\n, \\r or \\r\\n, no empty body."""
+    bodies = bodies.where("octet_length(body_bytes) > 0")
+    if whole:
+        return bodies.select(id_column, F.col("body_bytes").cast("string").alias("value"))
+    mark = F.substring("body_bytes", 1, 3) == F.lit(b"\xef\xbb\xbf")
+    # one character a byte, and back
+    text = F.decode(F.when(mark, F.expr("substring(body_bytes, 4)")).otherwise(F.col("body_bytes")), "ISO-8859-1")
+    parts = F.split(text, "\r\n|\n|\r", -1)
+    lines = F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return (bodies.select(id_column, F.explode(lines).alias("_line"))
+            .select(id_column, F.encode("_line", "ISO-8859-1").cast("string").alias("value")))
 
 
 def _scan(spark, manifest: DataFrame, folder: str, file_type: str, schema, on_failed: str, options: dict) -> DataFrame:

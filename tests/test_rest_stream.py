@@ -127,6 +127,46 @@ def test_rest_bodies_are_scanned_like_files(spark, workdir):
     assert read_rest(spark, both).where("error IS NULL").count() == 1
 
 
+BODIES = [b"", b"\n", b"a", b"a\n", b"\n\na\r\n\rb\r", b"\xef\xbb\xbfmark\n", b"\xff\xfe\n\xc3\xa9\x00", b"x\n" * 300, b"\xe2\x80\xa8\x0b\x85\n",
+          b"y" * 400, b"\xef\xbb\xbf"]
+
+
+@pytest.mark.parametrize("options", [{}, {"wholetext": "true"}, {"lineSep": "a"}])
+def test_small_text_bodies_are_rows_without_files(spark, workdir, options, monkeypatch):
+    from lading import session
+    from lading.sources import rest
+
+    monkeypatch.setattr(rest, "INLINE_BYTES", 300)
+    for i, body in enumerate(BODIES):
+        write_bytes(f"{workdir}/b/{i}.txt", body)
+    ids = [None if i == 2 else f"id/{i} %" for i in range(len(BODIES))]
+    requests = spark.createDataFrame([(n, f"file://{workdir}/b/{i}.txt") for i, n in enumerate(ids)], "request_id string, url string")
+    want = (read_files(spark, f"{workdir}/b", "txt", **options)
+            .selectExpr("int(split(_metadata.file_name, '[.]')[0]) AS i", "hex(value) AS v").collect())
+    staged = []
+    new = session.new_staging_dir
+    monkeypatch.setattr(session, "new_staging_dir", lambda s, label, **k: staged.append(new(s, label, **k)) or staged[-1])
+    rows = read_rest(spark, requests, "txt", id_column="key", **options)
+    assert rows.columns == ["key", "value"]
+    got = rows.selectExpr("key", "hex(value) AS v").collect()
+    assert sorted((repr(r.key), r.v) for r in got) == sorted((repr(ids[r.i]), r.v) for r in want)
+    files = len(session.data_files(spark, f"{staged[0]}/bodies"))
+    assert files == (len(BODIES) if "lineSep" in options else 2)
+    small = read_rest(spark, requests.where("url LIKE '%/3.txt'"), "txt", id_column="key", **options)
+    assert [(r.key, r.value) for r in small.collect()][:1] == [(ids[3], "\n" if "lineSep" in options else "a\n" if options else "a")]
+
+
+def test_rows_of_files_know_their_request(spark, workdir):
+    write_bytes(f"{workdir}/1.csv", b"n\n1\n2\n")
+    write_bytes(f"{workdir}/2.csv", b"n\n3\n")
+    table = spark.createDataFrame([("a b", f"file://{workdir}/1.csv"), ("%2E", f"file://{workdir}/2.csv"), ("no", f"file://{workdir}/3.csv")],
+                                  "request_id string, url string")
+    got = read_rest(spark, table, "csv", "n int", on_failed="skip", id_column="key").collect()
+    assert sorted(map(tuple, got)) == [("%2E", 3), ("a b", 1), ("a b", 2)]
+    none = read_rest(spark, table.where("request_id = 'no'"), "csv", "n int", on_failed="skip", id_column="key")
+    assert none.columns == ["key", "n"] and none.count() == 0
+
+
 def test_endpoints_with_commas_and_hosts():
     from lading.sources.rest import split_endpoints, with_host
 
