@@ -10,8 +10,10 @@ between the ranks of neighbouring ends is the range of tokens that a token
 overlaps, which gives the links.
 
 Corpus-wide counts of id pairs are summed from one row per chunk and pair.
-Their totals go back to the chunks that hold the pair, by join; no link becomes
-a row and nothing is collected.
+Their totals go back to the chunks that hold the pair, by join, and meet each
+chunk's row in one call; no link becomes a row and nothing is collected.  A
+chunk's row has megabytes, so row groups are kept to a few of them: memory
+follows the chunk, not how many of them a file or task has.
 
 Defined cases: a text that is null or empty, or whose tokens' bytes under either
 tokenizer are not those of blank+text (a literal U+2581, say), has no tokens: its
@@ -30,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lading.llm import pieces
-from lading.llm.common import mapped, staged, worker_state
+from lading.llm.common import WIDE_ROWS, cogrouped, mapped, staged, worker_state
 
-#: text of a chunk, in bytes: one row of pairs and one Python call
-CHUNK_BYTES = 8_000_000
+#: text of a chunk, in bytes: one row of pairs and one Python call; two fill an Arrow batch
+CHUNK_BYTES = 4_400_000
 #: a pair of ids is one integer: the first id above, the second below
 SECOND = 2 ** 32
 
@@ -261,30 +263,31 @@ def _chunk_partition(path_a: str, path_b: str, with_groups: bool):
     return run
 
 
-def _count_partition(batches):
+def _count_chunk(chunk, totals):
     """A chunk's documents with the totals of their links; ``totals`` are (pair, total, best) in any order."""
     import pyarrow as pa
 
-    names = [c.strip().split(" ")[0] for c in DOC_SCHEMA.split(",")]
-    for batch in batches:
-        for row in batch.to_pylist():
-            pairs = np.array([t["pair"] for t in row["totals"] or ()], np.int64)
-            order = np.argsort(pairs)
-            place = order[np.searchsorted(pairs, np.array(row["pairs"], np.int64), sorter=order)] if len(pairs) else order
-            of_link, links, which, ends = (np.frombuffer(row[c], "<i4").astype(np.int64)
-                                           for c in ("pair_of_link", "links_of_piece", "pieces", "pieces_end"))
-            heads = np.concatenate([[0], np.cumsum(links)])
-            docs = np.concatenate([[0], ends])
-            sums = []
-            for name in ("best", "total"):
-                value = np.array([t[name] for t in row["totals"] or ()], np.int64)[place]
-                of_piece = np.diff(np.concatenate([[0], np.cumsum(value[of_link])])[heads])
-                sums.append(np.diff(np.concatenate([[0], np.cumsum(of_piece[which])])[docs]))
-            n = len(ends)
-            values = [row["doc_ids"], row["n_a"], row["n_b"], row["n_groups"], row["n_links"], *sums, row["sha256"],
-                      row["groups"] or [None] * n]
-            kinds = [pa.int64()] * 7 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
+    names, kinds = [c.strip().split(" ")[0] for c in DOC_SCHEMA.split(",")], [pa.int64()] * 7 + [pa.string()] * 2
+    told = totals.column("pair").to_numpy()
+    order = np.argsort(told)
+    told = told[order]
+    found = [totals.column(name).to_numpy()[order].astype(np.int64) for name in ("best", "total")]
+    out = []
+    for row in chunk.to_batches(max_chunksize=1):
+        of = lambda name: row.column(name)[0].values  # noqa: B023, E731  the one row's list
+        of_link, links, which, ends = (np.frombuffer(row.column(c)[0].as_buffer(), "<i4")
+                                       for c in ("pair_of_link", "links_of_piece", "pieces", "pieces_end"))
+        place = np.searchsorted(told, of("pairs").to_numpy())
+        heads = np.concatenate([[0], np.cumsum(links, dtype=np.int64)])
+        docs = np.concatenate([[0], ends])
+        sums = []
+        for values in found:
+            of_piece = np.diff(np.concatenate([[0], np.cumsum(values[place][of_link])])[heads])
+            sums.append(pa.array(np.diff(np.concatenate([[0], np.cumsum(of_piece[which])])[docs]), pa.int64()))
+        groups = of("groups") if row.column("groups")[0].is_valid else pa.nulls(len(ends), pa.string())
+        values = [*map(of, ("doc_ids", "n_a", "n_b", "n_groups", "n_links")), *sums, of("sha256"), groups]
+        out.append(pa.RecordBatch.from_arrays([v.cast(k) for v, k in zip(values, kinds)], names=names))
+    return pa.Table.from_batches(out, pa.schema(list(zip(names, kinds))))
 
 
 def aligned(docs: DataFrame, tokenizers: tuple[str, str] | None = None, with_groups: bool = False) -> DataFrame:
@@ -295,7 +298,7 @@ def aligned(docs: DataFrame, tokenizers: tuple[str, str] | None = None, with_gro
     """
     a, b = tokenizers or default_tokenizers()
     chunks = staged(mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-                           _chunk_partition(a, b, with_groups), CHUNK_SCHEMA, keep="aligner"), "align-chunks", "zstd")
+                           _chunk_partition(a, b, with_groups), CHUNK_SCHEMA, keep="aligner"), "align-chunks", "zstd", **WIDE_ROWS)
     held = (chunks.select("chunk", F.explode(F.arrays_zip("pairs", "counts")).alias("p"))
             .select("chunk", F.col("p.pairs").alias("pair"), F.col("p.counts").alias("n")))
     # documents without tokens leave pairs that nothing counts
@@ -304,7 +307,5 @@ def aligned(docs: DataFrame, tokenizers: tuple[str, str] | None = None, with_gro
     most = totals.groupBy(second.alias("b")).agg(F.max("total").alias("most"))
     told = (totals.join(most, second == F.col("b"))
             .select("pair", "total", (F.col("total") == F.col("most")).cast("int").alias("best")))
-    per_chunk = (held.select("chunk", "pair").join(told, "pair")
-                 .groupBy(F.col("chunk").alias("_chunk")).agg(F.collect_list(F.struct("pair", "total", "best")).alias("totals")))
-    return mapped(chunks.join(per_chunk, F.col("chunk") == F.col("_chunk"), "left").drop("counts", "chunk", "_chunk"),
-                  _count_partition, DOC_SCHEMA)
+    per_chunk = held.select(F.col("chunk").alias("_chunk"), "pair").join(told, "pair")
+    return cogrouped(chunks.drop("counts"), "chunk", per_chunk, "_chunk", _count_chunk, DOC_SCHEMA)

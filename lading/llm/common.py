@@ -28,16 +28,21 @@ def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def staged(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+#: rows of megabytes: Parquet else holds 100 of them before it looks at their size, and readers a row group
+WIDE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "10"}
+
+
+def staged(df: DataFrame, label: str, codec: str = "snappy", **options) -> DataFrame:
     """Write ``df`` to the shared staging folder and read it back.
 
     Cuts the lineage, so a lost executor costs a re-read instead of a
     recomputation, and gives later plans true sizes.  ``session.delete`` on the
     folder, or ``clear_staged``, removes it when the results are no longer read.
+    ``options`` are the Parquet writer's, ``WIDE_ROWS`` for rows of megabytes.
     """
     spark = spark_of(df)
     path = session.new_staging_dir(spark, f"llm-{label}")
-    df.write.parquet(path, compression=codec)
+    df.write.options(**options).parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -95,9 +100,7 @@ def mapped(df: DataFrame, run, schema: str, keep: str | None = None) -> DataFram
         conf.set(BATCH_CONF, BATCH_BYTES)
 
     def task(batches):
-        held = _worker_module().__dict__
-        for name in [n for n in held if not n.startswith("__") and not (keep and n.startswith(keep))]:
-            del held[name]
+        _drop_states(keep)
         try:
             yield from run(batches)
         finally:
@@ -106,6 +109,24 @@ def mapped(df: DataFrame, run, schema: str, keep: str | None = None) -> DataFram
     return df.mapInArrow(task, schema)
 
 
+def cogrouped(left: DataFrame, left_key: str, right: DataFrame, right_key: str, run, schema: str) -> DataFrame:
+    """``run(left rows, right rows)`` of each key, as Arrow tables; workers drop what operators keep there, as in ``mapped``."""
+    def task(one, other):
+        _drop_states(None)
+        try:
+            return run(one, other)
+        finally:
+            _give_back()
+
+    return left.groupBy(left_key).cogroup(right.groupBy(right_key)).applyInArrow(task, schema)
+
+
+def _drop_states(keep: str | None) -> None:
+    held = _worker_module().__dict__
+    for name in [n for n in held if not n.startswith("__") and not (keep and n.startswith(keep))]:
+        del held[name]
+
+
 def _give_back() -> None:
     import ctypes
 

@@ -11,7 +11,7 @@ from corpus_fixtures import docs_of, odd, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from lading.llm import alignment, packing, pieces, queries, token_output, vector_codes
-from lading.llm.common import table
+from lading.llm.common import staged, table
 
 
 def random_texts(n, seed):
@@ -221,6 +221,28 @@ def test_alignment_of_odd_and_random_texts(odd, docs_of, byte_tokenizer, aligner
     assert sorted(r.groups for r in rows.collect()) == want
 
 
+def test_many_chunks_of_a_task_share_no_row_group(docs_of, monkeypatch):
+    """Memory follows a chunk's row, not how many chunks a task has."""
+    import pyarrow.parquet as pq
+
+    kept = []
+    monkeypatch.setattr(alignment, "staged", lambda df, label, *a, **k: kept.append((label, out := staged(df, label, *a, **k))) or out)
+    letter = "char(97 + pmod(hash({}), 26))"
+    words = f"transform(sequence(1, 1000000), i -> {letter.format('i, doc_id')} || {letter.format('doc_id, i')})"
+    docs = docs_of([(i, "") for i in range(16)], partitions=1).withColumn("text", F.expr(f"array_join({words}, ' ')"))
+    rows = alignment.aligned(docs).collect()
+    assert len(rows) == 16 and all(r.n_links == r.n_a + r.n_b - r.n_groups and r.n_links >= 1_000_000 for r in rows)
+    files = [f for label, df in kept if label == "align-chunks" for f in df.inputFiles()]
+    groups = [m.row_group(i) for f in files for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for i in range(m.num_row_groups)]
+    assert len(groups) > 1 and max(g.total_byte_size for g in groups) < 50 << 20
+
+
+def test_chunks_without_tokens_stay(docs_of):
+    docs = docs_of([(1, None), (1, ""), (None, None)], partitions=3)
+    assert sorted(map(tuple, alignment.aligned(docs).collect()), key=repr) == \
+        sorted([(1, 0, 0, 0, 0, 0, 0, "", None)] * 2 + [(None, 0, 0, 0, 0, 0, 0, "", None)], key=repr)
+
+
 def test_long_text_keeps_its_links(odd, byte_tokenizer, aligner):  # noqa: F811
     """Without all pairs: links of two lists are their lengths less the common ends."""
     got = alignment.aligned(odd).where("doc_id = 5").first()
