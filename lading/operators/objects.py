@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .. import session
 
 CHUNK = 8 << 20
+#: a join that may lose its parts goes in up to so many waves of whole parts, of so many bytes at least
+WAVES, WAVE_BYTES = 12, 1 << 30
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("uri", T.StringType()),
@@ -280,7 +282,7 @@ def copy_files(files: DataFrame, roots: list[str], dest_dir: str,
 
 def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 << 20,
                parallelism: int | None = None, at_offset: bool | None = None,
-               frames: dict[int, tuple[int, int]] | None = None) -> int:
+               frames: dict[int, tuple[int, int]] | None = None, consume: bool = False) -> int:
     """Join the part files of ``folders``, in order, into the one new file ``target``; returns its length.
 
     ``frames`` says, by the number of a folder, how many bytes are left out at the
@@ -290,6 +292,9 @@ def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 <<
     goes to its place in a task of its own, and a retried task writes the same
     bytes there again.  Elsewhere, or with ``at_offset=False``, one task streams the
     parts; it copies bytes and encodes nothing.
+    With ``consume`` the parts are the caller's to lose: ranges are then placed in
+    waves of whole parts, whose files go once all bytes of the wave are placed, so
+    parts and target together are little more than the target.
     """
     from pyspark.sql import Window
 
@@ -306,7 +311,7 @@ def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 <<
               .withColumn("begin", F.sum("length").over(order) - F.col("length"))
               .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(range_bytes))))
               .select("path", (F.col("at") + F.col("front")).alias("at"), F.least(F.lit(range_bytes), F.col("length") - F.col("at")).alias("n"),
-                      (F.col("begin") + F.col("at")).alias("to")))
+                      (F.col("begin") + F.col("at")).alias("to"), F.col("begin").alias("part_to")))
     ranges = materialise(ranges, session.new_staging_dir(spark, "join"))
     total = ranges.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     at_offset = split_uri(target)[0] in ("", "file") if at_offset is None else at_offset
@@ -328,7 +333,7 @@ def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 <<
         import pyarrow as pa
 
         for b in batches:
-            for path, at, n, to in zip(*(c.to_pylist() for c in b.columns)):
+            for path, at, n, to, _ in zip(*(c.to_pylist() for c in b.columns)):
                 fd = os.open(split_uri(target)[2], os.O_WRONLY | os.O_CREAT, 0o666)
                 with os.fdopen(fd, "wb") as out:
                     out.seek(to)
@@ -340,17 +345,36 @@ def join_files(spark, folders: list[str], target: str, range_bytes: int = 128 <<
         import pyarrow as pa
 
         rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
-        n = write_chunks(target, (chunk for path, at, n, _ in rows for chunk in bytes_of(path, at, n)))
+        n = write_chunks(target, (chunk for path, at, n, _, _ in rows for chunk in bytes_of(path, at, n)))
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
+    def remove(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                fs, where = arrow_location(path)
+                folder, name = where.rsplit("/", 1)
+                for file in (where, f"{folder}/.{name}.crc"):  # a retried task finds some gone
+                    if fs.get_file_info(file).is_file:
+                        fs.delete_file(file)
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    summed = lambda df: df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if at_offset:
         session.mkdirs(spark, target.rsplit("/", 1)[0])
-        # one row a task where there are fewer ranges than that
-        n = min(parallelism or 4 * spark.sparkContext.defaultParallelism, max(1, ranges.count()))
-        written = ranges.repartition(n).mapInArrow(place, "n long")
+        wave_bytes = max(-(-total // WAVES), WAVE_BYTES) if consume else max(total, 1)
+        done = 0
+        for wave in range(-(-total // wave_bytes)):
+            rows = ranges.where(F.floor(F.col("part_to") / F.lit(wave_bytes)) == wave)
+            # one row a task where there are fewer ranges than that
+            n = min(parallelism or 4 * spark.sparkContext.defaultParallelism, max(1, rows.count()))
+            placed = summed(rows.repartition(n).mapInArrow(place, "n long"))
+            done += placed
+            if consume and placed == summed(rows):
+                summed(rows.where("to = part_to").select("path").repartition(n).mapInArrow(remove, "n long"))
     else:
-        written = ranges.repartition(1).sortWithinPartitions("to").mapInArrow(stream, "n long")
-    done = written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        done = summed(ranges.repartition(1).sortWithinPartitions("to").mapInArrow(stream, "n long"))
     if done != total:
         raise RuntimeError(f"{done} of {total} bytes were joined into {target}")
     return total

@@ -126,7 +126,7 @@ def _encode_and_join(df: DataFrame, tmp: str, ft: str, opts: dict) -> str:
         objects.write_bytes(session.qualify(spark, f"{tmp}/begin/part-0"), begin)
         objects.write_bytes(session.qualify(spark, f"{tmp}/end/part-0"), end)
         folders, frames = [f"{tmp}/begin", f"{tmp}/parts", f"{tmp}/end"], {1: (len(begin), len(end))}
-    if not objects.join_files(spark, folders, f"{tmp}/one", frames=frames):  # no bytes at all: an empty part is the file
+    if not objects.join_files(spark, folders, f"{tmp}/one", frames=frames, consume=True):  # no bytes at all: an empty part is the file
         return session.data_files(spark, folders[-1])[0]
     return f"{tmp}/one"
 

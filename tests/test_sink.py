@@ -116,6 +116,33 @@ def test_parts_are_joined_in_ranges_by_several_tasks(spark, workdir):
     assert _bytes(f"{workdir}/streamed.json") == whole
 
 
+def test_joined_parts_go_wave_by_wave(spark, workdir, monkeypatch):
+    """The disk never holds all parts beside the whole file."""
+    import os
+
+    from lading.operators import objects, sink
+
+    monkeypatch.setattr(objects, "WAVE_BYTES", 1000)
+    src = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").repartition(5)
+    asked, join = [], objects.join_files
+    monkeypatch.setattr(sink.objects, "join_files", lambda *a, **k: asked.append(k) or join(*a, **k))
+    for kind in ("csv", "xml"):
+        write_files(src, f"{workdir}/one.{kind}", kind, single_file=True, rowTag="row", rootTag="rows")
+        assert same_rows(src, read_files(spark, f"{workdir}/one.{kind}", kind, schema=ddl(src), rowTag="row"))
+    assert [k["consume"] for k in asked] == [True, True]
+
+    src.write.json(f"{workdir}/parts")
+    parts = [p.removeprefix("file:") for p in session.data_files(spark, f"{workdir}/parts")]
+    first, made = _bytes(parts[0]), objects.materialise
+    monkeypatch.setattr(objects, "materialise", lambda *a: (made(*a), os.remove(parts[-1]))[0])
+    with pytest.raises(Exception, match="part-0"):  # the last wave fails, those before are over
+        join(spark, [f"{workdir}/parts"], f"{workdir}/all.json", range_bytes=10_007, consume=True)
+    assert not any(map(os.path.exists, parts))
+    assert _bytes(f"{workdir}/all.json")[:len(first)] == first
+    left = [n for n in os.listdir(f"{workdir}/parts") if "part-" in n]
+    assert left == [f".{os.path.basename(parts[-1])}.crc"]
+
+
 def test_single_file_without_rows(spark, workdir):
     none = spark.createDataFrame([], "n int, s string")
     write_files(none, f"{workdir}/none.csv", "csv", single_file=True)
